@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .shared import WORD, keep
 
-#: Documents of one block. A block is one Arrow group of (id hash, size, probability): about 1 MB.
-BLOCK = 20_000
+#: Documents of one block. A block is one Arrow group of (id hash, size, probability).
+BLOCK = 4_000
 #: Documents of a source that are left for the landing problem.
 RESERVE = 12
 #: The weights of the query, by the sources' order, repeating.
