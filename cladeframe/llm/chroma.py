@@ -21,12 +21,14 @@ from pyspark.sql import functions as F
 from .shared import keep
 
 RATE = 4000
-FRAME, HOP = 1024, 512
+FRAME, HOP = 1024, 256
 #: Share of differing bits up to which two aligned recordings match, and frames that they must share at least.
-MOST_ERRORS, LEAST_FRAMES = 0.25, 16
-#: Equal integers at one offset that make a candidate.
+MOST_ERRORS, LEAST_FRAMES = 0.1, 32
+#: Recordings rendered at once.
+BATCH = 64
+#: Equal integers at one offset that make a candidate, which the bit errors then judge.
 VOTES = 2
-_WIDTH = 8
+_WIDTH = 16
 _STEPS = (-0.35, 0.0, 0.35)
 
 
@@ -100,13 +102,13 @@ def align(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[int, int]:
 def _printed(batches):
     for b in batches:
         prints = [fingerprint(*pcm(x)).view(np.int32) for x in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.list_(pa.int32()))], names=["id", "print"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.list_(pa.int32())), b.column(2)], names=["id", "print", "q"])
 
 
-def audio_fingerprints(media: DataFrame, id_col: str, audio_col: str) -> DataFrame:
-    """(id, print): print is array<int>, empty where there is no readable audio. One row per input row."""
-    rows = media.select(F.col(id_col).alias("id"), F.col(audio_col).alias("audio"))
-    return rows.mapInArrow(_printed, f"id {rows.schema['id'].dataType.simpleString()}, print array<int>")
+def audio_fingerprints(media: DataFrame, id_col: str, audio_col: str, is_query: Column) -> DataFrame:
+    """(id, print, q): print is array<int>, empty where there is no readable audio; q is ``is_query``, false where that is null. One row per input row."""
+    rows = media.select(F.col(id_col).cast("long").alias("id"), F.col(audio_col).alias("audio"), F.coalesce(is_query, F.lit(False)).alias("q"))
+    return rows.mapInArrow(_printed, "id long, print array<int>, q boolean")
 
 
 def _aligned(batches):
@@ -128,7 +130,7 @@ def match_recordings(media: DataFrame, is_query: Column, id_col: str, audio_col:
     array<struct<class_id, offset, errors, frames>> of all other classes that align with theirs, ordered by class_id; for other rows it is null.
     Null or unreadable audio: no frames, class_id null, no matches. A null id counts only where a class has no other.
     """
-    prints = keep(audio_fingerprints(media.withColumn("__cf_q", is_query), id_col, audio_col).join(media.select(F.col(id_col).alias("__cf_id"), is_query.alias("q")).groupBy("__cf_id").agg(F.max("q").alias("q")), F.col("id").eqNullSafe(F.col("__cf_id"))).drop("__cf_id"), "prints")
+    prints = keep(audio_fingerprints(media, id_col, audio_col, is_query), "prints")
     some = F.size("print") > 0
     heard = prints.where(some).withColumn("digest", F.sha2(F.array_join(F.transform("print", lambda x: x.cast("string")), ","), 256))
     classes = keep(heard.groupBy("digest").agg(F.min("id").alias("class_id"), F.max("q").alias("asks"), F.first("print").alias("print")).where("class_id is not null"), "classes")
@@ -165,7 +167,9 @@ def melody(vector, rate: int = RATE, step: int = 512) -> bytes:
 
 def _rendered(batches):
     for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([melody(v) for v in b.column(1).to_pylist()], pa.binary())], names=["vec_id", "audio"])
+        for s in range(0, b.num_rows, BATCH):
+            part = b.slice(s, BATCH)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([melody(v) for v in part.column(1).to_pylist()], pa.binary())], names=["vec_id", "audio"])
 
 
 def recordings(embeddings: DataFrame) -> DataFrame:
