@@ -2,7 +2,7 @@
 
 A recording (16-bit mono PCM in a WAV container) gives frames of twelve pitch classes. Haar-like filters over
 stretches of frames, evaluated on an integral image, are cut into two bits each; sixteen of them make a packed integer for
-each frame. Recordings with the same integers form one class. Query classes meet all classes by equal integers; a histogram of
+each frame. Recordings with the same integers form one class. Query classes meet all classes by equal pairs of integers; a histogram of
 frame offsets finds the alignment, and the share of differing bits over the aligned frames decides.
 """
 
@@ -23,11 +23,11 @@ from .shared import keep
 RATE = 4000
 FRAME, HOP = 1024, 256
 #: Share of differing bits up to which two aligned recordings match, and frames that they must share at least.
-MOST_ERRORS, LEAST_FRAMES = 0.1, 32
+MOST_ERRORS, LEAST_FRAMES = 0.05, 32
 #: Recordings rendered at once.
 BATCH = 64
-#: Equal integers at one offset that make a candidate, which the bit errors then judge.
-VOTES = 2
+#: Equal pairs at one offset that make a candidate, which the bit errors then judge.
+VOTES = 1
 _WIDTH = 16
 _STEPS = (-0.35, 0.0, 0.35)
 
@@ -134,7 +134,9 @@ def match_recordings(media: DataFrame, is_query: Column, id_col: str, audio_col:
     some = F.size("print") > 0
     heard = prints.where(some).withColumn("digest", F.sha2(F.array_join(F.transform("print", lambda x: x.cast("string")), ","), 256))
     classes = keep(heard.groupBy("digest").agg(F.min("id").alias("class_id"), F.max("q").alias("asks"), F.first("print").alias("print")).where("class_id is not null"), "classes")
-    index = classes.select("class_id", "asks", F.posexplode("print").alias("at", "value"))
+    # the key is two neighbouring integers: one alone is shared by chance too often
+    pairs = F.expr("transform(slice(print, 1, greatest(size(print) - 1, 0)), (x, i) -> shiftleft(cast(x as bigint), 32) | (cast(print[i + 1] as bigint) & 4294967295L))")
+    index = classes.select("class_id", "asks", F.posexplode(pairs).alias("at", "value"))
     votes = index.where("asks").select("value", F.col("class_id").alias("q"), F.col("at").alias("q_at")).join(index.select("value", F.col("class_id").alias("c"), F.col("at").alias("c_at")), "value").where("q != c")
     histogram = votes.groupBy("q", "c", (F.col("q_at") - F.col("c_at")).alias("offset")).agg(F.count("*").alias("votes")).where(F.col("votes") >= VOTES)
     best = histogram.groupBy("q", "c").agg(F.max(F.struct("votes", (-F.abs("offset")).alias("near"), "offset")).alias("x")).select("q", "c", "x.offset")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from .shared import Memo
+from .shared import Memo, values
 
 SIZE, SHARE = 5, 0.8
 #: Windows of one broadcast table: about 300 MB at most.
@@ -196,8 +196,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id
             canon, t = Canon(), held.value
             for b in batches:
                 ids, found = [], []
-                for i, text in enumerate(b.column(1).to_pylist()):
-                    for m in t.matches(text, canon, share):
+                for i, text in enumerate(values(b.column(1))):
+                    for m in t.matches(text and text.decode(), canon, share):
                         ids.append(i)
                         found.append(m)
                 cols = list(zip(*found)) if found else [()] * 6
@@ -220,7 +220,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, t
         def run(batches, held=held):
             canon, t = Canon(), held.value
             for b in batches:
-                clean = [not t.matches(text, canon, share) for text in b.column(at).to_pylist()]
+                clean = [not t.matches(text and text.decode(), canon, share) for text in values(b.column(at))]
                 yield b.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh32_intdigest
 
-from .shared import Memo
+from .shared import Memo, values
 
 #: Bound of the sample of labelled rows that the classifier is fitted on: those with the smallest hash of their id.
 MOST_LABELLED = 3000
@@ -27,7 +27,7 @@ NEIGHBOURS, POWER = 25, 4.0
 #: How much the shapes weigh beside the words.
 SHAPE_WEIGHT = 2.0
 #: Documents of one matrix product.
-_BLOCK = 512
+_BLOCK = 256
 
 _RUNS = [(re.compile(r"[^\W\d_]+"), None), (re.compile(r"\d+"), "0")]
 
@@ -88,7 +88,7 @@ class Model:
 def _featured(batches):
     features = Features()
     for b in batches:
-        x = [features(t).tobytes() for t in b.column(1).cast(pa.binary()).to_pylist()]
+        x = [features(t).tobytes() for t in values(b.column(1))]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.binary()), b.column(2)], names=["id", "x", "label"])
 
 
@@ -127,7 +127,7 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text", out: str =
             for s in range(0, max(b.num_rows, 1), _BLOCK):
                 part = b.slice(s, _BLOCK)
                 if part.num_rows:
-                    x = np.stack([features(t) for t in part.column(at).cast(pa.binary()).to_pylist()])
+                    x = np.stack([features(t) for t in values(part.column(at))])
                     yield pa.RecordBatch.from_arrays([*part.columns, pa.array(held.value.scores(x), pa.float64())], names=[*part.schema.names, out])
 
     return rest.mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField(out, T.DoubleType())]))

@@ -156,9 +156,12 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: ``docs`` with ``copies``, without the documents that it leaves out; each is to be read ``copies`` times."""
     id_col, text_col, source_col = how.get("id_col", "doc_id"), how.get("text_col", "text"), how.get("source_col", "source")
     m = mix(docs, **how).where("copies > 0")
-    # rows that agree in id, source and size are interchangeable; numbered on both sides, each gets its own draw
-    part = Window.partitionBy("__cf_h", "__cf_s").orderBy(F.desc("copies"))
-    drawn = m.select(F.col("h").alias("__cf_h"), F.xxhash64(F.lit(7), "source").alias("__cf_s"), "copies").withColumn("__cf_n", F.row_number().over(part))
-    own = docs.withColumn("__cf_h", F.xxhash64(F.col(id_col), word_count(F.col(text_col)))).withColumn("__cf_s", F.xxhash64(F.lit(7), F.col(source_col)))
-    own = own.drop("copies").withColumn("__cf_n", F.row_number().over(Window.partitionBy("__cf_h", "__cf_s").orderBy(F.col(text_col))))
-    return own.join(drawn, ["__cf_h", "__cf_s", "__cf_n"]).drop("__cf_h", "__cf_s", "__cf_n")
+    # rows that agree in id, source and size are interchangeable; where there are any, numbers on both sides give each its own draw
+    keys = ["__cf_h", "__cf_s"]
+    drawn = m.select(F.col("h").alias("__cf_h"), F.xxhash64(F.lit(7), "source").alias("__cf_s"), "copies")
+    own = docs.drop("copies").withColumn("__cf_h", F.xxhash64(F.col(id_col), word_count(F.col(text_col)))).withColumn("__cf_s", F.xxhash64(F.lit(7), F.col(source_col)))
+    if drawn.groupBy(*keys).count().where("count > 1").limit(1).count():
+        drawn = drawn.withColumn("__cf_n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("copies"))))
+        own = own.withColumn("__cf_n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(text_col))))
+        keys = [*keys, "__cf_n"]
+    return own.join(drawn.hint("shuffle_hash"), keys).drop("__cf_h", "__cf_s", "__cf_n")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,10 +49,18 @@ def located(docs: DataFrame, rows: int, as_col: str) -> DataFrame:
     return keep(docs, "rows").select("*", F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / rows)).alias(as_col))
 
 
+def values(column: pa.Array, rows: int = 128):
+    """The bytes of a text column, a few rows at a time, so that a batch isn't held twice; Arrow's freed memory is given back at its end."""
+    raw = column.cast(pa.binary())
+    for s in range(0, len(raw), rows):
+        yield from raw.slice(s, rows).to_pylist()
+    pa.default_memory_pool().release_unused()
+
+
 class Memo(dict):
     """word -> value, computed once for each word and forgotten when ``most`` words are held."""
 
-    def __init__(self, of, most: int = 400_000):
+    def __init__(self, of, most: int = 200_000):
         super().__init__()
         self.of, self.most = of, most
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from .shared import keep
+from .shared import keep, values
 
 RADIUS = 3
 _SHINGLES = 1 << 16  # counted at once
@@ -46,8 +46,7 @@ def simhash(text: bytes | None) -> int:
 
 def _fingerprints(batches):
     for b in batches:
-        texts = b.column(1).cast(pa.binary()).to_pylist()
-        made = np.array([simhash(t) for t in texts], np.uint64).view(np.int64)
+        made = np.array([simhash(t) for t in values(b.column(1))], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.int64())], ["id", "fp"])
 
 
@@ -215,7 +214,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``docs`` with one row of each near-duplicate group, the one with the smallest id. Of rows that repeat an id one stays; rows with a null id stay if no link ties them to an id, one of each group."""
     got = near_duplicates(docs, id_col, text_col)
     chosen = keep(got.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("__cf_id"), F.col("fingerprint").alias("__cf_fp")).count(), "chosen")
-    once = docs.join(chosen.select("__cf_id").distinct(), docs[id_col].eqNullSafe(F.col("__cf_id"))).drop("__cf_id")
+    # the ids are hashed and the texts streamed past them: no text is sorted
+    once = docs.join(chosen.select("__cf_id").distinct().hint("shuffle_hash"), docs[id_col].eqNullSafe(F.col("__cf_id"))).drop("__cf_id")
     if chosen.where("count > 1 or __cf_id is null").limit(1).count() or chosen.groupBy("__cf_id").count().where("count > 1").limit(1).count():
         return once.dropDuplicates([id_col])
     return once

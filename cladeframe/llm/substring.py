@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from .shared import Memo, keep, located
+from .shared import Memo, keep, located, values
 
 SIZE = 35
 #: Rows of a block.
@@ -88,7 +88,7 @@ def _shipped(size: int, parts: int):
             yield pa.RecordBatch.from_arrays([pa.array(p[at].astype(np.int32)), pa.array([state["block"]] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())], ["part", "block", "run"])
 
         for b in batches:
-            for block, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+            for block, text in zip(b.column(0).to_pylist(), values(b.column(1))):
                 if block != state["block"] or state["n"] > 1 << 22:
                     yield from flush()
                     state["block"] = block
