@@ -396,11 +396,11 @@ def _(s, d):
     return _depths(s, d).groupBy("sample").agg(r(F.avg("depth")).alias("mean"), r(F.stddev_pop("depth")).alias("sd"))
 
 
-@query("agg12_gene_coverage", "SELECT region AS gene, round(avg(prob), 9) AS mean, round(stddev_pop(prob), 9) AS sd FROM regions JOIN act ON tid = r_tid % 3 AND pos >= r_start AND pos < r_end GROUP BY 1", D.REGIONS, D.ACTIVITY)
+@query("agg12_gene_coverage", "SELECT region AS gene, round(avg(prob), 12) AS mean, round(stddev_pop(prob), 12) AS sd FROM regions JOIN act ON tid = r_tid % 3 AND pos >= r_start AND pos < r_end GROUP BY 1", D.REGIONS, D.ACTIVITY)
 def _(s, d):
     g = D.regions(s, d).withColumn("r_tid", col("r_tid") % 3).withColumn("r_last", col("r_end") - 1)
     a = D.activity(s, d).withColumn("pos2", col("pos"))
-    return R.range_join(g, a, ("r_tid", "r_start", "r_last"), ("tid", "pos", "pos2"), 64).groupBy(col("region").alias("gene")).agg(r(F.avg("prob"), 9).alias("mean"), r(F.stddev_pop("prob"), 9).alias("sd"))
+    return R.range_join(g, a, ("r_tid", "r_start", "r_last"), ("tid", "pos", "pos2"), 64).groupBy(col("region").alias("gene")).agg(r(F.avg("prob"), 12).alias("mean"), r(F.stddev_pop("prob"), 12).alias("sd"))
 
 
 @query("agg15_consensus_allele", "SELECT site, sample, CAST(CASE WHEN greatest(a0, a1, a2) = 0 THEN NULL WHEN a0 >= a1 AND a0 >= a2 THEN 0 WHEN a1 >= a2 THEN 1 ELSE 2 END AS INTEGER) AS consensus FROM ad", D.AD)
