@@ -30,15 +30,41 @@ def genotype_dim(spark: SparkSession, ploidies: list[int], alleles: list[int]) -
     return spark.createDataFrame(rows, "ploidy int, n_alleles int, idx int, counts array<int>, gt string, log10_comb double")
 
 
-def genotype_likelihoods(lk: DataFrame, dim: DataFrame, ploidy: int) -> DataFrame:
-    """lk: (site, sample, read, lks array<double>) of log10 likelihoods by allele. (site, sample, gl array<double>).
+def genotype_likelihoods(lk: DataFrame, alleles: int, ploidy: int) -> DataFrame:
+    """lk: (site, sample, read, lks array<double>) of log10 likelihoods by allele. (site, sample, gl array<double>) for rows of ``alleles`` alleles.
 
-    Each read gives each genotype log10 of the count-weighted sum of its alleles' likelihoods; sums over reads are taken before the shuffle.
+    Each read gives each genotype log10 of the count-weighted sum of its alleles' likelihoods. There is a sum for each genotype, all in one
+    aggregation with partial sums before the shuffle; rows are not multiplied by genotypes.
     """
-    d = lk.join(F.broadcast(dim.where(F.col("ploidy") == ploidy)), F.size("lks") == F.col("n_alleles"))
-    terms = F.filter(F.zip_with("lks", "counts", lambda x, c: F.when(c > 0, x + F.log10(c.cast("double")))), lambda x: x.isNotNull())
-    g = d.groupBy("site", "sample", "idx").agg((F.sum(M.log10_sum(terms)) - F.count("*") * math.log10(ploidy)).alias("g"))
-    return g.groupBy("site", "sample").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "g"))), lambda x: x["g"]).alias("gl"))
+    x = [F.col("lks")[i] for i in range(alleles)]
+    sums = []
+    for g in genotypes(ploidy, alleles):
+        parts = [(a, g.count(a)) for a in sorted(set(g))]
+        if len(parts) == 1:
+            term = x[parts[0][0]] + math.log10(ploidy)
+        else:
+            top = F.greatest(*[x[a] for a, _ in parts])
+            weights = [F.pow(F.lit(10.0), x[a] - top) * c for a, c in parts]
+            total = weights[0]
+            for w in weights[1:]:
+                total = total + w
+            term = top + F.log10(total)
+        sums.append(F.sum(term) - F.count("*") * math.log10(ploidy))
+    return lk.where(F.size("lks") == alleles).groupBy("site", "sample").agg(F.array(*sums).alias("gl"))
+
+
+def assign(pl: Column, ad: Column, gts: list[str], method: str = "pls", prior: Column | None = None) -> Column:
+    """Genotype of a sample: by the smallest PL, by it and the priors, to no call, to the best match of the depths, or unchanged (null)."""
+    at = lambda v: F.element_at(F.array(*[F.lit(g) for g in gts]), F.array_position(v, F.array_min(v)).cast("int"))
+    if method == "pls":
+        return F.when(F.size(F.filter(pl, lambda v: v == F.array_min(pl))) == F.size(pl), F.lit("./.")).otherwise(at(pl))
+    if method == "posterior":
+        return at(F.zip_with(pl, prior, lambda v, p: v - 10.0 * p))
+    if method == "no_call":
+        return F.lit("./.")
+    if method == "depths":
+        return F.when(F.array_max(ad) == 0, "./.").otherwise(F.concat_ws("/", F.transform(F.filter(F.transform(ad, lambda v, i: F.when(v > 0, i)), lambda v: v.isNotNull()), lambda v: v.cast("string"))))
+    return F.lit(None).cast("string")
 
 
 def best_allele(lks: Column, informative: float = 0.2) -> Column:

@@ -434,7 +434,7 @@ _GL = """gl AS (SELECT site, sample, count(*) AS n, sum(k0 + log10(2)) AS x0, su
 
 
 def _gls(s, d):
-    return G.genotype_likelihoods(D.likelihoods(s, d), G.genotype_dim(s, [2], [3]), 2)
+    return G.genotype_likelihoods(D.likelihoods(s, d), 3, 2)
 
 
 @query("agg21_genotype_likelihoods", "SELECT site, sample, " + ", ".join(f"round(x{i} - n * log10(2), 6) AS g{i}" for i in range(6)) + " FROM gl", D.LKS, _GL)
@@ -951,3 +951,226 @@ def _(s, d):
     x = D.sequences(s, d).where("length(seq) > 0")
     head = F.concat(lit("strain_"), col("doc_id").cast("string"))
     return fasta_lines(x, head).select(F.regexp_extract("record", r"^>strain_(\d+)", 1).cast("long").alias("doc_id"), F.length(F.regexp_replace("record", r"^>[^\n]*", "")).cast("long").alias("chars"))
+
+
+# sources, read from lines that the tables give
+
+
+def _sam_lines(s, d):
+    x = D.reads(s, d)
+    f = ["qname", "flag", "tid", "start", "mapq", "cigar_text", "mtid", "end", "nm"]
+    c = {n: col(n).cast("string") for n in f}
+    return x.select(F.concat_ws("\t", c["qname"], c["flag"], F.concat(lit("c"), c["tid"]), (col("start") + 1).cast("string"), c["mapq"], c["cigar_text"], F.concat(lit("c"), c["mtid"]), c["end"], lit("7"), lit("ACGT"), lit("II#5"), F.concat(lit("NM:i:"), c["nm"])).alias("value"))
+
+
+@query("src02_sam_records", "SELECT CAST(qname AS VARCHAR) AS qname, flag, 'c' || tid AS contig, s AS pos, mapq, nm, 2 * q + q % 7 AS ref_len, 'c' || mtid AS mcontig FROM reads", D.READS)
+def _(s, d):
+    from ..sources.files import parse_sam
+
+    return parse_sam(_sam_lines(s, d)).select("qname", "flag", "contig", "pos", "mapq", "nm", C.reference_length(col("cigar")).alias("ref_len"), "mcontig")
+
+
+@query("src03_region_scan", "SELECT tid, count(*) AS n FROM reads WHERE tid = 2 AND s <= 9000 AND e >= 3000 GROUP BY 1", D.READS)
+def _(s, d):
+    return D.reads(s, d).where((col("tid") == 2) & (col("start") <= 9000) & (col("end") >= 3000)).groupBy("tid").agg(F.count("*").alias("n"))
+
+
+@query("src02_primary_count", "SELECT sample, count(*) FILTER (flag & 256 = 0 AND flag & 2048 = 0) AS primaries FROM reads GROUP BY 1", D.READS)
+def _(s, d):
+    return D.reads(s, d).groupBy("sample").agg(F.count_if(~RD.has(col("flag"), RD.SECONDARY) & ~RD.has(col("flag"), RD.SUPPLEMENTARY)).alias("primaries"))
+
+
+@query("src08_readsets", "SELECT DISTINCT sample AS sample_idx, read_type FROM reads", D.READS)
+def _(s, d):
+    return D.reads(s, d).select(col("sample").alias("sample_idx"), "read_type").distinct()
+
+
+@query("src10_placeholder", "SELECT rid FROM reads WHERE false", D.READS)
+def _(s, d):
+    return D.reads(s, d).where("false").select("rid")
+
+
+@query("src11_fasta_records", "SELECT 'g' AS genome, CAST(doc_id AS VARCHAR) AS contig, CAST(length(seq) AS BIGINT) AS length, substr(seq, 1, 40) AS head FROM seqs", D.SEQS)
+def _(s, d):
+    from ..sources.files import parse_fasta
+
+    rec = D.sequences(s, d).select(F.concat(lit("g~"), col("doc_id").cast("string"), lit(" a contig\n"), F.regexp_replace("seq", "(.{70})", "$1\n"), lit("\n")).alias("value"), lit("file").alias("stem"))
+    return parse_fasta(rec).select("genome", "contig", "length", F.substr("seq", lit(1), lit(40)).alias("head"))
+
+
+@query("src12_genome_definition", "SELECT 'g' || n_regionkey AS genome, n_name AS contig FROM nation")
+def _(s, d):
+    line = F.split(F.concat(lit("g"), col("n_regionkey").cast("string"), lit("\t"), col("n_name")), "\t")
+    return D.table(s, d, "nation").select(line.alias("f")).where("size(f) = 2").select(col("f")[0].alias("genome"), col("f")[1].alias("contig"))
+
+
+@query("src14_concatenated_names", "SELECT n_regionkey || '~' || n_name AS name FROM nation")
+def _(s, d):
+    return D.table(s, d, "nation").select(F.concat_ws("~", col("n_regionkey").cast("string"), "n_name").alias("name"))
+
+
+@query("src15_split_names", "SELECT CAST(n_regionkey AS VARCHAR) AS genome, n_name AS contig FROM nation")
+def _(s, d):
+    from ..sources.files import contig_of, genome_of
+
+    name = F.concat_ws("~", col("n_regionkey").cast("string"), "n_name")
+    return D.table(s, d, "nation").select(genome_of(name).alias("genome"), contig_of(name).alias("contig"))
+
+
+@query("src18_reference_windows", "SELECT doc_id, substr(seq, 11, 25) AS win FROM seqs WHERE length(seq) >= 35", D.SEQS)
+def _(s, d):
+    return D.sequences(s, d).where("length(seq) >= 35").select("doc_id", F.substr("seq", lit(11), lit(25)).alias("win"))
+
+
+@query("src19_contig_registry", "SELECT CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS INTEGER) AS tid, n_name AS name FROM nation")
+def _(s, d):
+    # a registry has a row for each contig of the references, a small table
+    return D.table(s, d, "nation").select((F.row_number().over(Window.orderBy("n_nationkey")) - 1).alias("tid"), col("n_name").alias("name"))
+
+
+@query("src20_vcf_records", "SELECT site AS pos, sample, a0, a1, a2, round(-(50.0 + site % 7) / 10, 6) AS p FROM ad", D.AD)
+def _(s, d):
+    from ..sources.files import parse_vcf
+
+    x = D.allele_depths(s, d)
+    by = x.groupBy("site").agg(F.array_sort(F.collect_list(F.struct("sample", "ad"))).alias("g"))
+    sample = lambda k: F.coalesce(F.try_element_at(F.filter("g", lambda v: v["sample"] == k), lit(1))["ad"], F.array(lit(-1), lit(-1), lit(-1)))
+    txt = lambda k: F.concat(lit("0/1:"), F.array_join(F.transform(sample(k), lambda v: v.cast("string")), ","))
+    line = F.concat_ws("\t", lit("c"), (col("site") + 1).cast("string"), lit("."), lit("A"), lit("C,GTT"), F.format_string("%.1f", 50.0 + col("site") % 7), lit("PASS"), lit("DP=3"), lit("GT:AD"), *[txt(k) for k in range(4)])
+    v = parse_vcf(by.select(line.alias("value")))
+    e = v.select("pos", "log10_p_error", F.explode("genotypes").alias("g")).where("g.ad[0] >= 0")
+    return e.select("pos", col("g.sample").alias("sample"), *[col("g.ad")[i].alias(f"a{i}") for i in range(3)], r(col("log10_p_error")).alias("p"))
+
+
+@query("src21_vcf_region", "SELECT site FROM (SELECT DISTINCT site FROM ad) WHERE site BETWEEN 100 AND 250", D.AD)
+def _(s, d):
+    return D.allele_depths(s, d).where(col("site").between(100, 250)).select("site").distinct()
+
+
+@query("src24_allele_lists", "SELECT key, CASE WHEN length(ref) = 1 AND length(alt) = 1 THEN '.' ELSE alt END AS alt FROM alleles", D.ALLELES)
+def _(s, d):
+    # with SNVs omitted
+    return D.alleles(s, d).select("key", F.when((F.length("ref") == 1) & (F.length("alt") == 1), ".").otherwise(col("alt")).alias("alt"))
+
+
+@query("src25_gff_records", "SELECT CAST(region AS VARCHAR) AS id, r_start AS start, r_end AS stop, CASE WHEN region % 2 = 0 THEN '-' ELSE '+' END AS strand FROM regions", D.REGIONS)
+def _(s, d):
+    from ..sources.files import parse_gff
+
+    x = D.regions(s, d)
+    line = F.concat_ws("\t", lit("c"), lit("finder"), lit("CDS"), (col("r_start") + 1).cast("string"), (col("r_end") + 1).cast("string"), lit("."), F.when(col("region") % 2 == 0, "-").otherwise("+"), lit("0"), F.concat(lit("ID="), col("region").cast("string"), lit(";partial=00;")))
+    return parse_gff(x.select(line.alias("value"))).select(col("attributes")["ID"].alias("id"), "start", col("end").alias("stop"), "strand")
+
+
+@query("src27_split_by_genome", "SELECT tid AS genome, count(*) AS n FROM reads GROUP BY 1", D.READS)
+def _(s, d):
+    return D.reads(s, d).groupBy(col("tid").alias("genome")).agg(F.count("*").alias("n"))
+
+
+# more ordered, scalar and composite operators
+
+
+@query("win12_codon_transitions", "SELECT gene, count(*) AS steps FROM (SELECT region AS gene, (s - r_start) // 3 AS c, lag((s - r_start) // 3) OVER (PARTITION BY region ORDER BY s) AS b FROM (SELECT DISTINCT tid, s FROM reads) JOIN regions ON tid = r_tid AND s BETWEEN r_start AND r_end) WHERE b IS NOT NULL AND c <> b GROUP BY 1", D.READS, D.REGIONS)
+def _(s, d):
+    v = D.reads(s, d).select("tid", "start").distinct().withColumn("at", col("start"))
+    j = R.range_join(D.regions(s, d), v, ("r_tid", "r_start", "r_end"), ("tid", "start", "at"), 64).withColumn("c", F.floor((col("start") - col("r_start")) / 3))
+    j = j.withColumn("b", F.lag("c").over(Window.partitionBy("region").orderBy("start")))
+    return j.where("c != b").groupBy(col("region").alias("gene")).agg(F.count("*").alias("steps"))
+
+
+@query("str17_clipped_reads", "SELECT rid, greatest(s, 2000) AS start, least(s + q - 1, 4000) - greatest(s, 2000) + 1 AS bases FROM reads WHERE s <= 4000 AND s + q - 1 >= 2000 AND q > 0", D.READS)
+def _(s, d):
+    from ..operators.realign import clip_reads
+
+    q = (col("end") - col("start")).cast("int")
+    x = D.reads(s, d).where("end > start").select("rid", "start", F.concat(q, lit("M")).alias("cigar_text"), F.repeat(lit("A"), q).alias("seq"), lit(2000).alias("low"), lit(4000).alias("high"))
+    return clip_reads(x, "low", "high").select("rid", "start", F.length("seq").cast("long").alias("bases"))
+
+
+@query("str19_adaptor_boundary", "SELECT rid, CASE WHEN flag & 16 <> 0 THEN e - 1 ELSE s + q END AS boundary FROM reads", D.READS)
+def _(s, d):
+    from ..operators.realign import adaptor_boundary
+
+    return D.reads(s, d).select("rid", adaptor_boundary(col("start"), col("end"), col("end") - col("start"), RD.has(col("flag"), RD.REVERSE)).alias("boundary"))
+
+
+@query("str23_codon_changes")
+def _(s, d):
+    rows = [(a, b, *ST.codon_change(a, b)) for a, _, _, _ in S.codon_table() for b, _, _, _ in S.codon_table() if a != b]
+    return s.createDataFrame(rows, "before string, after string, nd double, sd double")
+
+
+@query("str25_kmer_hashes", "SELECT doc_id, len(list_distinct(list_transform(range(1, length(seq) - 13), lambda i: substr(seq, i, 15)))) AS kinds FROM seqs WHERE length(seq) >= 15", D.SEQS)
+def _(s, d):
+    return D.sequences(s, d).where("length(seq) >= 15").select("doc_id", F.size(F.array_distinct(S.kmers(col("seq"), 15))).cast("long").alias("kinds"))
+
+
+@query("mth14_likelihood_ratio")
+def _(s, d):
+    from ..operators.realign import log_likelihood_ratio
+
+    x = D.table(s, d, "part").select("p_partkey", (col("p_size") * 3).alias("n_ref"), F.array_repeat(lit(30), (col("p_partkey") % 6).cast("int")).alias("q"))
+    return x.select("p_partkey", r(log_likelihood_ratio(col("n_ref"), col("q"))).alias("lr"))
+
+
+@query("gen11_alignment")
+def _(s, d):
+    x = D.alleles(s, d).select("key", F.concat(lit("ACGTTGCAAGGCTTAC"), "ref", lit("GGATCCATTGCA")).alias("a"), F.concat(lit("ACGTTGCAAGGCTTAC"), "alt", lit("GGATCCATTGCA")).alias("b"))
+
+    def run(batches):
+        for pdf in batches:
+            got = [K.align(a, b, K.NEW_SW, "indel") for a, b in zip(pdf.a, pdf.b)]
+            yield pdf[["key"]].assign(offset=[g[0] for g in got], cigar=[g[1] for g in got])
+
+    return x.mapInPandas(run, "key long, offset int, cigar string")
+
+
+@query("gen14_event_map", "SELECT a.key, sum(CAST(substr(b, CAST(i AS INTEGER), 1) <> substr(c, CAST(i AS INTEGER), 1) AS INT)) AS events FROM (SELECT key, ref || alt AS b, alt || ref AS c FROM alleles) a, range(1, 9) t(i) WHERE i <= length(b) GROUP BY 1", D.ALLELES)
+def _(s, d):
+    x = D.alleles(s, d).select("key", F.concat("ref", "alt").alias("a"), F.concat("alt", "ref").alias("b"))
+
+    def run(batches):
+        for pdf in batches:
+            yield pdf[["key"]].assign(events=[len(K.events(a, b, f"{len(a)}M", 0)) for a, b in zip(pdf.a, pdf.b)])
+
+    return x.mapInPandas(run, "key long, events long")
+
+
+@query("gen23_assigned_genotypes", "SELECT site, sample, CASE WHEN list_max(v) = 0 THEN './.' ELSE CASE list_position(v, 0) WHEN 1 THEN '0/0' WHEN 2 THEN '0/1' WHEN 3 THEN '1/1' WHEN 4 THEN '0/2' WHEN 5 THEN '1/2' ELSE '2/2' END END AS gt FROM (SELECT site, sample, [" + ", ".join(f"CAST(round(-10 * (x{i} - t)) AS INTEGER)" for i in range(6)) + "] AS v FROM (SELECT *, greatest(x0, x1, x2, x3, x4, x5) AS t FROM gl))", D.LKS, _GL)
+def _(s, d):
+    gts = ["/".join(map(str, g)) for g in G.genotypes(2, 3)]
+    return _gls(s, d).select("site", "sample", G.assign(M.gls_to_pls(col("gl")), None, gts).alias("gt"))
+
+
+@query("gen29_strain_annotation", "SELECT site, list_sort(list(DISTINCT CAST(grp % 3 AS INTEGER))) AS strains FROM (SELECT site, site % 20 AS grp FROM ad UNION ALL SELECT site, (site + 1) % 20 FROM ad) GROUP BY 1", D.AD)
+def _(s, d):
+    x = D.allele_depths(s, d).select("site")
+    both = x.withColumn("grp", col("site") % 20).unionByName(x.withColumn("grp", (col("site") + 1) % 20))
+    return both.groupBy("site").agg(F.array_sort(F.collect_set((col("grp") % 3).cast("int"))).alias("strains"))
+
+
+@query("gen27_variant_groups")
+def _(s, d):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    x = D.table(s, d, "embeddings").select("vec_id", array_to_vector("embedding").alias("features"))
+    return KMeans(k=10, seed=1, maxIter=10).fit(x).transform(x).select("vec_id", col("prediction").alias("grp"))
+
+
+@query("gen34_sample_models", "SELECT site, count(*) AS samples, round(sum(x0 - n * log10(2)), 6) AS hom_ref FROM gl GROUP BY 1", D.LKS, _GL)
+def _(s, d):
+    return _gls(s, d).groupBy("site").agg(F.count("*").alias("samples"), r(F.sum(col("gl")[0])).alias("hom_ref"))
+
+
+@query("stream_windowed_activity", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def _(s, d):
+    import uuid
+
+    from ..streaming.activity import finished, windowed
+
+    path = f"{d}/events.parquet"
+    # a stream reads a folder; the filter leaves its one table
+    events = s.readStream.schema(s.read.parquet(path).schema).option("pathGlobFilter", "events.parquet").parquet(d).withColumn("ts", F.col("ts").cast("timestamp"))
+    out = finished(s, windowed(events), f"activity_{uuid.uuid4().hex}")
+    return out.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n", r(col("total"), 4).alias("total"))

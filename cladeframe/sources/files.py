@@ -10,7 +10,12 @@ from ..functions import cigars as C
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(genome, contig, description, seq, length): one row per record, genome from the file's stem. A contig named genome~contig is split."""
-    r = spark.read.option("lineSep", ">").text(path).withColumn("stem", F.regexp_extract("_metadata.file_name", r"^(.*?)\.[^.]*$", 1)).where("trim(value) != ''")
+    return parse_fasta(spark.read.option("lineSep", ">").text(path).withColumn("stem", F.regexp_extract("_metadata.file_name", r"^(.*?)\.[^.]*$", 1)))
+
+
+def parse_fasta(records: DataFrame) -> DataFrame:
+    """records: (value, stem), a value being what follows a ``>``."""
+    r = records.where("trim(value) != ''")
     head = F.regexp_extract("value", r"^([^\n\r]*)", 1)
     name = F.regexp_extract(head, r"^(\S*)", 1)
     seq = F.regexp_replace(F.expr("substr(value, length(regexp_extract(value, '^([^\\n\\r]*)', 1)) + 1)"), r"\s", "")
@@ -44,11 +49,16 @@ def read_fai(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
-    """Alignment lines of SAM text with parsed CIGAR, qualities and NM; header lines are left out."""
+    """Alignment lines of SAM text; see ``parse_sam``."""
+    return parse_sam(spark.read.text(path))
+
+
+def parse_sam(lines: DataFrame) -> DataFrame:
+    """lines: (value). Parsed CIGAR, qualities and NM; header lines are left out."""
     f = F.split("value", "\t")
     tags = F.slice(f, 12, 1000)
     nm = F.try_element_at(F.filter(tags, lambda t: F.startswith(t, F.lit("NM:i:"))), F.lit(1))
-    return spark.read.text(path).where("value not like '@%' and value != ''").select(
+    return lines.where("value not like '@%' and value != ''").select(
         f[0].alias("qname"), f[1].cast("int").alias("flag"), f[2].alias("contig"), (f[3].cast("long") - 1).alias("pos"), f[4].cast("int").alias("mapq"), C.parse(f[5]).alias("cigar"),
         F.when(f[6] == "=", f[2]).otherwise(f[6]).alias("mcontig"), (f[7].cast("long") - 1).alias("mpos"), f[8].cast("long").alias("tlen"), f[9].alias("seq"),
         F.transform(F.split(f[10], ""), lambda c: (F.ascii(c) - 33).cast("smallint")).alias("qual"), F.substr(nm, F.lit(6)).cast("int").alias("nm"),
@@ -57,8 +67,14 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
 
 def read_gff(spark: SparkSession, path: str) -> DataFrame:
     """GFF3 rows, starts and ends from 0, attributes as a map."""
-    schema = "seqname string, source string, type string, start long, end long, score string, strand string, frame string, attributes string"
-    d = spark.read.csv(path, sep="\t", comment="#", schema=schema)
+    return parse_gff(spark.read.text(path))
+
+
+def parse_gff(lines: DataFrame) -> DataFrame:
+    """lines: (value); comments are left out."""
+    f = F.split("value", "\t")
+    names = ["seqname", "source", "type", "start", "end", "score", "strand", "frame", "attributes"]
+    d = lines.where("value not like '#%' and value != ''").select(*[f[i].cast("long" if n in ("start", "end") else "string").alias(n) for i, n in enumerate(names)])
     null = lambda c: F.nullif(F.col(c), F.lit("."))
     return d.select("seqname", "source", "type", (F.col("start") - 1).alias("start"), (F.col("end") - 1).alias("end"), null("score").cast("double").alias("score"), "strand", null("frame").cast("int").alias("frame"), F.str_to_map(F.regexp_replace("attributes", ";$", ""), F.lit(";"), F.lit("=")).alias("attributes"))
 
@@ -70,8 +86,13 @@ def vcf_samples(spark: SparkSession, path: str) -> list[str]:
 
 def read_vcf(spark: SparkSession, path: str) -> DataFrame:
     """(contig, pos from 0, alleles, qual, log10_p_error, filters, info map, genotypes array<struct<sample, gt, ad>>). A depth list of one entry gives zeros for every allele."""
+    return parse_vcf(spark.read.text(path))
+
+
+def parse_vcf(lines: DataFrame) -> DataFrame:
+    """lines: (value); see ``read_vcf``."""
     f = F.split("value", "\t")
-    d = spark.read.text(path).where("value not like '#%' and value != ''").select(f.alias("f"))
+    d = lines.where("value not like '#%' and value != ''").select(f.alias("f"))
     d = d.select("f", F.concat(F.array(F.col("f")[3]), F.filter(F.split(F.col("f")[4], ","), lambda a: a != ".")).alias("alleles"), F.split(F.try_element_at("f", F.lit(9)), ":").alias("keys"))
 
     def genotype(g, i):
