@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -1174,3 +1176,121 @@ def _(s, d):
     events = s.readStream.schema(s.read.parquet(path).schema).option("pathGlobFilter", "events.parquet").parquet(d).withColumn("ts", F.col("ts").cast("timestamp"))
     out = finished(s, windowed(events), f"activity_{uuid.uuid4().hex}")
     return out.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n", r(col("total"), 4).alias("total"))
+
+
+@query("srt02_k_best_haplotypes")
+def _(s, d):
+    x = D.alleles(s, d).select("key", F.concat(lit("ACGTTGCAAGGCTTAC"), "ref", lit("GGATCCATTGCATTGGC")).alias("a"), F.concat(lit("ACGTTGCAAGGCTTAC"), "alt", lit("GGATCCATTGCATTGGC")).alias("b"))
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for key, a, b in zip(pdf.key, pdf.a, pdf.b):
+                g = K.Graph(a, 9)
+                for read in (a, b, b):
+                    g.thread(read, [30] * len(read), 10)
+                paths = g.best_paths(4) if not g.cyclic() else []
+                rows += [(key, i, round(p, 6), h) for i, (p, h) in enumerate(paths)]
+            yield pd.DataFrame(rows, columns=["key", "place", "score", "hap"])
+
+    return x.mapInPandas(run, "key long, place int, score double, hap string")
+
+
+@query("win11_phase_groups")
+def _(s, d):
+    from ..operators.realign import phase
+
+    v = D.table(s, d, "lineitem").select((col("l_suppkey") % 50).alias("region"), col("l_partkey").alias("start"), (col("l_linenumber") % 2).cast("int").alias("hap")).where("start < 40").distinct()
+    calls = v.groupBy("region", "start").agg(F.array_sort(F.collect_set("hap")).alias("haps"))
+
+    def run(key, pdf):
+
+
+        c = sorted((int(p), frozenset(h)) for p, h in zip(pdf.start, pdf.haps))
+        got = phase(c, frozenset({0, 1}))
+        return pd.DataFrame([(int(key[0]), c[i][0], g[0], g[1]) for i, g in sorted(got.items())], columns=["region", "start", "phase_set", "gt"])
+
+    return calls.groupBy("region").applyInPandas(run, "region long, start long, phase_set long, gt string")
+
+
+@query("str06_tandem_units")
+def _(s, d):
+    from ..operators.realign import tandem_unit
+
+    x = D.alleles(s, d).select("key", F.concat("ref", "alt", "ref", "alt", "ref", "alt").alias("seq"))
+
+    def run(batches):
+        for pdf in batches:
+            got = [tandem_unit(q, len(q) // 2) for q in pdf.seq]
+            yield pdf[["key"]].assign(unit=[g[0] for g in got], copies=[g[1] for g in got])
+
+    return x.mapInPandas(run, "key long, unit string, copies int")
+
+
+@query("str13_left_aligned")
+def _(s, d):
+    from ..operators.realign import left_align
+
+    x = D.alleles(s, d).select("key", F.concat(lit("GCA"), F.repeat("ref", lit(4)), lit("TGC")).alias("ref"), F.length("ref").alias("n"))
+
+    def run(batches):
+        for pdf in batches:
+            got = []
+            for ref, n in zip(pdf.ref, pdf.n):
+                hap = ref[: 3 + 3 * n] + ref[3 + 4 * n :]
+                got.append(left_align(ref, 0, f"{3 + 3 * n}M{n}D3M", hap))
+            yield pdf[["key"]].assign(cigar=got)
+
+    return x.mapInPandas(run, "key long, cigar string")
+
+
+@query("str12_haplotype_cigar")
+def _(s, d):
+    x = D.alleles(s, d).select("key", F.concat(lit("ACGTTGCAAGGCTTAC"), "ref", lit("GGATCCATTG")).alias("a"), F.concat(lit("ACGTTGCAAGGCTTAC"), "alt", lit("GGATCCATTG")).alias("b"))
+
+    def run(batches):
+        for pdf in batches:
+            yield pdf[["key"]].assign(cigar=[K.haplotype_cigar(a, b) for a, b in zip(pdf.a, pdf.b)])
+
+    return x.mapInPandas(run, "key long, cigar string")
+
+
+@query("mth13_beta_moments", "SELECT p_partkey, round((p_size + 1.0) / (p_size + 3.0), 8) AS mean, round((p_size + 1.0) * 2.0 / ((p_size + 3.0) * (p_size + 3.0) * (p_size + 4.0)), 8) AS var FROM part")
+def _(s, d):
+    a, b = col("p_size") + 1.0, lit(2.0)
+    return D.table(s, d, "part").select("p_partkey", r(a / (a + b), 8).alias("mean"), r(a * b / ((a + b) * (a + b) * (a + b + 1.0)), 8).alias("var"))
+
+
+@query("mth04_pairwise_log10_sum", "SELECT read, round(greatest(k0, k1) + log10(1 + pow(10, -abs(k0 - k1))), 6) AS x FROM lk", D.LKS)
+def _(s, d):
+    # exact where the reference behaviour is a table of the same function
+    return D.likelihoods(s, d).select("read", r(M.log10_sum(F.slice("lks", 1, 2))).alias("x"))
+
+
+@query("str15_mismatches", "SELECT key, CAST(list_sum(list_transform(range(1, least(length(ref), length(alt)) + 1), lambda i: CAST(substr(ref, i, 1) <> substr(alt, i, 1) AS INTEGER))) AS INTEGER) AS mismatches FROM alleles", D.ALLELES)
+def _(s, d):
+    n = F.least(F.length("ref"), F.length("alt"))
+    return D.alleles(s, d).select("key", F.size(F.filter(F.sequence(lit(1), n), lambda i: F.substr("ref", i, lit(1)) != F.substr("alt", i, lit(1)))).alias("mismatches"))
+
+
+@query("str21_finalized_reads", "SELECT rid, mapq FROM reads WHERE flag & 4 = 0 AND flag & 1024 = 0 AND q >= 10 AND mapq >= 20 AND s <= 4000 AND e >= 2000", D.READS)
+def _(s, d):
+    f = col("flag")
+    x = D.reads(s, d).where(~RD.has(f, RD.UNMAPPED) & ~RD.has(f, RD.DUPLICATE) & (col("end") - col("start") >= 10) & (col("mapq") >= 20))
+    return x.where(I.overlaps(lit(0), col("start"), col("end"), lit(0), lit(2000), lit(4000))).select("rid", "mapq")
+
+
+@query("gen13_region_likelihoods")
+def _(s, d):
+    x = D.alleles(s, d).where("key % 4 = 0").select("key", F.concat(lit("ACGTTGCA"), "ref", lit("GGATCCA")).alias("h0"), F.concat(lit("ACGTTGCA"), "alt", lit("GGATCCA")).alias("h1"))
+    haps = x.select(col("key").alias("region"), F.posexplode(F.array("h0", "h1")).alias("hap_idx", "hap_seq"))
+    reads = x.select(col("key").alias("region"), F.posexplode(F.array(F.substr("h0", lit(5), lit(9)), F.substr("h1", lit(5), lit(9)))).alias("read", "read_seq"))
+    p = reads.withColumn("read", col("read").cast("long")).withColumn("quals", F.array_repeat(lit(30), F.length("read_seq"))).join(haps, "region")
+    return K.read_likelihoods(p).select("region", "read", "hap_idx", r(col("log10_lk")).alias("log10_lk"))
+
+
+@query("gen22_called_genotypes", "SELECT site, count(*) AS samples, sum(CASE WHEN list_max(v) > 0 AND list_position(v, 0) > 1 THEN 1 ELSE 0 END) AS with_alt FROM (SELECT site, sample, [" + ", ".join(f"CAST(round(-10 * (x{i} - t)) AS INTEGER)" for i in range(6)) + "] AS v FROM (SELECT *, greatest(x0, x1, x2, x3, x4, x5) AS t FROM gl)) GROUP BY 1", D.LKS, _GL)
+def _(s, d):
+    gts = ["/".join(map(str, g)) for g in G.genotypes(2, 3)]
+    x = _gls(s, d).select("site", G.assign(M.gls_to_pls(col("gl")), None, gts).alias("gt"))
+    return x.groupBy("site").agg(F.count("*").alias("samples"), F.count_if(~col("gt").isin("0/0", "./.")).alias("with_alt"))
