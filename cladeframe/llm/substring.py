@@ -7,9 +7,8 @@ the new batch with each other and with the historical runs of an index if there
 those of its fingerprints that other runs hold too. The block adds what repeats within itself and removes the
 covered words. Runs are immutable; ``compact`` merges them.
 
-A fingerprint is 64 bits of a polynomial in the words' XXH64; its partition comes from a second polynomial, so two
-windows are taken for equal if 64 + log2(partitions) bits agree. Verification by a second digest would double the
-shuffle; the expected number of false pairs is stated in the README instead.
+A fingerprint is 64 bits of a polynomial in the words' XXH64. Matches are verified by 32 bits of an independent polynomial
+that travel with it: windows are taken for equal if all 96 bits agree.
 """
 
 from __future__ import annotations
@@ -68,7 +67,7 @@ class Windows:
 
 
 def _shipped(size: int, parts: int):
-    """Blocks of rows (block, text) -> rows (part, block, run)."""
+    """Blocks of rows (block, text) -> rows (part, block, run, digests): sorted fingerprints without repeats, and the verifying digest of each."""
 
     def run(batches):
         windows, cut = Windows(size), np.uint64(parts)
@@ -78,14 +77,17 @@ def _shipped(size: int, parts: int):
             if not state["n"]:
                 return
             h, first = np.unique(np.concatenate(state["h"]), return_index=True)
-            p = ((np.concatenate(state["g"])[first] >> np.uint64(20)) % cut).astype(np.uint16 if parts < 1 << 16 else np.uint32)
+            g = (np.concatenate(state["g"])[first] >> np.uint64(32)).astype(np.uint32)
+            p = ((h * np.uint64(_BASES[1]) >> np.uint64(40)) % cut).astype(np.uint16 if parts < 1 << 16 else np.uint32)
             order = np.argsort(p, kind="stable")
-            p, h = p[order], h[order]
+            p, h, g = p[order], h[order], g[order]
             at = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
-            ends = [*at[1:].tolist(), len(p)]
-            blobs = [h[s:e].tobytes() for s, e in zip(at.tolist(), ends)]
+            cuts = list(zip(at.tolist(), [*at[1:].tolist(), len(p)]))
             state.update(h=[], g=[], n=0)
-            yield pa.RecordBatch.from_arrays([pa.array(p[at].astype(np.int32)), pa.array([state["block"]] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())], ["part", "block", "run"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(p[at].astype(np.int32)), pa.array([state["block"]] * len(cuts), pa.int64()), pa.array([h[s:e].tobytes() for s, e in cuts], pa.binary()), pa.array([g[s:e].tobytes() for s, e in cuts], pa.binary())],
+                ["part", "block", "run", "digests"],
+            )
 
         for b in batches:
             for block, text in zip(b.column(0).to_pylist(), values(b.column(1))):
@@ -102,19 +104,35 @@ def _shipped(size: int, parts: int):
     return run
 
 
+def _shared(h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprint, digest) pairs that occur more than once, by fingerprint."""
+    order = np.argsort(h, kind="stable")
+    hs, gs = h[order], g[order]
+    same = hs[1:] == hs[:-1]
+    if (same & (gs[1:] != gs[:-1])).any():  # one fingerprint for different windows: order these by digest too
+        order = np.lexsort((g, h))
+        hs, gs = h[order], g[order]
+        same = hs[1:] == hs[:-1]
+    twice = np.flatnonzero(same & (gs[1:] == gs[:-1])) + 1
+    return hs[twice], gs[twice]
+
+
 def _merged(table: pa.Table) -> pa.Table:
-    """All runs of a partition -> for each block those of its fingerprints that another run holds. Historical runs have no block."""
+    """All runs of a partition -> for each block those of its fingerprints that another run holds, verified. Historical runs have no block."""
     runs = [np.frombuffer(r, np.uint64) for r in table["run"].to_pylist()]
-    every = np.concatenate(runs)
-    order = np.sort(every)
-    shared = np.unique(order[1:][order[1:] == order[:-1]])
+    digests = [np.frombuffer(r, np.uint32) for r in table["digests"].to_pylist()]
+    hs, gs = _shared(np.concatenate(runs), np.concatenate(digests))
     blocks, out = [], []
-    if len(shared):
-        for block, run in zip(table["block"].to_pylist(), runs):
+    if len(hs):
+        for block, run, digest in zip(table["block"].to_pylist(), runs, digests):
             if block is not None:
-                at = np.searchsorted(shared, run)
-                at[at == len(shared)] = 0
-                if (hit := shared[at] == run).any():
+                at = np.searchsorted(hs, run)
+                at[at == len(hs)] = 0
+                hit = hs[at] == run
+                wrong = np.flatnonzero(hit & (gs[at] != digest))
+                for i in wrong.tolist():  # other windows with this fingerprint may come first
+                    hit[i] = bool((gs[hs == run[i]] == digest[i]).any())
+                if hit.any():
                     blocks.append(block)
                     out.append(run[hit].tobytes())
     return pa.table({"block": pa.array(blocks, pa.int64()), "shared": pa.array(out, pa.binary())})
@@ -157,7 +175,7 @@ def _cleaned(size: int, names: list[str], text_col: str):
 
 
 class FingerprintIndex:
-    """Historical runs under ``path``, a folder that all executors see: (part, run) in one Parquet table for each batch."""
+    """Historical runs under ``path``, a folder that all executors see: (part, run, digests) in one Parquet table for each batch."""
 
     def __init__(self, spark: SparkSession, path: str, parts: int = 64):
         self.spark, self.path, self.parts = spark, path.rstrip("/"), parts
@@ -174,11 +192,11 @@ class FingerprintIndex:
 
     def runs(self) -> DataFrame | None:
         names = self.tables()
-        return self.spark.read.schema("part int, run binary").parquet(*[f"{self.path}/{n}" for n in names]) if names else None
+        return self.spark.read.schema("part int, run binary, digests binary").parquet(*[f"{self.path}/{n}" for n in names]) if names else None
 
     def add(self, shipped: DataFrame) -> None:
         n = int(self.tables()[-1].split("-")[1]) + 1 if self.tables() else 0
-        shipped.select("part", "run").sortWithinPartitions("part").write.mode("overwrite").parquet(f"{self.path}/runs-{n:08d}")
+        shipped.select("part", "run", "digests").sortWithinPartitions("part").write.mode("overwrite").parquet(f"{self.path}/runs-{n:08d}")
 
     def compact(self) -> None:
         """Merges all runs into one for each partition; the old ones go when the new ones are written."""
@@ -187,10 +205,14 @@ class FingerprintIndex:
             return
 
         def one(table: pa.Table) -> pa.Table:
-            every = np.unique(np.concatenate([np.frombuffer(r, np.uint64) for r in table["run"].to_pylist()]))
-            return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()), "run": pa.array([every.tobytes()], pa.binary())})
-
-        self.add(self.runs().groupBy("part").applyInArrow(one, "part int, run binary"))
+            h = np.concatenate([np.frombuffer(r, np.uint64) for r in table["run"].to_pylist()])
+            g = np.concatenate([np.frombuffer(r, np.uint32) for r in table["digests"].to_pylist()])
+            order = np.lexsort((g, h))
+            h, g = h[order], g[order]
+            new = np.concatenate(([True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])))
+            return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()), "run": pa.array([h[new].tobytes()], pa.binary()), "digests": pa.array([g[new].tobytes()], pa.binary())})
+
+        self.add(self.runs().groupBy("part").applyInArrow(one, "part int, run binary, digests binary"))
         for name in old:
             self._fs.delete(self._path(name), True)
 
@@ -207,12 +229,12 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, text_col: str = "text", in
     parts = index.parts if index else int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.drop("n_words", "n_removed")
     rows = located(docs, ROWS, "__cf_block")
-    shipped = rows.select("__cf_block", F.col(text_col).cast("string")).mapInArrow(_shipped(size, parts), "part int, block long, run binary")
+    shipped = rows.select("__cf_block", F.col(text_col).cast("string")).mapInArrow(_shipped(size, parts), "part int, block long, run binary, digests binary")
     every = shipped
     if index:
         every = shipped = keep(shipped, "runs")
         if (old := index.runs()) is not None:
-            every = shipped.unionByName(old.select("part", F.lit(None).cast("long").alias("block"), "run"))
+            every = shipped.unionByName(old.select("part", F.lit(None).cast("long").alias("block"), "run", "digests"))
     answers = keep(every.groupBy("part").applyInArrow(_merged, "block long, shared binary"), "answers")
     if index:
         index.add(shipped)

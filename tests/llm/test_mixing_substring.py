@@ -101,6 +101,18 @@ def test_substrings_match_brute_force(spark, tmp_path):
     assert S.repeats_report(docs.limit(0)).count() == 0
 
 
+def test_shared_fingerprints_are_verified():
+    h, g = np.array([5, 5, 5, 7, 7, 9], np.uint64), np.array([1, 2, 1, 3, 4, 6], np.uint32)
+    a, b = S._shared(h, g)
+    assert a.tolist() == [5] and b.tolist() == [1]
+    import pyarrow as pa
+
+    runs = [([5, 7], [1, 3]), ([5, 7], [2, 4]), ([5, 9], [1, 6]), ([9], [6])]
+    t = pa.table({"block": [0, 1, 2, None], "run": [np.array(r, np.uint64).tobytes() for r, _ in runs], "digests": [np.array(d, np.uint32).tobytes() for _, d in runs]})
+    out = S._merged(t).to_pylist()
+    assert {o["block"]: np.frombuffer(o["shared"], np.uint64).tolist() for o in out} == {0: [5], 2: [5, 9]}
+
+
 def test_incremental_index(spark, tmp_path):
     texts = corpus()
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
