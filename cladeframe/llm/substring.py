@@ -117,8 +117,15 @@ def _shared(h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hs[twice], gs[twice]
 
 
+def _merge(batches):
+    """All runs of one partition or several -> (block, shared)."""
+    tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
+    if tables:
+        yield from _merged(pa.concat_tables(tables)).to_batches()
+
+
 def _merged(table: pa.Table) -> pa.Table:
-    """All runs of a partition -> for each block those of its fingerprints that another run holds, verified. Historical runs have no block."""
+    """For each block those of its fingerprints that another run holds, verified. Historical runs have no block."""
     runs = [np.frombuffer(r, np.uint64) for r in table["run"].to_pylist()]
     digests = [np.frombuffer(r, np.uint32) for r in table["digests"].to_pylist()]
     hs, gs = _shared(np.concatenate(runs), np.concatenate(digests))
@@ -235,7 +242,9 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, text_col: str = "text", in
         every = shipped = keep(shipped, "runs")
         if (old := index.runs()) is not None:
             every = shipped.unionByName(old.select("part", F.lit(None).cast("long").alias("block"), "run", "digests"))
-    answers = keep(every.groupBy("part").applyInArrow(_merged, "block long, shared binary"), "answers")
+    # each partition of the fingerprint space is one task's: hashing their numbers would put several into some tasks
+    dealt = every.repartitionById(parts, F.col("part"))
+    answers = keep(dealt.mapInArrow(_merge, "block long, shared binary"), "answers")
     if index:
         index.add(shipped)
     fields = [T.StructField(f.name, T.StringType() if f.name == text_col else f.dataType) for f in docs.schema]
