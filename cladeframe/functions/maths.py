@@ -151,3 +151,22 @@ def dnds_ratio(nd: Column, n: Column, sd: Column, s: Column) -> Column:
     dn, ds = jukes_cantor(nd / n), jukes_cantor(sd / s)
     r = dn / ds
     return F.when(ds.isNull() | dn.isNull() | F.isnan(ds) | F.isnan(dn) | (ds <= 2.3e-16), F.lit(1.0)).when(r < 0, F.lit(0.0)).otherwise(r)
+
+
+def read_threshold(quals: Column, deviations: float = 1.0, error_rate: float = 0.02, capped: bool = True) -> Column:
+    """log10 likelihood under which a read fits no haplotype.
+
+    A base of quality Q, cut to 1..40, has the Phred-scaled likelihood x: that of no error, or of one error among three bases. The expected sum of x and ``deviations`` of its standard
+    deviation make one bound, the likelihood of the errors that ``error_rate`` allows (two at most if ``capped``), at 10^-4 each, the other; the smaller counts. Qualities are those before any cap.
+    """
+
+    def moments(q):
+        e = qual_to_error_prob(F.least(F.lit(40), F.greatest(F.lit(1), q)).cast("double"))
+        no, yes = -10.0 * F.log10(1.0 - e), -10.0 * F.log10(e / 3.0)
+        mean = (1.0 - e) * no + e * yes
+        return mean, (1.0 - e) * no * no + e * yes * yes - mean * mean
+
+    mean = total(F.transform(quals, lambda q: moments(q)[0]))
+    var = total(F.transform(quals, lambda q: moments(q)[1]))
+    errors = F.ceil(F.size(quals) * F.lit(error_rate)).cast("double")
+    return F.least(-0.1 * (mean + deviations * F.sqrt(var)), -4.0 * (F.least(F.lit(2.0), errors) if capped else errors))

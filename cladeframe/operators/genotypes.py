@@ -91,16 +91,21 @@ def non_ref_likelihood(lks: Column) -> Column:
     return F.when(n == 0, top).when(n % 2 == 1, F.element_at(rest, mid + 1)).otherwise((F.element_at(rest, F.greatest(mid, F.lit(1))) + F.element_at(rest, mid + 1)) / 2)
 
 
-def hw_priors(ploidy: int, alleles: list[str], snp_het: float = 0.001, indel_het: float = 0.000125) -> list[float]:
-    """log10 priors of the genotypes: per allele copy the heterozygosity of its kind, the reference takes the rest once."""
-    het = [0.0] + [math.log10(snp_het if len(a) == len(alleles[0]) else indel_het) for a in alleles[1:]]
+def genotype_priors(ploidy: int, alleles: list[str], snp_het: float = 0.001, indel_het: float = 0.000125, het_hom_ratio: float | None = None) -> list[float]:
+    """log10 priors of the genotypes in VCF order; the reference's is 0.
+
+    An alt allele's first copy costs its kind's heterozygosity, each further one the step from het to hom: the heterozygosity again (Hardy-Weinberg), or the
+    given ratio. A substitution's is shared among the three other bases, once for each allele.
+    """
     out = []
     for g in genotypes(ploidy, len(alleles)):
-        c = [g.count(a) for a in range(len(alleles))]
-        if c[0] == ploidy:
-            out.append(math.log10(max(1e-10, 1 - sum(10 ** h for h in het[1:]) * 1.5)))
-        else:
-            out.append(sum(h for a, h in enumerate(het) if c[a]) - (math.log10(2) if max(c[1:]) == ploidy else 0.0))
+        prior = 0.0
+        for a in {x for x in g if x}:
+            snp = len(alleles[a]) == len(alleles[0])
+            het = math.log10(snp_het if snp else indel_het)
+            step = het if het_hom_ratio is None else -math.log10(het_hom_ratio)
+            prior += het - (math.log10(3) if snp else 0.0) + step * (g.count(a) - 1)
+        out.append(prior)
     return out
 
 
@@ -158,3 +163,23 @@ def subset_pls(pl: Column, ploidy: int, alleles: int, keep: list[int]) -> Column
     got = F.array(*[pl[i] for i in at])
     low = F.array_min(got)
     return F.transform(got, lambda x: x - low)
+
+
+def subset(pl: Column, ad: Column, ploidy: int, alleles: int, keep: list[int]) -> Column:
+    """struct<pl, ad, gq, dp> over the kept alleles; dp counts their reads."""
+    pls, depths = subset_pls(pl, ploidy, alleles, keep), F.array(*[ad[i] for i in keep])
+    return F.struct(pls.alias("pl"), depths.alias("ad"), M.gq(pls).alias("gq"), F.aggregate(depths, F.lit(0), lambda a, x: a + x).alias("dp"))
+
+
+def annotations(ad: DataFrame, qual: Column) -> DataFrame:
+    """ad: (site, sample, ad array<int>, and what ``qual`` needs, the same on all rows of a site). (site, dp, ac, af, qd), one aggregation.
+
+    dp sums the depths of the samples, ac counts the samples' reads of each alt allele, af is their share, qd is ``qual`` by the depth of samples that carry an alt (null without one).
+    """
+    depth = F.aggregate("ad", F.lit(0), lambda a, x: a + x)
+    carries = F.exists(F.slice("ad", 2, 1000), lambda x: x > 0)
+    alts = F.collect_list(F.struct("sample", F.slice("ad", 2, 1000).alias("alt")))
+    g = ad.groupBy("site").agg(F.sum(depth).alias("dp"), F.sum(F.when(carries, depth)).alias("alt_dp"), F.max(qual).alias("qual"), alts.alias("alts"))
+    ac = F.aggregate("alts", F.transform(F.col("alts")[0]["alt"], lambda _: F.lit(0)), lambda a, x: F.zip_with(a, x["alt"], lambda p, q: p + q))
+    g = g.withColumn("ac", ac)
+    return g.select("site", "dp", "ac", F.transform("ac", lambda x: F.when(F.col("dp") > 0, x / F.col("dp")).otherwise(0.0)).alias("af"), F.when(F.col("alt_dp") > 0, F.col("qual") / F.col("alt_dp")).alias("qd"))

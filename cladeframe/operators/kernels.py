@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -139,8 +140,6 @@ def haplotype_cigar(ref: str, alt: str) -> str | None:
 
 def events(ref: str, hap: str, cigar: str, start: int, mnp_distance: int = 0) -> list[tuple[int, str, str]]:
     """(start, ref, alt) of a haplotype against the reference; substitutions at most ``mnp_distance`` apart are one event."""
-    import re
-
     out, i, j = [], 0, 0
     for k, op in ((int(n), o) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", cigar)):
         if op in "M=X":
@@ -166,6 +165,16 @@ def events(ref: str, hap: str, cigar: str, start: int, mnp_distance: int = 0) ->
     return out
 
 
+def log_odds(n_ref: int, n_alt: int, error: float) -> float:
+    """Natural-log evidence that ``n_alt`` observations, all of one error rate, are a variant and no errors."""
+    e = 10.0 ** (-min(254, max(1, round(-10 * math.log10(max(error, 1e-26))))) / 10)
+    ratio = math.exp(sum(1 / i for i in range(n_alt + 1, n_ref + 1)) - sum(1 / i for i in range(n_ref + 1, n_alt + 1)))
+    z = (1 - e) / (1 - e + e * ratio)
+    q = z * (1 - z)
+    gain = z * (math.log1p(-e) - math.log(e)) + q * (11 + 33 * q) / (2 + 20 * q)
+    return math.lgamma(n_ref + 1) + math.lgamma(n_alt + 1) - math.lgamma(n_ref + n_alt + 2) + n_alt * gain
+
+
 class Graph:
     """De Bruijn graph of a region: vertices are k-mers, edges carry the reads' multiplicity and whether the reference takes them."""
 
@@ -199,23 +208,134 @@ class Graph:
                 if a not in self.repeats and b not in self.repeats:
                     self.add(a, b)
 
+    def chains(self) -> list[list[tuple[str, str]]]:
+        """Edges in runs that neither branch nor join inside."""
+        out = []
+        for v in list(self.out):
+            if len(self.into[v]) == 1 and len(self.out[v]) == 1:
+                continue
+            for b in list(self.out[v]):
+                chain = [(v, b)]
+                while len(self.into[b]) == 1 and len(self.out[b]) == 1 and b != v:
+                    chain.append((b, next(iter(self.out[b]))))
+                    b = chain[-1][1]
+                out.append(chain)
+        return out
+
+    def _drop(self, chain: list[tuple[str, str]]) -> None:
+        for x, y in chain:
+            del self.out[x][y], self.into[y][x]
+
     def prune(self, factor: int) -> None:
         """Chains whose edges are all off the reference and under ``factor`` go."""
-        if factor <= 0:
+        for chain in self.chains() if factor > 0 else ():
+            if all(e not in self.on_ref and self.out[e[0]][e[1]] < factor for e in chain):
+                self._drop(chain)
+
+    def prune_by_odds(self, error: float = 0.001, least: float = math.log(10), seed: float = 4 * math.log(10), variants: int = 100) -> None:
+        """Drops chains that errors explain, in two passes: the chains doubtful at ``error`` give the rate of the second pass."""
+        chains = self.chains()
+        if not chains:
             return
-        starts = [v for v in list(self.out) if len(self.into[v]) != 1 or len(self.out[v]) != 1]
-        for v in starts:
-            for b in list(self.out[v]):
-                chain = [(v, b)]
-                while len(self.into[b]) == 1 and len(self.out[b]) == 1:
-                    nxt = next(iter(self.out[b]))
-                    chain.append((b, nxt))
-                    b = nxt
-                    if b == v:
-                        break
-                if all(e not in self.on_ref and self.out[e[0]][e[1]] < factor for e in chain):
-                    for x, y in chain:
-                        del self.out[x][y], self.into[y][x]
+        doubtful = self._doubtful(chains, error, least, seed, variants)
+        every = sum(sum(c.values()) for c in self.out.values())
+        wrong = sum(self.out[x][y] for x, y in (chains[i][-1] for i in doubtful))
+        for i in self._doubtful(chains, wrong / every if every else 0.0, least, seed, variants):
+            if chains[i][0] not in self.on_ref:
+                self._drop(chains[i])
+
+    def _doubtful(self, chains, error: float, least: float, seed: float, variants: int) -> list[int]:
+        """Places of the chains that a search by evidence doesn't reach. It starts from the heaviest chain and from vertices with three well-founded ends, the best odds first."""
+        ends = [(c[0][0], c[-1][1]) for c in chains]
+        odds = []
+        for c, (a, b) in zip(chains, ends):
+            left, right = self.out[a][c[0][1]], self.into[b][c[-1][0]]
+            odds.append((log_odds(sum(self.out[a].values()) - left, left, error) if self.into[a] else 0.0, log_odds(sum(self.into[b].values()) - right, right, error) if self.out[b] else 0.0))
+        at: dict[str, list[tuple[float, int]]] = defaultdict(list)
+        sure: Counter = Counter()
+        for i, both in enumerate(odds):
+            for v, o in zip(ends[i], both):
+                if o >= least or chains[i][0] in self.on_ref:
+                    at[v].append((-o, i))
+                sure[v] += min(both) >= seed
+        heaviest = max(range(len(chains)), key=lambda i: (max(self.out[x][y] for x, y in chains[i]), len(chains[i]), chains[i]))
+        seen = {v for v, n in sure.items() if n > 2}
+        heap = [(-math.inf, heaviest), *(x for v in seen for x in at[v])]
+        heapq.heapify(heap)
+        good: set[int] = set()
+        left_from: Counter = Counter()
+        while heap:
+            i = heapq.heappop(heap)[1]
+            if i in good:
+                continue
+            good.add(i)
+            left_from[ends[i][0]] += 1
+            if sum(n - 1 for n in left_from.values()) > variants:
+                break
+            for v in set(ends[i]) - seen:
+                seen.add(v)
+                for x in at[v]:
+                    heapq.heappush(heap, x)
+        return [i for i in range(len(chains)) if i not in good]
+
+    def recover(self, shortest: int = 1) -> None:
+        """Joins dangling ends to the reference: tails where their last bases match it, heads (same length only) where their first bases do. New edges have multiplicity 1; a join that closes a cycle is undone."""
+        kmers = [self.ref[i : i + self.k] for i in range(len(self.ref) - self.k + 1)]
+        place = {v: i for i, v in enumerate(kmers) if v not in self.repeats}
+        for v in [v for v in list(self.into) if not self.out[v] and self.into[v] and v != self.sink]:
+            way = [v]
+            while way[-1] not in place and len(self.into[way[-1]]) == 1:
+                way.append(next(iter(self.into[way[-1]])))
+            if way[-1] in place and len(way) > max(shortest, 1):
+                self._join(self._tail(way[::-1], kmers[place[way[-1]] :]))
+        for v in [v for v in list(self.out) if not self.into[v] and self.out[v] and v != self.source]:
+            way = [v]
+            while way[-1] not in place and len(self.out[way[-1]]) == 1:
+                way.append(next(iter(self.out[way[-1]])))
+            if way[-1] in place and len(way) > shortest:
+                self._join(self._head(v, place[way[-1]] - len(way) + 1))
+
+    def _tail(self, way: list[str], ref_way: list[str]) -> list[str]:
+        alt, ref = ("".join(x[-1] for x in w) for w in (way, ref_way[: 2 * len(way) + 10]))
+        parts = [(int(n), op) for n, op in re.findall(r"(\d+)([MIDS])", align(ref, alt, STANDARD, "leading_indel")[1])]
+        while parts and parts[-1][1] == "D":
+            parts.pop()
+        if not 1 <= len(parts) <= 3 or parts[-1][1] != "M":
+            return []
+        used, same = sum(n for n, op in parts if op in "MD"), 0
+        while same < min(parts[-1][0], used - 1, len(alt) - 1) and alt[-1 - same] == ref[used - 1 - same]:
+            same += 1
+        return [way[len(alt) - same - 1], ref_way[used - same]] if same else []
+
+    def _head(self, v: str, start: int) -> list[str]:
+        if start < 0:
+            return []
+        same = 0
+        while same < self.k - 1 and v[same] == self.ref[start + same]:
+            same += 1
+        before = start + same - self.k
+        seq = self.ref[before : before + self.k] + v[same:]
+        return [seq[i : i + self.k] for i in range(len(seq) - self.k + 1)] if same and before >= 0 else []
+
+    def _join(self, way: list[str]) -> None:
+        new = [(a, b) for a, b in zip(way, way[1:]) if b not in self.out[a]]
+        for a, b in new:
+            self.add(a, b)
+        if new and self.cyclic():
+            self._drop(new)
+
+    def zipped(self) -> tuple[list[str], list[tuple[int, int, int]]]:
+        """The sequence graph: bases of each vertex (k-mer chains zipped; a chain's first vertex whole where nothing leads to it) and edges (from, to, multiplicity)."""
+        heads = {v for v in {*self.out, *self.into} if (self.out[v] or self.into[v]) and (len(self.into[v]) != 1 or len(self.out[next(iter(self.into[v]))]) != 1)}
+        number = {v: i for i, v in enumerate(sorted(heads))}
+        bases, edges = [], []
+        for v in sorted(heads):
+            seq, last = v if not self.into[v] else v[-1], v
+            while len(self.out[last]) == 1 and (nxt := next(iter(self.out[last]))) not in number:
+                seq, last = seq + nxt[-1], nxt
+            bases.append(seq)
+            edges += [(number[v], number[b], n) for b, n in sorted(self.out[last].items())]
+        return bases, edges
 
     def reachable(self) -> set[str]:
         def walk(start, step):
@@ -265,8 +385,23 @@ class Graph:
         return out
 
 
-def assemble(ref: str, reads: list[tuple[str, list[int]]], kmer_sizes=(21, 33), prune: int = 1, min_qual: int = 10, most: int = 128, tries: int = 6) -> list[tuple[float, str, str]]:
-    """(score, haplotype, CIGAR) of a region, the reference always among them. k grows by 13 while graphs are cyclic or empty."""
+# The least multiplicity of a chain and the k-mer sizes of each assembly profile.
+PROFILES = {
+    "very-fast": (2, (33,)),
+    "fast": (2, (21, 33)),
+    "precise": (2, (21, 33, 45)),
+    "sensitive": (0, (21, 33, 45)),
+    "super-sensitive": (0, (21, 33, 45, 57)),
+}
+
+
+def assemble(
+    ref: str, reads: list[tuple[str, list[int]]], kmer_sizes=(21, 33), prune: int = 1, min_qual: int = 10, most: int = 128, tries: int = 6, by_odds: bool = False, recover: int | None = 1, given=()
+) -> list[tuple[float, str, str]]:
+    """(score, haplotype, CIGAR) of a region, the reference always among them. k grows by 13 while graphs are cyclic or empty.
+
+    ``by_odds`` prunes by evidence instead of multiplicity; ``recover`` is the shortest dangling branch that is joined (None: none is); ``given`` alleles (offset, ref, alt) are injected.
+    """
     found: dict[str, float] = {ref: 0.0}
     sizes, k = list(kmer_sizes), max(kmer_sizes)
     for attempt in range(tries):
@@ -279,9 +414,14 @@ def assemble(ref: str, reads: list[tuple[str, list[int]]], kmer_sizes=(21, 33),
                 continue
             for seq, quals in reads:
                 g.thread(seq, quals, min_qual)
-            g.prune(prune)
+            if by_odds:
+                g.prune_by_odds()
+            else:
+                g.prune(prune)
             if g.cyclic():
                 continue
+            if recover is not None:
+                g.recover(recover)
             done = True
             for score, seq in g.best_paths(most):
                 found[seq] = max(found.get(seq, -math.inf), score) if seq != ref else 0.0
@@ -294,19 +434,43 @@ def assemble(ref: str, reads: list[tuple[str, list[int]]], kmer_sizes=(21, 33),
         cigar = haplotype_cigar(ref, seq)
         if cigar and "N" not in cigar:
             out.append((score, seq, cigar))
-    return sorted(out, key=lambda x: (x[1] != ref, -x[0], len(x[1]), x[1]))
+    out.sort(key=lambda x: (x[1] != ref, -x[0], len(x[1]), x[1]))
+    return inject(ref, out, given) if given else out
+
+
+def inject(ref: str, haplotypes: list[tuple[float, str, str]], given, best: int = 5) -> list[tuple[float, str, str]]:
+    """``haplotypes`` (the reference first, then by score), and those of the ``best`` with each given allele (offset, ref, alt) that none of them has.
+
+    A haplotype with an event that overlaps the allele is left as it is. Alleles whose ref isn't the region's are left out."""
+    from .strains import splice
+
+    has = [events(ref, h, c, 0) for _, h, c in haplotypes]
+    known, held, out = {e for es in has for e in es}, {h for _, h, _ in haplotypes}, list(haplotypes)
+    for at, old, new in given:
+        if (at, old, new) in known or ref[at : at + len(old)] != old:
+            continue
+        for (score, _, _), es in list(zip(haplotypes, has))[:best]:
+            if any(p < at + len(old) and at < p + len(r) for p, r, _ in es):
+                continue
+            seq = splice(ref, [*es, (at, old, new)])
+            if seq not in held and (cigar := haplotype_cigar(ref, seq)):
+                held.add(seq)
+                out.append((score, seq, cigar))
+    return out
 
 
-def assemble_regions(regions: DataFrame, reads: DataFrame, kmer_sizes=(21, 33), prune: int = 1, depth: int = 10_000) -> DataFrame:
-    """regions: (region, start, ref), reads: (region, seq, quals). (region, hap_idx, score, hap, cigar). ``depth`` reads of a region at most, as the caller's own limit (``max_input_depth``), the best by mean quality."""
+def assemble_regions(regions: DataFrame, reads: DataFrame, kmer_sizes=(21, 33), prune: int = 1, depth: int = 10_000, profile: str | None = None, by_odds: bool = False, recover: int | None = 1) -> DataFrame:
+    """regions: (region, start, ref), reads: (region, seq, quals). (region, hap_idx, score, hap, cigar). ``depth`` reads of a region at most, as the caller's own limit (``max_input_depth``), the best by mean quality. A ``profile`` sets the k-mer sizes and ``prune``."""
     from .ranges import top_by
 
+    if profile:
+        prune, kmer_sizes = PROFILES[profile]
     capped = top_by(reads.withColumn("mq", F.aggregate("quals", F.lit(0.0), lambda a, x: a + x) / F.size("quals")), ["region"], [F.desc("mq"), F.asc("seq")], depth).drop("mq")
 
     def one(key, a, b):
         rows = []
         for ref in a.ref[:1]:
-            got = assemble(ref, [(s, list(q)) for s, q in zip(b.seq, b.quals)], kmer_sizes, prune)
+            got = assemble(ref, [(s, list(q)) for s, q in zip(b.seq, b.quals)], kmer_sizes, prune, by_odds=by_odds, recover=recover)
             rows = [(int(key[0]), i, float(s), h, c) for i, (s, h, c) in enumerate(got)]
         return pd.DataFrame(rows, columns=["region", "hap_idx", "score", "hap", "cigar"])
 

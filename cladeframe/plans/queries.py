@@ -20,6 +20,7 @@ from ..operators import ranges as R
 from ..operators import reads as RD
 from ..operators import strains as ST
 from ..operators import variants as V
+from ..sources import files
 from . import adapters as D
 
 QUERIES: dict = {}
@@ -1294,3 +1295,116 @@ def _(s, d):
     gts = ["/".join(map(str, g)) for g in G.genotypes(2, 3)]
     x = _gls(s, d).select("site", G.assign(M.gls_to_pls(col("gl")), None, gts).alias("gt"))
     return x.groupBy("site").agg(F.count("*").alias("samples"), F.count_if(~col("gt").isin("0/0", "./.")).alias("with_alt"))
+
+
+# reference access, writers, subsetting, priors and assembly options
+
+
+@query("src16_contig_chunks", "SELECT 'c' || doc_id AS contig, CAST(i AS INTEGER) AS chunk, substr(seq, CAST(i * 100 + 1 AS BIGINT), 100) AS seq FROM seqs, range(0, CAST(greatest(0, floor((length(seq) - 1) / 100)) AS BIGINT) + 1) t(i) WHERE length(seq) > 0", D.SEQS)
+def _(s, d):
+    return files.contig_chunks(_contigs(s, d).where("seq != ''"), 100)
+
+
+def _contigs(s, d):
+    return D.sequences(s, d).select(F.concat(lit("c"), "doc_id").alias("contig"), "seq")
+
+
+@query("src17_fetched_windows", "SELECT 'c' || doc_id AS contig, CAST(length(seq) % 37 AS BIGINT) AS start, CAST(length(seq) AS BIGINT) - 5 AS \"end\", substr(seq, length(seq) % 37 + 1, length(seq) - 4 - length(seq) % 37) AS bases FROM (SELECT DISTINCT * FROM seqs) WHERE length(seq) >= 60", D.SEQS)
+def _(s, d):
+    c = _contigs(s, d).where("length(seq) >= 60")
+    spans = c.select("contig", (F.length("seq") % 37).cast("long").alias("start"), (F.length("seq").cast("long") - 5).alias("end"))
+    return files.fetch(files.contig_chunks(c, 100), spans, 100)
+
+
+@query("src23_contig_numbers", "SELECT page_id, n_nationkey AS tid FROM pages JOIN nation ON page_id % 25 = n_nationkey")
+def _(s, d):
+    names = D.table(s, d, "nation").select(F.concat(lit("g~"), col("n_nationkey").cast("string")).alias("name"), col("n_nationkey").alias("tid"))
+    rows = D.table(s, d, "pages").select("page_id", (col("page_id") % 25).cast("string").alias("contig"))
+    return rows.join(F.broadcast(names.withColumn("contig", files.contig_of(col("name")))), "contig").select("page_id", "tid")
+
+
+@query("snk04_info_fields", "SELECT site, 'QD=25.00;DP=10;AF=' || CASE WHEN a1 % 2 = 0 THEN '0.500' ELSE '0.250' END || ',0.000;MQ=60,' || a1 || ',' || a2 || ';VG=' || (site % 7) || CASE WHEN site % 3 = 0 THEN '' ELSE ';ST=1,2' END || ';QF=' || CASE WHEN site % 2 = 0 THEN 'true' ELSE 'false' END AS info FROM (SELECT site, max(a1) AS a1, max(a2) AS a2 FROM ad GROUP BY 1)", D.AD)
+def _(s, d):
+    v = D.allele_depths(s, d).groupBy("site").agg(F.max(col("ad")[1]).alias("a1"), F.max(col("ad")[2]).alias("a2"))
+    g = F.array(F.struct(lit("0/1").alias("gt"), F.array(lit(0)).alias("pl"), F.array(lit(1)).alias("ad"), lit(9).alias("gq"), lit(1).alias("dp")))
+    v = v.select(
+        lit("c").alias("contig"), col("site").alias("pos"), F.array(lit("A"), lit("C"), lit("GTT")).alias("alleles"), lit(50.0).alias("qual"), lit(25.0).alias("qd"), lit(10).alias("dp"), g.alias("genotypes"),
+        F.array(F.when(col("a1") % 2 == 0, 0.5).otherwise(0.25), lit(0.0)).alias("af"), F.array(lit(60), "a1", "a2").alias("mq"), (col("site") % 7).alias("vg"), F.when(col("site") % 3 != 0, F.array(lit(1), lit(2))).alias("st"), (col("site") % 2 == 0).alias("qf"),
+    )
+    return files.vcf_lines(v).select(col("pos").alias("site"), F.split("line", "\t")[7].alias("info"))
+
+
+@query("snk10_strain_coverages", "SELECT strain, 'strain_' || strain || chr(9) || string_agg(printf('%.2f', coalesce(w, 0.0)), chr(9) ORDER BY sample) AS line FROM (SELECT DISTINCT l_partkey AS strain FROM lineitem) CROSS JOIN (SELECT CAST(unnest(range(4)) AS INTEGER) AS sample) LEFT JOIN (SELECT l_partkey AS strain, CAST(l_suppkey % 4 AS INTEGER) AS sample, count(*) / 4.0 AS w FROM lineitem GROUP BY 1, 2) USING (strain, sample) GROUP BY 1")
+def _(s, d):
+    w = D.table(s, d, "lineitem").groupBy(col("l_partkey").alias("strain"), (col("l_suppkey") % 4).cast("int").alias("sample")).agg((F.count("*") / 4.0).alias("weight"))
+    return files.strain_coverage_lines(w, ["a", "b", "c", "d"]).where("strain >= 0")
+
+
+@query("snk12_sample_consensus")
+def _(s, d):
+    contigs = D.sequences(s, d).where("length(seq) > 50").select(col("doc_id").cast("int").alias("tid"), "seq")
+    calls = contigs.select(F.explode(F.array(lit(0), lit(1))).alias("sample"), "tid", lit(20).cast("long").alias("pos"), F.substr("seq", lit(21), lit(2)).alias("ref"), lit("T").alias("alt"))
+    return files.fasta_lines(ST.consensus(contigs, calls), F.concat_ws("_", "sample", "tid"))
+
+
+@query("gen24_subset_alleles", "SELECT site, sample, [CAST(p0 - m AS INTEGER), CAST(p3 - m AS INTEGER), CAST(p5 - m AS INTEGER)] AS pl, [a0, a2] AS depths, CAST(least(99, list_sort([p0 - m, p3 - m, p5 - m])[2]) AS INTEGER) AS gq, a0 + a2 AS dp FROM (SELECT *, least(p0, p3, p5) AS m FROM (SELECT site, sample, CAST(round(-10 * (x0 - t)) AS INTEGER) AS p0, CAST(round(-10 * (x3 - t)) AS INTEGER) AS p3, CAST(round(-10 * (x5 - t)) AS INTEGER) AS p5 FROM (SELECT *, greatest(x0, x1, x2, x3, x4, x5) AS t FROM gl))) JOIN ad USING (site, sample)", D.LKS, _GL, D.AD)
+def _(s, d):
+    x = _gls(s, d).select("site", "sample", M.gls_to_pls(col("gl")).alias("pl")).join(D.allele_depths(s, d), ["site", "sample"])
+    return x.select("site", "sample", G.subset(col("pl"), col("ad"), 2, 3, [0, 2]).alias("k")).select("site", "sample", "k.pl", col("k.ad").alias("depths"), "k.gq", "k.dp")
+
+
+@query("gen25_annotations", "SELECT site, CAST(sum(a0 + a1 + a2) AS BIGINT) AS dp, [CAST(sum(a1) AS INTEGER), CAST(sum(a2) AS INTEGER)] AS ac, round(sum(a1) / sum(a0 + a1 + a2), 6) AS af1, round(sum(a2) / sum(a0 + a1 + a2), 6) AS af2, round((site % 90 + 10.0) / sum(a0 + a1 + a2) FILTER (a1 + a2 > 0), 6) AS qd FROM ad GROUP BY 1", D.AD)
+def _(s, d):
+    x = G.annotations(D.allele_depths(s, d), (col("site") % 90 + 10).cast("double"))
+    return x.select("site", "dp", "ac", r(col("af")[0]).alias("af1"), r(col("af")[1]).alias("af2"), r(col("qd")).alias("qd"))
+
+
+@query("gen32_ref_vs_any", "SELECT site, sample, round(sum(r) - 0, 6) AS hom_ref, round(sum(log10(pow(10, r) + pow(10, a)) - log10(2)), 6) AS het FROM (SELECT site, sample, k0 AS r, k1 AS a FROM lk) GROUP BY 1, 2", D.LKS)
+def _(s, d):
+    x = D.likelihoods(s, d).withColumn("lks", F.slice("lks", 1, 2))
+    return G.genotype_likelihoods(x, 2, 2).select("site", "sample", r(col("gl")[0]).alias("hom_ref"), r(col("gl")[1]).alias("het"))
+
+
+_P = [0.0, "-3 - log10(3)", "-6 - log10(3)", "log10(0.000125)", "-3 - log10(3) + log10(0.000125)", "2 * log10(0.000125)"]
+
+
+@query("mth17_posterior_genotypes", "SELECT site, sample, CASE list_position(v, list_min(v)) WHEN 1 THEN '0/0' WHEN 2 THEN '0/1' WHEN 3 THEN '1/1' WHEN 4 THEN '0/2' WHEN 5 THEN '1/2' ELSE '2/2' END AS gt FROM (SELECT site, sample, [" + ", ".join(f"round(CAST(round(-10 * (x{i} - t)) AS INTEGER) - 10 * ({p}), 6)" for i, p in enumerate(_P)) + "] AS v FROM (SELECT *, greatest(x0, x1, x2, x3, x4, x5) AS t FROM gl))", D.LKS, _GL)
+def _(s, d):
+    gts = ["/".join(map(str, g)) for g in G.genotypes(2, 3)]
+    prior = F.array(*[lit(p) for p in G.genotype_priors(2, ["A", "C", "GTT"])])
+    return _gls(s, d).select("site", "sample", G.assign(M.gls_to_pls(col("gl")), None, gts, "posterior", prior).alias("gt"))
+
+
+@query("mth23_read_thresholds", """SELECT rid, round(least(-0.1 * (n * mean + sqrt(n * (sq - mean * mean))), -4.0 * least(2, ceil(n * 0.02))), 6) AS threshold FROM (
+  SELECT rid, n, (1 - e) * x + e * y AS mean, (1 - e) * x * x + e * y * y AS sq FROM (SELECT rid, length % 40 + 10 AS n, e, -10 * log10(1 - e) AS x, -10 * log10(e / 3) AS y FROM (SELECT rid, length, pow(10, -least(40, greatest(1, mapq)) / 10.0) AS e FROM reads)))""", D.READS)
+def _(s, d):
+    x = D.reads(s, d).select("rid", F.array_repeat(col("mapq"), (col("length") % 40 + 10).cast("int")).alias("q"))
+    return x.select("rid", r(M.read_threshold(col("q"))).alias("threshold"))
+
+
+def _planted(s, d):
+    """Regions of 120 bases of each text, with reads of a haplotype that differs in one base near the end."""
+    x = D.sequences(s, d).where("length(seq) >= 120").select(col("doc_id").alias("region"), F.substr("seq", lit(1), lit(120)).alias("ref"))
+    alt = F.concat(F.substr("ref", lit(1), lit(99)), F.translate(F.substr("ref", lit(100), lit(1)), "ACGT", "CGTA"), F.substr("ref", lit(101), lit(20)))
+    reads = x.select("region", alt.alias("h"), F.explode(F.sequence(lit(1), lit(46), lit(5))).alias("p")).select("region", F.substr("h", col("p"), lit(70)).alias("seq"), F.array_repeat(lit(30), 70).alias("quals"))
+    return x.select("region", lit(0).alias("start"), "ref"), reads
+
+
+@query("gen03_pruned_by_odds")
+def _(s, d):
+    return K.assemble_regions(*_planted(s, d), (25,), by_odds=True, recover=None)
+
+
+@query("gen04_recovered_ends")
+def _(s, d):
+    return K.assemble_regions(*_planted(s, d), (25,), 1)
+
+
+@query("gen33_profiles")
+def _(s, d):
+    reg, reads = _planted(s, d)
+    out = None
+    for name in K.PROFILES:
+        one = K.assemble_regions(reg, reads, profile=name).groupBy("region").agg(F.count("*").alias("haplotypes")).withColumn("profile", lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -119,7 +119,7 @@ def vcf_header(samples: list[str], contigs: list[tuple[str, int]], source: str =
 
 
 def vcf_lines(variants: DataFrame) -> DataFrame:
-    """variants: (contig, pos, alleles, qual, qd, dp, genotypes array<struct<gt, pl, ad, gq, dp>>) -> (contig, pos, line). A genotype without depth is missing, with GQ and DP 0."""
+    """variants: (contig, pos, alleles, qual, qd, dp, genotypes array<struct<gt, pl, ad, gq, dp>>; af, mq, bq, vg, st, qf if there) -> (contig, pos, line). A genotype without depth is missing, with GQ and DP 0."""
 
     def one(g):
         none = g["dp"].isNull() | g["dp"].isin(-1, 0)
@@ -127,7 +127,14 @@ def vcf_lines(variants: DataFrame) -> DataFrame:
         return F.concat_ws(":", F.when(none, F.lit("./.")).otherwise(g["gt"]), ints(g["pl"]), ints(g["ad"]), F.when(none, F.lit("0")).otherwise(g["gq"].cast("string")), F.when(none, F.lit("0")).otherwise(g["dp"].cast("string")))
 
     alts = F.slice("alleles", 2, 1000)
-    info = F.concat(F.lit("QD="), F.format_string("%.2f", "qd"), F.lit(";DP="), F.col("dp").cast("string"))
+    listed = lambda c, how: F.array_join(F.transform(F.col(c), how), ",")
+    whole, share = lambda x: x.cast("string"), lambda x: F.format_string("%.3f", x)
+    # what is null or not among the columns is left out
+    fields = {
+        "qd": lambda: F.format_string("%.2f", "qd"), "dp": lambda: F.col("dp").cast("string"), "af": lambda: listed("af", share), "mq": lambda: listed("mq", whole), "bq": lambda: listed("bq", whole),
+        "vg": lambda: F.col("vg").cast("string"), "st": lambda: listed("st", whole), "qf": lambda: F.col("qf").cast("string"),
+    }
+    info = F.concat_ws(";", *[F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c.upper()}="), value())) for c, value in fields.items() if c in variants.columns])
     return variants.select("contig", "pos", F.concat_ws("\t", "contig", (F.col("pos") + 1).cast("string"), F.lit("."), F.col("alleles")[0], F.when(F.size(alts) > 0, F.array_join(alts, ",")).otherwise("."), F.format_string("%.2f", "qual"), F.lit("."), info, F.lit("GT:PL:AD:GQ:DP"), F.array_join(F.transform("genotypes", one), "\t")).alias("line"))
 
 
@@ -143,3 +150,27 @@ def write_vcf(variants: DataFrame, path: str, samples: list[str], contigs: list[
 def fasta_lines(df: DataFrame, header, seq: str = "seq", width: int = 60) -> DataFrame:
     """(record): header and sequence in lines of ``width``."""
     return df.select(F.concat(F.lit(">"), header, F.lit("\n"), F.regexp_replace(F.regexp_replace(F.col(seq), f"(.{{{width}}})", "$1\n"), "\n$", "")).alias("record"))
+
+
+def contig_chunks(contigs: DataFrame, size: int = 10_000) -> DataFrame:
+    """contigs: (contig, seq) -> (contig, chunk, seq): pieces that random access reads instead of whole contigs."""
+    at = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("seq") - 1) / size).cast("int"))))
+    return contigs.select("contig", at.alias("chunk"), "seq").select("contig", "chunk", F.substring(F.col("seq"), F.col("chunk") * size + 1, F.lit(size)).alias("seq"))
+
+
+def fetch(chunks: DataFrame, intervals: DataFrame, size: int = 10_000) -> DataFrame:
+    """intervals: (contig, start, end), from 0 and inclusive -> with ``bases``. Only the chunks that an interval touches are joined to it; the end is cut to the contig's. Each distinct interval gives a row."""
+    each = intervals.select("contig", "start", "end").distinct()
+    wanted = each.withColumn("chunk", F.explode(F.sequence(F.floor(F.col("start") / size).cast("int"), F.floor(F.col("end") / size).cast("int"))))
+    got = wanted.join(chunks, ["contig", "chunk"]).groupBy("contig", "start", "end").agg(F.array_sort(F.collect_list(F.struct("chunk", "seq"))).alias("p"))
+    seq = F.array_join(F.transform("p", lambda x: x["seq"]), "")
+    skip = F.col("start") - F.col("p")[0]["chunk"] * size
+    return got.select("contig", "start", "end", F.substring(seq, skip.cast("int") + 1, (F.col("end") - F.col("start") + 1).cast("int")).alias("bases"))
+
+
+def strain_coverage_lines(weights: DataFrame, samples: list[str], source: str = "cladeframe") -> DataFrame:
+    """weights: (strain, sample from 0, weight) -> (strain, line): a strain's weights by sample with two decimals, 0.00 where there is none. Header lines have negative numbers."""
+    head = [f"##source={source}", *(f"##sample=<ID={i + 1}, name={n}>" for i, n in enumerate(samples)), "\t".join([f"{'strainID':<10}", *(f"{i + 1:<6}" for i in range(len(samples)))])]
+    rows = [F.coalesce(F.max(F.when(F.col("sample") == i, F.col("weight"))), F.lit(0.0)).alias(f"s{i}") for i in range(len(samples))]
+    body = weights.groupBy("strain").agg(*rows).select(F.col("strain").cast("long").alias("strain"), F.concat_ws("\t", F.concat(F.lit("strain_"), F.col("strain").cast("string")), *[F.format_string("%.2f", f"s{i}") for i in range(len(samples))]).alias("line"))
+    return weights.sparkSession.createDataFrame([(i - len(head), x) for i, x in enumerate(head)], "strain long, line string").unionByName(body)

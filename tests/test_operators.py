@@ -278,3 +278,86 @@ def test_assign(spark):
 @pytest.mark.parametrize("n", [1, 2, 5])
 def test_kmers(spark, n):
     assert one(spark, S.kmers(lit("ACGTA"), n))[0] == ["ACGTA"[i : i + n] for i in range(6 - n)]
+
+
+def _sub(seq, at):
+    return seq[:at] + ("A" if seq[at] != "A" else "C") + seq[at + 1 :]
+
+
+def _cover(seq, starts, n=70):
+    return [(seq[p : p + n], [30] * n) for p in starts]
+
+
+REF = "".join(random.Random(5).choices("ACGT", k=150))
+
+
+@pytest.mark.parametrize("at, starts", [(100, range(0, 36, 5)), (40, range(30, 41, 3))])
+def test_dangling_ends_are_recovered(at, starts):
+    hap = _sub(REF, at)
+    reads = _cover(hap, starts)
+    assert [h for _, h, _ in K.assemble(REF, reads, (25,), recover=None)] == [REF]
+    assert [h for _, h, _ in K.assemble(REF, reads, (25,))] == [REF, hap]
+
+
+def test_pruning_by_odds_drops_errors_and_keeps_variants():
+    good, error = _cover(REF, range(0, 80, 2)) * 3, _cover(_sub(REF, 50), [20])
+    assert len(K.assemble(REF, good + error, (25,), prune=0)) == 2
+    assert [h for _, h, _ in K.assemble(REF, good + error, (25,), by_odds=True)] == [REF]
+    hap = _sub(REF, 70)
+    assert [h for _, h, _ in K.assemble(REF, good + error + _cover(hap, range(0, 80, 2)), (25,), by_odds=True)] == [REF, hap]
+    assert abs(K.log_odds(100, 5, 1e-4) - (math.lgamma(101) + math.lgamma(6) - math.lgamma(107) - 5 * math.log(1e-4))) < 0.07
+    K.Graph("ACGTACGTTT", 12).prune_by_odds()
+
+
+def test_given_alleles_are_injected():
+    hap = _sub(REF, 70)
+    base = [(0.0, REF, "150M"), (-1.0, hap, "150M")]
+    new = (60, REF[60], "ACGT".replace(REF[60], "")[0])
+    out = K.inject(REF, base, [new, new])
+    assert [h for _, h, _ in out[2:]] == [h[:60] + new[2] + h[61:] for h in (REF, hap)]
+    assert len(K.inject(REF, base, [(70, REF[70], hap[70])])) == 2  # assembled already
+    assert len(K.inject(REF, base, [(69, REF[69:72], REF[69])])) == 3  # overlaps the event of the second
+    assert len(K.inject(REF, base, [(60, "N", "A")])) == 2
+
+
+def test_zipped_graph_keeps_the_sequences():
+    g = K.Graph(REF, 25)
+    for seq, quals in _cover(_sub(REF, 70), range(0, 80, 2)):
+        g.thread(seq, quals, 10)
+    bases, edges = g.zipped()
+    starts = set(range(len(bases))) - {b for _, b, _ in edges}
+    found, left = set(), [(v, bases[v]) for v in starts]
+    while left:
+        v, seq = left.pop()
+        nexts = [b for a, b, _ in edges if a == v]
+        left += [(b, seq + bases[b]) for b in nexts]
+        if not nexts:
+            found.add(seq)
+    assert found == {REF, _sub(REF, 70)}
+
+
+def test_genotype_priors():
+    snp, indel, third = math.log10(0.001), math.log10(0.000125), math.log10(3)
+    want = [0.0, snp - third, 2 * snp - third, indel, snp - third + indel, 2 * indel]
+    assert np.allclose(G.genotype_priors(2, ["A", "C", "GTT"]), want)
+    assert np.allclose(G.genotype_priors(2, ["A", "C"], het_hom_ratio=2.0), [0.0, snp - third, snp - third - math.log10(2)])
+
+
+def test_read_threshold(spark):
+    # of one base of quality 10: mean 1.88893867, variance 18.43922003
+    got = one(spark, M.read_threshold(F.array(lit(10)), error_rate=9.0, capped=False), M.read_threshold(F.array_repeat(lit(40), 100)), M.read_threshold(F.array_repeat(lit(40), 10)))
+    assert math.isclose(got[0], -36.0)
+    assert math.isclose(got[1], -8.0)
+    assert math.isclose(got[2], -4.0)
+    low = one(spark, M.read_threshold(F.array_repeat(lit(10), 50)))[0]
+    assert math.isclose(low, -0.1 * (50 * 1.88893867 + math.sqrt(50 * 18.43922003)), rel_tol=1e-7)
+
+
+def test_fetch_and_strain_lines(spark):
+    contigs = spark.createDataFrame([("a", REF), ("b", REF[::-1]), ("e", "")], "contig string, seq string")
+    spans = spark.createDataFrame([("a", 0, 149), ("a", 38, 41), ("b", 79, 200), ("x", 1, 2)], "contig string, start long, end long")
+    got = {(r[0], r[1]): r[3] for r in files.fetch(files.contig_chunks(contigs, 40), spans, 40).collect()}
+    assert got == {("a", 0): REF, ("a", 38): REF[38:42], ("b", 79): REF[::-1][79:]}
+    w = spark.createDataFrame([(2, 0, 1.0), (2, 1, 0.25)], "strain int, sample int, weight double")
+    lines = [r.line for r in files.strain_coverage_lines(w, ["x", "y"]).orderBy("strain").collect()]
+    assert lines[1:] == ["##sample=<ID=1, name=x>", "##sample=<ID=2, name=y>", "strainID  \t1     \t2     ", "strain_2\t1.00\t0.25"]
