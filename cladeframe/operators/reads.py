@@ -34,6 +34,12 @@ def single_filter(reads: DataFrame, min_aligned: int, min_identity: float, min_p
     return passes(C.aligned_single(F.col("cigar")), F.col("length"), F.col("nm"), min_aligned, min_identity, min_percent)
 
 
+def filtered(reads: DataFrame, min_aligned: int = 0, min_identity: float = 0.0, min_percent: float = 0.0) -> DataFrame:
+    """Rows that pass the flags and, if any threshold is set, the thresholds."""
+    kept = reads.where(flag_filter(F.col("flag")))
+    return kept.where(single_filter(reads, min_aligned, min_identity, min_percent)) if min_aligned > 0 or min_identity > 0 or min_percent > 0 else kept
+
+
 def pair_filter(reads: DataFrame, min_aligned: int, min_identity: float, min_percent: float, keep_failing: bool = False) -> DataFrame:
     """Both mates of pairs on one contig, each pair judged on its sums. Secondary, supplementary and improper reads don't pair. (sample, tid, qname) is a pair if it has two reads."""
     w = Window.partitionBy("sample", "tid", "qname")

@@ -1359,7 +1359,7 @@ def _(s, d):
     return x.select("site", "dp", "ac", r(col("af")[0]).alias("af1"), r(col("af")[1]).alias("af2"), r(col("qd")).alias("qd"))
 
 
-@query("gen32_ref_vs_any", "SELECT site, sample, round(sum(r) - 0, 6) AS hom_ref, round(sum(log10(pow(10, r) + pow(10, a)) - log10(2)), 6) AS het FROM (SELECT site, sample, k0 AS r, k1 AS a FROM lk) GROUP BY 1, 2", D.LKS)
+@query("gen32_ref_vs_any", "SELECT site, sample, round(sum(r), 6) AS hom_ref, round(sum(log10(pow(10, r) + pow(10, a)) - log10(2)), 6) AS het FROM (SELECT site, sample, k0 AS r, k1 AS a FROM lk) GROUP BY 1, 2", D.LKS)
 def _(s, d):
     x = D.likelihoods(s, d).withColumn("lks", F.slice("lks", 1, 2))
     return G.genotype_likelihoods(x, 2, 2).select("site", "sample", r(col("gl")[0]).alias("hom_ref"), r(col("gl")[1]).alias("het"))
@@ -1408,3 +1408,10 @@ def _(s, d):
         one = K.assemble_regions(reg, reads, profile=name).groupBy("region").agg(F.count("*").alias("haplotypes")).withColumn("profile", lit(name))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@query("src04_filtered_scan", "SELECT 'off' AS mode, count(*) AS n FROM reads WHERE flag & 256 = 0 AND flag & 2048 = 0 AND flag & 2 <> 0 UNION ALL SELECT 'on', count(*) FROM reads WHERE flag & 256 = 0 AND flag & 2048 = 0 AND flag & 2 <> 0 AND 2 * q + n + q % 7 >= 30 AND (2 * q + n + q % 7) / length >= 0.9", D.READS)
+def _(s, d):
+    x = D.reads(s, d)
+    counted = lambda rows, mode: rows.agg(F.count("*").alias("n")).select(lit(mode).alias("mode"), "n")
+    return counted(RD.filtered(x), "off").unionByName(counted(RD.filtered(x, 30, 0.0, 0.9), "on"))
