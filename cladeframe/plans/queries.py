@@ -283,9 +283,9 @@ def _(s, d):
     return R.range_join(e, loci, ("e_all", "e_start", "e_end"), ("l_all", "locus", "locus2"), 64).select("locus", col("key").alias("event")).distinct()
 
 
-@query("joi09_given_alleles", "SELECT r.region, a.alt FROM regions r LEFT JOIN alleles a ON a.key = r.region AND a.key % 3 = 0", D.REGIONS, D.ALLELES)
+@query("joi09_given_alleles", "SELECT r.region, a.alt FROM regions r LEFT JOIN alleles a ON a.key = r.region AND a.alt <> a.ref", D.REGIONS, D.ALLELES)
 def _(s, d):
-    a = D.alleles(s, d).where("key % 3 = 0")
+    a = D.alleles(s, d).where("alt != ref")
     return D.regions(s, d).join(a, col("region") == col("key"), "left").select("region", "alt")
 
 
@@ -1201,12 +1201,10 @@ def _(s, d):
 def _(s, d):
     from ..operators.realign import phase
 
-    v = D.table(s, d, "lineitem").select((col("l_suppkey") % 50).alias("region"), col("l_partkey").alias("start"), (col("l_linenumber") % 2).cast("int").alias("hap")).where("start < 40").distinct()
+    v = D.table(s, d, "lineitem").select(((col("l_suppkey") % 50) * 1_000_000 + F.floor(col("l_partkey") / 40)).alias("region"), col("l_partkey").alias("start"), (col("l_linenumber") % 2).cast("int").alias("hap")).distinct()
     calls = v.groupBy("region", "start").agg(F.array_sort(F.collect_set("hap")).alias("haps"))
 
     def run(key, pdf):
-
-
         c = sorted((int(p), frozenset(h)) for p, h in zip(pdf.start, pdf.haps))
         got = phase(c, frozenset({0, 1}))
         return pd.DataFrame([(int(key[0]), c[i][0], g[0], g[1]) for i, g in sorted(got.items())], columns=["region", "start", "phase_set", "gt"])
@@ -1283,7 +1281,7 @@ def _(s, d):
 
 @query("gen13_region_likelihoods")
 def _(s, d):
-    x = D.alleles(s, d).where("key % 4 = 0").select("key", F.concat(lit("ACGTTGCA"), "ref", lit("GGATCCA")).alias("h0"), F.concat(lit("ACGTTGCA"), "alt", lit("GGATCCA")).alias("h1"))
+    x = D.alleles(s, d).select("key", F.concat(lit("ACGTTGCA"), "ref", lit("GGATCCA")).alias("h0"), F.concat(lit("ACGTTGCA"), "alt", lit("GGATCCA")).alias("h1"))
     haps = x.select(col("key").alias("region"), F.posexplode(F.array("h0", "h1")).alias("hap_idx", "hap_seq"))
     reads = x.select(col("key").alias("region"), F.posexplode(F.array(F.substr("h0", lit(5), lit(9)), F.substr("h1", lit(5), lit(9)))).alias("read", "read_seq"))
     p = reads.withColumn("read", col("read").cast("long")).withColumn("quals", F.array_repeat(lit(30), F.length("read_seq"))).join(haps, "region")
@@ -1383,10 +1381,14 @@ def _(s, d):
 
 
 def _planted(s, d):
-    """Regions of 120 bases of each text, with reads of a haplotype that differs in one base near the end."""
-    x = D.sequences(s, d).where("length(seq) >= 120").select(col("doc_id").alias("region"), F.substr("seq", lit(1), lit(120)).alias("ref"))
-    alt = F.concat(F.substr("ref", lit(1), lit(99)), F.translate(F.substr("ref", lit(100), lit(1)), "ACGT", "CGTA"), F.substr("ref", lit(101), lit(20)))
-    reads = x.select("region", alt.alias("h"), F.explode(F.sequence(lit(1), lit(46), lit(5))).alias("p")).select("region", F.substr("h", col("p"), lit(70)).alias("seq"), F.array_repeat(lit(30), 70).alias("quals"))
+    """Whole texts cut in regions of 240 bases (the last up to 479), each with reads of a haplotype that differs in one base near its end."""
+    at = F.explode(F.sequence(lit(0), F.greatest(F.floor(F.length("seq") / 240).cast("int") - 1, lit(0))))
+    cut = D.sequences(s, d).select("doc_id", "seq", F.length("seq").alias("n"), at.alias("i"))
+    size = F.when((col("i") + 2) * 240 > col("n"), col("n") - col("i") * 240).otherwise(lit(240))
+    x = cut.select((col("doc_id") * 1_000_000 + col("i")).alias("region"), F.substr("seq", col("i") * 240 + 1, size).alias("ref")).where("ref != ''")
+    p = F.greatest(F.length("ref") - 20, lit(1))
+    alt = F.concat(F.substr("ref", lit(1), p - 1), F.translate(F.substr("ref", p, lit(1)), "ACGT", "CGTA"), F.substr("ref", p + 1, F.length("ref")))
+    reads = x.select("region", alt.alias("h"), F.explode(F.sequence(lit(1), F.greatest(F.length("ref") - 69, lit(1)), lit(15))).alias("p")).select("region", F.substr("h", col("p"), lit(70)).alias("seq"), F.array_repeat(lit(30), 70).alias("quals"))
     return x.select("region", lit(0).alias("start"), "ref"), reads
 
 
