@@ -102,3 +102,33 @@ def leading_repeats(unit: Column, bases: Column) -> Column:
 def trailing_repeats(unit: Column, bases: Column) -> Column:
     n = F.floor(F.length(bases) / F.length(unit)).cast("int")
     return F.array_max(F.filter(F.sequence(F.lit(0), n), lambda i: F.endswith(bases, F.repeat(unit, i))))
+
+
+def plain_kind(ref: Column, alt: Column) -> Column:
+    """Kind of an allele by lengths: NONE (equal bases), SNV, MNV, DEL or INS; symbolic <DEL>, <INS>, <INV>, <DUP> by name, other symbols SV."""
+    by_name = F.regexp_extract(alt, "^<(DEL|INS|INV|DUP)", 1)
+    return (
+        F.when(alt.rlike("^<.*>$"), F.when(by_name == "", "SV").otherwise(by_name)).when(ref == alt, "NONE").when(F.length(ref) > F.length(alt), "DEL").when(F.length(ref) < F.length(alt), "INS").when(F.length(ref) == 1, "SNV").otherwise("MNV")
+    )
+
+
+def kind_length(kind: Column, ref: Column, alt: Column) -> Column:
+    return F.when(kind.isin("DEL", "INS"), F.abs(F.length(ref) - F.length(alt))).when(kind == "MNV", F.length(alt)).otherwise(1)
+
+
+def kind_end(kind: Column, start: Column, length: Column) -> Column:
+    """First base after a deletion or block; the next base of an insertion or inversion; the base itself of others."""
+    return F.when(kind.isin("DEL", "MNV"), start + length).when(kind.isin("INS", "INV"), start + 1).otherwise(start)
+
+
+def strand_rates(bias: Column) -> Column:
+    """struct<forward, reverse>: natural logs of the rates of a strand bias (NONE, FORWARD or REVERSE)."""
+    sure, never, half = F.lit(0.0), F.lit(float("-inf")), F.lit(0.5)
+    rate = lambda own: F.when(bias == own, sure).when(bias == "NONE", F.ln(half)).otherwise(never)
+    return F.struct(rate("FORWARD").alias("forward"), rate("REVERSE").alias("reverse"))
+
+
+def percentage(value: Column) -> Column:
+    """A share given as 0 to 1 or as 1 to 100 per cent: 1 and more is divided by 100. Null: 0. Anything outside 0 to 100 is an error."""
+    bad = F.raise_error(F.concat(F.lit("Invalid percentage: "), value.cast("string")))
+    return F.when(value.isNull(), 0.0).when((value >= 0) & (value < 1), value.cast("double")).when((value >= 1) & (value <= 100), value / 100.0).otherwise(bad)

@@ -141,6 +141,24 @@ def allele_frequencies(gls: list[list[float]], alleles: list[str], ploidy: int =
     return got, none, absent
 
 
+def effective_counts(gls: DataFrame, alleles: int, ploidy: int, log10_frequencies: list[float]) -> DataFrame:
+    """gls: (site, sample, gl). (site, counts array<double>): the expected allele counts of all samples at the given allele frequencies, one step of the expectation maximisation."""
+    gt = genotypes(ploidy, alleles)
+    comb = [math.log10(math.factorial(ploidy)) - sum(math.log10(math.factorial(g.count(a))) for a in range(alleles)) for g in gt]
+    logs = [F.col("gl")[i] + float(c + sum(log10_frequencies[a] for a in g)) for i, (g, c) in enumerate(zip(gt, comb))]
+    post = gls.select("site", F.array(*logs).alias("p")).withColumn("top", F.array_max("p"))
+    post = post.select("site", F.transform("p", lambda v: F.pow(F.lit(10.0), v - F.col("top"))).alias("p")).withColumn("all", M.total(F.col("p")))
+
+    def share(a):
+        out = F.lit(0.0)
+        for i, g in enumerate(gt):
+            if a in g:
+                out = out + F.col("p")[i] * g.count(a)
+        return out / F.col("all")
+
+    return post.groupBy("site").agg(F.array(*[F.sum(share(a)) for a in range(alleles)]).alias("counts"))
+
+
 def call_sites(sites: DataFrame, ploidy: int = 2, confidence: float = 25.0) -> DataFrame:
     """sites: (site, alleles array<string>, gls array<array<double>>). (site, af, mle_ac, qual, emitted): whether -10 log10 P(no variant) reaches ``confidence``."""
 

@@ -6,6 +6,7 @@ import heapq
 import math
 import re
 from collections import Counter, defaultdict
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -363,6 +364,85 @@ class Graph:
                         left.append(b)
         return n < len(good)
 
+    def acyclic(self) -> None:
+        """Drops each edge that leads back into the way walked from the source (depth first, successors by name), then what is on no way from source to sink."""
+        on_way, done, back = {self.source}, set(), []
+        stack = [(self.source, iter(sorted(self.out[self.source])))]
+        while stack:
+            v, rest = stack[-1]
+            for b in rest:
+                if b in on_way:
+                    back.append((v, b))
+                elif b not in done:
+                    on_way.add(b)
+                    stack.append((b, iter(sorted(self.out[b]))))
+                    break
+            else:
+                stack.pop()
+                on_way.discard(v)
+                done.add(v)
+        self._drop(back)
+        good = self.reachable()
+        self._drop([(a, b) for a in list(self.out) for b in list(self.out[a]) if a not in good or b not in good])
+
+    def simplified(self, most: int = 100) -> tuple[list[str], list[tuple[int, int, int]]]:
+        """The zipped graph with shared bases merged: siblings with one parent give up their common prefix, those with one child their common suffix, and chains are zipped again, until nothing changes. Spelled sequences stay the same."""
+        bases, edges = self.zipped()
+        seq = dict(enumerate(bases))
+        out, into = defaultdict(Counter), defaultdict(Counter)
+        for a, b, n in edges:
+            out[a][b] += n
+            into[b][a] += n
+        number = len(seq)
+        for _ in range(most):
+            changed = False
+            for near, far, lead in ((into, out, True), (out, into, False)):
+                for v in sorted(seq):
+                    kin = sorted(b for b in far[v] if len(near[b]) == 1) if v in seq else []
+                    # kin that end the graph, or that would be left without a base, keep one
+                    for _, group in groupby(sorted(kin, key=lambda b: seq[b][:1] if lead else seq[b][-1:]), key=lambda b: seq[b][:1] if lead else seq[b][-1:]):
+                        group = list(group)
+                        if len(group) < 2:
+                            continue
+                        words = [seq[b] if lead else seq[b][::-1] for b in group]
+                        same = 0
+                        while same < min(map(len, words)) - 1 and len({w[same] for w in words}) == 1:
+                            same += 1
+                        if not same:
+                            continue
+                        changed, new, number = True, number, number + 1
+                        seq[new] = words[0][:same] if lead else words[0][:same][::-1]
+                        for b in group:
+                            n = far[v].pop(b)
+                            del near[b][v]
+                            far[v][new] += n
+                            near[new][v] += n
+                            far[new][b] += n
+                            near[b][new] += n
+                            seq[b] = seq[b][same:] if lead else seq[b][:-same]
+            for v in sorted(seq):
+                while v in seq and len(out[v]) == 1 and (b := next(iter(out[v]))) != v and len(into[b]) == 1:
+                    changed = True
+                    seq[v] += seq.pop(b)
+                    out[v] = out.pop(b, Counter())
+                    into.pop(b)
+                    for c in out[v]:
+                        into[c][v] = into[c].pop(b)
+            if not changed:
+                break
+        place = {v: i for i, v in enumerate(sorted(seq))}
+        return [seq[v] for v in sorted(seq)], sorted((place[a], place[b], n) for a in list(out) for b, n in out[a].items())
+
+    def dot(self, prune: int = 0) -> list[str]:
+        """Lines of a DOT graph: edges with their multiplicity, dotted where it is under ``prune``, red on the reference; vertices with the bases they add."""
+        names = {v: i for i, v in enumerate(sorted({*(v for v in self.out if self.out[v]), *(v for v in self.into if self.into[v])}))}
+        lines = []
+        for a in names:
+            for b, n in sorted(self.out[a].items()):
+                style = "style=dotted,color=grey," if 0 < n < prune else "color=red," if (a, b) in self.on_ref else ""
+                lines.append(f'  {names[a]} -> {names[b]} [{style}label="{n}"];')
+        return ["digraph region {", *lines, *(f'  {i} [label="{v[-1] if self.into[v] else v}",shape=box];' for v, i in names.items()), "}"]
+
     def best_paths(self, most: int = 128) -> list[tuple[float, str]]:
         """The ``most`` best source-to-sink sequences by the summed log10 share of each edge among those that leave its vertex."""
         good = self.reachable()
@@ -438,6 +518,23 @@ def assemble(
     return inject(ref, out, given) if given else out
 
 
+# The density from which regions take more k-mer sizes, those sizes, and how far they keep from others.
+DENSE, EXTRA_SIZES, APART, STEP = 0.2, (19, 35, 47), 5, 3
+
+
+def extra_kmer_sizes(density: float, sizes, dense: float = DENSE) -> list[int]:
+    """More k-mer sizes for an active region: the middle one from ``dense`` on, the last two over 0.2 more, all over 0.4 more; each moved up until it is 5 away from those in use."""
+    over = density - dense
+    if over < 0:
+        return []
+    out = []
+    for k in EXTRA_SIZES if over > 0.4 else EXTRA_SIZES[1:] if over > 0.2 else EXTRA_SIZES[1:2]:
+        while any(abs(k - x) < APART for x in sizes):
+            k += STEP
+        out.append(k)
+    return out
+
+
 def inject(ref: str, haplotypes: list[tuple[float, str, str]], given, best: int = 5) -> list[tuple[float, str, str]]:
     """``haplotypes`` (the reference first, then by score), and those of the ``best`` with each given allele (offset, ref, alt) that none of them has.
 
@@ -465,6 +562,9 @@ def assemble_regions(regions: DataFrame, reads: DataFrame, kmer_sizes=(21, 33),
 
     if profile:
         prune, kmer_sizes = PROFILES[profile]
+    # small rows, long kernels: partitions by bytes would leave most cores idle
+    spread = lambda df: df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "region")
+    regions, reads = spread(regions), spread(reads)
     capped = top_by(reads.withColumn("mq", F.aggregate("quals", F.lit(0.0), lambda a, x: a + x) / F.size("quals")), ["region"], [F.desc("mq"), F.asc("seq")], depth).drop("mq")
 
     def one(key, a, b):

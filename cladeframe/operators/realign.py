@@ -91,6 +91,66 @@ def left_align(ref: str, start: int, cigar: str, seq: str) -> str:
     return join(parts)
 
 
+def trim_haplotype(start: int, cigar: str, hap: str, low: int, high: int) -> tuple[str, str] | None:
+    """(bases, CIGAR) of a haplotype on low..high (inclusive, within its span). Insertions at the new ends go, deletions there stay. None if either end lies in a deletion or no base is left."""
+    ref, at, kept, bases = start, 0, [], []
+    first = last = None
+    for n, op in parse(cigar):
+        if op in "M=XD":
+            for _ in range(n):
+                if low <= ref <= high:
+                    first, last = first or op, op
+                    kept.append((1, op))
+                    bases.append("" if op == "D" else hap[at])
+                ref, at = ref + 1, at + (op != "D")
+        else:
+            if low < ref <= high:
+                kept.append((n, op))
+                bases.append(hap[at : at + n])
+            at += n
+    return None if first in (None, "D") or last == "D" else ("".join(bases), join(kept))
+
+
+#: match, mismatch, gap open, gap extend of reads against their best haplotype
+TO_BEST_HAPLOTYPE = (10, -15, -30, -5)
+
+
+def to_reference(read: str, hap: str, hap_cigar: str, ref: str, ref_start: int) -> tuple[int, str] | None:
+    """(start, CIGAR) of a read on the reference by way of its best haplotype: aligned to the haplotype, mapped through the haplotype's CIGAR, moved left, deletions at its ends dropped. None if no base lands on the reference."""
+    from .kernels import align
+
+    places: list[int | None] = []
+    at = 0
+    for n, op in parse(hap_cigar):
+        if op in "M=X":
+            places += range(at, at + n)
+        elif op in "IS":
+            places += [None] * n
+        at += n if op in "M=XDN" else 0
+    j, on_read = align(hap, read, TO_BEST_HAPLOTYPE, "soft_clip")
+    parts: list[tuple[int, str]] = []
+    first = last = None
+    for n, op in parse(on_read):
+        if op in "SI":
+            parts.append((n, op))
+            continue
+        for place in places[j : j + n]:
+            if place is not None:
+                if last is not None and place > last + 1:
+                    parts.append((place - last - 1, "D"))
+                first, last = place if first is None and op == "M" else first, place if first is not None or op == "M" else last
+            if op == "M" or (place is not None and first is not None):
+                parts.append((1, "I" if place is None else "M" if op == "M" else "D"))
+        j += n
+    if first is None:
+        return None
+    whole = parse(left_align(ref, first, join(parts), read))
+    while whole and any(op == "D" for _, op in (whole[0], whole[-1])):
+        first += whole[0][0] if whole[0][1] == "D" else 0
+        whole = whole[whole[0][1] == "D" : len(whole) - (len(whole) > 1 and whole[-1][1] == "D")]
+    return ref_start + first, join(whole)
+
+
 def tandem_unit(bases: str, offset: int, longest: int = 8) -> tuple[str, int]:
     """Repeat unit of up to ``longest`` bases that ends at ``offset``, going on after it, with most copies around it; ties to the shorter unit."""
     best = (bases[offset : offset + 1], 1)

@@ -14,10 +14,12 @@ from ..functions import intervals as I
 from ..functions import maths as M
 from ..functions import sequences as S
 from ..operators import activity as A
+from ..operators import calling as CA
 from ..operators import genotypes as G
 from ..operators import kernels as K
 from ..operators import ranges as R
 from ..operators import reads as RD
+from ..operators import realign as RA
 from ..operators import strains as ST
 from ..operators import variants as V
 from ..sources import files
@@ -1417,3 +1419,164 @@ def _(s, d):
     x = D.reads(s, d)
     counted = lambda rows, mode: rows.agg(F.count("*").alias("n")).select(lit(mode).alias("mode"), "n")
     return counted(RD.filtered(x), "off").unionByName(counted(RD.filtered(x, 30, 0.0, 0.9), "on"))
+
+
+# graphs, haplotypes and calls of regions
+
+
+def _on_graphs(s, d, of, schema):
+    """``of(key, graph, reference, alternative)`` gives rows for the graph of each allele pair between fixed flanks, with one reference read and two of the alternative."""
+    x = D.alleles(s, d).select("key", F.concat(lit("ACGTTGCAAGGCTTAC"), "ref", lit("GGATCCATTGCATTGGC")).alias("a"), F.concat(lit("ACGTTGCAAGGCTTAC"), "alt", lit("GGATCCATTGCATTGGC")).alias("b"))
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for key, a, b in zip(pdf.key, pdf.a, pdf.b):
+                g = K.Graph(a, 9)
+                for read in (a, b, b):
+                    g.thread(read, [30] * len(read), 10)
+                rows += of(int(key), g, a, b)
+            yield pd.DataFrame(rows, columns=names)
+
+    return x.mapInPandas(run, schema)
+
+
+@query("gen01_kmer_edges", "SELECT doc_id, count(*) AS edges, CAST(sum(n) AS BIGINT) AS threaded, max(n) AS most FROM (SELECT doc_id, e, count(*) AS n FROM (SELECT doc_id, unnest(list_transform(range(1, length(seq) - 24), lambda i: substr(seq, i, 26))) AS e FROM seqs WHERE length(seq) >= 26) GROUP BY 1, 2) GROUP BY 1", D.SEQS)
+def _(s, d):
+    e = D.sequences(s, d).where("length(seq) >= 26").select("doc_id", F.explode(S.kmers(col("seq"), 26)).alias("e"))
+    return e.groupBy("doc_id", "e").count().groupBy("doc_id").agg(F.count("*").alias("edges"), F.sum("count").alias("threaded"), F.max("count").alias("most"))
+
+
+@query("gen02_pruned_chains")
+def _(s, d):
+    def of(key, g, a, b):
+        before = sum(map(len, g.out.values()))
+        g.prune(2)
+        return [(key, before, sum(map(len, g.out.values())))]
+
+    return _on_graphs(s, d, of, "key long, edges long, kept long")
+
+
+@query("gen05_reachable_vertices")
+def _(s, d):
+    return _on_graphs(s, d, lambda key, g, a, b: [(key, len({v for v in {*g.out, *g.into} if g.out[v] or g.into[v]}), len(g.reachable()))], "key long, vertices long, reachable long")
+
+
+@query("gen06_zipped_graph")
+def _(s, d):
+    return _on_graphs(s, d, lambda key, g, a, b: [(key, i, x) for i, x in enumerate(g.zipped()[0])], "key long, vertex long, bases string")
+
+
+@query("gen07_simplified_graph")
+def _(s, d):
+    return _on_graphs(s, d, lambda key, g, a, b: [(key, i, x) for i, x in enumerate(g.simplified()[0])], "key long, vertex long, bases string")
+
+
+@query("gen08_acyclic_graph")
+def _(s, d):
+    def of(key, g, a, b):
+        was = g.cyclic()
+        g.acyclic()
+        return [(key, was, g.cyclic(), len(g.best_paths(8)))]
+
+    return _on_graphs(s, d, of, "key long, was boolean, cyclic boolean, paths long")
+
+
+@query("gen09_extra_kmer_sizes")
+def _(s, d):
+    x = D.table(s, d, "part").select("p_partkey", (col("p_size") / 50.0).alias("density"))
+
+    def run(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"p_partkey": pdf.p_partkey, "sizes": [K.extra_kmer_sizes(v, (21, 33)) for v in pdf.density]})
+
+    return x.mapInPandas(run, "p_partkey long, sizes array<int>")
+
+
+@query("gen37_path_cigars")
+def _(s, d):
+    return _on_graphs(s, d, lambda key, g, a, b: [(key, h, K.haplotype_cigar(a, h)) for _, h in ([] if g.cyclic() else g.best_paths(8))], "key long, bases string, cigar string")
+
+
+@query("snk14_graph_lines")
+def _(s, d):
+    return _on_graphs(s, d, lambda key, g, a, b: [(key, i, x) for i, x in enumerate(g.dot(2))], "key long, place long, line string")
+
+
+@query("gen16_assembly_results")
+def _(s, d):
+    def of(key, g, a, b):
+        found = K.assemble(a, [(x, [30] * len(x)) for x in (a, b, b)], (9,), 1)
+        trimmed = {RA.trim_haplotype(0, c, h, 8, len(a) - 9) for _, h, c in found} - {None}
+        return [(key, len(found), len(trimmed), len({e for _, h, c in found for e in K.events(a, h, c, 0)}))]
+
+    return _on_graphs(s, d, of, "key long, haplotypes long, trimmed long, events long")
+
+
+@query("gen17_trimmed_haplotypes")
+def _(s, d):
+    def of(key, g, a, b):
+        got = RA.trim_haplotype(0, K.haplotype_cigar(a, b), b, 8, len(a) - 9)
+        return [(key, *(got or (None, None)))]
+
+    return _on_graphs(s, d, of, "key long, bases string, cigar string")
+
+
+@query("gen18_given_alleles")
+def _(s, d):
+    return _on_graphs(s, d, lambda key, g, a, b: [(key, i, h, c) for i, (_, h, c) in enumerate(K.inject(a, [(0.0, a, f"{len(a)}M")], [(4, a[4], "ACGT"["CGTA".index(a[4])])]))], "key long, place long, hap string, cigar string")
+
+
+@query("str14_realigned_reads")
+def _(s, d):
+    def of(key, g, a, b):
+        got = RA.to_reference(b[4:-4], b, K.haplotype_cigar(a, b), a, key * 100)
+        return [(key, *(got or (None, None)))]
+
+    return _on_graphs(s, d, of, "key long, start long, cigar string")
+
+
+def _short_regions(s, d):
+    x = D.alleles(s, d).select(col("key").alias("region"), (col("key") * 100).alias("start"), F.concat(lit("ACGTTGCAAGGCTTAC"), "ref", lit("GGATCCATTGCATTGGC")).alias("ref"), F.concat(lit("ACGTTGCAAGGCTTAC"), "alt", lit("GGATCCATTGCATTGGC")).alias("h"))
+    reads = x.select("region", F.posexplode(F.array("ref", "h", "h", "h")).alias("i", "seq")).select("region", (col("i") % 2).alias("sample"), col("i").cast("long").alias("read"), "seq", F.array_repeat(lit(30), F.length("seq")).alias("quals"))
+    return x.select("region", "start", "ref"), reads
+
+
+@query("gen19_called_regions")
+def _(s, d):
+    return CA.call_regions(*_short_regions(s, d), kmer_sizes=(9,)).select("region", "start", "ref", "alt", "sample", "gt", "pl")
+
+
+@query("gen20_locus_likelihoods")
+def _(s, d):
+    reg, reads = _short_regions(s, d)
+    haps = CA.haplotype_events(reg, K.assemble_regions(reg, reads.select("region", "seq", "quals"), (9,)))
+    x = CA.locus_likelihoods(reads, haps)
+    return x.select("region", "sample", "read", "event.*", r(col("lks")[0]).alias("without"), r(col("lks")[1]).alias("with"))
+
+
+@query("agg23_effective_counts", "SELECT site, " + ", ".join(f"round(sum(({w}) / (e0 + 2 * e1 + e2 + 2 * e3 + 2 * e4 + e5)), 6) AS c{i}" for i, w in enumerate(("2 * e0 + 2 * e1 + 2 * e3", "2 * e1 + 2 * e2 + 2 * e4", "2 * e3 + 2 * e4 + 2 * e5"))) + " FROM (SELECT site, " + ", ".join(f"pow(10, x{i} - t) AS e{i}" for i in range(6)) + " FROM (SELECT *, greatest(x0, x1, x2, x3, x4, x5) AS t FROM gl)) GROUP BY 1", D.LKS, _GL)
+def _(s, d):
+    x = G.effective_counts(_gls(s, d), 3, 2, [-math.log10(3)] * 3)
+    return x.select("site", *[r(col("counts")[i]).alias(f"c{i}") for i in range(3)])
+
+
+@query("str08_plain_kinds", "SELECT key, kind, CAST(n AS INTEGER) AS n, CASE kind WHEN 'DEL' THEN key + n WHEN 'MNV' THEN key + n WHEN 'INS' THEN key + 1 ELSE key END AS stop, kind IN ('DEL', 'INS') AS indel FROM (SELECT key, kind, CASE kind WHEN 'MNV' THEN length(alt) WHEN 'DEL' THEN length(ref) - length(alt) WHEN 'INS' THEN length(alt) - length(ref) ELSE 1 END AS n FROM (SELECT *, CASE WHEN ref = alt THEN 'NONE' WHEN length(ref) > length(alt) THEN 'DEL' WHEN length(ref) < length(alt) THEN 'INS' WHEN length(ref) = 1 THEN 'SNV' ELSE 'MNV' END AS kind FROM alleles))", D.ALLELES)
+def _(s, d):
+    x = D.alleles(s, d).withColumn("kind", S.plain_kind(col("ref"), col("alt"))).withColumn("n", S.kind_length(col("kind"), col("ref"), col("alt")))
+    return x.select("key", "kind", "n", S.kind_end(col("kind"), col("key"), col("n")).alias("stop"), col("kind").isin("DEL", "INS").alias("indel"))
+
+
+@query("str24_percentages", "SELECT p_partkey, round(CASE WHEN p_size * 2 >= 1 THEN p_size * 2 / 100.0 ELSE p_size * 2 END, 6) AS share, list_position(['A', 'C', 'G', 'T'], substr('GATTC', CAST(p_size % 5 + 1 AS BIGINT), 1)) - 1 AS first FROM part")
+def _(s, d):
+    base = F.substr(lit("GATTC"), col("p_size") % 5 + 1, lit(1))
+    return D.table(s, d, "part").select("p_partkey", r(S.percentage(col("p_size") * 2.0)).alias("share"), (F.array_position(F.array(*map(lit, "ACGT")), base) - 1).cast("int").alias("first"))
+
+
+@query("snk03_header_lines", "SELECT '##contig=<ID=' || n_name || ',length=' || n_nationkey || '>' AS line FROM nation UNION ALL SELECT '##sample=<ID=' || (r_regionkey + 1) || ',name=' || r_name || '>' FROM region UNION ALL SELECT '#CHROM' || chr(9) || 'POS' || chr(9) || 'ID' || chr(9) || 'REF' || chr(9) || 'ALT' || chr(9) || 'QUAL' || chr(9) || 'FILTER' || chr(9) || 'INFO' || chr(9) || 'FORMAT' || chr(9) || string_agg(r_name, chr(9) ORDER BY r_regionkey) FROM region")
+def _(s, d):
+    names = [x[0] for x in D.table(s, d, "region").orderBy("r_regionkey").select("r_name").collect()]
+    contigs = [(x[0], x[1]) for x in D.table(s, d, "nation").select("n_name", "n_nationkey").collect()]
+    lines = s.createDataFrame([(x,) for x in files.vcf_header(names, contigs)], "line string")
+    return lines.where("line like '##contig=%' or line like '##sample=%' or line like '#CHROM%'")

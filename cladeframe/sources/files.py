@@ -174,3 +174,57 @@ def strain_coverage_lines(weights: DataFrame, samples: list[str], source: str =
     rows = [F.coalesce(F.max(F.when(F.col("sample") == i, F.col("weight"))), F.lit(0.0)).alias(f"s{i}") for i in range(len(samples))]
     body = weights.groupBy("strain").agg(*rows).select(F.col("strain").cast("long").alias("strain"), F.concat_ws("\t", F.concat(F.lit("strain_"), F.col("strain").cast("string")), *[F.format_string("%.2f", f"s{i}") for i in range(len(samples))]).alias("line"))
     return weights.sparkSession.createDataFrame([(i - len(head), x) for i, x in enumerate(head)], "strain long, line string").unionByName(body)
+
+
+def find_references(spark: SparkSession, files: list[str] | None = None, directory: str | None = None, extension: str = "fna") -> list[str]:
+    """The given files, or those of a folder with the extension, sorted. Neither: an error. Only names are read."""
+    if files:
+        return list(files)
+    if not directory:
+        raise ValueError("neither files nor a folder of references")
+    found = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{extension}").load(directory).select("path")
+    return sorted(r[0] for r in found.collect())
+
+
+def sample_manifest(spark: SparkSession, short: list[str], long: list[str] = (), expected: tuple[int, int] | None = None) -> DataFrame:
+    """(sample, read_type, path): short samples first, then long ones, numbered in the given order. Counts other than ``expected`` are an error."""
+    if expected is not None and expected != (len(short), len(long)):
+        raise ValueError(f"expected {expected} samples, got {(len(short), len(long))}")
+    rows = [(i, "Short" if i < len(short) else "Long", p) for i, p in enumerate([*short, *long])]
+    return spark.createDataFrame(rows, "sample int, read_type string, path string")
+
+
+def read_samples(spark: SparkSession, short: list[str], long: list[str] = ()) -> DataFrame:
+    """All alignment files as one table with sample and read_type; any mix of short and long samples. Empty lists give no rows."""
+    out = None
+    for i, path in enumerate([*short, *long]):
+        one = read_sam(spark, path).withColumn("sample", F.lit(i)).withColumn("read_type", F.lit("Short" if i < len(short) else "Long"))
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        out = parse_sam(spark.createDataFrame([], "value string")).withColumn("sample", F.lit(0)).withColumn("read_type", F.lit("Short"))
+    return out
+
+
+def write_vcfs(variants: DataFrame, path: str, samples: list[str], contigs: list[tuple[str, str, int]]) -> None:
+    """contigs: (genome, name, length). A folder ``genome=...`` for each genome of ``contigs``, its lines in order, header first; a genome without variants has its header only."""
+    spark = variants.sparkSession
+    names = list(dict.fromkeys(g for g, _, _ in contigs))
+    head = [(g, -1, i, x) for g in names for i, x in enumerate(vcf_header(samples, [(n, k) for h, n, k in contigs if h == g]))]
+    order = spark.createDataFrame([(n, g, i) for i, (g, n, _) in enumerate(contigs)], "contig string, genome string, o long")
+    body = vcf_lines(variants).join(F.broadcast(order), "contig").select("genome", "o", "pos", "line")
+    lines = spark.createDataFrame(head, "genome string, o long, pos long, line string").unionByName(body)
+    lines.repartitionByRange("genome", "o", "pos").sortWithinPartitions("genome", "o", "pos").select("genome", "line").write.mode("overwrite").partitionBy("genome").text(path)
+
+
+def write_once(df: DataFrame, path: str, force: bool = False) -> None:
+    """Parquet that stays as it is if it is there already, unless ``force``."""
+    df.write.mode("overwrite" if force else "ignore").parquet(path)
+
+
+def write_lines(lines: DataFrame, path: str | None = None) -> None:
+    """One text column to ``path``, or to standard output, line by line, without gathering it."""
+    if path:
+        lines.write.mode("overwrite").text(path)
+    else:
+        for row in lines.toLocalIterator():
+            print(row[0])

@@ -11,6 +11,7 @@ from cladeframe.functions import intervals as I
 from cladeframe.functions import maths as M
 from cladeframe.functions import sequences as S
 from cladeframe.operators import activity as A
+from cladeframe.operators import calling as CA
 from cladeframe.operators import genotypes as G
 from cladeframe.operators import kernels as K
 from cladeframe.operators import ranges as R
@@ -361,3 +362,110 @@ def test_fetch_and_strain_lines(spark):
     w = spark.createDataFrame([(2, 0, 1.0), (2, 1, 0.25)], "strain int, sample int, weight double")
     lines = [r.line for r in files.strain_coverage_lines(w, ["x", "y"]).orderBy("strain").collect()]
     assert lines[1:] == ["##sample=<ID=1, name=x>", "##sample=<ID=2, name=y>", "strainID  \t1     \t2     ", "strain_2\t1.00\t0.25"]
+
+
+def spelled(bases, edges):
+    """All sequences from vertices without parents to those without children."""
+    out, has_parent = {}, {b for _, b, _ in edges}
+    for a, b, _ in edges:
+        out.setdefault(a, []).append(b)
+
+    def walk(v, seq):
+        seq += bases[v]
+        return {seq} if v not in out else set().union(*(walk(b, seq) for b in out[v]))
+
+    return set().union(*(walk(v, "") for v in range(len(bases)) if v not in has_parent))
+
+
+def test_simplified_graphs_spell_the_same_and_cycles_go():
+    rng = random.Random(3)
+    merged = cut = 0
+    for _ in range(120):
+        ref = "".join(rng.choice("ACGT") for _ in range(60))
+        g = K.Graph(ref, 7)
+        if g.repeats:
+            continue
+        for _ in range(3):
+            alt = list(ref)
+            for _ in range(rng.randrange(1, 4)):
+                alt[rng.randrange(8, 52)] = rng.choice("ACGT")
+            if rng.random() < 0.5:
+                del alt[rng.randrange(10, 50)]
+            g.thread("".join(alt), [30] * 60, 10)
+        if g.cyclic():
+            g.acyclic()
+            cut += 1
+            assert not g.cyclic() and g.best_paths(4)
+            continue
+        plain, merge = g.zipped(), g.simplified()
+        assert spelled(*plain) == spelled(*merge)
+        merged += sum(map(len, merge[0])) < sum(map(len, plain[0]))
+    assert merged > 50
+    assert g.dot()[0] == "digraph region {" and g.dot()[-1] == "}"
+
+
+def test_a_cycle_is_cut():
+    g = K.Graph("ACGTTGCAAC", 4)
+    g.add("CAAC", "GTTG")
+    g.add("GCAA", "GTTG")
+    assert g.cyclic()
+    g.acyclic()
+    assert not g.cyclic() and [s for _, s in g.best_paths(4)] == ["ACGTTGCAAC"]
+
+
+def test_reads_go_to_the_reference_through_their_haplotype():
+    assert RA.to_reference("ACGTTTGGA", "CCACGTTTGGATT", "5M2I6M", "CCACGTGGATT", 100) == (102, "3M2I4M")
+    assert RA.to_reference("ACGTGGA", "CCACGTGGATT", "6M2D5M", "CCACGTTTGGATT", 100) == (102, "3M2D4M")
+    assert RA.to_reference("GGATT", "CCACGTTTGGATT", "5M2I6M", "CCACGTGGATT", 0) == (6, "5M")
+    assert RA.trim_haplotype(100, "5M2I6M", "CCACGTTTGGATT", 103, 108) == ("CGTTTGGA", "2M2I4M")
+    assert RA.trim_haplotype(100, "5M2D6M", "CCACGGGATTA", 102, 105) is None
+    assert K.extra_kmer_sizes(0.1, (21, 33)) == [] and K.extra_kmer_sizes(0.3, (21, 33)) == [38] and K.extra_kmer_sizes(0.7, (10, 25)) == [19, 35, 47]
+
+
+def test_region_is_called(spark):
+    ref = "ACGTTGCAAGGCTTACGATCCATTGCATTGGC"
+    alt = ref[:15] + "T" + ref[16:]
+    reg = spark.createDataFrame([(1, 100, ref)], "region long, start long, ref string")
+    reads = spark.createDataFrame([(1, s, 10 * s + i, ref if s == 0 or i % 2 else alt, [30] * len(ref)) for s in (0, 1) for i in range(8)], "region long, sample int, read long, seq string, quals array<int>")
+    got = sorted(CA.call_regions(reg, reads, kmer_sizes=(9,)).select("start", "ref", "alt", "sample", "gt").collect())
+    assert [tuple(r) for r in got] == [(115, "C", "T", 0, "0/0"), (115, "C", "T", 1, "0/1")]
+    assert CA.call_regions(reg.limit(0), reads.limit(0)).count() == 0
+
+
+def test_references_manifest_and_sinks(spark, tmp_path, capsys):
+    for n in ("b.fna", "a.fna", "c.txt"):
+        (tmp_path / n).write_text(">x\nACGT\n")
+    assert [p.rsplit("/", 1)[1] for p in files.find_references(spark, directory=str(tmp_path))] == ["a.fna", "b.fna"]
+    with pytest.raises(ValueError):
+        files.find_references(spark)
+    assert [tuple(r) for r in files.sample_manifest(spark, ["s"], ["l"], (1, 1)).collect()] == [(0, "Short", "s"), (1, "Long", "l")]
+    with pytest.raises(ValueError):
+        files.sample_manifest(spark, ["s"], [], (2, 0))
+    sam = "@SQ\tSN:c\tLN:9\nq\t2\tc\t1\t60\t4M\t*\t0\t0\tACGT\tIIII\n"
+    (tmp_path / "s.sam").write_text(sam)
+    (tmp_path / "l.sam").write_text(sam)
+    both = files.read_samples(spark, [str(tmp_path / "s.sam")], [str(tmp_path / "l.sam")])
+    assert sorted((r.sample, r.read_type) for r in both.collect()) == [(0, "Short"), (1, "Long")]
+    assert files.read_samples(spark, []).columns == both.columns
+    kept = str(tmp_path / "once")
+    files.write_once(spark.range(3), kept)
+    files.write_once(spark.range(5), kept)
+    assert spark.read.parquet(kept).count() == 3
+    files.write_once(spark.range(5), kept, force=True)
+    assert spark.read.parquet(kept).count() == 5
+    files.write_lines(spark.createDataFrame([("one",)], "line string"))
+    assert capsys.readouterr().out == "one\n"
+    v = spark.createDataFrame([("c", 4, ["A", "T"], 30.0, 1.0, 3, [("0/1", [1, 0, 2], [1, 2], 9, 3)])], "contig string, pos long, alleles array<string>, qual double, qd double, dp int, genotypes array<struct<gt:string,pl:array<int>,ad:array<int>,gq:int,dp:int>>")
+    out = str(tmp_path / "vcf")
+    files.write_vcfs(v, out, ["s"], [("g", "c", 9), ("h", "d", 9)])
+    lines = spark.read.text(out)
+    assert {r.genome: r["count"] for r in lines.where("value not like '#%'").groupBy("genome").count().collect()} == {"g": 1}
+    assert lines.where("value like '#CHROM%'").count() == 2
+
+
+def test_percentages(spark):
+    assert one(spark, S.percentage(lit(95.0)), S.percentage(lit(0.5)), S.percentage(lit(1.0)), S.percentage(lit(None).cast("double"))) == (0.95, 0.5, 0.01, 0.0)
+    with pytest.raises(Exception, match="Invalid percentage"):
+        one(spark, S.percentage(lit(101.0)))
+    f, b = one(spark, S.strand_rates(lit("FORWARD")), S.strand_rates(lit("NONE")))
+    assert (f.forward, f.reverse) == (0.0, -math.inf) and abs(b.forward - math.log(0.5)) < 1e-12
