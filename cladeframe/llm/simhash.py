@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from xxhash import xxh64_digest
 
 from .shared import keep, values
@@ -195,27 +196,45 @@ def groups(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """(id, fp) of each row, and (fp, root, component_id) of each fingerprint; root names the group."""
+    prints = keep(fingerprints(docs, id_col, text_col), "fingerprints")
+    nodes = keep(prints.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
+    roots = groups(links(nodes.select("fp"), most)).select(F.col("node").alias("fp"), "root")
+    rooted = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    low = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return prints, rooted.join(low, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 4096) -> DataFrame:
     """(id, fingerprint, component_id), one row per input row; component_id is the smallest id that links reach.
 
     Null and empty texts have fingerprint zero and are linked like any other. A null id is never the smallest unless a group has no other
     (then component_id is null). Repeated rows give repeated results. Empty table: no rows.
     """
-    prints = keep(fingerprints(docs, id_col, text_col), "fingerprints")
-    nodes = keep(prints.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
-    roots = groups(links(nodes.select("fp"), most)).select(F.col("node").alias("fp"), "root")
-    rooted = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    low = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = rooted.join(low, "root").select("fp", "component_id")
-    return prints.join(of, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each near-duplicate group, the one with the smallest id. Of rows that repeat an id one stays; rows with a null id stay if no link ties them to an id, one of each group."""
-    got = near_duplicates(docs, id_col, text_col)
-    chosen = keep(got.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("__cf_id"), F.col("fingerprint").alias("__cf_fp")).count(), "chosen")
-    # the ids are hashed and the texts streamed past them: no text is sorted
-    once = docs.join(chosen.select("__cf_id").distinct().hint("shuffle_hash"), docs[id_col].eqNullSafe(F.col("__cf_id"))).drop("__cf_id")
-    if chosen.where("count > 1 or __cf_id is null").limit(1).count() or chosen.groupBy("__cf_id").count().where("count > 1").limit(1).count():
-        return once.dropDuplicates([id_col])
-    return once
+    prints, of = _grouped(docs, id_col, text_col, most)
+    return prints.join(of.drop("root"), "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 4096) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group, one with the smallest id (ties: the least fingerprint, then any of the rows that share both).
+
+    Ids that repeat, or are null, in different groups don't stand for each other: each group keeps its row."""
+    prints, of = _grouped(docs, id_col, text_col, most)
+    mine = prints.join(of, "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
+    chosen = keep(mine.groupBy("root").agg(F.min(F.struct("id", "fp")).alias("x")).select(F.col("x.id").alias("__cf_id"), F.col("x.fp").alias("__cf_fp")), "chosen")
+    if not prints.groupBy("id").count().where("count > 1 or id is null").limit(1).count():
+        # the ids are hashed and the texts streamed past them: no text is sorted
+        return docs.join(chosen.select("__cf_id").hint("shuffle_hash"), docs[id_col] == F.col("__cf_id")).drop("__cf_id")
+    # an id alone doesn't name a row: rows carry their fingerprints
+    own = docs.withColumn("__cf_text", F.col(text_col).cast("string"))
+    schema = T.StructType([*docs.schema.fields, T.StructField("__cf_own", T.LongType())])
+
+    def run(batches):
+        for b in batches:
+            made = np.array([simhash(t) for t in values(b.column(b.num_columns - 1))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(made, pa.int64())], [*b.schema.names[:-1], "__cf_own"])
+
+    printed = own.mapInArrow(run, schema)
+    once = printed.join(chosen.hint("shuffle_hash"), printed[id_col].eqNullSafe(F.col("__cf_id")) & (printed["__cf_own"] == F.col("__cf_fp"))).drop("__cf_id", "__cf_fp")
+    return once.dropDuplicates([id_col, "__cf_own"]).drop("__cf_own")

@@ -100,3 +100,12 @@ def test_null_ids_repeats_and_empty(spark):
     assert got == [(-1, -1), (-1, 5), (5, 5), (5, 5)]
     assert len(S.keep_one(docs).collect()) == 2
     assert S.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_repeated_and_null_ids_keep_a_row_of_each_group(spark):
+    far = ["a b c d e f", "q r s t u v w", "one two three four five six", "x1 x2 x3 x4"]
+    docs = spark.createDataFrame([(None, far[0], "p"), (None, far[1], "q"), (5, far[2], "r"), (5, far[3], "s"), (3, far[3], "t"), (5, far[2], "u"), (None, far[3], "v")], "doc_id long, text string, more string")
+    got = S.keep_one(docs)
+    assert got.columns == docs.columns
+    rows = [(r.doc_id, r.text) for r in got.collect()]
+    assert sorted(rows, key=str) == sorted([(None, far[0]), (None, far[1]), (5, far[2]), (3, far[3])], key=str)
