@@ -3,7 +3,8 @@
 A recording (16-bit mono PCM in a WAV container) gives frames of twelve pitch classes. Haar-like filters over
 stretches of frames, evaluated on an integral image, are cut into two bits each; sixteen of them make a packed integer for
 each frame. Recordings with the same integers form one class. Query classes meet all classes by equal pairs of integers; a histogram of
-frame offsets finds the alignment, and the share of differing bits over the aligned frames decides.
+offsets finds the alignment, and the share of differing bits over the aligned frames decides. A query is printed at ``PHASES`` starts within a
+hop, so that a copy cut between two frames meets it too.
 """
 
 from __future__ import annotations
@@ -23,7 +24,9 @@ from .shared import keep
 RATE = 4000
 FRAME, HOP = 1024, 256
 #: Share of differing bits up to which two aligned recordings match, and frames that they must share at least.
-MOST_ERRORS, LEAST_FRAMES = 0.05, 32
+MOST_ERRORS, LEAST_FRAMES = 0.25, 32
+#: Starts within a hop at which queries are printed: a copy cut anywhere is at most an eighth of a hop from one.
+PHASES = 4
 #: Recordings rendered at once.
 BATCH = 64
 #: Equal pairs at one offset that make a candidate, which the bit errors then judge.
@@ -101,24 +104,34 @@ def align(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[int, int]:
 
 def _printed(batches):
     for b in batches:
-        prints = [fingerprint(*pcm(x)).view(np.int32) for x in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.list_(pa.int32())), b.column(2)], names=["id", "print", "q"])
+        prints, phases = [], []
+        for x, q in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            samples, rate = pcm(x)
+            prints.append(fingerprint(samples, rate).view(np.int32))
+            phases.append([fingerprint(samples[k * HOP // PHASES :], rate).view(np.int32) for k in range(1, PHASES)] if q else None)
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.list_(pa.int32())), b.column(2), pa.array(phases, pa.list_(pa.list_(pa.int32())))], names=["id", "print", "q", "phases"])
 
 
 def audio_fingerprints(media: DataFrame, id_col: str, audio_col: str, is_query: Column) -> DataFrame:
-    """(id, print, q): print is array<int>, empty where there is no readable audio; q is ``is_query``, false where that is null. One row per input row."""
+    """(id, print, q, phases): print is array<int>, empty where there is no readable audio; q is ``is_query``, false where that is null; phases are the
+    prints of a query from later starts within the first hop, null for other rows. One row per input row."""
     rows = media.select(F.col(id_col).cast("long").alias("id"), F.col(audio_col).alias("audio"), F.coalesce(is_query, F.lit(False)).alias("q"))
-    return rows.mapInArrow(_printed, "id long, print array<int>, q boolean")
+    return rows.mapInArrow(_printed, "id long, print array<int>, q boolean, phases array<array<int>>")
 
 
 def _aligned(batches):
     names = ["q", "c", "offset", "errors", "frames"]
     for b in batches:
         out = []
-        for q, c, offset, x, y in zip(*(b.column(i).to_pylist() for i in range(5))):
-            n, bad = align(np.array(x, np.int32).view(np.uint32), np.array(y, np.int32).view(np.uint32), offset)
-            if n >= LEAST_FRAMES and bad <= MOST_ERRORS * 32 * n:
-                out.append((q, c, offset, bad, n))
+        for q, c, offsets, x, y in zip(*(b.column(i).to_pylist() for i in range(5))):
+            x, y, best = np.array(x, np.int32).view(np.uint32), np.array(y, np.int32).view(np.uint32), None
+            for o in sorted({f for at in offsets for f in (at // HOP, -(-at // HOP))}):
+                n, bad = align(x, y, o)
+                if n >= LEAST_FRAMES and bad <= MOST_ERRORS * 32 * n:
+                    of = (bad / n, -n, abs(o), o, bad, n)
+                    best = of if best is None else min(best, of)
+            if best:
+                out.append((q, c, *best[3:]))
         cols = list(zip(*out)) if out else [()] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=names)
 
@@ -128,21 +141,25 @@ def match_recordings(media: DataFrame, is_query: Column, id_col: str, audio_col:
 
     Recordings with equal fingerprints are one class, named by its smallest id. For rows with ``is_query`` matches is an
     array<struct<class_id, offset, errors, frames>> of all other classes that align with theirs, ordered by class_id; for other rows it is null.
+    Offsets are in frames; a copy cut between two frames takes the frame with fewer errors.
     Null or unreadable audio: no frames, class_id null, no matches. A null id counts only where a class has no other.
     """
     prints = keep(audio_fingerprints(media, id_col, audio_col, is_query), "prints")
     some = F.size("print") > 0
     heard = prints.where(some).withColumn("digest", F.sha2(F.array_join(F.transform("print", lambda x: x.cast("string")), ","), 256))
-    classes = keep(heard.groupBy("digest").agg(F.min("id").alias("class_id"), F.max("q").alias("asks"), F.first("print").alias("print")).where("class_id is not null"), "classes")
+    classes = keep(heard.groupBy("digest").agg(F.min("id").alias("class_id"), F.max("q").alias("asks"), F.first("print").alias("print"), F.max("phases").alias("phases")).where("class_id is not null"), "classes")
     # the key is two neighbouring integers: one alone is shared by chance too often
-    pairs = F.expr("transform(slice(print, 1, greatest(size(print) - 1, 0)), (x, i) -> shiftleft(cast(x as bigint), 32) | (cast(print[i + 1] as bigint) & 4294967295L))")
-    index = classes.select("class_id", "asks", F.posexplode(pairs).alias("at", "value"))
-    votes = index.where("asks").select("value", F.col("class_id").alias("q"), F.col("at").alias("q_at")).join(index.select("value", F.col("class_id").alias("c"), F.col("at").alias("c_at")), "value").where("q != c")
-    histogram = votes.groupBy("q", "c", (F.col("q_at") - F.col("c_at")).alias("offset")).agg(F.count("*").alias("votes")).where(F.col("votes") >= VOTES)
-    best = histogram.groupBy("q", "c").agg(F.max(F.struct("votes", (-F.abs("offset")).alias("near"), "offset")).alias("x")).select("q", "c", "x.offset")
+    paired = lambda p: F.expr(f"transform(slice({p}, 1, greatest(size({p}) - 1, 0)), (x, i) -> shiftleft(cast(x as bigint), 32) | (cast({p}[i + 1] as bigint) & 4294967295L))")
+    index = classes.select(F.col("class_id").alias("c"), F.posexplode(paired("print")).alias("c_at", "value"))
+    asked = classes.where("asks").select(F.col("class_id").alias("q"), F.posexplode(F.concat(F.array("print"), F.coalesce("phases", F.array().cast("array<array<int>>")))).alias("phase", "part"))
+    asked = asked.select("q", "phase", F.posexplode(paired("part")).alias("q_at", "value"))
+    # offsets in samples: phases lie between frames
+    votes = asked.join(index, "value").where("q != c")
+    histogram = votes.groupBy("q", "c", ((F.col("q_at") - F.col("c_at")) * HOP + F.col("phase") * (HOP // PHASES)).alias("offset")).agg(F.count("*").alias("votes")).where(F.col("votes") >= VOTES)
+    best = histogram.groupBy("q", "c").agg(F.max(F.struct("votes", (-F.abs("offset")).alias("near"), "offset")).alias("x")).select("q", "c", F.array("x.offset").alias("offsets"))
     of = classes.select("class_id", "print")
     both = best.join(of.select(F.col("class_id").alias("q"), F.col("print").alias("x")), "q").join(of.select(F.col("class_id").alias("c"), F.col("print").alias("y")), "c")
-    found = both.select("q", "c", "offset", "x", "y").mapInArrow(_aligned, "q long, c long, offset int, errors int, frames int")
+    found = both.select("q", "c", "offsets", "x", "y").mapInArrow(_aligned, "q long, c long, offset int, errors int, frames int")
     lists = found.groupBy("q").agg(F.array_sort(F.collect_list(F.struct(F.col("c").alias("class_id"), "offset", "errors", "frames"))).alias("matches"))
     rows = prints.withColumn("digest", F.when(some, F.sha2(F.array_join(F.transform("print", lambda x: x.cast("string")), ","), 256)))
     rows = rows.join(classes.select("digest", "class_id"), "digest", "left").join(lists.withColumnRenamed("q", "class_id"), "class_id", "left")

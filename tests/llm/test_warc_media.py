@@ -1,5 +1,7 @@
 import hashlib
+import io
 import random
+import wave
 from collections import defaultdict
 
 import numpy as np
@@ -94,3 +96,24 @@ def test_alignment_and_recall(spark):
     assert total >= 50 and hits >= 0.9 * total
     assert got[5000].class_id is None and got[5020].matches == [] and got[None].class_id == 0
     assert A.match_recordings(media.limit(0), F.lit(True), "vec_id", "audio").count() == 0
+
+
+def test_copies_cut_at_any_sample_are_found(spark):
+    rng = np.random.default_rng(5)
+    rows, cuts = [], {}
+    for i in range(60):
+        audio = A.melody(rng.normal(0, 0.12, 64))
+        x, _ = A.pcm(audio)
+        cut = int(rng.integers(0, 6000)) // 256 * 256 + (128, 100, 64, 37, 200)[i % 5]
+        y = x[cut:] + rng.normal(0, 0.05, len(x) - cut)
+        buf = io.BytesIO()
+        with wave.open(buf, "wb") as w:
+            w.setparams((1, 2, A.RATE, 0, "NONE", ""))
+            w.writeframes((np.clip(y, -1, 1) * 30000).astype("<i2").tobytes())
+        rows += [(i * 20, bytearray(audio)), (i * 20 + 1, bytearray(buf.getvalue()))]
+        cuts[i * 20] = cut
+    media = spark.createDataFrame(rows, "vec_id long, audio binary")
+    got = {r.vec_id: r.matches for r in A.match_recordings(media, F.col("vec_id") % 20 == 0, "vec_id", "audio").collect()}
+    found = sum(any(m.class_id == i + 1 and abs(m.offset - cut / A.HOP) < 1 for m in got[i]) for i, cut in cuts.items())
+    assert found >= 0.95 * len(cuts)
+    assert all(m.class_id == i + 1 for i in cuts for m in got[i])
