@@ -2,8 +2,8 @@
 
 A recording (16-bit mono PCM in a WAV container) gives frames of twelve pitch classes. Haar-like filters over
 stretches of frames, evaluated on an integral image, are cut into two bits each; sixteen of them make a packed integer for
-each frame. Recordings with the same integers form one class. Query classes meet all classes by equal pairs of integers; a histogram of
-offsets finds the alignment, and the share of differing bits over the aligned frames decides. A query is printed at ``PHASES`` starts within a
+each frame. Recordings with the same integers form one class. Query classes meet all classes by equal pairs of integers; their offsets are
+the alignments to judge, and the least share of differing bits over the aligned frames decides. A query is printed at ``PHASES`` starts within a
 hop, so that a copy cut between two frames meets it too.
 """
 
@@ -29,8 +29,6 @@ MOST_ERRORS, LEAST_FRAMES = 0.25, 32
 PHASES = 4
 #: Recordings rendered at once.
 BATCH = 64
-#: Equal pairs at one offset that make a candidate, which the bit errors then judge.
-VOTES = 1
 _WIDTH = 16
 _STEPS = (-0.35, 0.0, 0.35)
 
@@ -155,8 +153,8 @@ def match_recordings(media: DataFrame, is_query: Column, id_col: str, audio_col:
     asked = asked.select("q", "phase", F.posexplode(paired("part")).alias("q_at", "value"))
     # offsets in samples: phases lie between frames
     votes = asked.join(index, "value").where("q != c")
-    histogram = votes.groupBy("q", "c", ((F.col("q_at") - F.col("c_at")) * HOP + F.col("phase") * (HOP // PHASES)).alias("offset")).agg(F.count("*").alias("votes")).where(F.col("votes") >= VOTES)
-    best = histogram.groupBy("q", "c").agg(F.max(F.struct("votes", (-F.abs("offset")).alias("near"), "offset")).alias("x")).select("q", "c", F.array("x.offset").alias("offsets"))
+    # every offset that a key proposes is judged: held tones and silence may outvote the true one
+    best = votes.groupBy("q", "c").agg(F.collect_set((F.col("q_at") - F.col("c_at")) * HOP + F.col("phase") * (HOP // PHASES)).alias("offsets"))
     of = classes.select("class_id", "print")
     both = best.join(of.select(F.col("class_id").alias("q"), F.col("print").alias("x")), "q").join(of.select(F.col("class_id").alias("c"), F.col("print").alias("y")), "c")
     found = both.select("q", "c", "offsets", "x", "y").mapInArrow(_aligned, "q long, c long, offset int, errors int, frames int")

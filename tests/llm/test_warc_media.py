@@ -117,3 +117,25 @@ def test_copies_cut_at_any_sample_are_found(spark):
     found = sum(any(m.class_id == i + 1 and abs(m.offset - cut / A.HOP) < 1 for m in got[i]) for i, cut in cuts.items())
     assert found >= 0.95 * len(cuts)
     assert all(m.class_id == i + 1 for i in cuts for m in got[i])
+
+
+def test_true_offset_is_found_beside_held_tones(spark):
+    rng = np.random.default_rng(6)
+    step = 512
+
+    def wav(x):
+        buf = io.BytesIO()
+        with wave.open(buf, "wb") as w:
+            w.setparams((1, 2, A.RATE, 0, "NONE", ""))
+            w.writeframes((np.clip(x, -1, 1) * 30000).astype("<i2").tobytes())
+        return bytearray(buf.getvalue())
+
+    # a held tone that ends one query and starts the other recording outvotes the tune that both hold
+    tune, other, more = (A.pcm(A.melody(rng.normal(0, 0.12, n)))[0] for n in (64, 40, 40))
+    tone = 0.6 * np.sin(2 * np.pi * 440 * np.arange(150 * step) / A.RATE)
+    a, b = np.concatenate([tune, tone, other]), np.concatenate([tone, more, tune + rng.normal(0, 0.2, len(tune))])
+    media = spark.createDataFrame([(0, wav(a)), (1, wav(b))], "vec_id long, audio binary")
+    p, q = (A.fingerprint(*A.pcm(bytes(wav(x)))) for x in (a, b))
+    (m,) = next(r.matches for r in A.match_recordings(media, F.col("vec_id") == 0, "vec_id", "audio").collect() if r.vec_id == 0) or [None]
+    every = [(bad / n, o) for o in range(-len(q), len(p)) for n, bad in [A.align(p, q, o)] if n >= A.LEAST_FRAMES]
+    assert m.errors / m.frames == min(every)[0] and m.offset == min(every)[1]
