@@ -556,8 +556,8 @@ def inject(ref: str, haplotypes: list[tuple[float, str, str]], given, best: int
     return out
 
 
-def assemble_regions(regions: DataFrame, reads: DataFrame, kmer_sizes=(21, 33), prune: int = 1, depth: int = 10_000, profile: str | None = None, by_odds: bool = False, recover: int | None = 1) -> DataFrame:
-    """regions: (region, start, ref), reads: (region, seq, quals). (region, hap_idx, score, hap, cigar). ``depth`` reads of a region at most, as the caller's own limit (``max_input_depth``), the best by mean quality. A ``profile`` sets the k-mer sizes and ``prune``."""
+def assemble_regions(regions: DataFrame, reads: DataFrame, kmer_sizes=(21, 33), prune: int = 1, depth: int | None = 200_000, profile: str | None = None, by_odds: bool = False, recover: int | None = 1) -> DataFrame:
+    """regions: (region, start, ref), reads: (region, seq, quals). (region, hap_idx, score, hap, cigar). ``depth`` reads of a region at most, the best by mean quality; the default is that of the reference's ``max-input-depth``, None keeps all. A ``profile`` sets the k-mer sizes and ``prune``."""
     from .ranges import top_by
 
     if profile:
@@ -565,7 +565,7 @@ def assemble_regions(regions: DataFrame, reads: DataFrame, kmer_sizes=(21, 33),
     # small rows, long kernels: partitions by bytes would leave most cores idle
     spread = lambda df: df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "region")
     regions, reads = spread(regions), spread(reads)
-    capped = top_by(reads.withColumn("mq", F.aggregate("quals", F.lit(0.0), lambda a, x: a + x) / F.size("quals")), ["region"], [F.desc("mq"), F.asc("seq")], depth).drop("mq")
+    capped = reads if depth is None else top_by(reads.withColumn("mq", F.aggregate("quals", F.lit(0.0), lambda a, x: a + x) / F.size("quals")), ["region"], [F.desc("mq"), F.asc("seq")], depth).drop("mq")
 
     def one(key, a, b):
         rows = []

@@ -880,7 +880,7 @@ def _(s, d):
     half = F.floor(F.length("seq") / 2).cast("int")
     alt = F.concat(F.substr("seq", lit(1), half), F.translate(F.substr("seq", half + 1, lit(1)), "ACGT", "CGTA"), F.substr("seq", half + 2, F.length("seq")))
     reads = x.select(col("doc_id").alias("region"), F.explode(F.sequence(lit(1), F.greatest(F.length("seq") - 59, lit(1)), lit(15))).alias("p"), alt.alias("h")).select("region", F.substr("h", col("p"), lit(75)).alias("seq"), F.array_repeat(lit(30), 75).alias("quals"))
-    return K.assemble_regions(reg, reads, (25,), 2).groupBy("region").agg(F.count("*").alias("haplotypes"), F.max("hap_idx").alias("last"))
+    return K.assemble_regions(reg, reads, (25,), 2, depth=None).groupBy("region").agg(F.count("*").alias("haplotypes"), F.max("hap_idx").alias("last"))
 
 
 @query("gen28_linkage_edges", None)

@@ -469,3 +469,14 @@ def test_percentages(spark):
         one(spark, S.percentage(lit(101.0)))
     f, b = one(spark, S.strand_rates(lit("FORWARD")), S.strand_rates(lit("NONE")))
     assert (f.forward, f.reverse) == (0.0, -math.inf) and abs(b.forward - math.log(0.5)) < 1e-12
+
+
+def test_assembly_keeps_reads_beyond_ten_thousand(spark):
+    rng = random.Random(12)
+    ref = "".join(rng.choice("ACGT") for _ in range(120))
+    alt = ref[:60] + {"A": "C", "C": "G", "G": "T", "T": "A"}[ref[60]] + ref[61:]
+    regions = spark.createDataFrame([(1, 0, ref)], "region long, start int, ref string")
+    reads = spark.range(10_040).select(F.lit(1).cast("long").alias("region"), F.when(F.col("id") < 10_000, ref).otherwise(alt).alias("seq"), F.array_repeat(F.when(F.col("id") < 10_000, 40).otherwise(30), 120).alias("quals"))
+    for how in ({}, {"depth": None}):
+        assert {r.hap for r in K.assemble_regions(regions, reads, (25,), 2, **how).collect()} == {ref, alt}
+    assert {r.hap for r in K.assemble_regions(regions, reads, (25,), 2, depth=10_000).collect()} == {ref}
