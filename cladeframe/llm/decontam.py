@@ -2,8 +2,10 @@
 
 Words are stripped of outer punctuation and lower-cased; numbers, names and units become typed placeholders. Windows of five
 words of the benchmark, as templates and as they are, form a hash table that documents probe. A document is
-contaminated by an item if windows close together cover 0.8 of the item's, after those are left out that bind a
+contaminated by an item if windows close together cover 0.8 of all the item's, after those are left out that bind a
 placeholder's value otherwise than earlier ones did: a re-parameterised question puts one new value for each old one.
+Templates of placeholders alone are not probed; they count beside other windows of the item. Windows of numbers alone
+are probed as they are.
 
 The table is broadcast. Its size is checked: a larger benchmark is taken in slices of ``SLICE`` windows, one pass each.
 """
@@ -25,7 +27,7 @@ from .shared import Memo, values
 SIZE, SHARE = 5, 0.8
 #: Windows of one broadcast table: about 300 MB at most.
 SLICE = 4_000_000
-#: Literal words that a window must have, so that placeholders alone match nothing.
+#: Literal words that a match with changed values must hold, so that placeholders alone match nothing.
 LITERAL = 3
 
 # Words that are units after a number.
@@ -36,42 +38,43 @@ UNITS = frozenset(
 
 _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*(?:st|nd|rd|th|[a-z]{1,3})?$", re.IGNORECASE)
 _OUTER = re.compile(r"^[\W_]+|[\W_]+$")
-_TITLE, _ENDS, _UNIT, _FLAGS = 1, 2, 4, np.uint64(7)
-_NUM, _NAME, _UNITS = (xxh64_intdigest(x) & ~7 for x in (b"<number>", b"<name>", b"<unit>"))
+_TITLE, _ENDS, _UNIT, _DIGITS, _FLAGS = 1, 2, 4, 8, np.uint64(15)
+_NUM, _NAME, _UNITS = (xxh64_intdigest(x) & ~15 for x in (b"<number>", b"<name>", b"<unit>"))
 _BASE = np.array([pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(SIZE)], np.uint64)
 
 
 def _word(raw: str) -> int:
-    """Hash of the canonical word in the upper bits, flags in the lower three; 0 for mere punctuation."""
+    """Hash of the canonical word in the upper bits, flags in the lower four; 0 for mere punctuation."""
     core = _OUTER.sub("", raw)
     if not core:
         return 0
     ends = _ENDS if raw.rstrip("\"')]»”").endswith((".", "!", "?", ":")) else 0
-    if _NUMBER.match(core):
-        return _NUM | ends
     low = core.lower()
+    if _NUMBER.match(core):
+        return (xxh64_intdigest(low.encode()) & ~15) | ends | _DIGITS
     title = _TITLE if len(core) > 1 and core[0].isupper() and core[1:].islower() else 0
-    return (xxh64_intdigest(low.encode()) & ~7) | title | ends | (_UNIT if low in UNITS else 0)
+    return (xxh64_intdigest(low.encode()) & ~15) | title | ends | (_UNIT if low in UNITS else 0)
 
 
 class Canon:
     def __init__(self):
         self.of = Memo(_word)
 
-    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the words that aren't mere punctuation: their places, templates and literal hashes."""
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the words that aren't mere punctuation: their places, templates, hashes with numbers as placeholders, and literal hashes."""
         v = np.fromiter(map(self.of.__getitem__, words), np.uint64, len(words))
         place = np.flatnonzero(v)
         v = v[place]
-        flags, plain = v & _FLAGS, v & ~_FLAGS
+        flags, exact = v & _FLAGS, v & ~_FLAGS
+        number = (flags & np.uint64(_DIGITS)) > 0
+        plain = np.where(number, np.uint64(_NUM), exact)
         template = plain.copy()
         if len(v):
             starts = np.concatenate(([True], (flags[:-1] & np.uint64(_ENDS)) > 0))
-            number = plain == np.uint64(_NUM)
             after = np.concatenate(([False], number[:-1]))
             template[((flags & np.uint64(_TITLE)) > 0) & ~starts] = _NAME
             template[((flags & np.uint64(_UNIT)) > 0) & after] = _UNITS
-        return place, template, plain
+        return place, template, plain, exact
 
 
 def _windows(v: np.ndarray) -> np.ndarray:
@@ -86,21 +89,30 @@ def _slots(template: np.ndarray) -> np.ndarray:
     return (template == np.uint64(_NUM)) | (template == np.uint64(_NAME)) | (template == np.uint64(_UNITS))
 
 
+def _full(marked: np.ndarray) -> np.ndarray:
+    """Where windows of marked words alone begin."""
+    n = len(marked) - SIZE + 1
+    return np.flatnonzero(np.lib.stride_tricks.sliding_window_view(marked, SIZE).all(axis=1)) if n > 0 else np.empty(0, np.int64)
+
+
 class Table:
     """Windows of items: sorted hashes, and for each the (item, offset) pairs that have it."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        canon, rows, self.items = Canon(), [], []
+        canon, rows, self.items, self.numbers = Canon(), [], [], False
         for item_id, text in items:
             words = (text or "").split()
-            place, template, plain = canon(words)
-            slots = _slots(template)
-            n = len(template) - SIZE + 1
-            good = [o for o in range(max(n, 0)) if SIZE - int(slots[o : o + SIZE].sum()) >= LITERAL]
+            place, template, plain, exact = canon(words)
+            slots, number = _slots(template), plain == np.uint64(_NUM)
+            n = max(len(template) - SIZE + 1, 0)
             k = len(self.items)
-            self.items.append((item_id, len(good), len(template), slots, [_OUTER.sub("", words[i]).lower() for i in place.tolist()]))
-            for hashes in (_windows(template), _windows(plain)):
-                rows += [(int(hashes[o]), k, o) for o in good]
+            bare, numbers = _full(slots).tolist(), _full(number).tolist()
+            self.items.append((item_id, n, template, slots, [_OUTER.sub("", words[i]).lower() for i in place.tolist()], bare))
+            for hashes, none in ((_windows(template), set(bare)), (_windows(plain), set(numbers))):
+                rows += [(int(hashes[o]), k, o) for o in range(n) if o not in none]
+            hashes = _windows(exact)
+            rows += [(int(hashes[o]), k, o) for o in numbers]
+            self.numbers |= bool(numbers)
         rows = sorted(set(rows))
         every = np.array([r[0] for r in rows], np.uint64)
         self.hashes, first = np.unique(every, return_index=True)
@@ -122,19 +134,27 @@ class Table:
     def matches(self, text: str | None, canon: Canon, share: float):
         """(item id, matched windows, windows, first word, last word, bindings) for each item that contaminates the text."""
         words = (text or "").split()
-        place, template, plain = canon(words)
+        place, template, plain, exact = canon(words)
         by_item: dict[int, set[tuple[int, int]]] = defaultdict(set)
-        for hashes in (_windows(template), _windows(plain)):
-            for p, k in self.hits(hashes):
+
+        def add(hits, at=None):
+            for p, k in hits:
                 for item, offset in self.pairs[self.ends[k] : self.ends[k + 1]].tolist():
-                    by_item[item].add((p, offset))
+                    by_item[item].add((p if at is None else int(at[p]), offset))
+
+        add(self.hits(_windows(template)))
+        add(self.hits(_windows(plain)))
+        if self.numbers and len(at := _full(plain == np.uint64(_NUM))):
+            add(self.hits(_windows(exact)[at]), at)
         out = []
         for item, found in by_item.items():
-            item_id, total, length, slots, tokens = self.items[item]
+            item_id, total, form, slots, tokens, bare = self.items[item]
             need = share * total
-            if len({o for _, o in found}) < need:
+            if len({o for _, o in found} | set(bare)) < need:
                 continue
-            best = self._best(sorted(found), need, length, slots, tokens, words, place)
+            for d in {p - o for p, o in found} if bare else ():
+                found |= {(d + o, o) for o in bare if d + o >= 0 and np.array_equal(template[d + o : d + o + SIZE], form[o : o + SIZE])}
+            best = self._best(sorted(found), need, len(form), slots, tokens, words, place)
             if best:
                 out.append((item_id, best[0], total, int(place[best[1]]), int(place[min(best[2] + SIZE - 1, len(place) - 1)]), best[3]))
         return out
@@ -157,7 +177,8 @@ class Table:
                     bound.update(pairs)
                     back.update((b, a) for a, b in pairs)
                     offsets.add(o)
-            if len(offsets) >= need and (best is None or len(offsets) > best[0]):
+            held = {o + j for o in offsets for j in range(SIZE) if not slots[o + j]}
+            if len(offsets) >= need and (best is None or len(offsets) > best[0]) and (len(held) >= LITERAL or all(a == b for a, b in bound.items())):
                 changed = ",".join(f"{a}={b}" for a, b in sorted(bound.items()) if a != b)
                 best = (len(offsets), found[start][0], found[end][0], changed)
         return best
@@ -183,7 +204,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id
     """(id, item_id, matched, windows, first_word, last_word, bindings): one row for each document and item that it leaks.
 
     ``windows`` counts the item's windows, ``matched`` those that the document holds close together; words count from 0. ``bindings`` names changed values as old=new.
-    Null or empty texts, and items of fewer than five words or with too few literal ones, match nothing. Repeated rows repeat. Empty tables: no rows.
+    Null or empty texts, and items of fewer than five words, match nothing; items with fewer than three literal words match only unchanged. Repeated rows repeat. Empty tables: no rows.
     """
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

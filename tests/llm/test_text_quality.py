@@ -96,3 +96,32 @@ def test_no_labels_and_empty(spark):
     assert [r.score for r in K.quality_report(docs, none).collect()] == [0.5, 0.5]
     assert K.quality_report(docs.limit(0), none).count() == 0
     assert K.fit(docs, none).prior == 0.5 and F is not None
+
+
+DENSE = ["What is 12 + 35 * 7 - 4 / 2?", "Please reduce the list 12 35 7 4 2 88 31 54 17 63 29 to one sum", "3 14 15 92 65 35 89 79 32 38", "Anna met Ben Carl Dora Emil Fritz Gerd Hans and Ida in Rome"]
+
+
+def exact_share(item, text):
+    """The largest share of the item's five-word windows in a stretch of one and a half times its length, values unchanged."""
+    a, b = ([w for w in (D._OUTER.sub("", x).lower() for x in t.split()) if w] for t in (item, text))
+    of = [tuple(a[o : o + 5]) for o in range(len(a) - 4)]
+    at = [(p, o) for p in range(len(b) - 4) for o, w in enumerate(of) if w == tuple(b[p : p + 5])]
+    reach = len(a) + max(5, len(a) // 2)
+    return max((len({o for q, o in at if p <= q <= p + reach}) / len(of) for p, _ in at), default=0)
+
+
+def test_items_dense_in_numbers_and_names(spark):
+    rng = random.Random(11)
+    filler = lambda n: " ".join(f"word{rng.randrange(3000)}" for _ in range(n))
+    texts = [f"{filler(30)} {x} {filler(30)}" for x in DENSE]
+    for x in DENSE:
+        w = x.split()
+        for n in (5, len(w) - 3, len(w) - 1):
+            texts.append(f"{filler(20)} {' '.join(w[:n])} {filler(20)}")
+    texts.append(" ".join(str(rng.randrange(100)) for _ in range(3000)))
+    _, _, got = run(spark, texts, DENSE)
+    want = {(i, k) for i, t in enumerate(texts) for k, x in enumerate(DENSE) if exact_share(x, t) >= 0.8}
+    assert {(k, k) for k in range(4)} <= want and set(got) == want
+    # one phrase of a dense item is no leak; new values are one where there are words enough, and none where there are not
+    changed = ["Please reduce the list 13 36 8 5 3 89 32 55 18 64 30 to one sum", "What is 13 + 36 * 8 - 5 / 3?", "4 15 16 93 66 36 90 80 33 39", "Please reduce the list 1 of things"]
+    assert set(run(spark, changed, DENSE)[2]) == {(0, 1)}
