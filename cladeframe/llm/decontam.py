@@ -161,28 +161,53 @@ class Table:
 
     @staticmethod
     def _best(found, need, length, slots, tokens, words, place):
-        """The stretch of about the item's length with most of its windows, their slots bound consistently."""
+        """The stretch of about the item's length with most of its windows, their slots bound consistently.
+
+        Bindings are tried as by place, with unchanged windows first, and with each window's alignment first, those nearest to it before others."""
         reach, best, start = length + max(SIZE, length // 2), None, 0
         for end in range(len(found)):
             while found[end][0] - found[start][0] > reach:
                 start += 1
             if end + 1 < len(found) and found[end + 1][0] - found[start][0] <= reach:
                 continue
-            bound: dict[str, str] = {}
-            back: dict[str, str] = {}
-            offsets = set()
-            for p, o in found[start : end + 1]:
-                pairs = [(tokens[o + j], _OUTER.sub("", words[place[p + j]]).lower()) for j in range(SIZE) if slots[o + j]]
-                if all(bound.get(a, b) == b and back.get(b, a) == a for a, b in pairs):
-                    bound.update(pairs)
-                    back.update((b, a) for a, b in pairs)
-                    offsets.add(o)
-            held = {o + j for o in offsets for j in range(SIZE) if not slots[o + j]}
-            if len(offsets) >= need and (best is None or len(offsets) > best[0]) and (len(held) >= LITERAL or all(a == b for a, b in bound.items())):
-                changed = ",".join(f"{a}={b}" for a, b in sorted(bound.items()) if a != b)
-                best = (len(offsets), found[start][0], found[end][0], changed)
+            part = found[start : end + 1]
+            most = len({o for _, o in part})
+            if most < need or (best and most <= best[0]):
+                continue
+            pairs = {(p, o): tuple((tokens[o + j], _OUTER.sub("", words[place[p + j]]).lower()) for j in range(SIZE) if slots[o + j]) for p, o in part}
+            for order in Table._orders(part, pairs):
+                bound: dict[str, str] = {}
+                back: dict[str, str] = {}
+                taken, offsets = [], set()
+                for w in order:
+                    here, there = dict(pairs[w]), {b: a for a, b in pairs[w]}
+                    if all(here[a] == b and there[b] == a and bound.get(a, b) == b and back.get(b, a) == a for a, b in pairs[w]):
+                        bound |= here
+                        back |= there
+                        taken.append(w[0])
+                        offsets.add(w[1])
+                held = {o + j for o in offsets for j in range(SIZE) if not slots[o + j]}
+                if len(offsets) >= need and (best is None or len(offsets) > best[0]) and (len(held) >= LITERAL or all(a == b for a, b in bound.items())):
+                    changed = ",".join(f"{a}={b}" for a, b in sorted(bound.items()) if a != b)
+                    best = (len(offsets), min(taken), max(taken), changed)
+                if best and best[0] >= most:
+                    break
         return best
 
+    @staticmethod
+    def _orders(part, pairs):
+        """Orders in which windows (place, offset) of a stretch may bind their slots."""
+        yield part
+        same = {w for w in part if all(a == b for a, b in pairs[w])}
+        if any(pairs[w] for w in same):
+            yield [w for w in part if w in same]
+            yield sorted(part, key=lambda w: w not in same)
+        tried = set()
+        for p, o in part:
+            if pairs[p, o] and (kind := (p - o, pairs[p, o])) not in tried:
+                tried.add(kind)
+                yield sorted(part, key=lambda w: (abs(w[0] - w[1] - p + o), abs(w[0] - p)))
+
 
 def _slices(benchmark: DataFrame, id_col: str, text_col: str):
     """Tables of at most about SLICE windows; one item at least."""

@@ -125,3 +125,20 @@ def test_items_dense_in_numbers_and_names(spark):
     # one phrase of a dense item is no leak; new values are one where there are words enough, and none where there are not
     changed = ["Please reduce the list 13 36 8 5 3 89 32 55 18 64 30 to one sum", "What is 13 + 36 * 8 - 5 / 3?", "4 15 16 93 66 36 90 80 33 39", "Please reduce the list 1 of things"]
     assert set(run(spark, changed, DENSE)[2]) == {(0, 1)}
+
+
+def test_partial_variant_before_a_leak_does_not_hide_it(spark):
+    rng = random.Random(13)
+    filler = lambda n: " ".join(f"word{rng.randrange(3000)}" for _ in range(n))
+    changed = ITEM.replace("12", "40").replace("3 dollars", "5 dollars").replace("Maria", "Pedro").replace("7", "9").replace("2 days", "6 days")
+    other = ITEM.replace("12", "41").replace("3 dollars", "8 dollars").replace("Maria", "Luisa")
+    wrong = ITEM.replace("12", "40", 1)
+    texts = []
+    for n in (6, 9, 12):  # a worked example cut off, with other values, then the item as it is or with new values
+        for whole in (ITEM, changed, wrong):
+            texts.append(f"{filler(20)} {' '.join(other.split()[:n])} {whole} {filler(20)}")
+    twice = "Add 5 plus 5 then take 5 from 5 and give 5 back to the 5 old kings of 5 lands"
+    texts += [twice.replace("5", "9").replace("Add 9", "Add 1", 1), f"{' '.join(twice.replace('5', '1').split()[:9])} {twice}", f"{filler(30)} {' '.join(other.split()[:12])} {filler(30)}"]
+    _, _, got = run(spark, texts, [ITEM, twice])
+    assert set(got) == {(i, 0) for i in range(9)} | {(9, 1), (10, 1)}
+    assert [got[i, 0].bindings for i in (0, 3, 6)] == ["", "", ""] and all(got[i, 0].matched == got[i, 0].windows for i in range(9))
