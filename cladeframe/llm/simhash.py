@@ -221,6 +221,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
 
     Ids that repeat, or are null, in different groups don't stand for each other: each group keeps its row."""
     prints, of = _grouped(docs, id_col, text_col, most)
+    return keep_rows(docs, prints, of, lambda t: _signed(simhash(t)), id_col, text_col)
+
+
+def keep_rows(docs: DataFrame, prints: DataFrame, of: DataFrame, own_print, id_col: str, text_col: str) -> DataFrame:
+    """``keep_one`` for rows ``prints`` (id, fp), fingerprints ``of`` (fp, root, component_id), and the function from a text's bytes to its signed fp."""
     mine = prints.join(of, "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
     chosen = keep(mine.groupBy("root").agg(F.min(F.struct("id", "fp")).alias("x")).select(F.col("x.id").alias("__cf_id"), F.col("x.fp").alias("__cf_fp")), "chosen")
     if not prints.groupBy("id").count().where("count > 1 or id is null").limit(1).count():
@@ -232,7 +237,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
 
     def run(batches):
         for b in batches:
-            made = np.array([simhash(t) for t in values(b.column(b.num_columns - 1))], np.uint64).view(np.int64)
+            made = np.array([own_print(t) for t in values(b.column(b.num_columns - 1))], np.int64)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(made, pa.int64())], [*b.schema.names[:-1], "__cf_own"])
 
     printed = own.mapInArrow(run, schema)
