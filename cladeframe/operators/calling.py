@@ -33,7 +33,7 @@ def locus_likelihoods(reads: DataFrame, haplotypes: DataFrame) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
-            pdf["lk"] = [K.pair_hmm(h, r, q) for h, r, q in zip(pdf.hap_seq, pdf.read_seq, pdf.quals)]
+            pdf["lk"] = K.pair_hmm_all(list(zip(pdf.hap_seq, pdf.read_seq)), pdf.quals.tolist())
             yield pdf[["region", "sample", "read", "events", "lk"]]
 
     scored = pairs.mapInPandas(run, f"region long, sample int, read long, events array<{_EVENT}>, lk double")

@@ -1,4 +1,4 @@
-"""Recurrences that no relational plan expresses: the pair hidden Markov model, affine-gap alignment and local assembly, in NumPy, run as Arrow functions."""
+"""Local assembly and what is made of its haplotypes: recurrences and graphs that no relational plan expresses, run as Arrow functions."""
 
 from __future__ import annotations
 
@@ -13,29 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SCALE = 2.0**1020
-
-
-def pair_hmm(hap: str, read: str, quals, ins=45, dele=45, gcp=10) -> float:
-    """log10 likelihood of a read given a haplotype. Each row is a read base; the deletion state runs along the row."""
-    h = np.frombuffer(hap.encode(), np.uint8)
-    n = len(h)
-    if not n or not read:
-        return 0.0
-    p = lambda q: 10.0 ** (np.broadcast_to(np.asarray(q, float), len(read)) / -10.0)
-    err, mi, md, gap = p(quals), p(ins), p(dele), p(gcp)
-    m, i, d = np.zeros(n + 1), np.zeros(n + 1), np.full(n + 1, _SCALE / n)
-    for r, base in enumerate(read.encode()):
-        prior = np.where((h == base) | (h == 78) | (base == 78), 1 - err[r], err[r] / 3)
-        m2, i2 = np.zeros(n + 1), np.zeros(n + 1)
-        m2[1:] = prior * (m[:-1] * (1 - (mi[r] + md[r])) + (i[:-1] + d[:-1]) * (1 - gap[r]))
-        i2[1:] = m[1:] * mi[r] + i[1:] * gap[r]
-        d2 = np.zeros(n + 1)
-        for j in range(1, n + 1):
-            d2[j] = m2[j - 1] * md[r] + d2[j - 1] * gap[r]
-        m, i, d = m2, i2, d2
-    return math.log10(float((m[1:] + i[1:]).sum())) - math.log10(_SCALE)
-
+from .dynamic import NEW_SW, ORIGINAL, STANDARD, align, align_all, pair_hmm, pair_hmm_all  # noqa: F401
 
 def read_likelihoods(pairs: DataFrame) -> DataFrame:
     """pairs: (region, read, hap_idx, read_seq, quals array<int>, hap_seq). Adds log10_lk; pairs of one region need not be in one task."""
@@ -43,100 +21,28 @@ def read_likelihoods(pairs: DataFrame) -> DataFrame:
     def run(batches):
         for pdf in batches:
             out = pdf[["region", "read", "hap_idx"]].copy()
-            out["log10_lk"] = [pair_hmm(h, r, q) for h, r, q in zip(pdf.hap_seq, pdf.read_seq, pdf.quals)]
+            out["log10_lk"] = pair_hmm_all(list(zip(pdf.hap_seq, pdf.read_seq)), pdf.quals.tolist())
             yield out
 
     return pairs.select("region", "read", "hap_idx", "read_seq", "quals", "hap_seq").mapInPandas(run, "region long, read long, hap_idx int, log10_lk double")
 
 
-#: match, mismatch, gap open, gap extend
-ORIGINAL, STANDARD, NEW_SW = (3, -1, -4, -3), (25, -50, -110, -6), (200, -150, -260, -11)
-
+def haplotype_cigar(ref: str, alt: str) -> str:
+    """One run for equal lengths with two mismatches or fewer, one deletion for an empty alt, else an alignment with padded ends."""
+    return haplotype_cigars(ref, [alt])[0]
 
-def align(ref: str, alt: str, params=NEW_SW, overhang: str = "soft_clip") -> tuple[int, str]:
-    """(offset of alt on ref, CIGAR) by affine-gap alignment. Ties: diagonal, then insertion, then deletion.
 
-    overhang: soft_clip, indel (end to end), leading_indel (the start is a gap) or ignore.
-    """
-    if overhang in ("soft_clip", "ignore") and (at := ref.rfind(alt)) >= 0:
-        return at, f"{len(alt)}M"
-    match, mismatch, opening, extend = params
-    n, m = len(ref), len(alt)
-    edge = overhang in ("indel", "leading_indel")
-    low = -(10**8) if edge else 0
-    s = np.zeros((n + 1, m + 1))
-    back = np.zeros((n + 1, m + 1), int)
-    if edge:
-        for j in range(1, m + 1):
-            s[0, j] = opening + extend * (j - 1)
-        for i in range(1, n + 1):
-            s[i, 0] = opening + extend * (i - 1)
-    down, down_n = np.full(m + 1, -1e9), np.zeros(m + 1, int)
-    for i in range(1, n + 1):
-        right, right_n = -1e9, 0
-        for j in range(1, m + 1):
-            diag = s[i - 1, j - 1] + (match if ref[i - 1] == alt[j - 1] else mismatch)
-            o, e = s[i - 1, j] + opening, down[j] + extend
-            down[j], down_n[j] = (o, 1) if o > e else (e, down_n[j] + 1)
-            o, e = s[i, j - 1] + opening, right + extend
-            right, right_n = (o, 1) if o > e else (e, right_n + 1)
-            if diag >= down[j] and diag >= right:
-                s[i, j], back[i, j] = max(low, diag), 0
-            elif right >= down[j]:
-                s[i, j], back[i, j] = max(low, right), -right_n
-            else:
-                s[i, j], back[i, j] = max(low, down[j]), down_n[j]
-    if overhang == "indel":
-        i, j = n, m
-    else:
-        i, j, best = n, m, -np.inf
-        for a in range(1, n + 1):
-            if s[a, m] >= best:
-                best, i, j = s[a, m], a, m
-        if overhang != "leading_indel":
-            for b in range(1, m + 1):
-                if s[n, b] > best or s[n, b] == best and abs(n - b) < abs(i - j):
-                    best, i, j = s[n, b], n, b
-    parts: list[tuple[int, str]] = []
-
-    def add(k, op):
-        if k > 0:
-            if parts and parts[-1][1] == op:
-                parts[-1] = (parts[-1][0] + k, op)
-            else:
-                parts.append((k, op))
-
-    if j < m:
-        add(m - j, "S" if overhang == "soft_clip" else "I" if edge else "M")
-    while i > 0 and j > 0:
-        k = back[i, j]
-        if k == 0:
-            add(1, "M")
-            i, j = i - 1, j - 1
-        elif k > 0:
-            add(k, "D")
-            i -= k
-        else:
-            add(-k, "I")
-            j += k
-    offset = i
-    if edge:
-        add(j, "I")
-        add(i, "D")
-        offset = 0
-    elif j > 0:
-        add(j, "S" if overhang == "soft_clip" else "M")
-        offset = i if overhang == "soft_clip" else i - j
-    return offset, "".join(f"{k}{op}" for k, op in reversed(parts))
-
-
-def haplotype_cigar(ref: str, alt: str) -> str | None:
-    """One run for equal lengths with two mismatches or fewer, one deletion for an empty alt, else an alignment with padded ends."""
-    if not alt:
-        return f"{len(ref)}D"
-    if len(ref) == len(alt) and sum(a != b for a, b in zip(ref, alt)) <= 2:
-        return f"{len(ref)}M"
-    return align(ref, alt, NEW_SW, "indel")[1]
+def haplotype_cigars(ref: str, alts: list[str]) -> list[str]:
+    """``haplotype_cigar`` of several haplotypes of one region, aligned at once."""
+    out: dict[str, str] = {}
+    for alt in alts:
+        if not alt:
+            out[alt] = f"{len(ref)}D"
+        elif len(ref) == len(alt) and sum(a != b for a, b in zip(ref, alt)) <= 2:
+            out[alt] = f"{len(ref)}M"
+    rest = sorted({a for a in alts if a not in out})
+    out |= {alt: cigar for alt, (_, cigar) in zip(rest, align_all([(ref, alt) for alt in rest], NEW_SW, "indel"))}
+    return [out[a] for a in alts]
 
 
 def events(ref: str, hap: str, cigar: str, start: int, mnp_distance: int = 0) -> list[tuple[int, str, str]]:
@@ -510,8 +416,7 @@ def assemble(
         k += 13 + (k % 2 == 0)
         sizes = [k]
     out = []
-    for seq, score in found.items():
-        cigar = haplotype_cigar(ref, seq)
+    for (seq, score), cigar in zip(found.items(), haplotype_cigars(ref, list(found))):
         if cigar and "N" not in cigar:
             out.append((score, seq, cigar))
     out.sort(key=lambda x: (x[1] != ref, -x[0], len(x[1]), x[1]))

@@ -1124,7 +1124,7 @@ def _(s, d):
 
     def run(batches):
         for pdf in batches:
-            got = [K.align(a, b, K.NEW_SW, "indel") for a, b in zip(pdf.a, pdf.b)]
+            got = K.align_all(list(zip(pdf.a, pdf.b)), K.NEW_SW, "indel")
             yield pdf[["key"]].assign(offset=[g[0] for g in got], cigar=[g[1] for g in got])
 
     return x.mapInPandas(run, "key long, offset int, cigar string")

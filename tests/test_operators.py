@@ -148,6 +148,72 @@ def test_alignment_is_optimal():
     assert K.align("AACCGGTT", "CCGG") == (2, "4M")
 
 
+def slow_align(ref, alt, p, overhang):
+    """By the definition: every gap length is tried in every cell; the longest gap among equals."""
+    n, m = len(ref), len(alt)
+    charged = overhang in ("indel", "leading_indel")
+    if not charged and alt in ref:
+        return ref.rfind(alt), f"{m}M"
+    cost = lambda k: p[2] + p[3] * (k - 1)
+    top, way = {}, {}
+    for i, j in itertools.product(range(n + 1), range(m + 1)):
+        if not i or not j:
+            top[i, j] = cost(i + j) if charged and i + j else 0
+            continue
+        ways = [(top[i - 1, j - 1] + (p[0] if ref[i - 1] == alt[j - 1] else p[1]), 2, 1, "M")]
+        ways += [(top[i, j - k] + cost(k), 1, k, "I") for k in range(1, j + 1)]
+        ways += [(top[i - k, j] + cost(k), 0, k, "D") for k in range(1, i + 1)]
+        top[i, j], _, *way[i, j] = max(ways)
+    if overhang == "indel":
+        i, j = n, m
+    else:
+        ends = [((top[a, m], a), (a, m)) for a in range(1, n + 1)]
+        i, j = max(ends)[1]
+        if not charged:
+            a, b = max(((top[n, b], -abs(n - b), -b), (n, b)) for b in range(1, m + 1))[1]
+            if (top[a, b], -abs(a - b)) > (top[i, j], -abs(i - j)):
+                i, j = a, b
+    outer = {"soft_clip": "S", "ignore": "M"}.get(overhang, "I")
+    ops = outer * (m - j)
+    while i and j:
+        k, op = way[i, j]
+        ops = op * k + ops
+        i, j = i - k * (op != "I"), j - k * (op != "D")
+    ops = (("D" * i if charged else "") + outer * j) + ops
+    at = 0 if charged else i if overhang == "soft_clip" else i - j
+    return at, "".join(f"{len(list(g))}{op}" for op, g in itertools.groupby(ops))
+
+
+@pytest.mark.parametrize("overhang", ["soft_clip", "ignore", "indel", "leading_indel"])
+def test_alignment_against_definition(overhang):
+    rng = random.Random(7)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randrange(1, 16)))
+    pairs = [(word(x), word(x)) for x in ("AC", "ACGT") for _ in range(60)]
+    for p in (K.ORIGINAL, K.STANDARD, K.NEW_SW, RA.TO_BEST_HAPLOTYPE):
+        assert K.align_all(pairs, p, overhang, cells=2000) == [slow_align(a, b, p, overhang) for a, b in pairs]
+
+
+def test_alignment_cases():
+    assert K.align("AAAGGACTGACTG", "ACTGACTGACTG", K.ORIGINAL) == (1, "12M")
+    assert K.align("AAAGACTACTG", "AACGGACACTG", (50, -100, -220, -12)) == (1, "2M2I3M1D4M") and K.align("AAAGACTACTG", "AACGGACACTG", (200, -50, -300, -22)) == (0, "11M")
+    assert K.align("AAACCCCC", "CCCCCGGG", K.ORIGINAL) == (3, "5M3S")
+    assert K.align("TG" * 7 + "AC" + "AG" * 14 + "A", "AC" + "AG" * 24 + "A", K.STANDARD) == (14, "31M20S")
+    assert [K.align("AAACCCCC", "CCCCC", K.ORIGINAL, o) for o in ("soft_clip", "indel", "leading_indel", "ignore")] == [(3, "5M"), (0, "3D5M"), (0, "3D5M"), (3, "5M")]
+
+
+def test_alignment_edges():
+    assert K.align_all([]) == [] and K.align("ACGT", "") == (4, "") and K.align("", "ACG") == (0, "3S") and K.align("ACG", "", K.NEW_SW, "indel") == (0, "3D")
+
+
+def test_pair_hmm_in_batches():
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    pairs = [(word(rng.randrange(1, 40)), word(rng.randrange(1, 30))) for _ in range(80)] + [("", "A"), ("A", "")]
+    quals = [[rng.randrange(5, 40) for _ in r] for _, r in pairs]
+    got = K.pair_hmm_all(pairs, quals, cells=100)
+    assert np.allclose(got[:-2], [slow_hmm(h, r, q) for (h, r), q in zip(pairs[:-2], quals)], atol=1e-9) and not got[-2:].any()
+
+
 def test_assembly_finds_planted_variants():
     rng = random.Random(1)
     ref = "".join(rng.choice("ACGT") for _ in range(220))
