@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word of the contracts: a run of characters other than space and \x09-\x0D.
@@ -14,10 +14,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests), a temporary one that is set once."""
+    """The folder of ``spark.checkpoint.dir``; where it is unset on a local master (tests), a temporary one that is set once. A cluster without one is an error: its executors don't share local disks."""
     sc = spark.sparkContext
     told = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not told:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cladeframe-"))
         told = sc.getCheckpointDir()
     return told.rstrip("/")
@@ -35,18 +37,24 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def located(docs: DataFrame, rows: int, as_col: str) -> DataFrame:
-    """Adds a number for each run of ``rows`` rows in one file, the same on each read whatever the split sizes.
+def located(docs: DataFrame, rows: int, as_col: str, alone: Column | None = None) -> DataFrame:
+    """Adds a number for each run of ``rows`` rows in one file, the same on each read whatever the split sizes. Rows with ``alone`` get a number of their own.
 
     A table that is not read straight from files is first written to the shared folder."""
+
+    def numbered(d):
+        at = F.col("_metadata.row_index")
+        run = F.xxhash64("_metadata.file_path", F.floor(at / rows))
+        return d.select("*", (run if alone is None else F.when(alone, F.xxhash64("_metadata.file_path", at, F.lit(True))).otherwise(run)).alias(as_col))
+
     try:
-        out = docs.select("*", F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / rows)).alias(as_col))
+        out = numbered(docs)
         out.schema  # noqa: B018  analysis fails here if there is no file behind a row
         return out
     except Exception as e:  # noqa: BLE001
         if "_metadata" not in str(e):
             raise
-    return keep(docs, "rows").select("*", F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / rows)).alias(as_col))
+    return numbered(keep(docs, "rows"))
 
 
 def values(column: pa.Array, rows: int = 128):

@@ -1,33 +1,48 @@
 """Substring deduplication with a log-structured index of window fingerprints.
 
-A window is ``size`` consecutive words of one document. Documents are taken in blocks of consecutive rows. Each block gives a
-sorted run without repeats of its window fingerprints, cut into partitions of the fingerprint space: a fingerprint that
-a third of all windows share is sent once a block, and all others are spread evenly. A partition merge-joins its runs, those of
-the new batch with each other and with the historical runs of an index if there is one, and answers each block with
-those of its fingerprints that other runs hold too. The block adds what repeats within itself and removes the
-covered words. Runs are immutable; ``compact`` merges them.
-
-A fingerprint is 64 bits of a polynomial in the words' XXH64. Matches are verified by 32 bits of an independent polynomial
-that travel with it: windows are taken for equal if all 96 bits agree.
+A window is ``size`` consecutive words of one document. Documents are taken in blocks of consecutive rows (a long one is a block
+of its own) and in batches. A task collects the windows of its blocks and, every ``MEMTABLE`` of them, writes an immutable run: a
+file of (fingerprint, digest, holder) in order, without repeats. The holder is the one block that has the window, or none where several
+do: these are told at once, so a window that a third of all documents share is one entry a run. The fingerprint space is cut into
+slots of equal width; the manifest, a table that only committed tasks add to, says where each run keeps each slot.
+
+A merge takes one slot at a time: the parts of all historical runs and of the new ones are joined in order, equal windows are verified, and
+each block that held one alone is told that it repeats, blocks of earlier batches too. Compaction is the same join with one run as its
+result. The blocks then remove the words that their repeating windows cover.
+
+A fingerprint is 64 bits of a polynomial in the words' XXH64. It is verified by 32 bits of an independent polynomial, in runs, merges
+and answers alike: windows are taken for equal if all 96 bits agree (at 2e13 windows, 100 TB, a chance of 0.3 % that any two differ).
 """
 
 from __future__ import annotations
 
+import struct
+import uuid
+from collections import OrderedDict
+
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from .shared import Memo, keep, located, values
+from .shared import Memo, keep, located, shared_path, values
 
 SIZE = 35
-#: Rows of a block.
-ROWS = 256
+#: Rows of a block, and bytes from which a text is a block of its own.
+ROWS, LONG = 256, 1 << 16
+#: Windows of a run, and of a slot of the whole index as it is planned.
+MEMTABLE, SLOT = 1 << 21, 1 << 20
+#: Batches that ``op6`` takes the table in.
+BATCHES = 4
 
 # Odd multipliers of the two polynomials.
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
+#: The holder of a window that several blocks have: all of them are told already.
+_SHARED = -1
 
 
 class Windows:
@@ -66,83 +81,187 @@ class Windows:
         return tuple(out)
 
 
-def _shipped(size: int, parts: int):
-    """Blocks of rows (block, text) -> rows (part, block, run, digests): sorted fingerprints without repeats, and the verifying digest of each."""
+def _grouped(h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal (fingerprint, digest) together, stable, and where a new pair begins in it."""
+    order = np.argsort(h, kind="stable")
+    hs, gs = h[order], g[order]
+    same = hs[1:] == hs[:-1]
+    if (same & (gs[1:] != gs[:-1])).any():  # one fingerprint for different windows: order these by digest too
+        order = np.lexsort((g, h))
+        hs, gs = h[order], g[order]
+        same = hs[1:] == hs[:-1]
+    return order, np.concatenate(([True], ~(same & (gs[1:] == gs[:-1])))) if len(h) else np.empty(0, bool)
+
+
+def _pack(h: np.ndarray, g: np.ndarray, who: np.ndarray, blocks: np.ndarray) -> bytes:
+    """A part of a run: fingerprints in order as differences of as few bytes as the largest takes, digests, holders as places in a list of blocks."""
+    used = np.unique(who[who != _SHARED])
+    names = np.zeros(len(blocks) + 1, np.uint32)
+    names[used] = np.arange(1, len(used) + 1)
+    gaps = np.diff(h, prepend=h[:1])
+    wide = max(1, (int(gaps.max()).bit_length() + 7) // 8)
+    kind = np.uint16 if len(used) < 1 << 16 else np.uint32
+    head = struct.pack("<QQBBQ", len(h), int(h[0]), wide, kind().itemsize, len(used))
+    return b"".join((head, blocks[used].tobytes(), gaps.view(np.uint8).reshape(-1, 8)[:, :wide].tobytes(), g.tobytes(), names[who].astype(kind).tobytes()))
+
+
+def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    n, first, wide, kind, m = struct.unpack_from("<QQBBQ", raw)
+    at = struct.calcsize("<QQBBQ")
+    blocks = np.frombuffer(raw, np.int64, m, at)
+    at += 8 * m
+    gaps = np.zeros((n, 8), np.uint8)
+    gaps[:, :wide] = np.frombuffer(raw, np.uint8, n * wide, at).reshape(n, wide)
+    at += n * wide
+    g = np.frombuffer(raw, np.uint32, n, at)
+    who = np.frombuffer(raw, np.uint16 if kind == 2 else np.uint32, n, at + 4 * n).astype(np.int64) - 1
+    return np.cumsum(gaps.reshape(-1).view(np.uint64)) + np.uint64(first), g, who, blocks
+
+
+_ROWS = "slot int, file string, offset long, length long, block long, prints binary, digests binary"
+_KINDS = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+_NAMES = ["slot", "file", "offset", "length", "block", "prints", "digests"]
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [()] * len(_NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, _KINDS)], names=_NAMES)
+
+
+def _answers(who: np.ndarray, h: np.ndarray, g: np.ndarray, blocks: np.ndarray) -> list[tuple]:
+    """A row for each block with the windows that it is told of."""
+    order = np.argsort(who, kind="stable")
+    who, h, g = who[order], h[order], g[order]
+    at = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1]))) if len(who) else []
+    return [(None, None, None, None, int(blocks[who[s]]), h[s:e].tobytes(), g[s:e].tobytes()) for s, e in zip(at, [*at[1:], len(who)])]
+
+
+class _Run:
+    """A run file that is being written; slots come in order."""
+
+    def __init__(self, folder: str):
+        store, top = fs.FileSystem.from_uri(folder)
+        store.create_dir(top, recursive=True)
+        task = TaskContext.get()
+        self.name = f"{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:12]}.run"
+        self.sink, self.at = store.open_output_stream(f"{top}/{self.name}", compression=None), 0
+
+    def add(self, slot: int, raw: bytes) -> tuple:
+        self.sink.write(raw)
+        self.at += len(raw)
+        return slot, self.name, self.at - len(raw), len(raw), None, None, None
+
+
+def _spilled(folder: str, size: int, bits: int):
+    """Rows (block, text) -> manifest rows of the runs that are written, and answers to blocks whose windows repeat within a run."""
 
     def run(batches):
-        windows, cut = Windows(size), np.uint64(parts)
-        state: dict = {"block": None, "h": [], "g": [], "n": 0}
+        windows, hs, gs, whos, blocks, n = Windows(size), [], [], [], [], 0
 
         def flush():
-            if not state["n"]:
-                return
-            h, first = np.unique(np.concatenate(state["h"]), return_index=True)
-            g = (np.concatenate(state["g"])[first] >> np.uint64(32)).astype(np.uint32)
-            p = ((h * np.uint64(_BASES[1]) >> np.uint64(40)) % cut).astype(np.uint16 if parts < 1 << 16 else np.uint32)
-            order = np.argsort(p, kind="stable")
-            p, h, g = p[order], h[order], g[order]
-            at = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
-            cuts = list(zip(at.tolist(), [*at[1:].tolist(), len(p)]))
-            state.update(h=[], g=[], n=0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(p[at].astype(np.int32)), pa.array([state["block"]] * len(cuts), pa.int64()), pa.array([h[s:e].tobytes() for s, e in cuts], pa.binary()), pa.array([g[s:e].tobytes() for s, e in cuts], pa.binary())],
-                ["part", "block", "run", "digests"],
-            )
+            h, g, who, names = np.concatenate(hs), np.concatenate(gs), np.concatenate(whos), np.array(blocks, np.int64)
+            order, new = _grouped(h, g)
+            h, g, who = h[order], g[order], who[order]
+            first = np.flatnonzero(new)
+            times = np.diff(np.append(first, len(h)))
+            many = np.repeat(times > 1, times)
+            # a block is told once of a window that it holds several times
+            told = many & np.concatenate(([True], new[1:] | (who[1:] != who[:-1])))
+            answers = _answers(who[told], h[told], g[told], names)
+            h, g, who = h[first], g[first], np.where(times > 1, _SHARED, who[first])
+            cuts = np.searchsorted(h, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else []
+            sink, out = _Run(folder), []
+            for slot, (s, e) in enumerate(zip([0, *cuts], [*cuts, len(h)])):
+                if s < e:
+                    out.append(sink.add(slot, _pack(h[s:e], g[s:e], who[s:e], names)))
+            sink.sink.close()
+            for at in range(0, len(answers), 1000):
+                yield _rows(answers[at : at + 1000])
+            yield _rows(out)
 
         for b in batches:
             for block, text in zip(b.column(0).to_pylist(), values(b.column(1))):
-                if block != state["block"] or state["n"] > 1 << 22:
-                    yield from flush()
-                    state["block"] = block
                 h, g = windows((text or b"").split(), True)
-                if len(h):
-                    state["h"].append(h)
-                    state["g"].append(g)
-                    state["n"] += len(h)
-        yield from flush()
+                if not len(h):
+                    continue
+                if not blocks or blocks[-1] != block:
+                    blocks.append(block)
+                hs.append(h)
+                gs.append((g >> np.uint64(32)).astype(np.uint32))
+                whos.append(np.full(len(h), len(blocks) - 1, np.int64))
+                n += len(h)
+                if n >= MEMTABLE:
+                    yield from flush()
+                    hs, gs, whos, blocks, n = [], [], [], [], 0
+        if n:
+            yield from flush()
 
     return run
 
 
-def _shared(h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(fingerprint, digest) pairs that occur more than once, by fingerprint."""
-    order = np.argsort(h, kind="stable")
-    hs, gs = h[order], g[order]
-    same = hs[1:] == hs[:-1]
-    if (same & (gs[1:] != gs[:-1])).any():  # one fingerprint for different windows: order these by digest too
-        order = np.lexsort((g, h))
-        hs, gs = h[order], g[order]
-        same = hs[1:] == hs[:-1]
-    twice = np.flatnonzero(same & (gs[1:] == gs[:-1])) + 1
-    return hs[twice], gs[twice]
-
-
-def _merge(batches):
-    """All runs of one partition or several -> (block, shared)."""
-    tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
-    if tables:
-        yield from _merged(pa.concat_tables(tables)).to_batches()
-
-
-def _merged(table: pa.Table) -> pa.Table:
-    """For each block those of its fingerprints that another run holds, verified. Historical runs have no block."""
-    runs = [np.frombuffer(r, np.uint64) for r in table["run"].to_pylist()]
-    digests = [np.frombuffer(r, np.uint32) for r in table["digests"].to_pylist()]
-    hs, gs = _shared(np.concatenate(runs), np.concatenate(digests))
-    blocks, out = [], []
-    if len(hs):
-        for block, run, digest in zip(table["block"].to_pylist(), runs, digests):
-            if block is not None:
-                at = np.searchsorted(hs, run)
-                at[at == len(hs)] = 0
-                hit = hs[at] == run
-                wrong = np.flatnonzero(hit & (gs[at] != digest))
-                for i in wrong.tolist():  # other windows with this fingerprint may come first
-                    hit[i] = bool((gs[hs == run[i]] == digest[i]).any())
-                if hit.any():
-                    blocks.append(block)
-                    out.append(run[hit].tobytes())
-    return pa.table({"block": pa.array(blocks, pa.int64()), "shared": pa.array(out, pa.binary())})
+class _Files:
+    """Byte ranges of run files; a few files stay open."""
+
+    def __init__(self, folder: str, most: int = 128):
+        self.store, self.top = fs.FileSystem.from_uri(folder)
+        self.open, self.most = OrderedDict(), most
+
+    def read(self, name: str, offset: int, length: int) -> bytes:
+        if name not in self.open:
+            if len(self.open) >= self.most:
+                self.open.popitem(last=False)[1].close()
+            self.open[name] = self.store.open_input_file(f"{self.top}/{name}")
+        self.open.move_to_end(name)
+        return self.open[name].read_at(length, offset)
+
+
+def merged(parts: list[tuple[bool, tuple]]) -> tuple[list[tuple], tuple]:
+    """parts: (new, what ``_unpack`` gives) of one slot. Answers to the blocks that held a window alone which a new run holds too, and the one part that stands for all: (h, g, who, blocks)."""
+    blocks, place = np.unique(np.concatenate([p[3] for _, p in parts]), return_inverse=True)
+    at, whos = 0, []
+    for _, (_, _, who, names) in parts:
+        own = np.append(place[at : at + len(names)], _SHARED)
+        whos.append(own[who])
+        at += len(names)
+    h, g, who = np.concatenate([p[0] for _, p in parts]), np.concatenate([p[1] for _, p in parts]), np.concatenate(whos)
+    fresh = np.repeat([new for new, _ in parts], [len(p[0]) for _, p in parts])
+    order, new = _grouped(h, g)
+    h, g, who, fresh = h[order], g[order], who[order], fresh[order]
+    first = np.flatnonzero(new)
+    times = np.diff(np.append(first, len(h)))
+    met = (times > 1) & np.logical_or.reduceat(fresh, first)
+    told = np.repeat(met, times) & (who != _SHARED)
+    return _answers(who[told], h[told], g[told], blocks), (h[first], g[first], np.where(times > 1, _SHARED, who[first]), blocks)
+
+
+def _merge(folder: str, compact: bool):
+    """Manifest rows (slot, file, offset, length, new), ordered by slot -> answers, or the manifest of the one run that replaces all."""
+
+    def run(batches):
+        files, sink, slot, held = _Files(folder), None, None, []
+
+        def end():
+            nonlocal sink
+            parts = [(new, _unpack(files.read(f, o, n))) for f, o, n, new in held]
+            answers, one = merged(parts)
+            if compact:
+                sink = sink or _Run(folder)
+                return [sink.add(slot, _pack(*one))]
+            return answers
+
+        for b in batches:
+            for s, *part in zip(*(b.column(i).to_pylist() for i in range(5))):
+                if s != slot and held:
+                    yield _rows(end())
+                    held = []
+                slot = s
+                held.append(part)
+        if held:
+            yield _rows(end())
+        if sink is not None:
+            sink.sink.close()
+
+    return run
 
 
 def covered(repeats: np.ndarray, n: int, size: int) -> np.ndarray:
@@ -156,21 +275,35 @@ def covered(repeats: np.ndarray, n: int, size: int) -> np.ndarray:
 def _cleaned(size: int, names: list[str], text_col: str):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         windows = Windows(size)
-        words = [(t or b"").split() for t in docs[text_col].cast(pa.binary()).to_pylist()]
-        prints = [windows(w)[0] for w in words]
-        every = np.sort(np.concatenate(prints)) if prints else np.empty(0, np.uint64)
-        own = every[1:][every[1:] == every[:-1]]
-        shared = np.unique(np.concatenate([own, *(np.frombuffer(r, np.uint64) for r in answers["shared"].to_pylist())]))
+        told = [np.concatenate([np.frombuffer(r, kind) for r in answers[c].to_pylist()] or [np.empty(0, kind)]) for c, kind in (("prints", np.uint64), ("digests", np.uint32))]
+        order, new = _grouped(*told)
+        h, g = (x[order][new] for x in told)
+        twin = np.concatenate(([False], h[1:] == h[:-1])) if len(h) else np.empty(0, bool)
+        more: dict[int, set] = {}
+        for i in np.flatnonzero(twin).tolist():  # a fingerprint of different windows
+            more.setdefault(int(h[i]), set()).add(int(g[i]))
+        h, g = h[~twin], g[~twin]
+
+        def repeats(words):
+            mine = windows(words)[0] if len(h) else h
+            if not len(mine):
+                return None
+            at = np.searchsorted(h, mine)
+            at[at == len(h)] = 0
+            hit = h[at] == mine
+            if not hit.any():
+                return None
+            digest = (windows(words, True)[1] >> np.uint64(32)).astype(np.uint32)
+            same = hit & (g[at] == digest)
+            for i in np.flatnonzero(hit & ~same).tolist() if more else ():
+                same[i] = int(digest[i]) in more.get(int(mine[i]), ())
+            return same if same.any() else None
+
         kept, n_words, n_removed = [], [], []
-        for w, h in zip(words, prints):
-            gone = None
-            if len(h) and len(shared):
-                at = np.searchsorted(shared, h)
-                at[at == len(shared)] = 0
-                hit = shared[at] == h
-                if hit.any():
-                    gone = covered(hit, len(w), size)
-            left = w if gone is None else [x for x, g in zip(w, gone.tolist()) if not g]
+        for text in docs[text_col].cast(pa.binary()).to_pylist():
+            w = left = (text or b"").split()
+            if (hit := repeats(w)) is not None:
+                left = [x for x, gone in zip(w, covered(hit, len(w), size).tolist()) if not gone]
             kept.append(b" ".join(left))
             n_words.append(len(w))
             n_removed.append(len(w) - len(left))
@@ -182,71 +315,107 @@ def _cleaned(size: int, names: list[str], text_col: str):
 
 
 class FingerprintIndex:
-    """Historical runs under ``path``, a folder that all executors see: (part, run, digests) in one Parquet table for each batch."""
+    """Runs under ``path``, a folder that all executors see, in 2 ** ``bits`` slots: ``path/data`` holds their files, ``path/<number>-<batch>`` a committed manifest for each batch or compaction.
+
+    What isn't named in a committed manifest doesn't count, so tasks that were lost or repeated leave nothing behind but unread files."""
 
-    def __init__(self, spark: SparkSession, path: str, parts: int = 64):
-        self.spark, self.path, self.parts = spark, path.rstrip("/"), parts
-        self._fs = spark._jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+    def __init__(self, spark: SparkSession, path: str, bits: int = 8):
+        self.spark, self.path, self.bits = spark, path.rstrip("/"), bits
+        self.data = f"{self.path}/data"
+        self._fs = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
 
-    def tables(self) -> list[str]:
-        top = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        if not self._fs.exists(top):
+    def manifests(self) -> list[str]:
+        """Committed ones, oldest first."""
+        if not self._fs.exists(self._path("")):
             return []
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(top) if self._fs.exists(self._path(s.getPath().getName() + "/_SUCCESS")))
-
-    def runs(self) -> DataFrame | None:
-        names = self.tables()
-        return self.spark.read.schema("part int, run binary, digests binary").parquet(*[f"{self.path}/{n}" for n in names]) if names else None
-
-    def add(self, shipped: DataFrame) -> None:
-        n = int(self.tables()[-1].split("-")[1]) + 1 if self.tables() else 0
-        shipped.select("part", "run", "digests").sortWithinPartitions("part").write.mode("overwrite").parquet(f"{self.path}/runs-{n:08d}")
+        names = sorted(s.getPath().getName() for s in self._fs.listStatus(self._path("")))
+        return [n for n in names if n != "data" and self._fs.exists(self._path(f"{n}/_SUCCESS"))]
+
+    def _table(self, names: list[str]) -> DataFrame:
+        return self.spark.read.schema(_ROWS).parquet(*[f"{self.path}/{n}" for n in names])
+
+    def _commit(self, rows: DataFrame, batch: str) -> str:
+        held = self.manifests()
+        name = f"{int(held[-1].split('-')[0]) + 1 if held else 0:08d}-{batch}"
+        rows.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        return name
+
+    def _merged(self, manifest: DataFrame, compact: bool = False) -> DataFrame:
+        """A task takes slots that follow each other, one at a time. The number of tasks follows the index, not the manifest's few bytes."""
+        tasks = min(1 << self.bits, max(self.spark.sparkContext.defaultParallelism, (1 << self.bits) // 4))
+        dealt = manifest.repartitionById(tasks, F.floor(F.col("slot") * tasks / (1 << self.bits)).cast("int")).sortWithinPartitions("slot", "file", "offset")
+        return dealt.select("slot", "file", "offset", "length", "new").mapInArrow(_merge(self.data, compact), _ROWS)
+
+    def absorb(self, rows: DataFrame, size: int, batch: str) -> DataFrame:
+        """rows: (block, text) of a batch. Its runs join the index; returns the answers (block, prints, digests) that it gives, to its own blocks and to those of earlier batches.
+
+        A batch that is absorbed again replaces its own runs, if these aren't compacted yet."""
+        if batch == "compact" or not batch.replace("_", "").isalnum():
+            raise ValueError("a batch is named by letters, digits and underscores")
+        if self._fs.exists(self._path(f"data/compacted-{batch}")):
+            raise ValueError(f"batch {batch} is compacted already")
+        was = [n for n in self.manifests() if n.split("-", 1)[1] == batch]
+        old = [n for n in self.manifests() if n not in was]
+        name = self._commit(rows.mapInArrow(_spilled(self.data, size, self.bits), _ROWS), batch)
+        for n in was:
+            self._fs.delete(self._path(n), True)
+        new = self._table([name])
+        every = new.where("file is not null").withColumn("new", F.lit(True))
+        if old:
+            every = every.unionByName(self._table(old).where("file is not null").withColumn("new", F.lit(False)))
+        told = self._merged(every).unionByName(new.where("block is not null"))
+        return keep(told.select("block", "prints", "digests"), "answers")
 
     def compact(self) -> None:
-        """Merges all runs into one for each partition; the old ones go when the new ones are written."""
-        old = self.tables()
+        """Merges all runs into one for each range of slots; the old ones go when the new manifest is written."""
+        old = self.manifests()
         if len(old) < 2:
             return
+        held = self._table(old).where("file is not null")
+        gone = [r.file for r in held.select("file").distinct().toLocalIterator()]
+        self._commit(self._merged(held.withColumn("new", F.lit(False)), compact=True), "compact")
+        for n in old:
+            self._fs.create(self._path(f"data/compacted-{n.split('-', 1)[1]}"), True).close()
+            self._fs.delete(self._path(n), True)
+        for f in gone:
+            self._fs.delete(self._path(f"data/{f}"), False)
 
-        def one(table: pa.Table) -> pa.Table:
-            h = np.concatenate([np.frombuffer(r, np.uint64) for r in table["run"].to_pylist()])
-            g = np.concatenate([np.frombuffer(r, np.uint32) for r in table["digests"].to_pylist()])
-            order = np.lexsort((g, h))
-            h, g = h[order], g[order]
-            new = np.concatenate(([True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])))
-            return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()), "run": pa.array([h[new].tobytes()], pa.binary()), "digests": pa.array([g[new].tobytes()], pa.binary())})
-
-        self.add(self.runs().groupBy("part").applyInArrow(one, "part int, run binary, digests binary"))
-        for name in old:
-            self._fs.delete(self._path(name), True)
+    def drop(self) -> None:
+        self._fs.delete(self._path(""), True)
 
 
-def remove_repeats(docs: DataFrame, size: int = SIZE, text_col: str = "text", index: FingerprintIndex | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = SIZE, text_col: str = "text", index: FingerprintIndex | None = None, batch: str | None = None, batches: int = 1) -> DataFrame:
     """``docs`` with the text's kept words joined by one space, n_words and n_removed.
 
     A word goes if a window that covers it has a word sequence that starts anywhere else: in the same document, another one of ``docs``,
-    or, with an index, an earlier batch. The batch's own runs are then added to the index; documents of earlier batches aren't changed.
+    or, with an index, an earlier batch of it. ``docs`` is then ``batch`` of that index; documents of earlier batches aren't changed. Without an index one is
+    made for this call: ``docs`` enters it in ``batches`` batches, the index is compacted half-way, and documents of all batches are judged by all.
     Null text and texts shorter than a window: nothing is removed; null text gives an empty one. Repeated rows are documents of their own, so
     their windows repeat. Empty table: no rows. Columns n_words and n_removed of ``docs`` are replaced.
     """
     spark = docs.sparkSession
-    parts = index.parts if index else int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.drop("n_words", "n_removed")
-    rows = located(docs, ROWS, "__cf_block")
-    shipped = rows.select("__cf_block", F.col(text_col).cast("string")).mapInArrow(_shipped(size, parts), "part int, block long, run binary, digests binary")
-    every = shipped
-    if index:
-        every = shipped = keep(shipped, "runs")
-        if (old := index.runs()) is not None:
-            every = shipped.unionByName(old.select("part", F.lit(None).cast("long").alias("block"), "run", "digests"))
-    # each partition of the fingerprint space is one task's: hashing their numbers would put several into some tasks
-    dealt = every.repartitionById(parts, F.col("part"))
-    answers = keep(dealt.mapInArrow(_merge, "block long, shared binary"), "answers")
+    rows = located(docs, ROWS, "__cf_block", F.octet_length(F.col(text_col).cast("string")) >= LONG)
+    texts = rows.select("__cf_block", F.col(text_col).cast("string"))
     if index:
-        index.add(shipped)
+        if not batch:
+            raise ValueError("a batch of an index has a name")
+        answers = index.absorb(texts, size, batch)
+    else:
+        # a word and its space take four bytes or more, but for rare texts, whose slots are larger then
+        windows = (texts.agg(F.sum(F.octet_length(text_col))).first()[0] or 0) // 4
+        index = FingerprintIndex(spark, shared_path(spark, "fingerprints"), min(20, max(4, (windows // SLOT).bit_length())))
+        answers = None
+        for k in range(batches):
+            own = texts.where(F.pmod(F.col("__cf_block"), F.lit(batches)) == k) if batches > 1 else texts
+            told = index.absorb(own, size, f"part{k}")
+            answers = told if answers is None else answers.unionByName(told)
+            if k + 1 == batches // 2:
+                index.compact()
+        index.drop()
     fields = [T.StructField(f.name, T.StringType() if f.name == text_col else f.dataType) for f in docs.schema]
     schema = T.StructType([*fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
     left = rows.groupBy("__cf_block")
@@ -254,5 +423,5 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, text_col: str = "text", in
 
 
 def repeats_report(docs: DataFrame) -> DataFrame:
-    out = remove_repeats(docs.select("doc_id", "text"))
+    out = remove_repeats(docs.select("doc_id", "text"), batches=BATCHES)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

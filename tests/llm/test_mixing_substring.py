@@ -4,6 +4,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cladeframe.llm import mixing as M
@@ -101,33 +102,98 @@ def test_substrings_match_brute_force(spark, tmp_path):
     assert S.repeats_report(docs.limit(0)).count() == 0
 
 
-def test_shared_fingerprints_are_verified():
-    h, g = np.array([5, 5, 5, 7, 7, 9], np.uint64), np.array([1, 2, 1, 3, 4, 6], np.uint32)
-    a, b = S._shared(h, g)
-    assert a.tolist() == [5] and b.tolist() == [1]
+def test_batches_meet_history(spark, tmp_path):
+    texts = corpus()
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(9).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    for batches in (1, 2, 5):
+        got = {r.doc_id: r.n_removed for r in S.remove_repeats(docs, batches=batches).collect()}
+        assert got == {i: w[1] for i, w in enumerate(brute(texts, 35))}
+
+
+def test_parts_of_runs_round_trip():
+    rng = np.random.default_rng(3)
+    for n, m in ((1, 1), (1000, 7), (5000, 70000)):
+        h = np.sort(rng.integers(0, 1 << 63, n, np.uint64))
+        g, who, blocks = rng.integers(0, 1 << 32, n, np.uint32), rng.integers(-1, m, n), rng.integers(-(1 << 62), 1 << 62, m)
+        h2, g2, who2, blocks2 = S._unpack(S._pack(h, g, who, blocks))
+        assert (h2 == h).all() and (g2 == g).all() and ((who2 == -1) == (who == -1)).all() and (blocks2[who2[who2 >= 0]] == blocks[who[who >= 0]]).all()
+
+
+def part(new, *rows):
+    """rows: (fingerprint, digest, block or None)."""
+    blocks = sorted({b for *_, b in rows if b is not None})
+    who = [blocks.index(b) if b is not None else -1 for *_, b in rows]
+    return new, (np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.uint32), np.array(who), np.array(blocks, np.int64))
+
+
+def test_merge_verifies_and_tells_holders():
+    parts = [part(False, (5, 1, 100), (6, 1, None), (7, 3, 100), (9, 6, 200)), part(False, (9, 6, 300)), part(True, (5, 2, 400), (6, 1, 400), (7, 3, 500), (8, 8, 400))]
+    answers, (h, g, who, blocks) = S.merged(parts)
+    told = {(r[4], *x) for r in answers for x in zip(np.frombuffer(r[5], np.uint64).tolist(), np.frombuffer(r[6], np.uint32).tolist())}
+    # 5 is two windows of one fingerprint; 9 met among older runs, which was told then
+    assert told == {(400, 6, 1), (100, 7, 3), (500, 7, 3)}
+    assert list(zip(h.tolist(), g.tolist(), [None if w < 0 else int(blocks[w]) for w in who])) == [(5, 1, 100), (5, 2, 400), (6, 1, None), (7, 3, None), (8, 8, 400), (9, 6, None)]
+
+
+def test_digests_decide_where_fingerprints_clash(tmp_path, monkeypatch):
     import pyarrow as pa
 
-    runs = [([5, 7], [1, 3]), ([5, 7], [2, 4]), ([5, 9], [1, 6]), ([9], [6])]
-    t = pa.table({"block": [0, 1, 2, None], "run": [np.array(r, np.uint64).tobytes() for r, _ in runs], "digests": [np.array(d, np.uint32).tobytes() for _, d in runs]})
-    out = S._merged(t).to_pylist()
-    assert {o["block"]: np.frombuffer(o["shared"], np.uint64).tolist() for o in out} == {0: [5], 2: [5, 9]}
+    class Few(S.Windows):
+        """All windows share eight fingerprints."""
+
+        def __call__(self, words, second=False):
+            h, *g = super().__call__(words, second)
+            return (h & np.uint64(7 << 61), *g)
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = taskAttemptId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(S, "Windows", Few)
+    monkeypatch.setattr(S, "TaskContext", Task)
+    monkeypatch.setattr(S, "MEMTABLE", 700)
+    texts = corpus()
+    rows = [pa.RecordBatch.from_arrays([pa.array([i // 8 for i in range(len(texts))], pa.int64()), pa.array(texts)], ["block", "text"])]
+    out = pa.Table.from_batches(list(S._spilled(str(tmp_path), 35, 4)(rows)))
+    manifest, answers = out.filter(pa.compute.is_valid(out["file"])), out.filter(pa.compute.is_valid(out["block"]))
+    manifest = manifest.select(["slot", "file", "offset", "length"]).append_column("new", pa.array([True] * len(manifest))).sort_by("slot")
+    answers = pa.concat_tables([answers, pa.Table.from_batches(list(S._merge(str(tmp_path), False)(manifest.to_batches())))])
+    got = []
+    for k in range(0, len(texts), 8):
+        mine = answers.filter(pa.compute.equal(answers["block"], k // 8))
+        got += S._cleaned(35, ["text"], "text")(pa.table({"text": pa.array(texts[k : k + 8])}), mine)["n_removed"].to_pylist()
+    assert len(set(manifest["file"].to_pylist())) > 3 and got == [w[1] for w in brute(texts, 35)]
+
+
+def test_long_texts_are_blocks_of_their_own(spark, tmp_path):
+    long = " ".join(f"x{i}" for i in range(30000))
+    texts = ["a b c", long, "a b c", f"z {long}", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    got = {r.doc_id: r.n_removed for r in S.remove_repeats(spark.read.parquet(str(tmp_path / "d"))).collect()}
+    assert got == {0: 0, 1: 30000, 2: 0, 3: 30000, 4: 0}
 
 
 def test_incremental_index(spark, tmp_path):
     texts = corpus()
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    index = S.FingerprintIndex(spark, str(tmp_path / "index"), parts=8)
-    for k in range(3):
-        batch = docs.where(F.col("doc_id") % 3 == k)
-        got = {r.doc_id: r.n_removed for r in S.remove_repeats(batch, index=index).select("doc_id", "n_removed").collect()}
-        seen = [t for i, t in enumerate(texts) if i % 3 < k]
-        mine = [(i, t) for i, t in enumerate(texts) if i % 3 == k]
-        want = brute(seen + [t for _, t in mine], 35)[len(seen) :]
-        assert got == {i: w[1] for (i, _), w in zip(mine, want)}
-        if k == 1:
-            assert len(index.tables()) == 2
+    index = S.FingerprintIndex(spark, str(tmp_path / "index"))
+    for k in range(4):
+        batch = docs.where(F.col("doc_id") % 4 == k)
+        seen = [t for i, t in enumerate(texts) if i % 4 < k]
+        mine = [(i, t) for i, t in enumerate(texts) if i % 4 == k]
+        want = {i: w[1] for (i, _), w in zip(mine, brute(seen + [t for _, t in mine], 35)[len(seen) :])}
+        for _ in range(1 + (k == 3)):  # a batch that comes again replaces its runs
+            got = {r.doc_id: r.n_removed for r in S.remove_repeats(batch, index=index, batch=f"b{k}").select("doc_id", "n_removed").collect()}
+            assert got == want
+        if k % 2:
+            assert len(index.manifests()) == (2 if k == 1 else 3)
             index.compact()
-            assert len(index.tables()) == 1
+            assert len(index.manifests()) == 1
+    with pytest.raises(ValueError):
+        S.remove_repeats(batch, index=index, batch="b3")
+    index.drop()
+    assert index.manifests() == []
 
 
 def test_columns_pass_through(spark):
