@@ -51,7 +51,7 @@ def test_stages_against_brute_force(spark, tmp_path):
                 root = {k: low if v == high else v for k, v in root.items()}
     assert set(seen[1]) == set(root.values())
     table = decontam.Table([(0, item)])
-    assert set(seen[2]) == {i for i in seen[1] if not table.matches(left[i][1], decontam.Canon(), 0.8)}
+    assert set(seen[2]) == {i for i in seen[1] if not table.matches(left[i][1], decontam.Canon())}
     assert set(seen[3]) == set(seen[2])
     for i, r in seen[3].items():
         assert r[1] == (None if left[i][1] is None else re.sub("token=abcdefghijklmnop", "[REDACTED]", left[i][1])) and (r[4] == len(r[1]) if r[1] is not None else True)

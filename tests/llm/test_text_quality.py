@@ -1,7 +1,9 @@
 import random
+import re
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cladeframe.llm import decontam as D
@@ -142,3 +144,125 @@ def test_partial_variant_before_a_leak_does_not_hide_it(spark):
     _, _, got = run(spark, texts, [ITEM, twice])
     assert set(got) == {(i, 0) for i in range(9)} | {(9, 1), (10, 1)}
     assert [got[i, 0].bindings for i in (0, 3, 6)] == ["", "", ""] and all(got[i, 0].matched == got[i, 0].windows for i in range(9))
+
+
+def told(text):
+    """(template, plain, exact) words, without hashes or tables: what the docstring says."""
+    out, ended, after = [], True, False
+    for raw in (text or "").split():
+        word = re.sub(r"^[\W_]+|[\W_]+$", "", raw)
+        if not word:
+            continue
+        low = word.lower()
+        number = bool(re.fullmatch(r"[+-]?\d[\d.,:/]*(st|nd|rd|th|[a-z]{1,3})?", low))
+        name = not number and len(word) > 1 and word[0].isupper() and word[1:].islower() and not ended
+        unit = not number and low in D.UNITS and after
+        out.append(("<unit>" if unit else "<name>" if name else "<number>" if number else low, "<number>" if number else low, low))
+        ended, after = bool(re.search(r"[.!?:][\"')\]»”]*$", raw)), number
+    return out
+
+
+def leaks(item, text, share=0.8):
+    """By brute force: some stretch of one and a half items holds 0.8 of the item's windows under one binding of its values; every way to bind them is tried."""
+    a, b = told(item), told(text)
+    n = len(a) - 4
+    if n < 1:
+        whole = [w[2] for w in b]
+        return len(a) > 2 and any(whole[p : p + len(a)] == [w[2] for w in a] for p in range(len(b))) or 0 < len(a) < 3 and whole == [w[2] for w in a]
+    slots = ("<number>", "<name>", "<unit>")
+
+    def meet(p, o):
+        x, y = a[o : o + 5], b[p : p + 5]
+        bare, numbers = all(w[0] in slots for w in x), all(w[1] == "<number>" for w in x)
+        same = [all(u[k] == v[k] for u, v in zip(x, y)) for k in range(3)]
+        return 2 if (same[0] and not bare) or (same[1] and not numbers) or (same[2] and numbers) else 1 if same[0] and bare else 0
+
+    met = {(p, o): k for p in range(len(b) - 4) for o in range(n) if (k := meet(p, o))}
+    lines = {p - o for (p, o), k in met.items() if k == 2}
+    pairs = sorted(w for w, k in met.items() if k == 2 or w[0] - w[1] in lines)
+    values = {(p, o): {(a[o + j][2], b[p + j][2]) for j in range(5) if a[o + j][0] in slots} for p, o in pairs}
+    fits = lambda have, more: all((x == u) == (y == v) for x, y in have for u, v in more)
+    reach = len(a) + max(5, len(a) // 2)
+
+    def search(rest, have, offsets, literal):
+        if len(offsets) >= share * n and (literal >= 3 or all(x == y for x, y in have)):
+            return True
+        if len(offsets | {o for _, o in rest}) < share * n:
+            return False
+        for i, w in enumerate(rest):
+            if not fits(values[w], values[w]) or not fits(have, values[w]):
+                continue
+            more = offsets | {w[1]}
+            held = len({o + j for o in more for j in range(5) if a[o + j][0] not in slots})
+            if search(rest[i + 1 :], have | values[w], more, held):
+                return True
+            if all(fits(values[w], values[x]) for x in rest[i + 1 :]):
+                return False
+        return False
+
+    return any(search([w for w in pairs if p <= w[0] <= p + reach], set(), set(), 0) for p in sorted({p for p, _ in pairs}))
+
+
+def question(rng):
+    words, names, out = [f"q{i}" for i in range(60)], ["Anna", "Ben", "Carla", "Dmitri", "Elena", "Farid"], ["Why"]
+    for _ in range(rng.randrange(8, 26)):
+        kind = rng.random()
+        out += [str(rng.randrange(2, 60)), rng.choice(["km", "dollars", "apples", "hours"])] if kind < 0.15 else [rng.choice(names)] if kind < 0.25 else [rng.choice(words)]
+    return " ".join(out) + "?"
+
+
+def varied(item, rng, consistent=True):
+    """New values for numbers and names, one for each old one; or one of them changed again where it occurs next."""
+    new: dict[str, str] = {}
+    fresh = iter(rng.sample(range(61, 999), 60))
+    out = []
+    for w in item.split():
+        core = w.strip("?")
+        if core.isdigit() or core in ("Anna", "Ben", "Carla", "Dmitri", "Elena", "Farid"):
+            if core not in new or not consistent:
+                new[core] = str(next(fresh)) if core.isdigit() else "N" + "".join(rng.choice("abcdefgh") for _ in range(6))
+            w = w.replace(core, new[core])
+        out.append(w)
+    return " ".join(out)
+
+
+def test_query_against_brute_force(spark, tmp_path):
+    from cladeframe.llm import entry
+
+    rng = random.Random(21)
+    filler = lambda n: " ".join(f"word{rng.randrange(3000)}" for _ in range(n))
+    items = [question(rng) for _ in range(40)] + ["What is photosynthesis?", "Name three noble gases", "Yes", None, "", "a b"]
+    texts, planted = [None, "", "Yes", "yes and no", "so what is photosynthesis? it is", "what is a photosynthesis", "a b", "a b c"], []
+    for k, x in enumerate(items[:40]):
+        planted.append((len(texts), k))
+        texts.append(f"{filler(40)} {varied(x, rng)} {filler(40)}")
+        w = x.split()
+        cut = rng.randrange(len(w) // 2, len(w))
+        texts.append(f"{filler(10)} {' '.join(w[:cut])} {filler(10)}")
+        texts.append(f"{filler(10)} {varied(' '.join(w[: cut + 1]), rng)} {varied(x, rng, consistent=False)}")
+        texts.append(f"{filler(10)} {varied(' '.join(w[:6]), rng)} {x} {filler(3)} {varied(x, rng)}")
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id) for r in entry.op8_decontamination(spark, str(tmp_path)).collect()}
+    want = {(i, k) for i, t in enumerate(texts) for k, x in enumerate(items) if leaks(x, t)}
+    # nothing that brute force doesn't find; of what it finds the orders of binding that are tried may miss some
+    assert got <= want and len(got) >= 0.98 * len(want)
+    assert len(set(planted) & got) >= 0.9 * len(planted) and {(2, 42), (4, 40), (6, 45)} <= got and len(want) > 100
+
+
+def test_windows_that_all_items_share(spark):
+    rng = random.Random(2)
+    items = [f"How much does it cost to send {rng.randrange(99)} parcels of kind{i} to town{i} and of sort{i} to place{i} in year{i}?" for i in range(300)]
+    texts = [items[7], varied(items[9], rng), "How much does it cost to send 4 parcels of " * 200, f"{'How much does it cost to send 4 parcels of ' * 50} {items[11]}"]
+    _, _, got = run(spark, texts, items)
+    assert set(got) == {(0, 7), (1, 9), (3, 11)}
+
+
+def test_clashing_names_and_string_ids(spark):
+    docs = spark.createDataFrame([("a", ITEM, 1, "x"), (None, ITEM, 2, "y"), ("a", ITEM, 1, "x"), ("b", "nothing " * 30000, 3, None)], "doc_id string, text string, item_id int, matched string")
+    bench = spark.createDataFrame([("q1", ITEM, 1), (None, ITEM, 2), ("q1", ITEM, 3)], "item_id string, text string, doc_id int")
+    out = D.contaminated(docs, bench)
+    assert sorted((r.doc_id or "", r.item_id or "") for r in out.collect()) == sorted([(d, i) for d in ("a", "", "a") for i in ("q1", "", "q1")])
+    assert [tuple(r) for r in D.without_leaks(docs, bench).collect()] == [tuple(r) for r in docs.where("doc_id = 'b'").collect()]
+    with pytest.raises(ValueError):
+        D.contaminated(docs, bench, id_col="item_id")
