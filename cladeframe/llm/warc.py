@@ -23,8 +23,8 @@ from .shared import keep, shared_path
 
 #: Payloads under this many bytes are never revisited.
 LEAST = 1000
-#: Bytes after which a new file begins, of one read at most, and of a gap that a read may run over.
-FILE, READ, GAP = 256 << 20, 8 << 20, 64 << 10
+#: Bytes after which a new file begins, of one read at most, of a gap that a read may run over, and that a reading task gets.
+FILE, READ, GAP, TASK = 256 << 20, 8 << 20, 64 << 10, 64 << 20
 _DATE = "1970-01-01T00:00:00Z"
 _ID, _NO_ID = 0x7061676500004000, 0x6E6F706167654000
 
@@ -166,8 +166,14 @@ def _read(folder: str):
 
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
-    """The records of the given rows of the index: page_id, payload_bytes, payload_digest, record_type, refers_to, url, payload (null for revisits)."""
-    placed = index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    """The records of the given rows of the index: page_id, payload_bytes, payload_digest, record_type, refers_to, url, payload (null for revisits).
+
+    Archives are cut into stretches of ``READ`` bytes; a stretch's records are one task's, read in one piece. Tasks follow the bytes of the records, not those of the index.
+    One row per row of the index: a record named twice is read twice. Records of any length are read whole. An empty index: no rows. Other columns of the index aren't used.
+    """
+    size = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-size // TASK))
+    placed = index.select("file", "offset", "length").repartition(tasks, "file", F.floor(F.col("offset") / READ)).sortWithinPartitions("file", "offset")
     return placed.mapInArrow(_read(folder), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
 
 
