@@ -94,20 +94,31 @@ def targets(totals: DataFrame, weights=WEIGHTS, most: int = MOST, share: float =
     """totals: (source, source_size). Adds target. Sources by code point, null last, weigh ``weights``, repeating, and share
     ``share`` of all sizes. A target stops at ``most`` times its source's size; the excess goes to the others by weight until none is above.
 
-    That fixed point is min(most * size, level * weight) with one level for all. One row per source passes through one task.
+    That fixed point is min(most * size, level * weight) with one level for all. The level rises from the one that no stop would give; each round takes out the
+    sources that stop below it, by one aggregation. Ranks come from a sort by ranges and the sizes of earlier ranges, so no task sees all sources.
+    Null sizes count as 0; sources must not repeat. Empty table: no rows.
     """
-    order = Window.orderBy(F.asc_nulls_last("source"))
-    at = F.row_number().over(order) - 1
-    w = F.element_at(F.array(*[F.lit(float(v)) for v in weights]), (at % len(weights) + 1).cast("int"))
-    t = totals.withColumn("w", w).withColumn("cap", F.col("source_size") * float(most)).withColumn("fills", F.col("cap") / F.col("w"))
-    every = Window.partitionBy()
-    low = Window.orderBy("fills").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    t = t.withColumn("all_w", F.sum("w").over(every)).withColumn("total", F.sum("source_size").over(every) * share)
-    t = t.withColumn("full", F.sum("cap").over(low) + F.col("fills") * (F.col("all_w") - F.sum("w").over(low)) <= F.col("total"))
-    free_w = F.sum(F.when(~F.col("full"), F.col("w"))).over(every)
-    used = F.coalesce(F.sum(F.when(F.col("full"), F.col("cap"))).over(every), F.lit(0.0))
-    t = t.withColumn("level", (F.col("total") - used) / free_w)
-    return t.select("source", "source_size", F.when(F.col("full"), F.col("cap")).otherwise(F.least("cap", F.col("level") * F.col("w"))).alias("target"))
+    placed = totals.select("source", F.coalesce("source_size", F.lit(0)).alias("source_size")).orderBy(F.asc_nulls_last("source")).withColumn("at", F.monotonically_increasing_id())
+    placed = keep(placed, "ordered-sources")
+    part = F.shiftright("at", 33)
+    before, seen = [], 0
+    for p, n in sorted(map(tuple, placed.groupBy(part.alias("p")).count().collect())):  # a row for each range of sources
+        before.append((p, seen - (p << 33)))
+        seen += n
+    first = placed.sparkSession.createDataFrame(before, "p long, shift long")
+    t = placed.join(F.broadcast(first), part == F.col("p"))
+    w = F.element_at(F.array(*[F.lit(float(v)) for v in weights]), ((F.col("at") + F.col("shift")) % len(weights) + 1).cast("int"))
+    t = t.select("source", "source_size", w.alias("w"), (F.col("source_size") * float(most)).alias("cap"))
+    stop = F.col("cap") / F.col("w")
+    total, free = t.agg(F.sum("source_size") * share, F.sum("w")).first()
+    level = total / free if free else 0.0
+    while free:
+        used, free = t.agg(F.sum(F.when(stop <= level, F.col("cap")).otherwise(0.0)), F.sum(F.when(stop > level, F.col("w")).otherwise(0.0))).first()
+        higher = (total - used) / free if free else level
+        if higher <= level:
+            break
+        level = higher
+    return t.select("source", "source_size", F.least("cap", F.lit(float(level)) * F.col("w")).alias("target"))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, share: float = 1.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK) -> DataFrame:
@@ -153,7 +164,9 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: ``docs`` with ``copies``, without the documents that it leaves out; each is to be read ``copies`` times."""
+    """The mix itself: ``docs`` with ``copies``, without the documents that it leaves out; each is to be read ``copies`` times.
+
+    A column ``copies`` of ``docs`` is replaced, others pass through. Nulls, repeated rows, sizes and the empty table: see ``mix``."""
     id_col, text_col, source_col = how.get("id_col", "doc_id"), how.get("text_col", "text"), how.get("source_col", "source")
     m = mix(docs, **how).where("copies > 0")
     # rows that agree in id, source and size are interchangeable; where there are any, numbers on both sides give each its own draw
