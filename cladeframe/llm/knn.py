@@ -98,11 +98,16 @@ def fold(id_col: str) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = MOST_LABELLED) -> Model:
-    """Learns from rows of labels whose ``fold`` isn't 0. Rows without label or document don't count; of labels that contradict each other the mean does, rounded."""
+    """Learns from rows of labels whose ``fold`` isn't 0. Rows without label or document don't count; of labels that contradict each other the mean does, rounded.
+
+    One text counts for each id, of texts that share one the one with the least features, so ``most`` rows at most reach the driver, however often ids repeat. Null and empty texts have no features, but their label counts.
+    No labels or no documents: every score is 0.5. Other columns of ``docs`` and ``labels``, whatever their names, aren't used."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col) != 0)).groupBy(id_col).agg(F.round(F.avg(label_col)).cast("double").alias("label"))
     chosen = known.orderBy(F.xxhash64(id_col), id_col).limit(most).select(F.col(id_col).alias("__cf_id"), "label")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("__cf_id")).select("id", "text", "label")
-    got = sorted((r["id"], bytes(r["x"]), r["label"]) for r in rows.mapInArrow(_featured, "id long, x binary, label double").collect())
+    kind = rows.schema["id"].dataType.simpleString()
+    once = rows.mapInArrow(_featured, f"id {kind}, x binary, label double").groupBy("id").agg(F.min("x").alias("x"), F.min("label").alias("label"))
+    got = sorted((r["id"], bytes(r["x"]), r["label"]) for r in once.collect())
     size = WORDS + SHAPES
     y = np.array([r[2] for r in got], np.float64)
     if not got:
