@@ -29,6 +29,10 @@ MOST_ERRORS, LEAST_FRAMES = 0.25, 32
 PHASES = 4
 #: Recordings rendered at once.
 BATCH = 64
+#: Runs of one key that a task joins.
+HOT = 100_000
+#: Values up to which the table of hot ones is broadcast: 16 MB. Frames transformed at once.
+_FEW, _AT_ONCE = 1_000_000, 4096
 _WIDTH = 16
 _STEPS = (-0.35, 0.0, 0.35)
 
@@ -72,58 +76,93 @@ def pcm(data: bytes | None) -> tuple[np.ndarray, int]:
         return np.empty(0, np.float32), RATE
 
 
+def _power(samples: np.ndarray, n: int, rate: int) -> np.ndarray:
+    """Pitch classes of the n frames, each of about unit length, zero where there is no sound."""
+    window, to = _classes(rate)
+    frames = np.lib.stride_tricks.sliding_window_view(samples, FRAME)[::HOP][:n]
+    out = np.empty((n, 12))
+    for s in range(0, n, _AT_ONCE):
+        power = np.abs(np.fft.rfft(frames[s : s + _AT_ONCE] * window, axis=1)).astype(np.float32) ** 2 @ to
+        out[s : s + _AT_ONCE] = power / (np.sqrt((power**2).sum(axis=1, keepdims=True)) + 1e-6)
+    return out
+
+
 def fingerprint(samples: np.ndarray, rate: int) -> np.ndarray:
-    """A uint32 for each frame that has a full stretch after it; empty for recordings that are too short."""
+    """A uint32 for each frame that has a full stretch after it, 0 where that is silent; empty for recordings that are too short."""
     n = (len(samples) - FRAME) // HOP + 1
     if n < _WIDTH:
         return np.empty(0, np.uint32)
-    window, to = _classes(rate)
-    frames = np.lib.stride_tricks.sliding_window_view(samples, FRAME)[::HOP][:n]
-    power = np.abs(np.fft.rfft(frames * window, axis=1)).astype(np.float32) ** 2 @ to
-    power /= np.sqrt((power**2).sum(axis=1, keepdims=True)) + 1e-6
-    image = np.zeros((n + 1, 13), np.float32)
-    np.cumsum(np.cumsum(power, axis=0), axis=1, out=image[1:, 1:])
+    image = np.zeros((n + 1, 13))
+    np.cumsum(np.cumsum(_power(samples, n, rate), axis=0), axis=1, out=image[1:, 1:])
     m = n - _WIDTH + 1
     out = np.zeros(m, np.uint32)
     area = lambda a, b, c, d: image[b : b + m, d] - image[a : a + m, d] - image[b : b + m, c] + image[a : a + m, c]
     for rects in _FILTERS:
         plus = sum(area(a, b, c, d) for s, a, b, c, d in rects if s > 0)
         minus = sum(area(a, b, c, d) for s, a, b, c, d in rects if s < 0)
-        level = np.searchsorted(_STEPS, np.log1p(plus) - np.log1p(minus)).astype(np.uint32)
+        level = np.searchsorted(_STEPS, np.log1p(np.maximum(plus, 0)) - np.log1p(np.maximum(minus, 0))).astype(np.uint32)
         out = out << np.uint32(2) | (level ^ level >> np.uint32(1))  # Gray code: neighbouring levels differ in one bit
+    out[area(0, _WIDTH, 0, 12) < 1e-3] = 0
     return out
 
 
 def align(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[int, int]:
-    """Frames that a and b share when frame i of a lies on frame i - offset of b, and their differing bits."""
+    """Frames with sound that a and b share when frame i of a lies on frame i - offset of b, and their differing bits."""
     s, e = max(0, offset), min(len(a), len(b) + offset)
-    return (0, 0) if e <= s else (e - s, int(np.bitwise_count(a[s:e] ^ b[s - offset : e - offset]).sum()))
+    if e <= s:
+        return 0, 0
+    x, y = a[s:e], b[s - offset : e - offset]
+    heard = (x != 0) & (y != 0)
+    return int(heard.sum()), int(np.bitwise_count((x ^ y)[heard]).sum())
+
+
+def keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of two neighbouring integers (one alone is shared by chance too often), as runs: value, first frame and length. A held tone is one run. Silence gives none."""
+    if len(prints) < 2:
+        return np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
+    value = (prints[:-1].astype(np.uint64) << np.uint64(32) | prints[1:]).view(np.int64)
+    heard = (prints[:-1] != 0) & (prints[1:] != 0)
+    first = np.flatnonzero(np.concatenate(([True], (value[1:] != value[:-1]) | (heard[1:] != heard[:-1]))))
+    long = np.diff(np.append(first, len(value)))
+    on = heard[first]
+    return value[first][on], first[on].astype(np.int32), long[on].astype(np.int32)
+
+
+def _listed(parts: list[list[tuple[np.ndarray, ...]] | None], names: list[str]) -> pa.Array:
+    """A list of structs for each row, null for None; a row's parts are tuples of arrays of one length."""
+    kinds = [np.int64] + [np.int32] * (len(names) - 1)
+    flat = [np.concatenate([x[k] for row in parts for x in row or ()] or [np.empty(0, kind)]).astype(kind) for k, kind in enumerate(kinds)]
+    ends = np.cumsum([0, *(sum(len(x[0]) for x in row or ()) for row in parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(f) for f in flat], names=names), mask=pa.array([row is None for row in parts]))
 
 
 def _printed(batches):
     for b in batches:
-        prints, phases = [], []
+        prints, index, asked = [], [], []
         for x, q in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
             samples, rate = pcm(x)
-            prints.append(fingerprint(samples, rate).view(np.int32))
-            phases.append([fingerprint(samples[k * HOP // PHASES :], rate).view(np.int32) for k in range(1, PHASES)] if q else None)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.list_(pa.int32())), b.column(2), pa.array(phases, pa.list_(pa.list_(pa.int32())))], names=["id", "print", "q", "phases"])
+            own = fingerprint(samples, rate)
+            prints.append(own.view(np.int32))
+            index.append([keys(own)])
+            later = [own] + [fingerprint(samples[k * HOP // PHASES :], rate) for k in range(1, PHASES)] if q else []
+            asked.append([(*got, np.full(len(got[0]), k)) for k, p in enumerate(later) for got in [keys(p)]] if q else None)
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.list_(pa.int32())), b.column(2), _listed(index, ["value", "at", "n"]), _listed(asked, ["value", "at", "n", "phase"])], names=["id", "print", "q", "keys", "asked"])
 
 
 def audio_fingerprints(media: DataFrame, id_col: str, audio_col: str, is_query: Column) -> DataFrame:
-    """(id, print, q, phases): print is array<int>, empty where there is no readable audio; q is ``is_query``, false where that is null; phases are the
-    prints of a query from later starts within the first hop, null for other rows. One row per input row."""
+    """(id, print, q, keys, asked): print is array<int>, empty where there is no readable audio; q is ``is_query``, false where that is null; keys are those of the
+    print, asked those of a query from all starts within the first hop, null for other rows. One row per input row."""
     rows = media.select(F.col(id_col).cast("long").alias("id"), F.col(audio_col).alias("audio"), F.coalesce(is_query, F.lit(False)).alias("q"))
-    return rows.mapInArrow(_printed, "id long, print array<int>, q boolean, phases array<array<int>>")
+    return rows.mapInArrow(_printed, "id long, print array<int>, q boolean, keys array<struct<value:long,at:int,n:int>>, asked array<struct<value:long,at:int,n:int,phase:int>>")
 
 
 def _aligned(batches):
     names = ["q", "c", "offset", "errors", "frames"]
     for b in batches:
         out = []
-        for q, c, offsets, x, y in zip(*(b.column(i).to_pylist() for i in range(5))):
+        for q, c, spans, x, y in zip(*(b.column(i).to_pylist() for i in range(5))):
             x, y, best = np.array(x, np.int32).view(np.uint32), np.array(y, np.int32).view(np.uint32), None
-            for o in sorted({f for at in offsets for f in (at // HOP, -(-at // HOP))}):
+            for o in sorted({o for s in spans for o in range(s["low"], s["high"] + 1 + (s["phase"] > 0))}):
                 n, bad = align(x, y, o)
                 if n >= LEAST_FRAMES and bad <= MOST_ERRORS * 32 * n:
                     of = (bad / n, -n, abs(o), o, bad, n)
@@ -134,27 +173,35 @@ def _aligned(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=names)
 
 
-def match_recordings(media: DataFrame, is_query: Column, id_col: str, audio_col: str) -> DataFrame:
+def _met(asked: DataFrame, index: DataFrame, most: int) -> DataFrame:
+    """Joins both by value. A value that more than ``most`` runs of the index hold is dealt to several tasks: its runs by their class, the queries to each of them."""
+    hot = keep(index.groupBy("value").agg(F.ceil(F.count("*") / most).alias("parts")).where("parts > 1"), "hot")
+    hot = F.broadcast(hot) if hot.count() <= _FEW else hot
+    parts = F.coalesce("parts", F.lit(1))
+    index = index.join(hot, "value", "left").withColumn("part", F.pmod(F.xxhash64("c"), parts)).drop("parts")
+    asked = asked.join(hot, "value", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("parts")
+    return asked.join(index, ["value", "part"])
+
+
+def match_recordings(media: DataFrame, is_query: Column, id_col: str, audio_col: str, most: int = HOT) -> DataFrame:
     """(id, class_id, frames, is_query, matches), one row per input row.
 
     Recordings with equal fingerprints are one class, named by its smallest id. For rows with ``is_query`` matches is an
     array<struct<class_id, offset, errors, frames>> of all other classes that align with theirs, ordered by class_id; for other rows it is null.
-    Offsets are in frames; a copy cut between two frames takes the frame with fewer errors.
-    Null or unreadable audio: no frames, class_id null, no matches. A null id counts only where a class has no other.
+    Offsets are in frames; a copy cut between two frames takes the frame with fewer errors; of tied offsets the one with more frames counts, then the one nearest to 0.
+    Frames of silence match nothing. Null, unreadable or too short audio: no frames, class_id null, no matches. A null id counts only where a class has no other.
+    Repeated rows repeat. Recordings of any length are printed whole. Empty table: no rows. Other columns are left out, whatever their names.
     """
     prints = keep(audio_fingerprints(media, id_col, audio_col, is_query), "prints")
     some = F.size("print") > 0
     heard = prints.where(some).withColumn("digest", F.sha2(F.array_join(F.transform("print", lambda x: x.cast("string")), ","), 256))
-    classes = keep(heard.groupBy("digest").agg(F.min("id").alias("class_id"), F.max("q").alias("asks"), F.first("print").alias("print"), F.max("phases").alias("phases")).where("class_id is not null"), "classes")
-    # the key is two neighbouring integers: one alone is shared by chance too often
-    paired = lambda p: F.expr(f"transform(slice({p}, 1, greatest(size({p}) - 1, 0)), (x, i) -> shiftleft(cast(x as bigint), 32) | (cast({p}[i + 1] as bigint) & 4294967295L))")
-    index = classes.select(F.col("class_id").alias("c"), F.posexplode(paired("print")).alias("c_at", "value"))
-    asked = classes.where("asks").select(F.col("class_id").alias("q"), F.posexplode(F.concat(F.array("print"), F.coalesce("phases", F.array().cast("array<array<int>>")))).alias("phase", "part"))
-    asked = asked.select("q", "phase", F.posexplode(paired("part")).alias("q_at", "value"))
-    # offsets in samples: phases lie between frames
-    votes = asked.join(index, "value").where("q != c")
-    # every offset that a key proposes is judged: held tones and silence may outvote the true one
-    best = votes.groupBy("q", "c").agg(F.collect_set((F.col("q_at") - F.col("c_at")) * HOP + F.col("phase") * (HOP // PHASES)).alias("offsets"))
+    classes = keep(heard.groupBy("digest").agg(F.min("id").alias("class_id"), F.max("q").alias("asks"), F.first("print").alias("print"), F.first("keys").alias("keys"), F.max("asked").alias("asked")).where("class_id is not null"), "classes")
+    index = classes.select(F.col("class_id").alias("c"), F.inline("keys").alias("value", "c_at", "c_n"))
+    asked = classes.where("asks").select(F.col("class_id").alias("q"), F.inline("asked").alias("value", "q_at", "q_n", "phase"))
+    votes = _met(asked, index, most).where("q != c")
+    # two runs of one key propose all offsets at which they touch; each is judged: held tones may outvote the true one
+    span = F.struct((F.col("q_at") - F.col("c_at") - F.col("c_n") + 1).alias("low"), (F.col("q_at") - F.col("c_at") + F.col("q_n") - 1).alias("high"), "phase")
+    best = votes.groupBy("q", "c").agg(F.collect_set(span).alias("offsets"))
     of = classes.select("class_id", "print")
     both = best.join(of.select(F.col("class_id").alias("q"), F.col("print").alias("x")), "q").join(of.select(F.col("class_id").alias("c"), F.col("print").alias("y")), "c")
     found = both.select("q", "c", "offsets", "x", "y").mapInArrow(_aligned, "q long, c long, offset int, errors int, frames int")

@@ -139,3 +139,53 @@ def test_true_offset_is_found_beside_held_tones(spark):
     (m,) = next(r.matches for r in A.match_recordings(media, F.col("vec_id") == 0, "vec_id", "audio").collect() if r.vec_id == 0) or [None]
     every = [(bad / n, o) for o in range(-len(q), len(p)) for n, bad in [A.align(p, q, o)] if n >= A.LEAST_FRAMES]
     assert m.errors / m.frames == min(every)[0] and m.offset == min(every)[1]
+
+
+def test_keys_are_runs():
+    p = np.array([7, 7, 7, 0, 9, 9, 8, 8, 8], np.uint32)
+    v, at, n = A.keys(p)
+    pair = lambda a, b: a << 32 | b
+    assert list(zip(v.tolist(), at.tolist(), n.tolist())) == [(pair(7, 7), 0, 2), (pair(9, 9), 4, 1), (pair(9, 8), 5, 1), (pair(8, 8), 6, 2)]
+    assert all(len(x) == 0 for x in A.keys(p[:1])) and A.align(p, p, 0) == (8, 0)
+
+
+def test_silence_held_tones_and_hot_keys(spark):
+    rng = np.random.default_rng(9)
+
+    def wav(x):
+        buf = io.BytesIO()
+        with wave.open(buf, "wb") as w:
+            w.setparams((1, 2, A.RATE, 0, "NONE", ""))
+            w.writeframes((np.clip(x, -1, 1) * 30000).astype("<i2").tobytes())
+        return bytearray(buf.getvalue())
+
+    quiet = np.zeros(60 * A.HOP, np.float32)
+    tunes = [A.pcm(A.melody(rng.normal(0, 0.12, 40)))[0] for _ in range(12)]
+    rows = [(i, wav(np.concatenate([quiet, x, quiet]))) for i, x in enumerate(tunes)]
+    rows += [(100 + i, wav(np.concatenate([quiet, quiet, x[: 30 * 512]]))) for i, x in enumerate(tunes)]
+    rows += [(200, wav(quiet)), (201, wav(np.concatenate([quiet, quiet])))]
+    tone = 0.5 * np.sin(2 * np.pi * 440 * np.arange(200 * A.HOP) / A.RATE)
+    rows += [(300 + i, wav(np.concatenate([tone, x]))) for i, x in enumerate(tunes[:4])]
+    media = spark.createDataFrame([(i, a, "x", 0) for i, a in rows], "vec_id long, audio binary, q string, frames int")
+    got = {r.vec_id: r for r in A.match_recordings(media, F.col("vec_id") < 400, "vec_id", "audio").collect()}
+    salted = {r.vec_id: r for r in A.match_recordings(media, F.col("vec_id") < 400, "vec_id", "audio", most=3).collect()}
+    assert salted == got
+    for i in range(12):
+        assert 100 + i in {m.class_id for m in got[i].matches} and not {m.class_id for m in got[i].matches} & {200, 201}
+    assert got[200].matches == [] and got[201].matches == []
+    # the held tone is common to these recordings: 32 frames and more, at some offset
+    assert all({300 + j for j in range(4) if j != i} <= {m.class_id for m in got[300 + i].matches} for i in range(4))
+
+
+def test_long_recordings_and_pages(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    x = A.pcm(A.melody(rng.normal(0, 0.12, 4000)))[0]
+    whole = A.fingerprint(x, A.RATE)
+    part = A.fingerprint(x[3000 * A.HOP :], A.RATE)
+    n, bad = A.align(whole, part, 3000)
+    assert n == len(part) > 4000 and bad == 0
+    pages = spark.createDataFrame([(1, None, "x" * 3_000_000, 5), (2, "u" * 5000, "é" * 500, 6), (2, "u", "é" * 500, 7), (3, "u", "é" * 500, 8), (None, "v", None, 9)], "page_id long, url string, html string, offset int")
+    index = W.write_archives(pages, str(tmp_path / "w"))
+    got = sorted(((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to) for r in W.read_records(index.unionByName(index.where("page_id = 1")), str(tmp_path / "w")).collect()), key=str)
+    assert got == sorted([(1, 3_000_000, "response", None)] * 2 + [(2, 1000, "revisit", 3)] * 2 + [(3, 1000, "response", None), (0, 0, "response", None)], key=str)
+    assert W.read_records(index.limit(0), str(tmp_path / "w")).count() == 0
