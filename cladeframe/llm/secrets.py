@@ -1,12 +1,13 @@
 """Secret scans over a trigram inverted index, with DataFrame functions only.
 
-1. Each rule's regular expression is parsed and turned into a Boolean query of trigrams that every match must hold.
-2. One pass posts (trigram, document) for the trigrams that some query names; the postings are written, ordered by trigram.
-3. A rule's postings are intersected and united as its query says. What is left is its candidates.
+1. The index posts every distinct trigram of every text: (gram, file, row), ordered by gram within each task's file. Nothing is shuffled, and
+   a gram's postings are differences of a byte or two. It doesn't depend on the rules; one index serves any number of rule sets.
+2. Each rule's regular expression is parsed and turned into a Boolean query of trigrams that every match must hold.
+3. The postings of the trigrams that a query names are read, then intersected and united as it says. What is left is the rule's candidates.
 4. Candidates are verified with the regular expression. A rule without mandatory trigrams scans every document.
 
-Text is read twice and shuffled once, in the join of candidates with texts; where the candidates are small enough for
-``spark.sql.autoBroadcastJoinThreshold`` (their size is known: they are a written table) Spark broadcasts them instead.
+A gram is 32 bits of a hash of three characters, A-Z lower-cased: two that clash can only add candidates. Candidates are joined to the texts by the
+place of the row, (file, row); where they are small enough for ``spark.sql.autoBroadcastJoinThreshold`` (they are a written table) Spark broadcasts them.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import keep
+from .shared import keep, located
 
 
 @dataclass(frozen=True)
@@ -56,6 +57,11 @@ def trigram_query(regex: str) -> frozenset[frozenset[str]] | None:
     return frozenset(t for t in terms if not any(o < t for o in terms))  # absorption
 
 
+def _low(c: str) -> str:
+    """As the index lower-cases: A-Z only."""
+    return c.lower() if c.isascii() else c
+
+
 def _of_strings(strings: set[str]) -> set[frozenset[str]] | None:
     return {frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in strings} if strings and all(len(s) >= 3 for s in strings) else None
 
@@ -87,10 +93,10 @@ def _walk(nodes) -> tuple[set[str] | None, set[frozenset[str]] | None]:
 
 def _node(op, arg):
     if op is sc.LITERAL:
-        return {chr(arg).lower()}, None
+        return {_low(chr(arg))}, None
     if op is sc.IN:
         if all(kind is sc.LITERAL for kind, _ in arg):
-            return {chr(x).lower() for _, x in arg}, None
+            return {_low(chr(x)) for _, x in arg}, None
         return None, None
     if op is sc.SUBPATTERN:
         return _walk(arg[3])
@@ -132,22 +138,51 @@ def _found(text: Column, rule: Rule, order: int) -> Column:
     return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
 
 
-def build_index(docs: DataFrame, rules: tuple[Rule, ...], key: Column, text: Column) -> DataFrame:
-    """The written postings (trigram, doc) of all documents, for the trigrams that the rules' queries name."""
-    named = sorted({t for r in rules for term in (trigram_query(r.regex) or ()) for t in term})
-    low = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    rows = docs.select(key.alias("doc"), low.alias("low")).select("doc", F.explode(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in named])).alias("trigram"))
-    return keep(rows.where("trigram is not null").select("trigram", "doc").sortWithinPartitions("trigram", "doc"), "postings")
+#: Named trigrams up to which the index is asked by a list of them.
+_FEW = 10_000
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    """Adds __cf_file and __cf_row, the place of each row. A table that is not read straight from files is first written to the shared folder."""
+    return located(docs, {"__cf_file": F.xxhash64("_metadata.file_path"), "__cf_row": F.col("_metadata.row_index")})
+
+
+def _lower(text: Column) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _gram(trigram: Column) -> Column:
+    return F.hash(trigram)
+
+
+def build_index(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The written postings (gram, file, row) of all trigrams of all whole texts of ``docs``, a table read from files. Null and shorter texts have none."""
+    return _posted(_placed(docs), text_col)
+
+
+def _posted(placed: DataFrame, text_col: str) -> DataFrame:
+    # a look-ahead gives the trigram at each place in one pass
+    grams = F.array_distinct(F.regexp_extract_all(_lower(F.col(text_col).cast("string")), F.lit("(?s)(?=(...))"), F.lit(1)))
+    rows = placed.select(F.explode(grams).alias("t"), F.col("__cf_file").alias("file"), F.col("__cf_row").alias("row")).select(_gram(F.col("t")).alias("gram"), "file", "row")
+    # version 2 of the format keeps ordered numbers as differences
+    return keep(rows.sortWithinPartitions("gram", "row"), "postings", {"parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary": "false"})
 
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """(doc, rules): bit i is set if the document satisfies the query of rule i. Rules that scan everything are not in it."""
-    named = sorted({t for r in rules for term in (trigram_query(r.regex) or ()) for t in term})
-    # two longs hold the trigrams of up to 126 places; more rules take more longs
-    words = [named[i : i + 63] for i in range(0, len(named), 63)]
-    place = {t: (w, i) for w, ts in enumerate(words) for i, t in enumerate(ts)}
-    bits = [F.bit_or(F.coalesce(*[F.when(F.col("trigram") == t, F.lit(1 << i)) for i, t in enumerate(ts)], F.lit(0)).cast("long")).alias(f"w{w}") for w, ts in enumerate(words)]
-    held = index.groupBy("doc").agg(*bits)
+    """(file, row, rules): the places of the rules whose query the row satisfies. Rules that scan everything are not in it."""
+    queries = [trigram_query(r.regex) for r in rules]
+    named = sorted({t for q in queries for term in (q or ()) for t in term})
+    spark = index.sparkSession
+    grams = [r[0] for r in spark.createDataFrame([(t,) for t in named], "t string").select(_gram(F.col("t"))).collect()] if named else []
+    # words of 63 bits hold the trigrams, as many as the rules name
+    words = [list(zip(named, grams))[i : i + 63] for i in range(0, len(named), 63)]
+    place = {t: (w, i) for w, ts in enumerate(words) for i, (t, _) in enumerate(ts)}
+    if len(named) <= _FEW:
+        asked = index.where(F.col("gram").isin(grams))
+    else:
+        asked = index.join(F.broadcast(spark.createDataFrame([(g,) for g in sorted(set(grams))], "gram int")), "gram")
+    bits = [F.bit_or(sum((F.when(F.col("gram") == g, F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, g) in enumerate(ts)), F.lit(0)).cast("long")).alias(f"w{w}") for w, ts in enumerate(words)]
+    held = asked.groupBy("file", "row").agg(*bits) if bits else asked.select("file", "row").where("false")
 
     def has(term):
         masks = [0] * len(words)
@@ -160,37 +195,39 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
                 out = out & (F.col(f"w{w}").bitwiseAND(F.lit(m)) == F.lit(m))
         return out
 
-    hit = F.lit(0)
-    for i, r in enumerate(rules):
-        if (q := trigram_query(r.regex)) is not None:
+    met = []
+    for i, q in enumerate(queries):
+        if q is not None:
             any_of = F.lit(False)
             for term in sorted(q, key=sorted):
                 any_of = any_of | has(term)
-            hit = hit + F.when(any_of, F.lit(1 << i)).otherwise(F.lit(0))
-    return held.select("doc", hit.alias("rules")).where("rules != 0")
+            met.append(F.when(any_of, F.lit(i)))
+    hit = F.filter(F.array(*met), lambda x: x.isNotNull()) if met else F.array().cast("array<int>")
+    return held.select("file", "row", hit.alias("rules")).where(F.size("rules") > 0)
 
 
-def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, id_col: str = "doc_id", text_col: str = "text", out: str = "secret_spans") -> DataFrame:
+def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, text_col: str = "text", out: str = "secret_spans", index: DataFrame | None = None) -> DataFrame:
     """``docs`` with ``out``: array<struct<start, kind, end>> ordered by start, then the rule's place (kind); code points, end exclusive.
 
-    Null text: no spans. Null or repeated ids: each row is judged by its own text. Empty table: no rows. Other columns pass through
-    (a column named ``out`` is replaced). Spans of different rules may overlap; those of one rule don't.
+    ``index`` is what ``build_index`` gave for these very files; without it one is built. Null, empty and very long texts: none, none, all spans.
+    Null or repeated ids: each row is judged by its own text. Empty table: no rows. Other columns pass through, whatever their names
+    (a column named ``out`` is replaced). Spans of different rules may overlap; those of one rule don't. Any number of rules.
     """
+    placed = _placed(docs)
+    index = _posted(placed, text_col) if index is None else index
+    found = keep(candidates(index, rules), "candidates").select(F.col("file").alias("__cf_file"), F.col("row").alias("__cf_row"), F.col("rules").alias("__cf_rules"))
+    joined = placed.join(found, ["__cf_file", "__cf_row"], "left")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    key = F.xxhash64(F.col(id_col), F.col(text_col))  # rows that share it share their postings, which can only add candidates
-    index = build_index(docs, rules, key, text)
-    cands = keep(candidates(index, rules), "candidates").select(F.col("doc").alias("__cf_key"), F.col("rules").alias("__cf_rules"))
-    joined = docs.withColumn("__cf_key", key).join(cands, "__cf_key", "left")
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     each = []
     for i, r in enumerate(rules):
         spans = _found(text, r, i)
-        each.append(spans if trigram_query(r.regex) is None else F.when(F.col("__cf_rules").bitwiseAND(F.lit(1 << i)) != 0, spans).otherwise(none))
-    return joined.withColumn(out, F.array_sort(F.concat(*each))).drop("__cf_key", "__cf_rules")
+        each.append(spans if trigram_query(r.regex) is None else F.when(F.array_contains("__cf_rules", i), spans).otherwise(none))
+    return joined.withColumn(out, F.array_sort(F.concat(*each))).drop("__cf_file", "__cf_row", "__cf_rules")
 
 
 def redact(docs: DataFrame, spans: str = "secret_spans", text_col: str = "text", mark: str = "[REDACTED]") -> DataFrame:
-    """Replaces each span (overlapping ones together) with ``mark``; null text stays null."""
+    """Replaces each span (overlapping ones together) with ``mark``. Null text stays null, a row without spans (or with null) as it is; other columns pass through."""
     text = F.col(text_col)
 
     def step(acc, s):
@@ -210,7 +247,7 @@ def spans_text(spans: Column, rules: tuple[Rule, ...]) -> Column:
 def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: counts of the base kinds, a digest of the base spans and all spans."""
     rules = BASE + MORE
-    found = scan_secrets(docs.select(id_col, text_col), rules, id_col, text_col, "__cf_spans")
+    found = scan_secrets(docs.select(id_col, text_col), rules, text_col, "__cf_spans")
     spans = F.col("__cf_spans")
     count = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long")
     base = F.filter(spans, lambda s: s["kind"] < len(BASE))

@@ -29,32 +29,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: its lineage ends there, and a lost executor costs no recomputation of what lies before."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def located(docs: DataFrame, rows: int, as_col: str, alone: Column | None = None) -> DataFrame:
-    """Adds a number for each run of ``rows`` rows in one file, the same on each read whatever the split sizes. Rows with ``alone`` get a number of their own.
+def located(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds ``columns``, expressions of ``_metadata``: the same on each read, whatever the split sizes.
 
     A table that is not read straight from files is first written to the shared folder."""
-
-    def numbered(d):
-        at = F.col("_metadata.row_index")
-        run = F.xxhash64("_metadata.file_path", F.floor(at / rows))
-        return d.select("*", (run if alone is None else F.when(alone, F.xxhash64("_metadata.file_path", at, F.lit(True))).otherwise(run)).alias(as_col))
-
     try:
-        out = numbered(docs)
+        out = docs.select("*", *[c.alias(name) for name, c in columns.items()])
         out.schema  # noqa: B018  analysis fails here if there is no file behind a row
         return out
     except Exception as e:  # noqa: BLE001
         if "_metadata" not in str(e):
             raise
-    return numbered(keep(docs, "rows"))
+    return keep(docs, "rows").select("*", *[c.alias(name) for name, c in columns.items()])
 
 
 def values(column: pa.Array, rows: int = 128):

@@ -398,7 +398,9 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, text_col: str = "text", in
     """
     spark = docs.sparkSession
     docs = docs.drop("n_words", "n_removed")
-    rows = located(docs, ROWS, "__cf_block", F.octet_length(F.col(text_col).cast("string")) >= LONG)
+    at = F.col("_metadata.row_index")
+    alone = F.octet_length(F.col(text_col).cast("string")) >= LONG
+    rows = located(docs, {"__cf_block": F.when(alone, F.xxhash64("_metadata.file_path", at, F.lit(True))).otherwise(F.xxhash64("_metadata.file_path", F.floor(at / ROWS)))})
     texts = rows.select("__cf_block", F.col(text_col).cast("string"))
     if index:
         if not batch:

@@ -61,3 +61,22 @@ def test_plan_is_native(spark):
     docs = spark.createDataFrame([(1, "token=abcdefghijklmnop")], "doc_id long, text string")
     plan = S.secret_report(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_one_index_serves_new_and_many_rules(spark, tmp_path):
+    rows = [(i, f"{'x ' * (i % 7)}Marke{i:03d}\U0001f600 \u00c9t\u00e9{i % 5} key{i % 9}=ZZ", "f") for i in range(100)] + [(5, None, "f"), (6, "\u00e9t", "f"), (None, "Marke007 " * 5000, "f")]
+    spark.createDataFrame(rows, "doc_id long, text string, __cf string").repartition(3).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    index = S.build_index(docs)
+    for rules in ([S.Rule(f"r{i}", f"Marke{i:03d}") for i in range(100)], [S.Rule("accents", "\u00c9t\u00e9[13]"), S.Rule("all", "[Z]{2}"), S.Rule("none", "qqq")]):
+        queries = [S.trigram_query(r.regex) for r in rules]
+        assert queries[0] is not None
+        got = S.scan_secrets(docs, tuple(rules), index=index).collect()
+        assert len(got) == len(rows) and got[0].__fields__ == [*docs.columns, "secret_spans"]
+        for r in got:
+            want = sorted((m.start(), k, m.end()) for k, rule in enumerate(rules) for m in re.finditer(rule.regex, r.text or ""))
+            assert [tuple(x) for x in r.secret_spans] == want
+    few = S.candidates(index, (S.Rule("a", "Marke042"), S.Rule("b", "Marke043")))
+    assert sorted(r.rules for r in few.collect()) == [[0], [1]]
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and S.candidates(index, (S.Rule("hex", "[0-9a-f]{16,}"),)).count() == 0
