@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import keep
+from .shared import keep, values
 
 RATE = 4000
 FRAME, HOP = 1024, 256
@@ -27,7 +27,7 @@ FRAME, HOP = 1024, 256
 MOST_ERRORS, LEAST_FRAMES = 0.25, 32
 #: Starts within a hop at which queries are printed: a copy cut anywhere is at most an eighth of a hop from one.
 PHASES = 4
-#: Recordings rendered at once.
+#: Recordings rendered or printed at once.
 BATCH = 64
 #: Runs of one key that a task joins.
 HOT = 100_000
@@ -137,9 +137,9 @@ def _listed(parts: list[list[tuple[np.ndarray, ...]] | None], names: list[str])
 
 
 def _printed(batches):
-    for b in batches:
+    for b in (whole.slice(s, BATCH) for whole in batches for s in range(0, whole.num_rows, BATCH)):
         prints, index, asked = [], [], []
-        for x, q in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+        for x, q in zip(values(b.column(1)), b.column(2).to_pylist()):
             samples, rate = pcm(x)
             own = fingerprint(samples, rate)
             prints.append(own.view(np.int32))
@@ -158,7 +158,7 @@ def audio_fingerprints(media: DataFrame, id_col: str, audio_col: str, is_query:
 
 def _aligned(batches):
     names = ["q", "c", "offset", "errors", "frames"]
-    for b in batches:
+    for b in (whole.slice(s, 1000) for whole in batches for s in range(0, whole.num_rows, 1000)):
         out = []
         for q, c, spans, x, y in zip(*(b.column(i).to_pylist() for i in range(5))):
             x, y, best = np.array(x, np.int32).view(np.uint32), np.array(y, np.int32).view(np.uint32), None

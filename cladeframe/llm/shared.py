@@ -52,7 +52,7 @@ def located(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 def values(column: pa.Array, rows: int = 128):
-    """The bytes of a text column, a few rows at a time, so that a batch isn't held twice; Arrow's freed memory is given back at its end."""
+    """The bytes of a text or binary column, a few rows at a time, so that a batch isn't held twice; Arrow's freed memory is given back at its end."""
     raw = column.cast(pa.binary())
     for s in range(0, len(raw), rows):
         yield from raw.slice(s, rows).to_pylist()
