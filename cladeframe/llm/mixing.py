@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import WORD, keep
+from .shared import WORD, free, keep
 
 #: Documents of one block. A block is one Arrow group of (id hash, size, probability).
 BLOCK = 4_000
@@ -163,18 +163,19 @@ def mix_report(docs: DataFrame) -> DataFrame:
     return m.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "source", "copies")
 
 
-def mixed_documents(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: ``docs`` with ``copies``, without the documents that it leaves out; each is to be read ``copies`` times.
+def mixed_documents(docs: DataFrame, out: str = "copies", **how) -> DataFrame:
+    """The mix itself: ``docs`` with ``out``, without the documents that it leaves out; each is to be read so many times.
 
-    A column ``copies`` of ``docs`` is replaced, others pass through. Nulls, repeated rows, sizes and the empty table: see ``mix``."""
+    A column named ``out`` is replaced, others pass through. Nulls, repeated rows, sizes and the empty table: see ``mix``."""
     id_col, text_col, source_col = how.get("id_col", "doc_id"), how.get("text_col", "text"), how.get("source_col", "source")
     m = mix(docs, **how).where("copies > 0")
     # rows that agree in id, source and size are interchangeable; where there are any, numbers on both sides give each its own draw
-    keys = ["__cf_h", "__cf_s"]
-    drawn = m.select(F.col("h").alias("__cf_h"), F.xxhash64(F.lit(7), "source").alias("__cf_s"), "copies")
-    own = docs.drop("copies").withColumn("__cf_h", F.xxhash64(F.col(id_col), word_count(F.col(text_col)))).withColumn("__cf_s", F.xxhash64(F.lit(7), F.col(source_col)))
+    hashed, sourced, numbered = free(docs, "__cf_h", "__cf_s", "__cf_n")
+    keys = [hashed, sourced]
+    drawn = m.select(F.col("h").alias(hashed), F.xxhash64(F.lit(7), "source").alias(sourced), F.col("copies").alias(out))
+    own = docs.drop(out).withColumn(hashed, F.xxhash64(F.col(id_col), word_count(F.col(text_col)))).withColumn(sourced, F.xxhash64(F.lit(7), F.col(source_col)))
     if drawn.groupBy(*keys).count().where("count > 1").limit(1).count():
-        drawn = drawn.withColumn("__cf_n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("copies"))))
-        own = own.withColumn("__cf_n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(text_col))))
-        keys = [*keys, "__cf_n"]
-    return own.join(drawn.hint("shuffle_hash"), keys).drop("__cf_h", "__cf_s", "__cf_n")
+        drawn = drawn.withColumn(numbered, F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(out))))
+        own = own.withColumn(numbered, F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(text_col))))
+        keys = [*keys, numbered]
+    return own.join(drawn.hint("shuffle_hash"), keys).drop(hashed, sourced, numbered)

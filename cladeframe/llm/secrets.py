@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import keep, located
+from .shared import free, keep, located
 
 
 @dataclass(frozen=True)
@@ -142,9 +142,9 @@ def _found(text: Column, rule: Rule, order: int) -> Column:
 _FEW = 10_000
 
 
-def _placed(docs: DataFrame) -> DataFrame:
-    """Adds __cf_file and __cf_row, the place of each row. A table that is not read straight from files is first written to the shared folder."""
-    return located(docs, {"__cf_file": F.xxhash64("_metadata.file_path"), "__cf_row": F.col("_metadata.row_index")})
+def _placed(docs: DataFrame, file: str, row: str) -> DataFrame:
+    """Adds the place of each row. A table that is not read straight from files is first written to the shared folder."""
+    return located(docs, {file: F.xxhash64("_metadata.file_path"), row: F.col("_metadata.row_index")})
 
 
 def _lower(text: Column) -> Column:
@@ -157,13 +157,15 @@ def _gram(trigram: Column) -> Column:
 
 def build_index(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The written postings (gram, file, row) of all trigrams of all whole texts of ``docs``, a table read from files. Null and shorter texts have none."""
-    return _posted(_placed(docs), text_col)
+    text = F.col(text_col).cast("string").alias("text")
+    return _posted(_placed(docs, *(names := free(docs, "__cf_file", "__cf_row"))).select(text, *[F.col(n).alias(k) for n, k in zip(names, ("file", "row"))]))
 
 
-def _posted(placed: DataFrame, text_col: str) -> DataFrame:
+def _posted(placed: DataFrame) -> DataFrame:
+    """placed: (text, file, row)."""
     # a look-ahead gives the trigram at each place in one pass
-    grams = F.array_distinct(F.regexp_extract_all(_lower(F.col(text_col).cast("string")), F.lit("(?s)(?=(...))"), F.lit(1)))
-    rows = placed.select(F.explode(grams).alias("t"), F.col("__cf_file").alias("file"), F.col("__cf_row").alias("row")).select(_gram(F.col("t")).alias("gram"), "file", "row")
+    grams = F.array_distinct(F.regexp_extract_all(_lower(F.col("text")), F.lit("(?s)(?=(...))"), F.lit(1)))
+    rows = placed.select(F.explode(grams).alias("t"), "file", "row").select(_gram(F.col("t")).alias("gram"), "file", "row")
     # version 2 of the format keeps ordered numbers as differences
     return keep(rows.sortWithinPartitions("gram", "row"), "postings", {"parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary": "false"})
 
@@ -213,17 +215,18 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, text_co
     Null or repeated ids: each row is judged by its own text. Empty table: no rows. Other columns pass through, whatever their names
     (a column named ``out`` is replaced). Spans of different rules may overlap; those of one rule don't. Any number of rules.
     """
-    placed = _placed(docs)
-    index = _posted(placed, text_col) if index is None else index
-    found = keep(candidates(index, rules), "candidates").select(F.col("file").alias("__cf_file"), F.col("row").alias("__cf_row"), F.col("rules").alias("__cf_rules"))
-    joined = placed.join(found, ["__cf_file", "__cf_row"], "left")
+    file, row, met = free(docs, "__cf_file", "__cf_row", "__cf_rules")
+    placed = _placed(docs, file, row)
+    index = _posted(placed.select(F.col(text_col).cast("string").alias("text"), F.col(file).alias("file"), F.col(row).alias("row"))) if index is None else index
+    found = keep(candidates(index, rules), "candidates").select(F.col("file").alias(file), F.col("row").alias(row), F.col("rules").alias(met))
+    joined = placed.join(found, [file, row], "left")
     text = F.coalesce(F.col(text_col), F.lit(""))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     each = []
     for i, r in enumerate(rules):
         spans = _found(text, r, i)
-        each.append(spans if trigram_query(r.regex) is None else F.when(F.array_contains("__cf_rules", i), spans).otherwise(none))
-    return joined.withColumn(out, F.array_sort(F.concat(*each))).drop("__cf_file", "__cf_row", "__cf_rules")
+        each.append(spans if trigram_query(r.regex) is None else F.when(F.array_contains(met, i), spans).otherwise(none))
+    return joined.withColumn(out, F.array_sort(F.concat(*each))).drop(file, row, met)
 
 
 def redact(docs: DataFrame, spans: str = "secret_spans", text_col: str = "text", mark: str = "[REDACTED]") -> DataFrame:

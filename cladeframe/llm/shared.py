@@ -51,6 +51,17 @@ def located(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return keep(docs, "rows").select("*", *[c.alias(name) for name, c in columns.items()])
 
 
+def free(docs: DataFrame, *names: str) -> list[str]:
+    """Each name, or with as many underscores after it as it takes to differ from all columns of ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def values(column: pa.Array, rows: int = 128):
     """The bytes of a text or binary column, a few rows at a time, so that a batch isn't held twice; Arrow's freed memory is given back at its end."""
     raw = column.cast(pa.binary())

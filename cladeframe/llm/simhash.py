@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_digest
 
-from .shared import keep, values
+from .shared import free, keep, values
 
 RADIUS = 3
 _SHINGLES = 1 << 16  # counted at once
@@ -227,19 +227,20 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
 def keep_rows(docs: DataFrame, prints: DataFrame, of: DataFrame, own_print, id_col: str, text_col: str) -> DataFrame:
     """``keep_one`` for rows ``prints`` (id, fp), fingerprints ``of`` (fp, root, component_id), and the function from a text's bytes to its signed fp."""
     mine = prints.join(of, "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
-    chosen = keep(mine.groupBy("root").agg(F.min(F.struct("id", "fp")).alias("x")).select(F.col("x.id").alias("__cf_id"), F.col("x.fp").alias("__cf_fp")), "chosen")
+    named, texted, made_col, told = free(docs, "__cf_id", "__cf_text", "__cf_own", "__cf_fp")
+    chosen = keep(mine.groupBy("root").agg(F.min(F.struct("id", "fp")).alias("x")).select(F.col("x.id").alias(named), F.col("x.fp").alias(told)), "chosen")
     if not prints.groupBy("id").count().where("count > 1 or id is null").limit(1).count():
         # the ids are hashed and the texts streamed past them: no text is sorted
-        return docs.join(chosen.select("__cf_id").hint("shuffle_hash"), docs[id_col] == F.col("__cf_id")).drop("__cf_id")
+        return docs.join(chosen.select(named).hint("shuffle_hash"), docs[id_col] == F.col(named)).drop(named)
     # an id alone doesn't name a row: rows carry their fingerprints
-    own = docs.withColumn("__cf_text", F.col(text_col).cast("string"))
-    schema = T.StructType([*docs.schema.fields, T.StructField("__cf_own", T.LongType())])
+    own = docs.withColumn(texted, F.col(text_col).cast("string"))
+    schema = T.StructType([*docs.schema.fields, T.StructField(made_col, T.LongType())])
 
     def run(batches):
         for b in batches:
             made = np.array([own_print(t) for t in values(b.column(b.num_columns - 1))], np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(made, pa.int64())], [*b.schema.names[:-1], "__cf_own"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(made, pa.int64())], [*b.schema.names[:-1], made_col])
 
     printed = own.mapInArrow(run, schema)
-    once = printed.join(chosen.hint("shuffle_hash"), printed[id_col].eqNullSafe(F.col("__cf_id")) & (printed["__cf_own"] == F.col("__cf_fp"))).drop("__cf_id", "__cf_fp")
-    return once.dropDuplicates([id_col, "__cf_own"]).drop("__cf_own")
+    once = printed.join(chosen.hint("shuffle_hash"), printed[id_col].eqNullSafe(F.col(named)) & (printed[made_col] == F.col(told))).drop(named, told)
+    return once.dropDuplicates([id_col, made_col]).drop(made_col)

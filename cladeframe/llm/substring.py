@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from .shared import Memo, keep, located, shared_path, values
+from .shared import Memo, free, keep, located, shared_path, values
 
 SIZE = 35
 #: Rows of a block, and bytes from which a text is a block of its own.
@@ -400,8 +400,9 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, text_col: str = "text", in
     docs = docs.drop("n_words", "n_removed")
     at = F.col("_metadata.row_index")
     alone = F.octet_length(F.col(text_col).cast("string")) >= LONG
-    rows = located(docs, {"__cf_block": F.when(alone, F.xxhash64("_metadata.file_path", at, F.lit(True))).otherwise(F.xxhash64("_metadata.file_path", F.floor(at / ROWS)))})
-    texts = rows.select("__cf_block", F.col(text_col).cast("string"))
+    (blocked,) = free(docs, "__cf_block")
+    rows = located(docs, {blocked: F.when(alone, F.xxhash64("_metadata.file_path", at, F.lit(True))).otherwise(F.xxhash64("_metadata.file_path", F.floor(at / ROWS)))})
+    texts = rows.select(blocked, F.col(text_col).cast("string"))
     if index:
         if not batch:
             raise ValueError("a batch of an index has a name")
@@ -412,7 +413,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, text_col: str = "text", in
         index = FingerprintIndex(spark, shared_path(spark, "fingerprints"), min(20, max(4, (windows // SLOT).bit_length())))
         answers = None
         for k in range(batches):
-            own = texts.where(F.pmod(F.col("__cf_block"), F.lit(batches)) == k) if batches > 1 else texts
+            own = texts.where(F.pmod(F.col(blocked), F.lit(batches)) == k) if batches > 1 else texts
             told = index.absorb(own, size, f"part{k}")
             answers = told if answers is None else answers.unionByName(told)
             if k + 1 == batches // 2:
@@ -420,8 +421,8 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, text_col: str = "text", in
         index.drop()
     fields = [T.StructField(f.name, T.StringType() if f.name == text_col else f.dataType) for f in docs.schema]
     schema = T.StructType([*fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    left = rows.groupBy("__cf_block")
-    return left.cogroup(answers.withColumnRenamed("block", "__cf_block").groupBy("__cf_block")).applyInArrow(_cleaned(size, docs.columns, text_col), schema)
+    left = rows.groupBy(blocked)
+    return left.cogroup(answers.withColumnRenamed("block", blocked).groupBy(blocked)).applyInArrow(_cleaned(size, docs.columns, text_col), schema)
 
 
 def repeats_report(docs: DataFrame) -> DataFrame:
