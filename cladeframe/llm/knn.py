@@ -105,9 +105,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col) != 0)).groupBy(id_col).agg(F.round(F.avg(label_col)).cast("double").alias("label"))
     chosen = known.orderBy(F.xxhash64(id_col), id_col).limit(most).select(F.col(id_col).alias("__cf_id"), "label")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("__cf_id")).select("id", "text", "label")
-    kind = rows.schema["id"].dataType.simpleString()
-    once = rows.mapInArrow(_featured, f"id {kind}, x binary, label double").groupBy("id").agg(F.min("x").alias("x"), F.min("label").alias("label"))
-    got = sorted((r["id"], bytes(r["x"]), r["label"]) for r in once.collect())
+    found = rows.mapInArrow(_featured, f"id {rows.schema['id'].dataType.simpleString()}, x binary, label double")
+    if rows.groupBy("id").count().where("count > 1").limit(1).count():  # by ids alone; rows of features are ordered only where ids repeat
+        found = found.groupBy("id").agg(F.min("x").alias("x"), F.min("label").alias("label"))
+    got = sorted((r["id"], bytes(r["x"]), r["label"]) for r in found.collect())
     size = WORDS + SHAPES
     y = np.array([r[2] for r in got], np.float64)
     if not got:

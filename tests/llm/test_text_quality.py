@@ -92,6 +92,14 @@ def test_votes_match_brute_force(spark):
         assert abs(model.scores(f(text.encode())[None])[0] - (w * model.labels[near]).sum() / w.sum()) < 1e-3
 
 
+def test_ids_that_repeat_are_fitted_once(spark):
+    rows, labels = corpus(60)
+    docs = spark.createDataFrame([r for r in rows for _ in range(1 + 40 * (r[0] % 10 == 0))], "doc_id long, text string, x string")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int")
+    model, once = K.fit(docs, lab), K.fit(spark.createDataFrame(rows, "doc_id long, text string, x string"), lab)
+    assert len(model.labels) == len(once.labels) < len(labels) and np.allclose(np.abs(model.vectors @ model.vectors.T), np.abs(once.vectors @ once.vectors.T), atol=1e-4)
+
+
 def test_no_labels_and_empty(spark):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int")
