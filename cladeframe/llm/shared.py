@@ -73,7 +73,7 @@ def values(column: pa.Array, rows: int = 128):
 class Memo(dict):
     """word -> value, computed once for each word and forgotten when ``most`` words are held."""
 
-    def __init__(self, of, most: int = 200_000):
+    def __init__(self, of, most: int = 1 << 16):
         super().__init__()
         self.of, self.most = of, most
 
