@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Genetic code 11 (and 1, which differs in start codons only), codons in the order TCAG.
@@ -46,6 +46,14 @@ def kmers(seq: Column, k: int) -> Column:
     return F.regexp_extract_all(seq, F.lit(f"(?=(.{{{k}}}))"), F.lit(1))
 
 
+def kmer_rows(df: DataFrame, seq: str, k: int, out: str = "k", size: int = 1 << 14) -> DataFrame:
+    """A row for each k-mer of each sequence. Sequences are cut in pieces that overlap by k - 1 letters first, so that a contig's k-mers are never one array."""
+    raw = F.col(seq).cast("binary")
+    n = F.octet_length(seq)
+    pieces = F.when(n >= k, F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1)), F.lit(size)), lambda at: F.substr(raw, at, F.lit(size + k - 1)).cast("string"))).otherwise(F.array().cast("array<string>"))
+    return df.select(F.explode(pieces).alias("__piece")).select(F.explode(kmers(F.col("__piece"), k)).alias(out))
+
+
 def gc(seq: Column) -> Column:
     return F.length(F.regexp_replace(seq, "[^GC]", "")) / F.length(seq)
 

@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import maths as M
@@ -59,45 +59,66 @@ def spread_soft_clips(activity: DataFrame, least: float = 6.0, most: int = 50) -
     return d.where("pos >= 0").groupBy("tid", "pos").agg(F.sum("prob").alias("prob"))
 
 
-def cut_regions(probs: np.ndarray, threshold: float, smallest: int, largest: int) -> list[tuple[int, int, bool]]:
-    """(start, end inclusive, active): runs of one state, at most ``largest`` long; an active run that hits the cap is cut after its lowest local minimum from ``smallest`` on, looked for from the end."""
-    out, at, n = [], 0, len(probs)
-    active = probs > threshold
+def best_cuts(activity: DataFrame, largest: int, smallest: int) -> DataFrame:
+    """activity: (tid, pos, prob). For each piece of ``largest`` positions where it is best cut: (tid, piece, cut), the position after its lowest local minimum from ``smallest`` on, the last of equals.
+
+    A minimum is below the state before it and not above the one after; neighbours are met by a join on positions, so no contig is ordered."""
+    a = activity.select("tid", "pos", "prob")
+    near = lambda by, name: a.select("tid", (F.col("pos") + by).alias("pos"), F.col("prob").alias(name))
+    low = a.where(F.pmod("pos", F.lit(largest)) >= smallest).join(near(1, "before"), ["tid", "pos"]).join(near(-1, "after"), ["tid", "pos"]).where("prob < before and prob <= after")
+    best = low.groupBy("tid", F.floor(F.col("pos") / largest).alias("piece")).agg(F.min(F.struct("prob", (-F.col("pos")).alias("at"))).alias("x"))
+    return best.select("tid", "piece", (1 - F.col("x.at")).alias("cut"))
+
+
+def cut_run(probs: np.ndarray, n: int, smallest: int, largest: int) -> list[tuple[int, int]]:
+    """Regions (start, end exclusive) of an active run of n states; ``probs`` goes on past the run by one state unless the contig ends there.
+
+    A region of ``largest`` states is cut after the lowest local minimum from ``smallest`` on, the last of equals; after ``largest`` if there is none.
+    """
+    out, at = [], 0
     while at < n:
-        end = at + 1
-        while end < n and end - at < largest and active[end] == active[at]:
-            end += 1
-        if active[at] and end - at == largest and end < n and active[end]:
-            best = None
-            for i in range(largest - 1, smallest - 1, -1):
-                p = at + i
-                low = probs[p]
-                before, after = probs[p - 1], probs[p + 1] if p + 1 < n else np.inf
-                if low <= before and low < after and (best is None or low < best[0]):
-                    best = (low, p)
-            if best:
-                end = best[1] + 1
-        out.append((at, end - 1, bool(active[at])))
+        end = min(at + largest, n)
+        if end - at == largest:
+            i = np.arange(at + smallest, end)
+            i = i[(i > 0) & (i + 1 < len(probs))]
+            low = i[(probs[i] <= probs[np.minimum(i + 1, len(probs) - 1)]) & (probs[i] < probs[i - 1])]
+            if len(low):
+                end = int(low[::-1][np.argmin(probs[low[::-1]])]) + 1
+        out.append((at, end))
         at = end
     return out
 
 
-def regions(activity: DataFrame, threshold: float = 0.002, smallest: int = 50, largest: int = 300, padding: int = 100, chunk: int = 250_000) -> DataFrame:
-    """activity: (tid, pos, prob), dense or not (missing: 0). (tid, start, end, active, density, padded_start, padded_end).
+def regions(activity: DataFrame, threshold: float = 0.002, smallest: int = 50, largest: int = 300, padding: int = 100, lengths: DataFrame | None = None) -> DataFrame:
+    """activity: (tid, pos, prob), dense or not (missing: 0); lengths: (tid, length) of the contigs. (tid, start, end, active, density, padded_start, padded_end).
 
-    Contigs are cut into chunks of ``chunk`` positions, as regions never outgrow ``largest``: a group is bounded however long a contig is.
+    A change of state always ends a region, so runs are cut one by one: inactive ones and short active ones by arithmetic, and only active runs
+    of ``largest`` states or more by their probabilities. density is the share of states over 0.05. Padding stops at the contig's ends (without ``lengths`` at its last state).
     """
-    cols = ["tid", "start", "end", "active", "density", "padded_start", "padded_end"]
+    from .ranges import range_join, run_lengths
+
+    a = activity.select(F.col("tid").cast("int").alias("tid"), F.col("pos").cast("long").alias("pos"), "prob")
+    span = a.groupBy("tid").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+    runs = run_lengths(a.where(F.col("prob") > threshold), ["tid"], "pos", F.lit(True)).select("tid", "start", "end")
+    # a row for each active run, and one past the last state, tell what lies between
+    marks = runs.unionByName(span.select("tid", (F.col("last") + 1).alias("start"), (F.col("last") + 1).alias("end"))).join(span, "tid")
+    low = F.coalesce(F.lag("end").over(Window.partitionBy("tid").orderBy("start")) + 1, F.col("first"))
+    quiet = marks.withColumn("low", low).where("low < start").select("tid", (F.col("start") - 1).alias("last"), F.explode(F.sequence("low", F.col("start") - 1, F.lit(largest))).alias("start"))
+    out = quiet.select("tid", "start", F.least(F.col("start") + largest - 1, F.col("last")).alias("end"), F.lit(False).alias("active"))
+    long = F.col("end") - F.col("start") + 1 >= largest
+    out = out.unionByName(runs.where(~long).withColumn("active", F.lit(True)))
 
     def one(key, pdf):
-        tid, piece = int(key[0]), int(key[1])
-        base = piece * chunk
-        first, last = int(pdf.pos.min()), int(pdf.pos.max())
-        p = np.zeros(last - first + 1)
-        p[pdf.pos.to_numpy() - first] = pdf.prob.to_numpy()
-        rows = [(tid, first + s, first + e, a, float((p[s : e + 1] > 0.05).mean()), max(0, first + s - padding), first + e + padding) for s, e, a in cut_regions(p, threshold, smallest, largest)]
-        assert first >= base
-        return pd.DataFrame(rows, columns=cols)
-
-    d = activity.select("tid", "pos", "prob", F.floor(F.col("pos") / chunk).alias("piece"))
-    return d.groupBy("tid", "piece").applyInPandas(one, "tid int, start long, end long, active boolean, density double, padded_start long, padded_end long")
+        tid, start, end, last = (int(x) for x in key)
+        probs = np.zeros(min(end + 1, last) - start + 1)
+        probs[pdf.pos.to_numpy() - start] = pdf.prob.to_numpy()
+        return pd.DataFrame([(tid, start + s, start + e - 1, True) for s, e in cut_run(probs, end - start + 1, smallest, largest)], columns=["tid", "start", "end", "active"])
+
+    wide = runs.where(long).join(span.select("tid", "last"), "tid").select(F.col("tid").alias("r_tid"), F.col("start").alias("r_start"), F.col("end").alias("r_end"), "last", F.least(F.col("end") + 1, "last").alias("r_last"))
+    met = range_join(a.withColumn("pos2", F.col("pos")), wide, ("tid", "pos", "pos2"), ("r_tid", "r_start", "r_last"), 1 << 12)
+    out = out.unionByName(met.groupBy("r_tid", "r_start", "r_end", "last").applyInPandas(one, "tid int, start long, end long, active boolean"))
+    busy = a.where("prob > 0.05").select(F.col("tid").alias("b_tid"), F.col("pos").alias("b_pos"), F.col("pos").alias("b_end"))
+    n = range_join(out.select("tid", "start", "end"), busy, ("tid", "start", "end"), ("b_tid", "b_pos", "b_end"), largest).groupBy("tid", "start").agg(F.count("*").alias("busy"))
+    size = F.col("end") - F.col("start") + 1
+    out = out.join(n, ["tid", "start"], "left").join((span.select("tid", (F.col("last") + 1).alias("length")) if lengths is None else lengths.select("tid", "length")), "tid")
+    return out.select("tid", "start", "end", "active", (F.coalesce("busy", F.lit(0)) / size).alias("density"), F.greatest(F.lit(0), F.col("start") - padding).alias("padded_start"), F.least(F.col("length") - 1, F.col("end") + padding).alias("padded_end"))

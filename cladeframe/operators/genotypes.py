@@ -195,8 +195,8 @@ def annotations(ad: DataFrame, qual: Column) -> DataFrame:
     dp sums the depths of the samples, ac counts the samples' reads of each alt allele, af is their share, qd is ``qual`` by the depth of samples that carry an alt (null without one).
     """
     depth = F.aggregate("ad", F.lit(0), lambda a, x: a + x)
-    carries = F.exists(F.slice("ad", 2, 1000), lambda x: x > 0)
-    alts = F.collect_list(F.struct("sample", F.slice("ad", 2, 1000).alias("alt")))
+    carries = F.exists(F.slice("ad", 2, F.size("ad")), lambda x: x > 0)
+    alts = F.collect_list(F.struct("sample", F.slice("ad", 2, F.size("ad")).alias("alt")))
     g = ad.groupBy("site").agg(F.sum(depth).alias("dp"), F.sum(F.when(carries, depth)).alias("alt_dp"), F.max(qual).alias("qual"), alts.alias("alts"))
     ac = F.aggregate("alts", F.transform(F.col("alts")[0]["alt"], lambda _: F.lit(0)), lambda a, x: F.zip_with(a, x["alt"], lambda p, q: p + q))
     g = g.withColumn("ac", ac)

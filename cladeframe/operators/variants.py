@@ -86,7 +86,7 @@ def split_sites(variants: DataFrame, qd_least: float, depth_least: int, p_most:
 
     variants: (site, alleles, qd, log10_p_error, genotypes array<struct<sample, ad, gq>>). Depths of less certain samples count 0.
     """
-    d = variants.select("*", F.posexplode(F.slice("alleles", 2, 1000)).alias("k", "alt"))
+    d = variants.select("*", F.posexplode(F.slice("alleles", 2, F.size("alleles"))).alias("k", "alt"))
     trust = F.transform("genotypes", lambda g: F.struct(g["sample"].alias("sample"), g["ad"][0].alias("ref_ad"), F.when(g["gq"] >= gq_least, F.element_at(g["ad"], F.col("k") + 2)).otherwise(0).alias("alt_ad")))
     d = d.withColumn("split", trust).withColumn("alt_depth", F.aggregate("split", F.lit(0), lambda a, g: a + g["alt_ad"].cast("int")))
     ok = (F.col("qd") >= qd_least) & (F.col("log10_p_error") <= p_most) & (F.col("alt_depth") >= depth_least)
@@ -100,14 +100,6 @@ def matrix(pairs: DataFrame, value: str, samples: list[int], digits: int = 8) ->
     return out.select((F.col("s1") + 1).alias("sample"), *[F.col(str(s)).alias(f"s{s + 1}") for s in samples])
 
 
-def upstream_deletions(df: DataFrame, contig: str, pos: str, del_end: str) -> Column:
-    """True where a deletion that starts earlier on the contig reaches the position."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(contig).orderBy(pos).rangeBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.max(del_end).over(w) >= F.col(pos), F.lit(False))
-
-
 def upper_median(values: Column) -> Column:
     """sorted[n / 2], 30 for none."""
     s = F.array_sort(values)

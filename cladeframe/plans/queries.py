@@ -49,6 +49,19 @@ def r(c, digits: int = 6):
 # reads: filters and projections
 
 
+_STRETCHES = """stretches AS (SELECT 'c' || doc_id AS contig, seq, CAST(greatest(0, a - 20) AS BIGINT) AS start, CAST(least(length(seq) - 1, least(a + 300, length(seq)) - 1 + 20) AS BIGINT) AS "end"
+  FROM (SELECT DISTINCT doc_id, seq, unnest(range(0, length(seq), 300)) AS a FROM seqs WHERE length(seq) > 0))"""
+
+
+def _stretches(s, d):
+    """Contigs, and regions of 300 bases of each whole one, padded by 20 inside it."""
+    c = D.sequences(s, d).where("seq != ''").select(F.concat(lit("c"), "doc_id").alias("contig"), "seq")
+    n = F.length("seq").cast("long")
+    spans = c.select("contig", n.alias("n"), F.explode(F.sequence(lit(0).cast("long"), n - 1, lit(300).cast("long"))).alias("a"))
+    low, high = I.expand(col("a"), F.least(col("a") + 300, col("n")) - 1, 20, col("n"))
+    return c, spans.select("contig", low.alias("start"), high.alias("end"))
+
+
 @query("flt01_flags", "SELECT rid, flag FROM reads WHERE flag & 256 = 0 AND flag & 2048 = 0 AND flag & 2 <> 0", D.READS)
 def _(s, d):
     return D.reads(s, d).where(RD.flag_filter(col("flag"))).select("rid", "flag")
@@ -70,12 +83,14 @@ def _(s, d):
     return RD.pair_filter(D.reads(s, d), 60, 0.9, 0.9, keep_failing=True).select("rid", "qname")
 
 
-@query("flt06_caller_reads", """SELECT rid, read_type FROM reads WHERE flag & 4 = 0 AND flag & 256 = 0 AND flag & 1024 = 0 AND flag & 512 = 0 AND mapq >= 20 AND mapq <> 255 AND length >= 30
-  AND n % 3 > 0 AND q % 7 > 0 AND n > 0 AND q > 0 AND false OR false""", D.READS)
+@query("flt06_caller_reads", """SELECT rid, read_type FROM reads WHERE flag & 4 = 0 AND flag & 256 = 0 AND flag & 1024 = 0 AND flag & 512 = 0 AND mapq >= 20 AND mapq <> 255 AND 2 * q + n >= 30
+  AND q % 3 > 0 AND (read_type <> 'Long' OR (2 * q + n >= 40 AND qual >= 20))""", D.READS)
 def _(s, d):
-    # every CIGAR of the adapter has an insertion beside a deletion, which the filter refuses
-    x = D.reads(s, d).withColumn("mean_qual", col("qual").cast("double"))
-    return x.where(RD.caller_filter()).select("rid", "read_type")
+    # an insertion; for every third length a deletion beside it, which is refused
+    q, n = F.round((col("length") - col("n")) / 2).cast("int"), col("n")
+    x = D.reads(s, d).withColumn("n", col("mate")).withColumn("length", col("length") - col("n") % 3).withColumn("q", q).withColumn("mean_qual", col("qual").cast("double"))
+    text = F.concat("q", lit("M"), "n", lit("I"), F.when(col("q") % 3 == 0, "2D").otherwise(""), "q", lit("M"))
+    return x.withColumn("cigar", C.parse(text)).where(RD.caller_filter(long_length=40)).select("rid", "read_type")
 
 
 @query("flt06_caller_reads_plain", """SELECT rid, read_type FROM reads WHERE flag & 4 = 0 AND flag & 256 = 0 AND flag & 1024 = 0 AND flag & 512 = 0 AND mapq >= 20 AND q >= 30
@@ -312,8 +327,7 @@ def _(s, d):
 
 @query("joi12_unique_kmers", "SELECT k FROM (SELECT unnest(list_transform(range(1, length(seq) - 9), lambda i: substr(seq, i, 11))) AS k FROM seqs) GROUP BY k HAVING count(*) = 1", D.SEQS)
 def _(s, d):
-    k = D.sequences(s, d).select(F.explode(S.kmers(col("seq"), 11)).alias("k"))
-    return k.groupBy("k").count().where("count = 1").select("k")
+    return S.kmer_rows(D.sequences(s, d), "seq", 11).groupBy("k").count().where("count = 1").select("k")
 
 
 @query("joi13_strain_members", "SELECT key FROM alleles WHERE key IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')", D.ALLELES)
@@ -324,7 +338,7 @@ def _(s, d):
 
 @query("joi14_upstream_deletions", "SELECT region, coalesce(max(r_end) OVER (PARTITION BY r_tid ORDER BY r_start RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= r_start, false) AS covered FROM regions", D.REGIONS)
 def _(s, d):
-    return D.regions(s, d).select("region", V.upstream_deletions(None, "r_tid", "r_start", "r_end").alias("covered"))
+    return R.covered_upstream(D.regions(s, d), "r_tid", "r_start", "r_end", "covered", 512).select("region", "covered")
 
 
 @query("joi15_allele_permutation", "SELECT key, list_position(['A', 'AC', ref, alt], alt) - 1 AS at FROM alleles", D.ALLELES)
@@ -472,7 +486,7 @@ def _(s, d):
 
 @query("agg27_kmer_counts", "SELECT k, count(*) AS n FROM (SELECT unnest(list_transform(range(1, length(seq) - 6), lambda i: substr(seq, i, 8))) AS k FROM seqs) GROUP BY k HAVING count(*) >= 3", D.SEQS)
 def _(s, d):
-    return D.sequences(s, d).select(F.explode(S.kmers(col("seq"), 8)).alias("k")).groupBy("k").agg(F.count("*").alias("n")).where("n >= 3")
+    return S.kmer_rows(D.sequences(s, d), "seq", 8).groupBy("k").agg(F.count("*").alias("n")).where("n >= 3")
 
 
 @query("agg28_reference_strain", "SELECT count(*) AS variants, CAST(sum(CAST(m > 0 AS INT)) AS BIGINT) AS with_ref, sum(CAST(m > 0 AS INT)) >= 0.97 * count(*) AS present FROM (SELECT site, max(a0) AS m FROM ad GROUP BY 1)", D.AD)
@@ -515,8 +529,7 @@ def _(s, d):
 
 @query("win01_activity_gaps", "SELECT tid, count(*) FILTER (g > 1) AS gaps FROM (SELECT tid, pos - lag(pos) OVER (PARTITION BY tid ORDER BY pos) AS g FROM act) GROUP BY 1", D.ACTIVITY)
 def _(s, d):
-    w = Window.partitionBy("tid").orderBy("pos")
-    return D.activity(s, d).select("tid", (col("pos") - F.lag("pos").over(w)).alias("g")).groupBy("tid").agg(F.count_if(col("g") > 1).alias("gaps"))
+    return R.run_lengths(D.activity(s, d), ["tid"], "pos", lit(True), 256).groupBy("tid").agg((F.count("*") - 1).alias("gaps"))
 
 
 @query("win02_soft_clip_spread", "SELECT tid, pos, round(sum(prob), 6) AS prob FROM (SELECT tid, prob, unnest(range(p0 - k, p0 + k + 1)) AS pos FROM (SELECT tid, pos AS p0, prob, CASE WHEN pos % 9 >= 6 THEN least(pos % 9, 50) ELSE 0 END AS k FROM act)) WHERE pos >= 0 GROUP BY 1, 2", D.ACTIVITY)
@@ -541,18 +554,19 @@ def _(s, d):
 @query("win04_activity_islands", """SELECT tid, active, min(pos) AS start, max(pos) AS "end" FROM (SELECT *, sum(nw) OVER (PARTITION BY tid ORDER BY pos) AS run FROM (SELECT tid, pos, prob > 0.4 AS active,
   CASE WHEN lag(prob > 0.4) OVER w = (prob > 0.4) AND lag(pos) OVER w = pos - 1 THEN 0 ELSE 1 END AS nw FROM act WINDOW w AS (PARTITION BY tid ORDER BY pos))) GROUP BY tid, active, run""", D.ACTIVITY)
 def _(s, d):
-    return R.run_lengths(D.activity(s, d), ["tid"], "pos", col("prob") > 0.4).select("tid", col("state").alias("active"), "start", "end")
+    return R.run_lengths(D.activity(s, d), ["tid"], "pos", col("prob") > 0.4, 256).select("tid", col("state").alias("active"), "start", "end")
 
 
-@query("win05_local_minima", "SELECT tid, pos FROM (SELECT tid, pos, prob, lag(prob) OVER w AS b, lead(prob) OVER w AS a FROM act WINDOW w AS (PARTITION BY tid ORDER BY pos)) WHERE prob <= b AND prob < a", D.ACTIVITY)
+@query("win05_best_cuts", """SELECT tid, pos // 50 AS piece, arg_min(pos, [prob, -pos]) + 1 AS cut FROM (SELECT a.tid, a.pos, a.prob FROM act a JOIN act b ON b.tid = a.tid AND b.pos = a.pos - 1 JOIN act c ON c.tid = a.tid AND c.pos = a.pos + 1
+  WHERE a.prob < b.prob AND a.prob <= c.prob AND a.pos % 50 >= 10) GROUP BY 1, 2""", D.ACTIVITY)
 def _(s, d):
-    w = Window.partitionBy("tid").orderBy("pos")
-    return D.activity(s, d).withColumn("b", F.lag("prob").over(w)).withColumn("a", F.lead("prob").over(w)).where("prob <= b and prob < a").select("tid", "pos")
+    return A.best_cuts(D.activity(s, d), 50, 10)
 
 
 @query("win06_active_regions")
 def _(s, d):
-    return A.regions(_smooth(s, d), threshold=0.4)
+    a = _smooth(s, d)
+    return A.regions(a, threshold=0.4, lengths=a.groupBy("tid").agg((F.max("pos") + 1).alias("length")))
 
 
 @query("win07_padded_span", "SELECT region, greatest(0, r_start - 100) AS padded_start, least(99999, r_end + 100) AS padded_end FROM regions", D.REGIONS)
@@ -563,15 +577,13 @@ def _(s, d):
 
 @query("win08_run_lengths", """SELECT tid, passed, min(pos) AS start, count(*) AS n FROM (SELECT *, pos - row_number() OVER (PARTITION BY tid, passed ORDER BY pos) AS run FROM (SELECT tid, pos, prob >= 0.5 AS passed FROM act)) GROUP BY tid, passed, run""", D.ACTIVITY)
 def _(s, d):
-    return R.run_lengths(D.activity(s, d), ["tid"], "pos", col("prob") >= 0.5).select("tid", col("state").alias("passed"), "start", "n")
+    return R.run_lengths(D.activity(s, d), ["tid"], "pos", col("prob") >= 0.5, 256).select("tid", col("state").alias("passed"), "start", "n")
 
 
 @query("win09_mnp_merge", """SELECT tid, min(s) AS start, max(s) AS "end", count(*) AS bases FROM (SELECT *, sum(nw) OVER (PARTITION BY tid ORDER BY s) AS run FROM (SELECT tid, s, CASE WHEN s - lag(s) OVER (PARTITION BY tid ORDER BY s) <= 2 THEN 0 ELSE 1 END AS nw FROM (SELECT DISTINCT tid, s FROM reads))) GROUP BY tid, run""", D.READS)
 def _(s, d):
-    x = D.reads(s, d).select("tid", "start").distinct()
-    w = Window.partitionBy("tid").orderBy("start")
-    x = x.withColumn("nw", F.when(col("start") - F.lag("start").over(w) <= 2, 0).otherwise(1)).withColumn("run", F.sum("nw").over(w))
-    return x.groupBy("tid", "run").agg(F.min("start").alias("a"), F.max("start").alias("end"), F.count("*").alias("bases")).select("tid", col("a").alias("start"), "end", "bases")
+    x = D.reads(s, d).select("tid", "start").distinct().withColumn("end", col("start"))
+    return R.merge_contiguous(x, "tid", "start", "end", 1, 1024).select("tid", "start", "end", col("merged").alias("bases"))
 
 
 @query("win10_top_reads", "SELECT sample, rid FROM (SELECT sample, rid, row_number() OVER (PARTITION BY sample ORDER BY qual DESC, rid) AS k FROM reads) WHERE k <= 100", D.READS)
@@ -639,16 +651,17 @@ def _(s, d):
     return D.alleles(s, d).select("ref", "alt").distinct()
 
 
-@query("set03_read_sets", "SELECT read FROM m WHERE grp = 1 INTERSECT SELECT read FROM m WHERE grp = 2", _GRP)
+@query("set03_read_sets", "SELECT a.grp, a.read FROM m a JOIN m b ON b.grp = a.grp + 1 AND b.read = a.read", _GRP)
 def _(s, d):
+    # each group and the next
     m = _members(s, d)
-    return m.where("grp = 1").select("read").intersect(m.where("grp = 2").select("read"))
+    return m.intersect(m.select((col("grp") - 1).alias("grp"), "read"))
 
 
-@query("set04_read_difference", "SELECT read FROM m WHERE grp = 1 EXCEPT SELECT read FROM m WHERE grp = 2", _GRP)
+@query("set04_read_difference", "SELECT grp, read FROM m EXCEPT SELECT grp - 1, read FROM m", _GRP)
 def _(s, d):
     m = _members(s, d)
-    return m.where("grp = 1").select("read").distinct().join(m.where("grp = 2").select("read"), "read", "left_anti")
+    return m.distinct().join(m.select((col("grp") - 1).alias("grp"), "read"), ["grp", "read"], "left_anti")
 
 
 @query("set05_merge_contexts", "SELECT s // 100 AS start, count(DISTINCT allele) AS alleles, max(q) AS span, max_by(rid, [q, -rid]) AS longest FROM reads GROUP BY 1", D.READS)
@@ -656,10 +669,10 @@ def _(s, d):
     return D.reads(s, d).groupBy(F.floor(col("start") / 100).alias("start")).agg(F.countDistinct("allele").alias("alleles"), F.max(F.expr("cast(end - start as int)")).alias("span"), F.max_by("rid", F.struct(F.expr("end - start"), -col("rid"))).alias("longest"))
 
 
-@query("set06_merge_intervals", """SELECT tid, min(s) AS s, max(e) AS e, count(*) AS merged FROM (SELECT *, sum(nw) OVER (PARTITION BY tid ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM (SELECT tid, s, e, CASE WHEN s > max(e) OVER (PARTITION BY tid ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 1 ELSE 0 END AS nw FROM reads WHERE sample = 1)) GROUP BY tid, i""", D.READS)
+@query("set06_merge_intervals", """SELECT tid, min(s) AS s, max(e) AS e, count(*) AS merged FROM (SELECT *, sum(nw) OVER (PARTITION BY tid ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM (SELECT tid, s, e, CASE WHEN s > max(e) OVER (PARTITION BY tid ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 1 ELSE 0 END AS nw FROM reads)) GROUP BY tid, i""", D.READS)
 def _(s, d):
-    x = D.reads(s, d).where("sample = 1").select("tid", col("start").alias("s"), col("end").alias("e"))
-    return R.merge_contiguous(x, "tid", "s", "e")
+    x = D.reads(s, d).select("tid", col("start").alias("s"), col("end").alias("e"))
+    return R.merge_contiguous(x, "tid", "s", "e", bin_size=1024)
 
 
 # strings
@@ -906,9 +919,11 @@ def _(s, d):
     return D.reads(s, d).groupBy("sample").agg(F.count("*").alias("n"), F.min("rid").alias("first"))
 
 
-@query("gen35_reference_haplotype", "SELECT doc_id, substr(seq, 6, 30) AS hap FROM seqs WHERE length(seq) >= 40", D.SEQS)
+@query("gen35_reference_haplotype", "SELECT contig, start, \"end\", substr(seq, start + 1, \"end\" - start + 1) AS hap FROM stretches", D.SEQS, _STRETCHES)
 def _(s, d):
-    return D.sequences(s, d).where("length(seq) >= 40").select("doc_id", F.substr("seq", lit(6), lit(30)).alias("hap"))
+    # the reference's bases of each padded region, whole texts in regions of 300
+    c, spans = _stretches(s, d)
+    return files.fetch(files.contig_chunks(c, 1000), spans, 1000).select("contig", "start", "end", col("bases").alias("hap"))
 
 
 @query("gen15_trimmed_region", "SELECT region, max(r_start) AS r, min(s) - 20 AS start, max(s) + 20 AS stop FROM reads JOIN regions ON tid = r_tid AND s BETWEEN r_start AND r_end GROUP BY 1", D.READS, D.REGIONS)
@@ -942,11 +957,11 @@ def _(s, d):
     return j.groupBy("gene").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sample", "v"))), lambda x: x["v"].cast("string")), ",").alias("snps"))
 
 
-@query("snk13_depth_matrix", "SELECT site, max(a0) FILTER (sample = 0) AS r0, max(a1 + a2) FILTER (sample = 0) AS v0, max(a0) FILTER (sample = 1) AS r1, max(a1 + a2) FILTER (sample = 1) AS v1 FROM ad GROUP BY 1", D.AD)
+@query("snk13_depth_matrix", "SELECT site, " + ", ".join(f"max(a0) FILTER (sample = {k}) AS r{k}, max(a1 + a2) FILTER (sample = {k}) AS v{k}" for k in range(4)) + " FROM ad GROUP BY 1", D.AD)
 def _(s, d):
     a = col("ad")
     one = lambda k, x: F.max(F.when(col("sample") == k, x))
-    return D.allele_depths(s, d).groupBy("site").agg(one(0, a[0]).alias("r0"), one(0, a[1] + a[2]).alias("v0"), one(1, a[0]).alias("r1"), one(1, a[1] + a[2]).alias("v1"))
+    return D.allele_depths(s, d).groupBy("site").agg(*[c for k in range(4) for c in (one(k, a[0]).alias(f"r{k}"), one(k, a[1] + a[2]).alias(f"v{k}"))])
 
 
 @query("snk11_fasta_lines", "SELECT doc_id, length(seq) + CAST(ceil(length(seq) / 60) AS BIGINT) AS chars FROM seqs WHERE length(seq) > 0", D.SEQS)
@@ -1022,9 +1037,10 @@ def _(s, d):
     return D.table(s, d, "nation").select(genome_of(name).alias("genome"), contig_of(name).alias("contig"))
 
 
-@query("src18_reference_windows", "SELECT doc_id, substr(seq, 11, 25) AS win FROM seqs WHERE length(seq) >= 35", D.SEQS)
+@query("src18_reference_windows", "SELECT contig, start, \"end\", substr(seq, start + 1, \"end\" - start + 1) AS bases FROM stretches", D.SEQS, _STRETCHES)
 def _(s, d):
-    return D.sequences(s, d).where("length(seq) >= 35").select("doc_id", F.substr("seq", lit(11), lit(25)).alias("win"))
+    c, spans = _stretches(s, d)
+    return files.fetch(files.contig_chunks(c, 100), spans, 100)
 
 
 @query("src19_contig_registry", "SELECT CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS INTEGER) AS tid, n_name AS name FROM nation")
@@ -1170,14 +1186,14 @@ def _(s, d):
 
 @query("stream_windowed_activity", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def _(s, d):
-    import uuid
-
-    from ..streaming.activity import finished, windowed
+    from ..streaming.activity import closed, finished, windowed
 
     path = f"{d}/events.parquet"
+    whole = s.read.parquet(path)
     # a stream reads a folder; the filter leaves its one table
-    events = s.readStream.schema(s.read.parquet(path).schema).option("pathGlobFilter", "events.parquet").parquet(d).withColumn("ts", F.col("ts").cast("timestamp"))
-    out = finished(s, windowed(events), f"activity_{uuid.uuid4().hex}")
+    events = s.readStream.schema(whole.schema).option("pathGlobFilter", "events.parquet").parquet(d).withColumn("ts", F.col("ts").cast("timestamp"))
+    # one file is one micro-batch: nothing in it is late, and the closing row ends all windows
+    out = finished(s, windowed(closed(s, events, whole.agg(F.max("ts")).first()[0])))
     return out.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n", r(col("total"), 4).alias("total"))
 
 

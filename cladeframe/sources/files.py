@@ -56,7 +56,7 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
 def parse_sam(lines: DataFrame) -> DataFrame:
     """lines: (value). Parsed CIGAR, qualities and NM; header lines are left out."""
     f = F.split("value", "\t")
-    tags = F.slice(f, 12, 1000)
+    tags = F.slice(f, 12, F.greatest(F.size(f) - 11, F.lit(0)))
     nm = F.try_element_at(F.filter(tags, lambda t: F.startswith(t, F.lit("NM:i:"))), F.lit(1))
     return lines.where("value not like '@%' and value != ''").select(
         f[0].alias("qname"), f[1].cast("int").alias("flag"), f[2].alias("contig"), (f[3].cast("long") - 1).alias("pos"), f[4].cast("int").alias("mapq"), C.parse(f[5]).alias("cigar"),
@@ -105,7 +105,7 @@ def parse_vcf(lines: DataFrame) -> DataFrame:
     qual = F.nullif(F.col("f")[5], F.lit(".")).cast("double")
     return d.select(
         F.col("f")[0].alias("contig"), (F.col("f")[1].cast("long") - 1).alias("pos"), "alleles", qual.alias("qual"), (qual / -10).alias("log10_p_error"), F.filter(F.split(F.col("f")[6], ";"), lambda x: x != ".").alias("filters"),
-        F.str_to_map(F.col("f")[7], F.lit(";"), F.lit("=")).alias("info"), F.transform(F.slice("f", 10, 100_000), genotype).alias("genotypes"),
+        F.str_to_map(F.col("f")[7], F.lit(";"), F.lit("=")).alias("info"), F.transform(F.slice("f", 10, F.greatest(F.size("f") - 9, F.lit(0))), genotype).alias("genotypes"),
     )
 
 
@@ -126,7 +126,7 @@ def vcf_lines(variants: DataFrame) -> DataFrame:
         ints = lambda x: F.array_join(F.transform(x, lambda v: v.cast("string")), ",")
         return F.concat_ws(":", F.when(none, F.lit("./.")).otherwise(g["gt"]), ints(g["pl"]), ints(g["ad"]), F.when(none, F.lit("0")).otherwise(g["gq"].cast("string")), F.when(none, F.lit("0")).otherwise(g["dp"].cast("string")))
 
-    alts = F.slice("alleles", 2, 1000)
+    alts = F.slice("alleles", 2, F.size("alleles"))
     listed = lambda c, how: F.array_join(F.transform(F.col(c), how), ",")
     whole, share = lambda x: x.cast("string"), lambda x: F.format_string("%.3f", x)
     # what is null or not among the columns is left out

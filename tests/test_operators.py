@@ -249,21 +249,89 @@ def test_strain_paths():
     assert ST.strain_paths([(1, 2, 0.5), (1, 3, 0.4)], {1: 10.0, 2: 4.0, 3: 5.0}) == [[1, 3], [1, 2]]
 
 
-def test_cut_regions():
-    p = np.zeros(1000)
-    p[100:150] = 0.9
-    assert A.cut_regions(p, 0.002, 50, 300)[0] == (0, 99, False) and A.cut_regions(p, 0.002, 50, 300)[1] == (100, 149, True)
-    p = np.full(400, 0.5)
-    p[200] = 0.1
-    got = A.cut_regions(p, 0.002, 50, 300)
-    assert got[0] == (0, 200, True) and sum(e - s + 1 for s, e, _ in got) == 400
-    assert abs(sum(w for _, w in A.kernel()) - 1) < 1e-12
-
-
-def test_regions_in_chunks(spark):
-    d = spark.createDataFrame([(0, i, 0.9) for i in range(40)] + [(1, 7, 0.9)], "tid int, pos long, prob double")
-    got = sorted((r.tid, r.start, r.end) for r in A.regions(d, chunk=20).collect())
-    assert got == [(0, 0, 19), (0, 20, 39), (1, 7, 7)]
+def slow_regions(probs, threshold, smallest, largest, padding):
+    """State by state, as the definition says."""
+    out, at, n = [], 0, len(probs)
+    while at < n:
+        on, end = probs[at] > threshold, at
+        while end < n and end - at < largest and (probs[end] > threshold) == on:
+            end += 1
+        if on and end - at == largest:
+            best = None
+            for i in range(end - 1, at + smallest - 1, -1):
+                if 1 <= i < n - 1 and probs[i] <= probs[i + 1] and probs[i] < probs[i - 1] and (best is None or probs[i] < probs[best]):
+                    best = i
+            end = end if best is None else best + 1
+        out.append((at, end - 1, on, sum(p > 0.05 for p in probs[at:end]) / (end - at), max(0, at - padding), min(n - 1, end - 1 + padding)))
+        at = end
+    return out
+
+
+def test_regions_against_definition(spark):
+    rng = random.Random(4)
+    probs = {0: [0.9] * 40, 1: [round(rng.random(), 2) for _ in range(900)], 2: [round(abs(math.sin(i / 9)), 1) for i in range(700)], 3: [0.0] * 25, 4: [0.5 + 0.01 * (i % 7) for i in range(333)], 5: [0.4] * 30 + [0.0]}
+    rows = [(t, i, p) for t, ps in probs.items() for i, p in enumerate(ps)]
+    d = spark.createDataFrame(rows, "tid int, pos long, prob double")
+    for threshold, smallest, largest in ((0.3, 5, 20), (0.05, 10, 50), (0.002, 50, 300)):
+        got = sorted(tuple(r) for r in A.regions(d, threshold, smallest, largest, 15).collect())
+        assert got == sorted((t, s, e, a, x, lo, hi) for t, ps in probs.items() for s, e, a, x, lo, hi in slow_regions(ps, threshold, smallest, largest, 15))
+    # missing states are zeros, and a longer contig leaves room for padding
+    few = spark.createDataFrame([(7, 10, 0.9), (7, 14, 0.9)], "tid int, pos long, prob double")
+    got = sorted((r.start, r.end, r.active, r.padded_end) for r in A.regions(few, padding=3, lengths=spark.createDataFrame([(7, 16)], "tid int, length long")).collect())
+    assert got == [(10, 10, True, 13), (11, 13, False, 15), (14, 14, True, 15)]
+    assert A.regions(few.limit(0)).count() == 0
+
+
+def test_best_cuts(spark):
+    ps = [0.9, 0.8, 0.7, 0.8, 0.7, 0.7, 0.9, 0.1, 0.9, 0.05, 0.9]
+    d = spark.createDataFrame([(0, i, p) for i, p in enumerate(ps)], "tid int, pos long, prob double")
+    assert [tuple(r) for r in A.best_cuts(d, 8, 1).orderBy("piece").collect()] == [(0, 0, 8), (0, 1, 10)]
+    assert [tuple(r) for r in A.best_cuts(d.where("pos < 7"), 100, 2).collect()] == [(0, 0, 5)]
+
+
+def test_binned_operators_match_whole_contigs(spark):
+    rng = random.Random(6)
+    rows = [(t, s, s + rng.choice([0, 1, 5, 40, 900])) for t in range(3) for s in rng.choices(range(3000), k=120)] + [(3, 0, 5000), (3, 10, 12), (3, 4999, 6000), (3, 6002, 6003)]
+    d = spark.createDataFrame(rows, "t int, s int, e int")
+
+    def merged(rows, gap):
+        out = []
+        for s, e in sorted(rows):
+            if out and s <= out[-1][1] + 1 + gap:
+                out[-1] = (out[-1][0], max(out[-1][1], e), out[-1][2] + 1)
+            else:
+                out.append((s, e, 1))
+        return out
+
+    for gap in (0, 3):
+        want = sorted((t, *x) for t in range(4) for x in merged([(s, e) for k, s, e in rows if k == t], gap))
+        for size in (7, 64, 1 << 20):
+            assert sorted(map(tuple, R.merge_contiguous(d, "t", "s", "e", gap, size).select("t", "s", "e", "merged").collect())) == want
+    for size in (16, 1 << 20):
+        got = sorted((r.t, r.s, r.e, r.up) for r in R.covered_upstream(d, "t", "s", "e", "up", size).collect())
+        assert got == sorted((t, s, e, any(k == t and a < s <= b for k, a, b in rows)) for t, s, e in rows)
+    states = [(t, p, rng.random() < 0.8) for t in range(2) for p in rng.sample(range(400), 350)] + [(2, p, True) for p in range(100)] + [(3, p, None if p < 40 else False) for p in range(80)]
+    d = spark.createDataFrame(states, "t int, p int, on boolean")
+
+    def runs(rows):
+        out = []
+        for p, on in sorted(rows, key=lambda x: x[0]):
+            if out and out[-1][0] is on and out[-1][2] == p - 1:
+                out[-1] = (on, out[-1][1], p, out[-1][3] + 1)
+            else:
+                out.append((on, p, p, 1))
+        return out
+
+    want = sorted(((t, *x) for t in range(4) for x in runs([(p, on) for k, p, on in states if k == t])), key=str)
+    for size in (1, 8, 50, 1 << 20):
+        assert sorted(map(tuple, R.run_lengths(d, ["t"], "p", F.col("on"), size).select("t", "state", "start", "end", "n").collect()), key=str) == want
+
+
+def test_kmer_rows(spark):
+    rng = random.Random(1)
+    seqs = ["".join(rng.choice("ACGT") for _ in range(n)) for n in (0, 4, 5, 6, 16, 17, 200)]
+    got = S.kmer_rows(spark.createDataFrame([(x,) for x in [*seqs, None]], "seq string"), "seq", 5, size=12).collect()
+    assert sorted(r.k for r in got) == sorted(x[i : i + 5] for x in seqs for i in range(len(x) - 4))
 
 
 def test_range_join_matches_brute_force(spark):
@@ -314,10 +382,34 @@ def test_streamed_islands(spark, tmp_path):
     for k in range(3):
         spark.createDataFrame(rows[k * 20 : k * 20 + 20], "tid int, pos long, prob double").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     s = spark.readStream.schema("tid int, pos long, prob double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    got = sorted((r.start, r.end, r.n) for r in stream.finished(spark, stream.islands(s, 0.5), "islands", "append").collect())
+    got = sorted((r.start, r.end, r.n) for r in stream.finished(spark, stream.islands(s, 0.5)).collect())
     assert got == [(a, a + 3, 4) for a in range(0, 60, 10)]
 
 
+def test_streamed_islands_are_flushed_at_the_end(spark, tmp_path):
+    rows = [(t, i, 0.9 if i in (3, 4, 5, 8, 9) else 0.0) for t in (0, 1) for i in range(10)]
+    for part in (rows[:5], rows[5:] + [(0, None, None)]):
+        spark.createDataFrame(part, "tid int, pos long, prob double").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    s = spark.readStream.schema("tid int, pos long, prob double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = sorted(map(tuple, stream.finished(spark, stream.islands(s, 0.5)).collect()))
+    assert got == [(0, 3, 5, 3), (0, 8, 9, 2), (1, 3, 5, 3)]  # contig 1 isn't closed
+
+
+def test_late_rows_are_dropped_and_windows_closed(spark, tmp_path):
+    import datetime as dt
+
+    at = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
+    for k, part in enumerate(([(at(1), "a", 1.0), (at(8), "a", 2.0)], [(at(8, 30), "b", 1.0)], [(at(1, 30), "a", 5.0), (at(9), "a", 3.0)])):
+        spark.createDataFrame(part, "ts timestamp, event_type string, value double").coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+    kind = "ts timestamp, event_type string, value double"
+    read = lambda: spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+    rows = lambda d: sorted((r.start.hour, r.event_type, r.n, r.total) for r in d.collect())
+    late = rows(stream.finished(spark, stream.windowed(read())))
+    assert late == [(1, "a", 1, 1.0)]  # the row of 1:30 comes two batches after 8:00; windows from 8:00 on are open
+    whole = stream.closed(spark, spark.readStream.schema(kind).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")), at(9))
+    assert rows(stream.finished(spark, stream.windowed(whole))) == [(1, "a", 2, 6.0), (8, "a", 1, 2.0), (8, "b", 1, 1.0), (9, "a", 1, 3.0)]
+
+
 def test_abundances_and_presence(spark):
     got = ST.abundances([(0, [1, 2], [0.5, 0.5]), (1, [2, 3], [0.5, 0.2])])
     assert 0 < got[1] < got[0] < 1
