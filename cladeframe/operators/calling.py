@@ -26,9 +26,10 @@ def haplotype_events(regions: DataFrame, haplotypes: DataFrame) -> DataFrame:
 
 
 def locus_likelihoods(reads: DataFrame, haplotypes: DataFrame) -> DataFrame:
-    """reads: (region, sample, read, seq, quals); haplotypes with events. (region, sample, read, event, lks): log10 likelihoods of the read without and with the event, each the best over the haplotypes that lack or have it.
+    """reads: (region, sample, read, seq, quals); haplotypes with events. (region, sample, read, start, ref, alts, lks): for each start of events the longest ref of them, their alts on it,
+    and log10 likelihoods of the read, the best over the haplotypes without an event there, then over those with each alt.
 
-    One row of a read holds its region's haplotypes, of which assembly returns a bounded number."""
+    One row of a read holds its region's haplotypes, of which assembly returns a bounded number. A deletion that spans a start from before counts as no event there."""
     pairs = reads.select("region", "sample", "read", F.col("seq").alias("read_seq"), "quals").join(haplotypes.select("region", F.col("hap").alias("hap_seq"), "events"), "region")
 
     def run(batches):
@@ -38,15 +39,26 @@ def locus_likelihoods(reads: DataFrame, haplotypes: DataFrame) -> DataFrame:
 
     scored = pairs.mapInPandas(run, f"region long, sample int, read long, events array<{_EVENT}>, lk double")
     by_read = scored.groupBy("region", "sample", "read").agg(F.collect_list(F.struct("events", "lk")).alias("haps"))
-    each = by_read.withColumn("event", F.explode(F.array_distinct(F.flatten(F.transform("haps", lambda h: h["events"])))))
-    best = lambda has: F.array_max(F.transform(F.filter("haps", lambda h: F.array_contains(h["events"], F.col("event")) == has), lambda h: h["lk"]))
-    return each.select("region", "sample", "read", "event", F.array(best(False), best(True)).alias("lks"))
+    every = by_read.withColumn("all", F.array_sort(F.array_distinct(F.flatten(F.transform("haps", lambda h: h["events"])))))
+    at = every.withColumn("start", F.explode(F.array_distinct(F.transform("all", lambda e: e["start"])))).withColumn("here", F.filter("all", lambda e: e["start"] == F.col("start")))
+    at = at.withColumn("ref", F.array_max(F.transform("here", lambda e: F.struct(F.length(e["ref"]).alias("n"), e["ref"].alias("ref"))))["ref"])
+    best = lambda keep: F.array_max(F.transform(F.filter("haps", keep), lambda h: h["lk"]))
+    without = best(lambda h: ~F.exists(h["events"], lambda e: e["start"] == F.col("start")))
+    alts = F.transform("here", lambda e: F.concat(e["alt"], F.substr(F.col("ref"), F.length(e["ref"]) + 1)))
+    lks = F.concat(F.array(without), F.transform("here", lambda e: best(lambda h: F.array_contains(h["events"], e))))
+    return at.select("region", "sample", "read", "start", "ref", alts.alias("alts"), lks.alias("lks"))
 
 
-def call_regions(regions: DataFrame, reads: DataFrame, ploidy: int = 2, **how) -> DataFrame:
-    """(region, start, ref, alt, sample, gl, pl, gt): genotypes of each event that assembly finds. regions: (region, start, ref), reads: (region, sample, read, seq, quals)."""
+def call_regions(regions: DataFrame, reads: DataFrame, ploidy: int = 2, confidence: float = 25.0, **how) -> DataFrame:
+    """(region, start, alleles, qual, polymorphic, emitted, mle_ac, mle_af, genotypes, dp, an, ac, af, qd): the sites that assembly finds, all alts of a start together.
+
+    regions: (region, start, ref), reads: (region, sample, read, seq, quals)."""
     haps = haplotype_events(regions, K.assemble_regions(regions, reads.select("region", "seq", "quals"), **how))
-    lk = locus_likelihoods(reads, haps).select(F.struct("region", "event").alias("site"), "sample", "read", "lks")
-    gl = G.genotype_likelihoods(lk, 2, ploidy).withColumn("pl", M.gls_to_pls(F.col("gl")))
-    gts = ["/".join(map(str, g)) for g in G.genotypes(ploidy, 2)]
-    return gl.select("site.region", "site.event.*", "sample", "gl", "pl", G.assign(F.col("pl"), None, gts).alias("gt"))
+    lk = locus_likelihoods(reads, haps).select(F.struct("region", "start", "ref", "alts").alias("site"), "sample", "read", "lks")
+    gl = None
+    for n in range(2, (lk.agg(F.max(F.size("lks"))).first()[0] or 2) + 1):  # sites of n alleles each
+        part = G.genotype_likelihoods(lk, n, ploidy, depths=True)
+        gl = part if gl is None else gl.unionByName(part)
+    samples = F.collect_list(F.struct("sample", M.gls_to_pls(F.col("gl")).alias("pl"), "ad")).alias("samples")
+    sites = gl.groupBy("site").agg(samples).withColumn("alleles", F.concat(F.array("site.ref"), "site.alts")).withColumn("site", F.struct("site.region", "site.start"))
+    return G.call_annotations(G.call_genotypes(sites, ploidy, confidence)).select("site.*", "*").drop("site")

@@ -30,11 +30,11 @@ def genotype_dim(spark: SparkSession, ploidies: list[int], alleles: list[int]) -
     return spark.createDataFrame(rows, "ploidy int, n_alleles int, idx int, counts array<int>, gt string, log10_comb double")
 
 
-def genotype_likelihoods(lk: DataFrame, alleles: int, ploidy: int) -> DataFrame:
+def genotype_likelihoods(lk: DataFrame, alleles: int, ploidy: int, depths: bool = False) -> DataFrame:
     """lk: (site, sample, read, lks array<double>) of log10 likelihoods by allele. (site, sample, gl array<double>) for rows of ``alleles`` alleles.
 
     Each read gives each genotype log10 of the count-weighted sum of its alleles' likelihoods. There is a sum for each genotype, all in one
-    aggregation with partial sums before the shuffle; rows are not multiplied by genotypes.
+    aggregation with partial sums before the shuffle; rows are not multiplied by genotypes. ``depths`` adds ad, the reads whose best allele is clearly each one.
     """
     x = [F.col("lks")[i] for i in range(alleles)]
     sums = []
@@ -50,23 +50,38 @@ def genotype_likelihoods(lk: DataFrame, alleles: int, ploidy: int) -> DataFrame:
                 total = total + w
             term = top + F.log10(total)
         sums.append(F.sum(term) - F.count("*") * math.log10(ploidy))
-    return lk.where(F.size("lks") == alleles).groupBy("site", "sample").agg(F.array(*sums).alias("gl"))
+    best = best_allele(F.col("lks"))
+    reads = [F.array(*[F.count_if((F.col("best.allele") == a) & F.col("best.informative")).cast("int") for a in range(alleles)]).alias("ad")] if depths else []
+    lk = lk.where(F.size("lks") == alleles)
+    return (lk.withColumn("best", best) if depths else lk).groupBy("site", "sample").agg(F.array(*sums).alias("gl"), *reads)
 
 
-def assign(pl: Column, ad: Column, gts: list[str], method: str = "pls", prior: Column | None = None) -> Column:
-    """Genotype of a sample: by the smallest PL, by it and the priors, to no call, to the best match of the depths, or unchanged (null)."""
+#: Ways to assign a genotype.
+METHODS = ("pls", "posterior", "no_call", "no_call_bare", "original", "none")
+
+
+def assign(pl: Column, gts: list[str], method: str = "pls", prior: Column | None = None, original: Column | None = None, kept: Column | None = None) -> Column:
+    """Genotype of a sample. pls: by the smallest PL, no call if they tell nothing apart; posterior: by PLs and log10 priors; no_call, and no_call_bare, whose sample loses its
+    annotations too (see ``called``); original: the ``original`` allele numbers as an array, those that aren't in ``kept`` as the reference, a negative one as no call; none: null."""
     at = lambda v: F.element_at(F.array(*[F.lit(g) for g in gts]), F.array_position(v, F.array_min(v)).cast("int"))
     if method == "pls":
         return F.when(F.size(F.filter(pl, lambda v: v == F.array_min(pl))) == F.size(pl), F.lit("./.")).otherwise(at(pl))
     if method == "posterior":
         return at(F.zip_with(pl, prior, lambda v, p: v - 10.0 * p))
-    if method == "no_call":
+    if method in ("no_call", "no_call_bare"):
         return F.lit("./.")
-    if method == "depths":
-        return F.when(F.array_max(ad) == 0, "./.").otherwise(F.concat_ws("/", F.transform(F.filter(F.transform(ad, lambda v, i: F.when(v > 0, i)), lambda v: v.isNotNull()), lambda v: v.cast("string"))))
+    if method == "original":
+        return F.array_join(F.transform(original, lambda x: F.when(x < 0, F.lit(".")).when(F.array_contains(kept, x), (F.array_position(kept, x) - 1).cast("string")).otherwise(F.lit("0"))), "/")
     return F.lit(None).cast("string")
 
 
+def called(pl: Column, ad: Column, gts: list[str], method: str = "pls", **how) -> Column:
+    """struct<gt, pl, ad, gq, dp> of a sample: no call has no GQ, and without annotations no PL, AD and DP either."""
+    gt = assign(pl, gts, method, **how)
+    none = lambda c: F.when(F.lit(method != "no_call_bare"), c)
+    return F.struct(gt.alias("gt"), none(pl).alias("pl"), none(ad).alias("ad"), F.when(~F.coalesce(gt, F.lit(".")).contains("."), M.gq(pl)).alias("gq"), none(F.aggregate(ad, F.lit(0), lambda a, x: a + x)).alias("dp"))
+
+
 def best_allele(lks: Column, informative: float = 0.2) -> Column:
     """struct<allele, confidence, informative>: the first most likely allele, and how far the second lies below."""
     top = F.array_max(lks)
@@ -174,6 +189,92 @@ def call_sites(sites: DataFrame, ploidy: int = 2, confidence: float = 25.0) -> D
     return sites.select("site", "alleles", "gls").mapInPandas(one, "site long, af array<double>, mle_ac array<int>, qual double, emitted boolean")
 
 
+def likely_alleles(gl: np.ndarray, gt: list[tuple[int, ...]], alleles: int, most: int) -> list[int]:
+    """The reference and the ``most`` alts with the largest summed gain of the samples' best genotypes over the reference, in order; ties to the first."""
+    gain = np.zeros(alleles)
+    for row in gl:
+        best = int(np.argmax(row))
+        for a in set(gt[best]) - {0}:
+            gain[a] += row[best] - row[0]
+    order = sorted(range(1, alleles), key=lambda a: (-gain[a], a))
+    return [0, *sorted(order[:most])]
+
+
+def call_site(alleles: list[str], pls: list[list[int]], ads: list[list[int]], ploidy: int = 2, confidence: float = 25.0, most: int = 6, given: tuple[str, ...] = ()) -> dict:
+    """Calls a site of several samples: alts beyond ``most`` are left out before the frequencies are estimated; those are put out that the samples make plausible, or that are ``given``.
+
+    Without any the site is monomorphic, its quality that of having no variant. Genotypes are over the alleles put out: PLs from 0, GT by the best of them
+    (no call where they tell nothing apart), reads by allele, GQ and depth.
+    """
+    gl, n = np.array(pls, float) / -10, len(alleles)
+    gt = genotypes(ploidy, n)
+    kept = likely_alleles(gl, gt, n, most)
+    at = lambda keep: [gt.index(tuple(sorted(keep[a] for a in g))) for g in genotypes(ploidy, len(keep))]
+    count, none, absent = allele_frequencies(gl[:, at(kept)].tolist(), [alleles[a] for a in kept], ploidy) if len(kept) > 1 else (np.array([float(ploidy * len(gl))]), 0.0, np.array([]))
+    plausible = {a for a, x in zip(kept[1:], absent) if x + 1e-10 < -confidence / 10}
+    out = [0, *sorted(plausible | {a for a in range(1, n) if alleles[a] in given})]
+    polymorphic = bool(plausible)
+    p = none if polymorphic else math.log10(max(1e-300, 1 - 10.0**none)) if none < 0 else -300.0
+    rows = []
+    for pl, ad in zip(pls, ads):
+        mine = [pl[i] for i in at(out)]
+        mine = [x - min(mine) for x in mine]
+        order = sorted(mine)
+        informative = sum(mine) > 1 and len(out) > 1
+        names = "/".join(map(str, genotypes(ploidy, len(out))[mine.index(0)])) if informative else "/".join("." if len(out) > 1 else "0" for _ in range(ploidy))
+        rows.append((names, mine, [ad[a] for a in out], min(99, order[1]) if informative else 0, sum(ad[a] for a in out)))
+    total = float(count.sum())
+    mle = dict(zip(kept, count))
+    return {
+        "alleles": [alleles[a] for a in out], "qual": -10.0 * p + 0.0, "polymorphic": polymorphic, "emitted": polymorphic and -10 * p >= confidence,
+        "mle_ac": [int(round(mle.get(a, 0.0))) for a in out[1:]], "mle_af": [min(1.0, float(mle.get(a, 0.0)) / total) if total else 0.0 for a in out[1:]], "genotypes": rows,
+    }
+
+
+_CALL = "alleles array<string>, qual double, polymorphic boolean, emitted boolean, mle_ac array<int>, mle_af array<double>, genotypes array<struct<sample:int,gt:string,pl:array<int>,ad:array<int>,gq:int,dp:int>>"
+
+
+def call_genotypes(sites: DataFrame, ploidy: int = 2, confidence: float = 25.0, most: int = 6) -> DataFrame:
+    """sites: (site of any type, alleles, samples array<struct<sample, pl, ad>>). Adds what ``call_site`` gives. One row holds a site's samples, as the estimate needs them all."""
+    kind = sites.schema["site"].dataType.simpleString()
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for site, alleles, samples in zip(pdf.site, pdf.alleles, pdf.samples):
+                samples = sorted(samples, key=lambda x: x["sample"])
+                got = call_site(list(alleles), [list(x["pl"]) for x in samples], [list(x["ad"]) for x in samples], ploidy, confidence, most)
+                got["genotypes"] = [dict(zip(("sample", "gt", "pl", "ad", "gq", "dp"), (x["sample"], *g))) for x, g in zip(samples, got["genotypes"])]
+                rows.append({"site": site, **got})
+            yield pd.DataFrame(rows, columns=["site", *(f.split()[0] for f in _CALL.split(", "))])
+
+    return sites.select("site", "alleles", "samples").mapInPandas(run, f"site {kind}, {_CALL}")
+
+
+def call_annotations(calls: DataFrame, cap: float = 45.0) -> DataFrame:
+    """calls as of ``call_genotypes``. Adds dp, an, ac and af from the called genotypes, and qd: quality by the depth of samples with alt reads (of all, if none has any), at most ``cap``."""
+    g = F.col("genotypes")
+    numbers = F.flatten(F.transform(g, lambda x: F.filter(F.split(x["gt"], "[/|]"), lambda a: a != ".")))
+    total = lambda keep: F.aggregate(F.filter(g, keep), F.lit(0), lambda a, x: a + x["dp"])
+    alt_dp = total(lambda x: F.exists(F.slice(x["ad"], 2, F.size(x["ad"])), lambda v: v > 0))
+    d = calls.withColumn("__n", numbers).withColumn("dp", total(lambda x: F.lit(True))).withColumn("an", F.size("__n"))
+    alts = F.when(F.size("alleles") > 1, F.sequence(F.lit(1), F.size("alleles") - 1)).otherwise(F.array().cast("array<int>"))
+    d = d.withColumn("ac", F.transform(alts, lambda a: F.size(F.filter("__n", lambda x: x == a.cast("string")))))
+    d = d.withColumn("af", F.transform("ac", lambda x: F.when(F.col("an") > 0, x / F.col("an")).otherwise(0.0)))
+    depth = F.coalesce(F.nullif(alt_dp, F.lit(0)), F.col("dp"))
+    return d.withColumn("qd", F.when(depth > 0, F.least(F.lit(cap), F.col("qual") / depth))).drop("__n")
+
+
+def site_annotations(reads: DataFrame, alleles: int) -> DataFrame:
+    """reads: (site, allele from 0, mapq, qual). (site, dp, ad, af, mq, bq): depth, reads by allele, share of each alt, and the upper medians of both qualities by allele (30 without reads)."""
+    from .variants import upper_median
+
+    of = lambda c: [F.collect_list(F.when(F.col("allele") == a, F.col(c))) for a in range(alleles)]
+    ad = [F.count_if(F.col("allele") == a).cast("int") for a in range(alleles)]
+    g = reads.groupBy("site").agg(F.count("*").alias("dp"), F.array(*ad).alias("ad"), F.array(*of("mapq")).alias("m"), F.array(*of("qual")).alias("b"))
+    return g.select("site", "dp", "ad", F.transform(F.slice("ad", 2, alleles), lambda x: x / F.col("dp")).alias("af"), F.transform("m", upper_median).alias("mq"), F.transform("b", upper_median).alias("bq"))
+
+
 def subset_pls(pl: Column, ploidy: int, alleles: int, keep: list[int]) -> Column:
     """PLs of the genotypes over the kept alleles (the reference first), shifted so that the best is 0."""
     old = {g: i for i, g in enumerate(genotypes(ploidy, alleles))}

@@ -76,6 +76,16 @@ def strain_paths(edges: list[tuple[int, int, float]], depths: dict[int, float],
     return strains
 
 
+def strains(edges: DataFrame, depths: DataFrame, share: float = 0.35) -> DataFrame:
+    """edges: (genome, src, dst, weight), depths: (genome, grp, depth). (genome, strain, place, grp): ``strain_paths`` of each genome, its groups by place. A genome's groups, some dozens, are one task's."""
+
+    def one(key, e, d):
+        paths = strain_paths([(int(a), int(b), float(w)) for a, b, w in sorted(zip(e.src, e.dst, e.weight))], {int(g): float(x) for g, x in zip(d.grp, d.depth)}, share) if len(d) else []
+        return pd.DataFrame([(key[0], k, i, g) for k, path in enumerate(paths) for i, g in enumerate(path)], columns=["genome", "strain", "place", "grp"])
+
+    return edges.select("genome", "src", "dst", "weight").groupBy("genome").cogroup(depths.select("genome", "grp", "depth").groupBy("genome")).applyInPandas(one, f"genome {depths.schema['genome'].dataType.simpleString()}, strain int, place int, grp long")
+
+
 def abundances(strains: list[tuple[int, list[int], list[float]]], eps: float = 1e-2) -> dict[int, float]:
     """strains: (strain, variant ids, weights). Expectation maximisation: each weight is shared among the strains of its variant by their current abundance."""
     of = defaultdict(list)

@@ -15,6 +15,7 @@ from ..functions import maths as M
 from ..functions import sequences as S
 from ..operators import activity as A
 from ..operators import calling as CA
+from ..operators import density as DG
 from ..operators import genotypes as G
 from ..operators import kernels as K
 from ..operators import ranges as R
@@ -1160,7 +1161,7 @@ def _(s, d):
 @query("gen23_assigned_genotypes", "SELECT site, sample, CASE WHEN list_max(v) = 0 THEN './.' ELSE CASE list_position(v, 0) WHEN 1 THEN '0/0' WHEN 2 THEN '0/1' WHEN 3 THEN '1/1' WHEN 4 THEN '0/2' WHEN 5 THEN '1/2' ELSE '2/2' END END AS gt FROM (SELECT site, sample, [" + ", ".join(f"CAST(round(-10 * (x{i} - t)) AS INTEGER)" for i in range(6)) + "] AS v FROM (SELECT *, greatest(x0, x1, x2, x3, x4, x5) AS t FROM gl))", D.LKS, _GL)
 def _(s, d):
     gts = ["/".join(map(str, g)) for g in G.genotypes(2, 3)]
-    return _gls(s, d).select("site", "sample", G.assign(M.gls_to_pls(col("gl")), None, gts).alias("gt"))
+    return _gls(s, d).select("site", "sample", G.assign(M.gls_to_pls(col("gl")), gts).alias("gt"))
 
 
 @query("gen29_strain_annotation", "SELECT site, list_sort(list(DISTINCT CAST(grp % 3 AS INTEGER))) AS strains FROM (SELECT site, site % 20 AS grp FROM ad UNION ALL SELECT site, (site + 1) % 20 FROM ad) GROUP BY 1", D.AD)
@@ -1172,11 +1173,45 @@ def _(s, d):
 
 @query("gen27_variant_groups")
 def _(s, d):
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
+    # variants by their alt share in each of four samples; those without reads in a sample have 0 there
+    n = F.aggregate("ad", lit(0), lambda a, x: a + x)
+    x = D.allele_depths(s, d).select("site", "sample", F.when(n > 0, (col("ad")[1] + col("ad")[2]) / n).otherwise(0.0).alias("share"))
+    x = x.groupBy("site").agg(F.array(*[F.coalesce(F.max(F.when(col("sample") == k, col("share"))), lit(0.0)) for k in range(4)]).alias("features"))
+    return DG.density_groups(x.select(col("site").alias("id"), "features"), 0.15, 3).select(col("id").alias("site"), "grp")
+
+
+@query("gen28_strain_paths")
+def _(s, d):
+    m = _members(s, d)
+    depths = m.groupBy("grp").agg(F.count("*").cast("double").alias("depth"))
+    edges = ST.linkage_edges(ST.shared_reads(m), depths)
+    return ST.strains(edges.withColumn("genome", lit(0)), depths.withColumn("genome", lit(0))).select("strain", "place", "grp")
+
+
+@query("gen22_called_sites")
+def _(s, d):
+    x = _gls(s, d).select("site", "sample", M.gls_to_pls(col("gl")).alias("pl")).join(D.allele_depths(s, d), ["site", "sample"])
+    sites = x.groupBy("site").agg(F.collect_list(F.struct("sample", "pl", "ad")).alias("samples")).withColumn("alleles", F.array(lit("A"), lit("C"), lit("GTT")))
+    c = G.call_annotations(G.call_genotypes(sites))
+    return c.select("site", "alleles", r(col("qual"), 4).alias("qual"), "emitted", "mle_ac", F.transform("genotypes", lambda g: g["gt"]).alias("gts"), "dp", "an", "ac", r(col("qd"), 4).alias("qd"))
 
-    x = D.table(s, d, "embeddings").select("vec_id", array_to_vector("embedding").alias("features"))
-    return KMeans(k=10, seed=1, maxIter=10).fit(x).transform(x).select("vec_id", col("prediction").alias("grp"))
+
+@query("gen23_original_genotypes", "SELECT site, sample, (CASE WHEN a1 % 4 = 3 THEN '.' WHEN a1 % 4 = 2 THEN '1' ELSE '0' END) || '/' || (CASE WHEN a2 % 4 = 3 THEN '.' WHEN a2 % 4 = 2 THEN '1' ELSE '0' END) AS gt, CAST(NULL AS VARCHAR) AS unassigned, './.' AS no_call, a0 + a1 + a2 AS dp, CAST(NULL AS INTEGER) AS bare_dp FROM ad", D.AD)
+def _(s, d):
+    # original alleles 0, 1, 2 and no call from the depths; allele 1 is not kept
+    a, gts = col("ad"), ["0/0", "0/1", "1/1"]
+    original = F.array(*[F.when(a[k] % 4 == 3, -1).otherwise(a[k] % 4) for k in (1, 2)])
+    pl = F.array(lit(0), lit(10), lit(20))
+    how = lambda method, **more: G.called(pl, a, gts, method, **more)
+    best = how("original", original=original, kept=F.array(lit(0), lit(2)))
+    return D.allele_depths(s, d).select("site", "sample", best["gt"].alias("gt"), how("none")["gt"].alias("unassigned"), how("no_call")["gt"].alias("no_call"), how("no_call")["dp"].alias("dp"), how("no_call_bare")["dp"].alias("bare_dp"))
+
+
+@query("gen25_site_annotations", "SELECT site, count(*) AS dp, " + ", ".join(f"round(count(*) FILTER (allele = {a}) / count(*), 6) AS af{a}" for a in (1, 2)) + ", " + ", ".join(f"CAST(coalesce((list_sort(list({c}) FILTER (allele = {a})))[count(*) FILTER (allele = {a}) // 2 + 1], 30) AS INTEGER) AS {n}{a}" for n, c in (("mq", "mapq"), ("bq", "qual")) for a in range(3)) + " FROM (SELECT s // 10 AS site, mapq, qual, CASE allele WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS allele FROM reads) GROUP BY 1", D.READS)
+def _(s, d):
+    x = D.reads(s, d).select(F.floor(col("start") / 10).alias("site"), F.when(col("allele") == "A", 0).when(col("allele") == "N", 1).otherwise(2).alias("allele"), "mapq", "qual")
+    g = G.site_annotations(x, 3)
+    return g.select("site", "dp", *[r(col("af")[a - 1]).alias(f"af{a}") for a in (1, 2)], *[col(c)[a].alias(f"{c}{a}") for c in ("mq", "bq") for a in range(3)])
 
 
 @query("gen34_sample_models", "SELECT site, count(*) AS samples, round(sum(x0 - n * log10(2)), 6) AS hom_ref FROM gl GROUP BY 1", D.LKS, _GL)
@@ -1309,7 +1344,7 @@ def _(s, d):
 @query("gen22_called_genotypes", "SELECT site, count(*) AS samples, sum(CASE WHEN list_max(v) > 0 AND list_position(v, 0) > 1 THEN 1 ELSE 0 END) AS with_alt FROM (SELECT site, sample, [" + ", ".join(f"CAST(round(-10 * (x{i} - t)) AS INTEGER)" for i in range(6)) + "] AS v FROM (SELECT *, greatest(x0, x1, x2, x3, x4, x5) AS t FROM gl)) GROUP BY 1", D.LKS, _GL)
 def _(s, d):
     gts = ["/".join(map(str, g)) for g in G.genotypes(2, 3)]
-    x = _gls(s, d).select("site", G.assign(M.gls_to_pls(col("gl")), None, gts).alias("gt"))
+    x = _gls(s, d).select("site", G.assign(M.gls_to_pls(col("gl")), gts).alias("gt"))
     return x.groupBy("site").agg(F.count("*").alias("samples"), F.count_if(~col("gt").isin("0/0", "./.")).alias("with_alt"))
 
 
@@ -1388,7 +1423,7 @@ _P = [0.0, "-3 - log10(3)", "-6 - log10(3)", "log10(0.000125)", "-3 - log10(3) +
 def _(s, d):
     gts = ["/".join(map(str, g)) for g in G.genotypes(2, 3)]
     prior = F.array(*[lit(p) for p in G.genotype_priors(2, ["A", "C", "GTT"])])
-    return _gls(s, d).select("site", "sample", G.assign(M.gls_to_pls(col("gl")), None, gts, "posterior", prior).alias("gt"))
+    return _gls(s, d).select("site", "sample", G.assign(M.gls_to_pls(col("gl")), gts, "posterior", prior).alias("gt"))
 
 
 @query("mth23_read_thresholds", """SELECT rid, round(least(-0.1 * (n * mean + sqrt(n * (sq - mean * mean))), -4.0 * least(2, ceil(n * 0.02))), 6) AS threshold FROM (
@@ -1561,7 +1596,8 @@ def _short_regions(s, d):
 
 @query("gen19_called_regions")
 def _(s, d):
-    return CA.call_regions(*_short_regions(s, d), kmer_sizes=(9,)).select("region", "start", "ref", "alt", "sample", "gt", "pl")
+    c = CA.call_regions(*_short_regions(s, d), kmer_sizes=(9,)).select("region", "start", "alleles", r(col("qual"), 3).alias("qual"), "emitted", "ac", F.explode("genotypes").alias("g"))
+    return c.select("region", "start", "alleles", "qual", "emitted", "ac", "g.sample", "g.gt", "g.pl", "g.ad")
 
 
 @query("gen20_locus_likelihoods")
@@ -1569,7 +1605,7 @@ def _(s, d):
     reg, reads = _short_regions(s, d)
     haps = CA.haplotype_events(reg, K.assemble_regions(reg, reads.select("region", "seq", "quals"), (9,)))
     x = CA.locus_likelihoods(reads, haps)
-    return x.select("region", "sample", "read", "event.*", r(col("lks")[0]).alias("without"), r(col("lks")[1]).alias("with"))
+    return x.select("region", "sample", "read", "start", "ref", F.posexplode(F.transform("lks", lambda x: r(x))).alias("allele", "lk"))
 
 
 @query("agg23_effective_counts", "SELECT site, " + ", ".join(f"round(sum(({w}) / (e0 + 2 * e1 + e2 + 2 * e3 + 2 * e4 + e5)), 6) AS c{i}" for i, w in enumerate(("2 * e0 + 2 * e1 + 2 * e3", "2 * e1 + 2 * e2 + 2 * e4", "2 * e3 + 2 * e4 + 2 * e5"))) + " FROM (SELECT site, " + ", ".join(f"pow(10, x{i} - t) AS e{i}" for i in range(6)) + " FROM (SELECT *, greatest(x0, x1, x2, x3, x4, x5) AS t FROM gl)) GROUP BY 1", D.LKS, _GL)

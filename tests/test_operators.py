@@ -431,7 +431,11 @@ def test_gene_dnds_and_consensus(spark):
 def test_assign(spark):
     pl, none = F.array(lit(0), lit(10), lit(20)), F.array(lit(0), lit(0), lit(0))
     g = ["0/0", "0/1", "1/1"]
-    assert one(spark, G.assign(pl, None, g), G.assign(none, None, g), G.assign(pl, F.array(lit(3), lit(2)), g, "depths"), G.assign(pl, None, g, "posterior", F.array(lit(-3.0), lit(-1.0), lit(0.0)))) == ("0/0", "./.", "0/1", "0/1")
+    assert one(spark, G.assign(pl, g), G.assign(none, g), G.assign(pl, g, "posterior", F.array(lit(-3.0), lit(-1.0), lit(0.0)))) == ("0/0", "./.", "0/1")
+    original = lambda *x: G.assign(pl, g, "original", original=F.array(*map(lit, x)), kept=F.array(lit(0), lit(2)))
+    assert one(spark, original(0, 1), original(2, -1), original(2, 0), G.assign(pl, g, "none"), G.assign(pl, g, "no_call")) == ("0/0", "1/.", "1/0", None, "./.")
+    bare, plain = (G.called(pl, F.array(lit(3), lit(2)), g, m) for m in ("no_call_bare", "pls"))
+    assert one(spark, bare, plain) == (("./.", None, None, None, None), ("0/0", *one(spark, pl, F.array(lit(3), lit(2))), one(spark, M.gq(pl))[0], 5)) and set(G.METHODS) >= {"pls", "none"}
 
 
 @pytest.mark.parametrize("n", [1, 2, 5])
@@ -585,8 +589,13 @@ def test_region_is_called(spark):
     alt = ref[:15] + "T" + ref[16:]
     reg = spark.createDataFrame([(1, 100, ref)], "region long, start long, ref string")
     reads = spark.createDataFrame([(1, s, 10 * s + i, ref if s == 0 or i % 2 else alt, [30] * len(ref)) for s in (0, 1) for i in range(8)], "region long, sample int, read long, seq string, quals array<int>")
-    got = sorted(CA.call_regions(reg, reads, kmer_sizes=(9,)).select("start", "ref", "alt", "sample", "gt").collect())
-    assert [tuple(r) for r in got] == [(115, "C", "T", 0, "0/0"), (115, "C", "T", 1, "0/1")]
+    (c,) = CA.call_regions(reg, reads, kmer_sizes=(9,)).collect()
+    assert (c.start, c.alleles, c.emitted, c.an, c.ac, c.dp) == (115, ["C", "T"], True, 4, [1], 16) and [(g.sample, g.gt, g.ad) for g in c.genotypes] == [(0, "0/0", [8, 0]), (1, "0/1", [4, 4])]
+    # two alts of one place, one of them longer
+    alts = [ref[:15] + "T" + ref[16:], ref[:15] + "CAA" + ref[16:]]
+    many = spark.createDataFrame([(1, s, 10 * s + i, x, [30] * len(x)) for s in (0, 1) for i in range(10) for x in [alts[s] if i % 2 else ref]], "region long, sample int, read long, seq string, quals array<int>")
+    (c,) = CA.call_regions(reg, many, kmer_sizes=(9,)).collect()
+    assert c.start == 115 and set(c.alleles[1:]) == {"T", "CAA"} and c.alleles[0] == "C" and c.ac == [1, 1] and [g.gt for g in c.genotypes] == [f"0/{c.alleles.index(x)}" for x in ("T", "CAA")]
     assert CA.call_regions(reg.limit(0), reads.limit(0)).count() == 0
 
 
@@ -638,3 +647,95 @@ def test_assembly_keeps_reads_beyond_ten_thousand(spark):
     for how in ({}, {"depth": None}):
         assert {r.hap for r in K.assemble_regions(regions, reads, (25,), 2, **how).collect()} == {ref, alt}
     assert {r.hap for r in K.assemble_regions(regions, reads, (25,), 2, depth=10_000).collect()} == {ref}
+
+
+def slow_em(gls, alleles):
+    """Diploid frequencies by plain loops over allele pairs."""
+    n = len(alleles)
+    pairs = sorted(((a, b) for b in range(n) for a in range(b + 1)), key=lambda g: (g[1], g[0]))
+    prior = [10.0] + [0.01 if len(x) == len(alleles[0]) else 0.00125 for x in alleles[1:]]
+    f, was = [1 / n] * n, [0.0] * n
+    while True:
+        count, posts = [0.0] * n, []
+        for gl in gls:
+            w = [10 ** (x - max(gl)) * (1 if a == b else 2) * f[a] * f[b] for x, (a, b) in zip(gl, pairs)]
+            posts.append([x / sum(w) for x in w])
+            for x, (a, b) in zip(posts[-1], pairs):
+                count[a] += x
+                count[b] += x
+        done = max(abs(x - y) for x, y in zip(count, was)) <= 0.01
+        was, total = count, sum(prior) + sum(count)
+        f = [(p + c) / total for p, c in zip(prior, count)]
+        if done:
+            break
+    none = sum(math.log10(max(p[0], 1e-300)) for p in posts)
+    absent = [sum(math.log10(min(1, max(1e-300, sum(x for x, g in zip(p, pairs) if k not in g)))) for p in posts) for k in range(1, n)]
+    return count, none, [none] if n == 2 else absent, pairs
+
+
+def test_called_sites_against_plain_loops():
+    rng = random.Random(12)
+    seen = set()
+    for _ in range(150):
+        n = rng.choice([2, 3, 4])
+        alleles = ["A", "C", "GTT", "T"][:n]
+        size = n * (n + 1) // 2
+        pls = []
+        for _ in range(rng.randrange(1, 5)):
+            x = [rng.choice([0, 3, 20, 60, 200]) for _ in range(size)] if rng.random() < 0.6 else [200] * size
+            x[0 if rng.random() < 0.5 else rng.randrange(size)] = 0
+            pls.append([v - min(x) for v in x])
+        ads = [[rng.randrange(9) for _ in range(n)] for _ in pls]
+        got = G.call_site(alleles, pls, ads)
+        count, none, absent, pairs = slow_em([[-v / 10 for v in pl] for pl in pls], alleles)
+        kept = [0] + [k for k, x in enumerate(absent, 1) if x + 1e-10 < -2.5]
+        assert got["alleles"] == [alleles[k] for k in kept] and got["polymorphic"] == (len(kept) > 1)
+        if len(kept) > 1:
+            assert abs(got["qual"] + 10 * none) < 1e-6 and got["emitted"] == (-10 * none >= 25) and got["mle_ac"] == [round(count[k]) for k in kept[1:]]
+        new = sorted(((a, b) for b in range(len(kept)) for a in range(b + 1)), key=lambda g: (g[1], g[0]))
+        for (gt, pl, ad, gq, dp), old, reads in zip(got["genotypes"], pls, ads):
+            mine = [old[pairs.index(tuple(sorted((kept[a], kept[b]))))] for a, b in new]
+            mine = [v - min(mine) for v in mine]
+            assert pl == mine and ad == [reads[k] for k in kept] and dp == sum(ad)
+            if sum(mine) > 1:
+                assert gt == "/".join(map(str, new[mine.index(0)])) and gq == min(99, sorted(mine)[1])
+            else:
+                assert gt == ("./." if len(kept) > 1 else "0/0") and gq == 0
+        seen.add((len(kept), got["emitted"]))
+    assert {(1, False), (2, True), (3, True)} <= seen
+    assert G.call_site(["A", "C", "G", "T"], [[50] * 9 + [0]], [[0, 0, 0, 9]], most=1)["alleles"] == ["A", "T"]
+    assert G.call_site(["A", "C"], [[0, 30, 300]], [[9, 0]], given=("C",))["alleles"] == ["A", "C"]
+
+
+def test_density_groups(spark):
+    from cladeframe.operators import density as DG
+
+    rng = random.Random(8)
+    pts = [(i, [rng.gauss(c, 0.05), rng.gauss(c / 2, 0.05)]) for i, c in enumerate(rng.choices([0.2, 0.9, 1.6], k=150))] + [(200 + i, [rng.random() * 4, rng.random() * 4]) for i in range(25)] + [(300, None), (301, [0.2, 0.1])]
+    d = spark.createDataFrame(pts, "id int, features array<double>")
+    eps, least = 0.1, 4
+    got = {r.id: r.grp for r in DG.density_groups(d, eps, least).collect()}
+    cell = {i: tuple(math.floor(x / eps) for x in f) for i, f in pts if f}
+    n = {c: list(cell.values()).count(c) for c in cell.values()}
+    dense = {c for c in n if n[c] >= least}
+    near = lambda a, b: all(abs(x - y) <= 1 for x, y in zip(a, b))
+    group = {c: c for c in dense}
+    for _ in dense:
+        for a in dense:
+            for b in dense:
+                if near(a, b):
+                    group[a] = group[b] = min(group[a], group[b])
+    number = {c: k for k, c in enumerate(sorted(set(group.values())))}
+    want = {300: -1}
+    for i, c in cell.items():
+        at = c if c in dense else min((x for x in dense if near(x, c)), key=lambda x: (-n[x], x), default=None)
+        want[i] = -1 if at is None else number[group[at]]
+    assert got == want and len(number) >= 3 and -1 in got.values()
+    assert DG.density_groups(d.limit(0), eps, least).count() == 0
+
+
+def test_strains_of_genomes(spark):
+    edges = [("x", 1, 2, 0.5), ("x", 1, 3, 0.4), ("y", 5, 6, 0.1)]
+    depths = [("x", 1, 10.0), ("x", 2, 4.0), ("x", 3, 5.0), ("y", 5, 3.0), ("y", 6, 2.0), ("z", 9, 1.0)]
+    got = ST.strains(spark.createDataFrame(edges, "genome string, src long, dst long, weight double"), spark.createDataFrame(depths, "genome string, grp long, depth double")).collect()
+    assert sorted((r.genome, r.strain, r.place, r.grp) for r in got) == [("x", 0, 0, 1), ("x", 0, 1, 3), ("x", 1, 0, 1), ("x", 1, 1, 2), ("y", 0, 0, 5), ("y", 0, 1, 6), ("z", 0, 0, 9)]
