@@ -717,8 +717,9 @@ def _(s, d):
 
 @query("str09_trimmed_alleles")
 def _(s, d):
-    t = S.trim_alleles(col("ref"), col("alt"))
-    return D.alleles(s, d).select("key", t["ref"].alias("ref"), t["alt"].alias("alt"), t["shift"].cast("int").alias("shift"))
+    # taken apart in a second step: beside an alias ``ref`` Spark reads the column of that name in a lambda as the alias
+    t = D.alleles(s, d).select("key", S.trim_alleles(col("ref"), col("alt")).alias("t"))
+    return t.select("key", "t.ref", "t.alt", col("t.shift").cast("int").alias("shift"))
 
 
 @query("str05_repeat_units")
@@ -903,11 +904,16 @@ def _(s, d):
     return ST.linkage_edges(ST.shared_reads(m), m.groupBy("grp").agg(F.count("*").cast("double").alias("depth"))).select("src", "dst", r(col("weight")).alias("weight"))
 
 
-@query("gen30_consensus")
+@query("gen30_consensus", "SELECT t.sample, CAST(doc_id AS INTEGER) AS tid, CAST(n AS BIGINT) AS old_length, CAST(n - k AS BIGINT) AS new_length, CAST(k AS INTEGER) AS variations FROM (SELECT doc_id, length(seq) AS n, (length(seq) - 23) // 97 + 1 AS k FROM seqs WHERE length(seq) > 50), (VALUES (0), (1)) t(sample)", D.SEQS)
 def _(s, d):
+    return ST.consensus(*_contig_calls(s, d)).select("sample", "tid", "old_length", "new_length", "variations")
+
+
+def _contig_calls(s, d):
+    """Contigs, and for two samples a call that makes one base of two at every 97th place."""
     contigs = D.sequences(s, d).where("length(seq) > 50").select(col("doc_id").cast("int").alias("tid"), "seq")
-    calls = contigs.select(F.explode(F.array(lit(0), lit(1))).alias("sample"), "tid", lit(20).cast("long").alias("pos"), F.substr("seq", lit(21), lit(2)).alias("ref"), lit("T").alias("alt"))
-    return ST.consensus(contigs, calls).select("sample", "tid", "old_length", "new_length", "variations")
+    calls = contigs.select("tid", "seq", F.explode(F.sequence(lit(20), F.length("seq") - 3, lit(97))).cast("long").alias("pos")).select("tid", "pos", F.substr("seq", (col("pos") + 1).cast("int"), lit(2)).alias("ref"), lit("T").alias("alt"))
+    return contigs, calls.select(F.explode(F.array(lit(0), lit(1))).alias("sample"), "*")
 
 
 @query("gen26_qd_cap", "SELECT site, least(qd, 45.0) AS qd FROM qc", _QC)
@@ -1393,9 +1399,7 @@ def _(s, d):
 
 @query("snk12_sample_consensus")
 def _(s, d):
-    contigs = D.sequences(s, d).where("length(seq) > 50").select(col("doc_id").cast("int").alias("tid"), "seq")
-    calls = contigs.select(F.explode(F.array(lit(0), lit(1))).alias("sample"), "tid", lit(20).cast("long").alias("pos"), F.substr("seq", lit(21), lit(2)).alias("ref"), lit("T").alias("alt"))
-    return files.fasta_lines(ST.consensus(contigs, calls), F.concat_ws("_", "sample", "tid"))
+    return files.fasta_lines(ST.consensus(*_contig_calls(s, d)), F.concat_ws("_", "sample", "tid"))
 
 
 @query("gen24_subset_alleles", "SELECT site, sample, [CAST(p0 - m AS INTEGER), CAST(p3 - m AS INTEGER), CAST(p5 - m AS INTEGER)] AS pl, [a0, a2] AS depths, CAST(least(99, list_sort([p0 - m, p3 - m, p5 - m])[2]) AS INTEGER) AS gq, a0 + a2 AS dp FROM (SELECT *, least(p0, p3, p5) AS m FROM (SELECT site, sample, CAST(round(-10 * (x0 - t)) AS INTEGER) AS p0, CAST(round(-10 * (x3 - t)) AS INTEGER) AS p3, CAST(round(-10 * (x5 - t)) AS INTEGER) AS p5 FROM (SELECT *, greatest(x0, x1, x2, x3, x4, x5) AS t FROM gl))) JOIN ad USING (site, sample)", D.LKS, _GL, D.AD)
