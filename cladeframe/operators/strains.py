@@ -196,6 +196,15 @@ def gene_dnds(genes: DataFrame, variants: DataFrame) -> DataFrame:
     return j.groupBy("gene", "sample").applyInPandas(one, "gene long, sample int, snps int, dnds double")
 
 
+def dnds_lines(genes: DataFrame, rates: DataFrame, samples: list[int]) -> DataFrame:
+    """genes: (gene, tid, start, end), rates as of ``gene_dnds``. (gene, line): tid, gene, start and end from 1, then each sample's substitutions and each one's dN/dS with four decimals, tab-separated; 0 and 1 where a sample has none."""
+    of = lambda k, c, none: F.coalesce(F.max(F.when(F.col("sample") == k, F.col(c))), F.lit(none))
+    by = rates.groupBy("gene").agg(*[of(k, "snps", 0).alias(f"n{k}") for k in samples], *[of(k, "dnds", 1.0).alias(f"d{k}") for k in samples])
+    j = genes.select("gene", "tid", "start", "end").join(by, "gene", "left")
+    cells = [F.col("tid"), F.col("gene"), F.col("start") + 1, F.col("end") + 1, *[F.coalesce(f"n{k}", F.lit(0)) for k in samples]]
+    return j.select("gene", F.concat_ws("\t", *[c.cast("string") for c in cells], *[F.format_string("%.4f", F.coalesce(f"d{k}", F.lit(1.0))) for k in samples]).alias("line"))
+
+
 def splice(seq: str, variants: list[tuple[int, str, str]]) -> str:
     """Applies (offset, ref, alt) from left to right, carrying the shift of earlier ones; a variant inside a base that is already replaced is left out. ``*`` deletes all but the first base."""
     out, at = [], 0

@@ -31,13 +31,14 @@ def compared_bases(depths: DataFrame, least: int) -> DataFrame:
 
 
 def identity_counts(ad: DataFrame, least: int) -> DataFrame:
-    """ad: (site, sample, ad array<int>, lens array<int>), allele 0 the reference. For s1 <= s2 the summed differences con, pop and subpop.
+    """ad: (site, sample, ad array<int>, lens array<int>), allele 0 the reference. For s1 <= s2 the sites that both samples are deep enough for, compared, and the summed differences
+    con, pop and subpop over those where both have an allele of ``least`` reads. One join of the sites and one aggregation.
 
     The join is by site, and a site has a row for each sample: pairs grow with the square of the number of samples, not of sites.
     """
-    d = ad.withColumn("pres", present(F.col("ad"), least)).where(F.exists("pres", lambda x: x)).withColumn("con", F.coalesce(consensus_index(F.col("ad")), F.lit(0)))
-    a = d.select("site", "lens", F.col("sample").alias("s1"), F.col("pres").alias("p1"), F.col("con").alias("c1"))
-    b = d.select("site", F.col("sample").alias("s2"), F.col("pres").alias("p2"), F.col("con").alias("c2"))
+    d = ad.where(F.aggregate("ad", F.lit(0), lambda a, x: a + x) >= least).withColumn("pres", present(F.col("ad"), least)).withColumn("some", F.exists("pres", lambda x: x)).withColumn("con", F.coalesce(consensus_index(F.col("ad")), F.lit(0)))
+    a = d.select("site", "lens", F.col("sample").alias("s1"), F.col("pres").alias("p1"), F.col("con").alias("c1"), F.col("some").alias("o1"))
+    b = d.select("site", F.col("sample").alias("s2"), F.col("pres").alias("p2"), F.col("con").alias("c2"), F.col("some").alias("o2"))
     j = a.join(b, "site").where("s1 <= s2")
     lens = F.col("lens")
 
@@ -53,19 +54,18 @@ def identity_counts(ad: DataFrame, least: int) -> DataFrame:
     own = F.col("s1") == F.col("s2")
     away = F.when(~F.col("p1")[0], mean_len(F.col("p1"))).otherwise(0.0)
     j = j.select(
-        "s1", "s2",
+        "s1", "s2", (F.col("o1") & F.col("o2")).alias("both"),
         F.when(own, F.when(F.col("c1") != 0, con(la, l0)).otherwise(0.0)).otherwise(F.when(F.col("c1") != F.col("c2"), con(la, lb)).otherwise(0.0)).alias("con"),
         F.when(own, away).otherwise(F.when(shared, 0.0).otherwise(bd)).alias("pop"),
         F.when(own, away).otherwise(F.when(F.exists(diff, lambda x: x), bd).otherwise(0.0)).alias("subpop"),
     )
-    return j.groupBy("s1", "s2").agg(*[F.sum(c).alias(c) for c in ("con", "pop", "subpop")])
+    return j.groupBy("s1", "s2").agg(F.count("*").alias("compared"), *[F.coalesce(F.sum(F.when(F.col("both"), F.col(c))), F.lit(0.0)).alias(c) for c in ("con", "pop", "subpop")])
 
 
-def ani(ad: DataFrame, compared: DataFrame, least: int) -> DataFrame:
+def ani(ad: DataFrame, least: int) -> DataFrame:
     """(s1, s2, con_ani, pop_ani, subpop_ani) for s1 <= s2: one less differences over compared bases."""
     n = identity_counts(ad, least)
-    j = compared.join(n, ["s1", "s2"], "left")
-    return j.select("s1", "s2", *[(1.0 - F.coalesce(F.col(c), F.lit(0.0)) / F.col("compared")).alias(f"{c}_ani") for c in ("con", "pop", "subpop")])
+    return n.select("s1", "s2", *[(1.0 - F.col(c) / F.col("compared")).alias(f"{c}_ani") for c in ("con", "pop", "subpop")])
 
 
 def hudson_fst(ad: DataFrame, least: int) -> DataFrame:

@@ -260,14 +260,14 @@ def _(s, d):
 
 @query("agg13_ani", "SELECT s1, s2, round(1 - coalesce(con, 0) / compared, 6) AS con_ani, round(1 - coalesce(pop, 0) / compared, 6) AS pop_ani, round(1 - coalesce(subpop, 0) / compared, 6) AS subpop_ani FROM cmp LEFT JOIN nn USING (s1, s2)", D.AD, _COMPARED, _ANI)
 def ani(s, d):
-    a = V.ani(D.allele_depths(s, d), V.compared_bases(_depths(s, d), 2), 2)
+    a = V.ani(D.allele_depths(s, d), 2)
     return a.select("s1", "s2", *[r(col(c)).alias(c) for c in ("con_ani", "pop_ani", "subpop_ani")])
 
 
 @query("snk07_ani_matrix", """SELECT CAST(x.sample + 1 AS INTEGER) AS sample, max(v) FILTER (t = 0) AS s1, max(v) FILTER (t = 1) AS s2, max(v) FILTER (t = 2) AS s3, max(v) FILTER (t = 3) AS s4
   FROM (SELECT s1 AS sample, s2 AS t, round(1 - coalesce(pop, 0) / compared, 8) AS v FROM cmp LEFT JOIN nn USING (s1, s2) UNION SELECT s2, s1, round(1 - coalesce(pop, 0) / compared, 8) FROM cmp LEFT JOIN nn USING (s1, s2)) x GROUP BY 1""", D.AD, _COMPARED, _ANI)
 def _(s, d):
-    return V.matrix(V.ani(D.allele_depths(s, d), V.compared_bases(_depths(s, d), 2), 2), "pop_ani", [0, 1, 2, 3])
+    return V.matrix(V.ani(D.allele_depths(s, d), 2), "pop_ani", [0, 1, 2, 3])
 
 
 _FST = """f AS (SELECT site, sample, a0, a1, a2, a0 + a1 + a2 AS n, 1.0 - (a0 * (a0 - 1) + a1 * (a1 - 1) + a2 * (a2 - 1)) / ((a0 + a1 + a2) * (a0 + a1 + a2 - 1)) AS w FROM ad WHERE a0 + a1 + a2 >= 2),
@@ -912,7 +912,7 @@ def _(s, d):
 def _contig_calls(s, d):
     """Contigs, and for two samples a call that makes one base of two at every 97th place."""
     contigs = D.sequences(s, d).where("length(seq) > 50").select(col("doc_id").cast("int").alias("tid"), "seq")
-    calls = contigs.select("tid", "seq", F.explode(F.sequence(lit(20), F.length("seq") - 3, lit(97))).cast("long").alias("pos")).select("tid", "pos", F.substr("seq", (col("pos") + 1).cast("int"), lit(2)).alias("ref"), lit("T").alias("alt"))
+    calls = contigs.select("tid", "seq", F.explode(F.sequence(lit(20), F.length("seq") - 3, lit(97))).alias("pos")).select("tid", col("pos").cast("long").alias("pos"), F.substr("seq", col("pos") + 1, lit(2)).alias("ref"), lit("T").alias("alt"))
     return contigs, calls.select(F.explode(F.array(lit(0), lit(1))).alias("sample"), "*")
 
 
@@ -971,6 +971,38 @@ def _(s, d):
     return D.allele_depths(s, d).groupBy("site").agg(*[c for k in range(4) for c in (one(k, a[0]).alias(f"r{k}"), one(k, a[1] + a[2]).alias(f"v{k}"))])
 
 
+@query("snk01_vcf_file", "SELECT site AS pos, 'A,C,GTT' AS alleles, list_sort(list([CAST(sample AS INTEGER), a0, a1, a2])) AS depths FROM ad GROUP BY 1", D.AD)
+def _(s, d):
+    # written as VCF files and read back
+    from ..streaming.activity import shared_folder
+
+    g = F.struct("sample", lit("0/1").alias("gt"), F.array_repeat(lit(0), 6).alias("pl"), "ad", lit(30).alias("gq"), F.aggregate("ad", lit(0), lambda a, x: a + x).alias("dp"))
+    v = D.allele_depths(s, d).groupBy("site").agg(F.collect_list(g).alias("g"))
+    none = F.struct(lit("./.").alias("gt"), F.array_repeat(lit(0), 6).alias("pl"), F.array_repeat(lit(-1), 3).alias("ad"), lit(0).alias("gq"), lit(-1).alias("dp"))
+    of = lambda k: F.coalesce(F.try_element_at(F.filter("g", lambda x: x["sample"] == k), lit(1)).dropFields("sample"), none)
+    mine = [of(k) for k in range(4)]
+    v = v.select(lit("c").alias("contig"), col("site").alias("pos"), F.array(lit("A"), lit("C"), lit("GTT")).alias("alleles"), lit(50.0).alias("qual"), lit(25.0).alias("qd"), lit(10).alias("dp"), F.array(*mine).alias("genotypes"))
+    path = f"{shared_folder(s)}.vcf"
+    files.write_vcf(v, path, ["a", "b", "c", "d"], [("c", 1_000_000)])
+    back = files.read_vcf(s, path).select("pos", F.array_join("alleles", ",").alias("alleles"), F.filter("genotypes", lambda x: x["ad"][0] >= 0).alias("g"))
+    return back.select("pos", "alleles", F.array_sort(F.transform("g", lambda x: F.concat(F.array(x["sample"]), x["ad"]))).alias("depths"))
+
+
+@query("snk09_dnds_lines")
+def _(s, d):
+    genes, variants = _genes_and_variants(s, d)
+    return ST.dnds_lines(genes, ST.gene_dnds(genes, variants), [0, 1, 2, 3])
+
+
+def _genes_and_variants(s, d):
+    """Genes of 60 bases along the contigs of whole texts, on both strands, and substitutions of four samples at every 13th place."""
+    c = D.sequences(s, d).select(col("doc_id").cast("int").alias("tid"), "seq").where("length(seq) >= 60")
+    g = c.select("tid", "seq", F.explode(F.sequence(lit(0), F.length("seq") - 60, lit(150))).alias("a"))
+    g = g.select((col("tid").cast("long") * 1_000_000 + col("a")).alias("gene"), "tid", col("a").cast("long").alias("start"), (col("a") + 59).cast("long").alias("end"), F.when(col("a") % 300 == 0, "+").otherwise("-").alias("strand"), F.substr("seq", col("a") + 1, lit(60)).alias("seq"))
+    v = c.select("tid", "seq", F.explode(F.sequence(lit(0), F.length("seq") - 1, lit(13))).alias("p"))
+    return g, v.select("tid", col("p").cast("long").alias("pos"), (col("p") % 4).alias("sample"), F.translate(F.substr("seq", col("p") + 1, lit(1)), "ACGT", "CGTA").alias("alt"))
+
+
 @query("snk11_fasta_lines", "SELECT doc_id, length(seq) + CAST(ceil(length(seq) / 60) AS BIGINT) AS chars FROM seqs WHERE length(seq) > 0", D.SEQS)
 def _(s, d):
     from ..sources.files import fasta_lines

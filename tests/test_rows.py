@@ -316,3 +316,48 @@ def test_phase_groups(spark):
             want |= {(g, calls[i][0]): (s, "0|1" if x > 0 else "1|0") for i, (s, x) in out.items()}
     got = {k: (r.phase_set, r.gt) for k, r in rows(spark, "win11_phase_groups", ["region", "start"]).items()}
     assert got == want and len(want) > 20
+
+
+def test_dnds_lines(spark):
+    letters = "TCAG"
+    code = dict(zip(("".join(x) for x in itertools.product(letters, repeat=3)), "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"))
+    back = str.maketrans("ACGT", "TGCA")
+    got = {r.gene: r.line.split("\t") for r in plans.QUERIES["snk09_dnds_lines"](spark, DATA).collect()}
+    n = 0
+    for r in D.sequences(spark, DATA).collect()[:25]:
+        for a in range(0, len(r.seq) - 59, 150):
+            line = got[r.doc_id * 1_000_000 + a]
+            assert line[:4] == [str(r.doc_id), str(r.doc_id * 1_000_000 + a), str(a + 1), str(a + 60)]
+            for sample in range(4):
+                gene = r.seq[a : a + 60]
+                new = list(gene)
+                at = [p for p in range(0, len(r.seq), 13) if p % 4 == sample and a <= p < a + 60]
+                for p in at:
+                    new[p - a] = new[p - a].translate(str.maketrans("ACGT", "CGTA"))
+                new = "".join(new)
+                if a % 300:
+                    gene, new = gene.translate(back)[::-1], new.translate(back)[::-1]
+                sites = wrong = silent = 0.0
+                for i in range(0, 60, 3):
+                    x, y = gene[i : i + 3], new[i : i + 3]
+                    # a site counts by the share of its three changes that change the amino acid
+                    sites += sum(code[x[:j] + b + x[j + 1 :]] != code[x] for j in range(3) for b in letters if b != x[j]) / 3
+                    ways = []
+                    for order in itertools.permutations([j for j in range(3) if x[j] != y[j]]):
+                        now, k = list(x), 0
+                        for j in order:
+                            was = code["".join(now)]
+                            now[j] = y[j]
+                            k += code["".join(now)] != was
+                        ways.append((k, len(order) - k))
+                    wrong, silent = wrong + sum(w[0] for w in ways) / len(ways), silent + sum(w[1] for w in ways) / len(ways)
+
+                def jc(p):
+                    p = 0.7499 if p == 0.75 else p
+                    return -0.75 * math.log(1 - 4 * p / 3) if p < 0.75 else math.nan
+
+                dn, ds = jc(wrong / sites), jc(silent / (60 - sites)) if sites < 60 else math.nan
+                want = 1.0 if not at or math.isnan(dn) or math.isnan(ds) or ds <= 2.3e-16 else max(0.0, dn / ds)
+                assert line[4 + sample] == str(len(at)) and abs(float(line[8 + sample]) - want) < 2e-3 * max(1, want), (r.doc_id, a, sample, line, want)
+                n += bool(at)
+    assert n > 100
