@@ -10,15 +10,28 @@ from pyspark.sql import functions as F
 BIN = 1 << 16
 
 
-def range_join(left: DataFrame, right: DataFrame, l: tuple[str, str, str], r: tuple[str, str, str], bin_size: int, margin: int = 0) -> DataFrame:  # noqa: E741
-    """Inner join of rows whose closed intervals (contig, start, end) overlap by ``margin`` or less apart. Column names of the sides must differ."""
+def range_join(left: DataFrame, right: DataFrame, l: tuple[str, str, str], r: tuple[str, str, str], bin_size: int | None = None, margin: int = 0, deep: int | None = None) -> DataFrame:  # noqa: E741
+    """Inner join of rows whose closed intervals (contig, start, end) overlap by ``margin`` or less apart. Column names of the sides must differ.
+
+    Without ``bin_size`` it is twice the right side's usual length, by one aggregation. With ``deep``, bins of more rows of the left side than that are dealt to several tasks, and
+    the right side's rows to each of them; skewed bins are else left to adaptive execution.
+    """
     (lt, ls, le), (rt, rs, re) = l, r
+    if bin_size is None:
+        usual = right.agg(F.percentile_approx(F.col(re) - F.col(rs) + 1, 0.9)).first()[0]
+        bin_size = max(16, 2 * int(usual or 1))
     low = lambda c: F.floor(c / bin_size)
     a = left.withColumn("__b", F.explode(F.sequence(low(F.col(ls) - margin), low(F.col(le) + margin))))
     b = right.withColumn("__rb", F.explode(F.sequence(low(F.col(rs)), low(F.col(re)))))
     first = F.greatest(low(F.col(ls) - margin), low(F.col(rs)))
     on = (F.col(lt) == F.col(rt)) & (F.col("__b") == F.col("__rb")) & (F.col(ls) <= F.col(re) + margin) & (F.col(rs) <= F.col(le) + margin) & (F.col("__b") == first)
-    return a.join(b, on).drop("__b", "__rb")
+    if deep is None:
+        return a.join(b, on).drop("__b", "__rb")
+    parts = a.groupBy(F.col(lt).alias("__t"), F.col("__b").alias("__at")).agg(F.ceil(F.count("*") / deep).alias("__parts")).where("__parts > 1")
+    of = F.coalesce("__parts", F.lit(1))
+    a = a.join(parts, (F.col(lt) == F.col("__t")) & (F.col("__b") == F.col("__at")), "left").withColumn("__part", F.pmod(F.xxhash64(ls, le, F.monotonically_increasing_id()), of)).drop("__parts", "__t", "__at")
+    b = b.join(parts, (F.col(rt) == F.col("__t")) & (F.col("__rb") == F.col("__at")), "left").withColumn("__rpart", F.explode(F.sequence(F.lit(0).cast("long"), of - 1))).drop("__parts", "__t", "__at")
+    return a.join(b, on & (F.col("__part") == F.col("__rpart"))).drop("__b", "__rb", "__part", "__rpart")
 
 
 def top_by(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:

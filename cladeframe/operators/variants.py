@@ -104,3 +104,29 @@ def upper_median(values: Column) -> Column:
     """sorted[n / 2], 30 for none."""
     s = F.array_sort(values)
     return F.when(F.size(s) > 0, F.element_at(s, F.floor(F.size(s) / 2).cast("int") + 1)).otherwise(30)
+
+
+def merge_contexts(contexts: DataFrame) -> DataFrame:
+    """contexts: (contig, start, priority, ref, alts, and info map<string,string>), refs of one start being prefixes of each other. (contig, start, ref, alts, info, merged): the longest ref,
+    the distinct alts on it by priority, then by place, without those that become the ref, and the attributes that no two contexts tell differently."""
+    longest = F.max(F.struct(F.length("ref").alias("n"), "ref"))["ref"]
+    g = contexts.groupBy("contig", "start").agg(longest.alias("ref"), F.array_sort(F.collect_list(F.struct("priority", F.col("ref").alias("old"), "alts", F.array_sort(F.map_entries("info")).alias("info")))).alias("all"), F.count("*").alias("merged"))
+    full = F.flatten(F.transform("all", lambda c: F.transform(c["alts"], lambda a: F.concat(a, F.substr(F.col("ref"), F.length(c["old"]) + 1)))))
+    g = g.withColumn("full", full).withColumn("pairs", F.array_distinct(F.flatten(F.transform("all", lambda c: c["info"]))))
+    sure = F.filter("pairs", lambda e: F.size(F.filter("pairs", lambda o: o["key"] == e["key"])) == 1)
+    return g.select("contig", "start", "ref", F.filter(F.array_distinct("full"), lambda a: a != F.col("ref")).alias("alts"), F.map_from_entries(sure).alias("info"), "merged")
+
+
+#: Bases kept beside a substitution, another insertion or deletion, and one in a tandem repeat.
+SNP_PAD, INDEL_PAD, REPEAT_PAD = 20, 75, 75
+
+
+def trimmed_regions(regions: DataFrame, variants: DataFrame, pads: tuple[int, int, int] = (SNP_PAD, INDEL_PAD, REPEAT_PAD)) -> DataFrame:
+    """regions: (region, r_tid, r_start, r_end, p_start, p_end: the padded span), variants: (tid, start, end, indel, repeat). (region, start, end): what a region's variants need, each with the pad of its kind, inside the padded span. Regions without variants are left out."""
+    from .ranges import range_join
+
+    pad = F.when(F.col("repeat"), pads[2]).when(F.col("indel"), pads[1]).otherwise(pads[0])
+    j = range_join(regions, variants.withColumn("pad", pad), ("r_tid", "r_start", "r_end"), ("tid", "start", "end"), 1024)
+    low, high = F.min(F.col("start") - F.col("pad")), F.max(F.col("end") + F.col("pad"))
+    g = j.groupBy("region").agg(low.alias("low"), high.alias("high"), F.first("p_start").alias("p_start"), F.first("p_end").alias("p_end"))
+    return g.select("region", F.greatest("low", "p_start").alias("start"), F.least("high", "p_end").alias("end"))

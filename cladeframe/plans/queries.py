@@ -665,9 +665,12 @@ def _(s, d):
     return m.distinct().join(m.select((col("grp") - 1).alias("grp"), "read"), ["grp", "read"], "left_anti")
 
 
-@query("set05_merge_contexts", "SELECT s // 100 AS start, count(DISTINCT allele) AS alleles, max(q) AS span, max_by(rid, [q, -rid]) AS longest FROM reads GROUP BY 1", D.READS)
+@query("set05_merge_contexts", """SELECT contig, start, substr('ACGTACGT', 1, max(n)) AS ref, coalesce(list(alt ORDER BY k) FILTER (alt <> substr('ACGTACGT', 1, n)), []) AS alts, CAST(max(m) AS BIGINT) AS merged, max(parity) AS parity FROM (
+  SELECT 'c' AS contig, start, alt || substr('ACGTACGT', len + 1, n - len) AS alt, n, min(key) AS k, any_value(m) AS m, any_value(parity) AS parity FROM (
+    SELECT *, max(len) OVER w AS n, count(*) OVER w AS m, CASE WHEN min(key % 2) OVER w = max(key % 2) OVER w THEN CAST(min(key % 2) OVER w AS VARCHAR) END AS parity FROM (SELECT key, key // 3 AS start, length(ref) AS len, alt FROM alleles) WINDOW w AS (PARTITION BY start)) GROUP BY 1, 2, 3, 4) GROUP BY 1, 2""", D.ALLELES)
 def _(s, d):
-    return D.reads(s, d).groupBy(F.floor(col("start") / 100).alias("start")).agg(F.countDistinct("allele").alias("alleles"), F.max(F.expr("cast(end - start as int)")).alias("span"), F.max_by("rid", F.struct(F.expr("end - start"), -col("rid"))).alias("longest"))
+    x = D.alleles(s, d).select(lit("c").alias("contig"), F.floor(col("key") / 3).alias("start"), col("key").alias("priority"), F.substr(lit("ACGTACGT"), lit(1), F.length("ref")).alias("ref"), F.array("alt").alias("alts"), F.create_map(lit("parity"), (col("key") % 2).cast("string")).alias("info"))
+    return V.merge_contexts(x).select("contig", "start", "ref", "alts", "merged", col("info")["parity"].alias("parity"))
 
 
 @query("set06_merge_intervals", """SELECT tid, min(s) AS s, max(e) AS e, count(*) AS merged FROM (SELECT *, sum(nw) OVER (PARTITION BY tid ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM (SELECT tid, s, e, CASE WHEN s > max(e) OVER (PARTITION BY tid ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 1 ELSE 0 END AS nw FROM reads)) GROUP BY tid, i""", D.READS)
@@ -933,11 +936,12 @@ def _(s, d):
     return files.fetch(files.contig_chunks(c, 1000), spans, 1000).select("contig", "start", "end", col("bases").alias("hap"))
 
 
-@query("gen15_trimmed_region", "SELECT region, max(r_start) AS r, min(s) - 20 AS start, max(s) + 20 AS stop FROM reads JOIN regions ON tid = r_tid AND s BETWEEN r_start AND r_end GROUP BY 1", D.READS, D.REGIONS)
+@query("gen15_trimmed_region", """SELECT region, greatest(r_start - 50, min(s - pad)) AS start, least(r_end + 50, max(s + n - 1 + pad)) AS "end" FROM (SELECT *, CASE WHEN n % 3 = 2 THEN 75 WHEN n % 3 = 1 THEN 75 ELSE 20 END AS pad FROM reads)
+  JOIN regions ON tid = r_tid AND s <= r_end AND r_start <= s + n - 1 GROUP BY region, r_start, r_end""", D.READS, D.REGIONS)
 def _(s, d):
-    v = D.reads(s, d).select("tid", "start").withColumn("at", col("start"))
-    j = R.range_join(D.regions(s, d), v, ("r_tid", "r_start", "r_end"), ("tid", "start", "at"), 64)
-    return j.groupBy("region").agg(F.max("r_start").alias("r"), (F.min("start") - 20).alias("a"), (F.max("start") + 20).alias("stop")).select("region", "r", col("a").alias("start"), "stop")
+    v = D.reads(s, d).select("tid", "start", (col("start") + col("mate") - 1).alias("end"), (col("mate") % 3 == 1).alias("indel"), (col("mate") % 3 == 2).alias("repeat"))
+    reg = D.regions(s, d).withColumn("p_start", col("r_start") - 50).withColumn("p_end", col("r_end") + 50)
+    return V.trimmed_regions(reg, v)
 
 
 @query("snk05_vcf_lines", """SELECT site, string_agg(CASE WHEN a0 + a1 + a2 = 0 THEN './.:0,0,0:' || a0 || ',' || a1 || ',' || a2 || ':0:0' ELSE '0/1:0,0,0:' || a0 || ',' || a1 || ',' || a2 || ':30:' || (a0 + a1 + a2) END, chr(9) ORDER BY sample) AS genotypes FROM ad GROUP BY 1""", D.AD)
@@ -971,6 +975,41 @@ def _(s, d):
     return D.allele_depths(s, d).groupBy("site").agg(*[c for k in range(4) for c in (one(k, a[0]).alias(f"r{k}"), one(k, a[1] + a[2]).alias(f"v{k}"))])
 
 
+@query("src03_range_scan", "SELECT rid, s AS start, e AS \"end\" FROM reads WHERE tid = 2 AND s <= 1500 AND e >= 300", D.READS)
+def _(s, d):
+    from ..sources import tables
+    from ..streaming.activity import shared_folder
+
+    path = f"{shared_folder(s)}-reads"
+    tables.write_reads(D.reads(s, d).select((col("tid") % 2).alias("genome"), col("tid").alias("contig"), "rid", "start", "end"), path)
+    return tables.scan_reads(s, path, contig=2, low=300, high=1500, genome=0, longest=60).select("rid", "start", "end")
+
+
+@query("src27_split_by_genome", "SELECT genome, contig, count(*) AS n FROM (SELECT CAST(tid % 2 AS INTEGER) AS genome, tid AS contig FROM reads) GROUP BY 1, 2", D.READS)
+def _(s, d):
+    from ..sources import tables
+    from ..streaming.activity import shared_folder
+
+    path = f"{shared_folder(s)}-genomes"
+    tables.write_reads(D.reads(s, d).select((col("tid") % 2).cast("int").alias("genome"), col("tid").alias("contig"), "rid", "start", "end"), path)
+    return s.read.parquet(path).groupBy("genome", "contig").agg(F.count("*").alias("n"))
+
+
+@query("src02_primaries", "SELECT sample, count(*) AS alignments, count(*) FILTER (flag & 2304 = 0) AS \"primary\" FROM reads GROUP BY 1", D.READS)
+def _(s, d):
+    from ..sources import tables
+
+    return tables.primaries(D.reads(s, d))
+
+
+@query("src29_structural_variants", "SELECT tid AS contig, s AS pos, allele AS kind, s + q AS \"end\", CAST(max(mapq) AS DOUBLE) AS qual, list_sort(list(DISTINCT sample)) AS samples FROM reads WHERE mapq >= 2 GROUP BY 1, 2, 3, 4", D.READS)
+def _(s, d):
+    from ..sources import tables
+
+    x = D.reads(s, d).select("sample", col("tid").alias("contig"), col("start").alias("pos"), col("allele").alias("kind"), "end", col("mapq").cast("double").alias("qual"))
+    return tables.merge_structural(x)
+
+
 @query("snk01_vcf_file", "SELECT site AS pos, 'A,C,GTT' AS alleles, list_sort(list([CAST(sample AS INTEGER), a0, a1, a2])) AS depths FROM ad GROUP BY 1", D.AD)
 def _(s, d):
     # written as VCF files and read back
@@ -1034,11 +1073,6 @@ def _(s, d):
     return D.reads(s, d).where((col("tid") == 2) & (col("start") <= 9000) & (col("end") >= 3000)).groupBy("tid").agg(F.count("*").alias("n"))
 
 
-@query("src02_primary_count", "SELECT sample, count(*) FILTER (flag & 256 = 0 AND flag & 2048 = 0) AS primaries FROM reads GROUP BY 1", D.READS)
-def _(s, d):
-    return D.reads(s, d).groupBy("sample").agg(F.count_if(~RD.has(col("flag"), RD.SECONDARY) & ~RD.has(col("flag"), RD.SUPPLEMENTARY)).alias("primaries"))
-
-
 @query("src08_readsets", "SELECT DISTINCT sample AS sample_idx, read_type FROM reads", D.READS)
 def _(s, d):
     return D.reads(s, d).select(col("sample").alias("sample_idx"), "read_type").distinct()
@@ -1122,11 +1156,6 @@ def _(s, d):
     return parse_gff(x.select(line.alias("value"))).select(col("attributes")["ID"].alias("id"), "start", col("end").alias("stop"), "strand")
 
 
-@query("src27_split_by_genome", "SELECT tid AS genome, count(*) AS n FROM reads GROUP BY 1", D.READS)
-def _(s, d):
-    return D.reads(s, d).groupBy(col("tid").alias("genome")).agg(F.count("*").alias("n"))
-
-
 # more ordered, scalar and composite operators
 
 

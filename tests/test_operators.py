@@ -344,6 +344,36 @@ def test_range_join_matches_brute_force(spark):
         assert got == sorted((x[0], y[0]) for x in a for y in b if x[1] == y[1] and x[2] <= y[3] + margin and y[2] <= x[3] + margin)
 
 
+def test_range_join_of_deep_bins_and_chosen_bins(spark):
+    rng = random.Random(5)
+    a = [(i, 0, s, s + rng.randrange(40)) for i, s in enumerate(rng.choices(range(30), k=120))] + [(500 + i, 1, s, s) for i, s in enumerate(rng.choices(range(900), k=30))]
+    b = [(i, rng.randrange(2), s, s + rng.randrange(300)) for i, s in enumerate(rng.choices(range(900), k=40))]
+    left, right = spark.createDataFrame(a, "a int, t int, s int, e int"), spark.createDataFrame(b, "b int, t2 int, s2 int, e2 int")
+    want = sorted((x[0], y[0]) for x in a for y in b if x[1] == y[1] and x[2] <= y[3] and y[2] <= x[3])
+    for how in ({}, {"deep": 7}, {"bin_size": 16, "deep": 10}):
+        assert sorted((r.a, r.b) for r in R.range_join(left, right, ("t", "s", "e"), ("t2", "s2", "e2"), **how).collect()) == want
+    assert R.range_join(left, right.limit(0), ("t", "s", "e"), ("t2", "s2", "e2")).count() == 0
+
+
+def test_read_tables_and_sets(spark, tmp_path):
+    from cladeframe.sources import tables
+
+    rows = [(g, f"c{g}", i, i * 10, i * 10 + 30) for g in range(3) for i in range(400)] + [(None, "u", 1, 1, 2)]
+    tables.write_reads(spark.createDataFrame(rows, "genome int, contig string, rid int, start long, end long"), str(tmp_path / "r"), bin_size=500)
+    scan = tables.scan_reads(spark, str(tmp_path / "r"), "c1", 1000, 1100, genome=1, longest=40)
+    assert sorted(r.rid for r in scan.collect()) == [i for i in range(400) if i * 10 <= 1100 and i * 10 + 30 >= 1000]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = tables.scan_reads(spark, str(tmp_path / "r"), "c1", 1000, 1100, genome=1, longest=40)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters: [isnotnull(genome" in plan and "GreaterThanOrEqual(start,960)" in plan and "EqualTo(contig,c1)" in plan
+    assert tables.scan_reads(spark, str(tmp_path / "r")).count() == len(rows)
+    sets = [tuple(r) for r in tables.read_sets(spark, ["a1", "a2", "b1", "b2"], ["i"], ["s"], ["f"], ["r"], ["l"]).collect()]
+    assert [(x[1], x[2], x[3], x[4]) for x in sets] == [("short", "coupled", "a1", "a2"), ("short", "coupled", "b1", "b2"), ("short", "coupled", "f", "r"), ("short", "interleaved", "i", None), ("short", "single", "s", None), ("long", "single", "l", None)]
+    for bad in ({"coupled": ["a"]}, {"read1": ["a"], "read2": []}):
+        with pytest.raises(ValueError):
+            tables.read_sets(spark, **bad)
+
+
 def test_ani_by_hand(spark):
     ad = spark.createDataFrame([(1, 0, [9, 0, 0]), (1, 1, [0, 9, 0]), (2, 0, [5, 5, 0]), (2, 1, [5, 0, 0]), (3, 0, [0, 0, 9]), (3, 1, [9, 0, 0])], "site int, sample int, ad array<int>").withColumn("lens", F.array(lit(1), lit(1), lit(3)))
     got = {(r.s1, r.s2): (r.con, r.pop, r.subpop) for r in V.identity_counts(ad, 5).collect()}
