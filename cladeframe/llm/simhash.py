@@ -23,6 +23,8 @@ from xxhash import xxh64_digest
 from .shared import free, keep, values
 
 RADIUS = 3
+#: Links of one node that a task joins, and hot nodes up to which their table is broadcast: 16 MB.
+HOT, _FEW = 1000, 1_000_000
 _SHINGLES = 1 << 16  # counted at once
 
 
@@ -176,18 +178,32 @@ def _open_patterns(rows: DataFrame) -> DataFrame:
     return shown.join(least, ["open", "pattern"]).where("fp != b").select(F.col("fp").alias("a"), "b").distinct()
 
 
-def groups(edges: DataFrame) -> DataFrame:
+def _with_low(rows: DataFrame, lows: DataFrame, hot: int) -> DataFrame:
+    """rows: (u, v), lows: (u, low, n), a written table. Adds low. A node of more than ``hot`` rows is dealt to several tasks: its rows by their other end, its low to each."""
+    many = lows.where(F.col("n") > hot).select("u", F.ceil(F.col("n") / hot).alias("parts"))
+    n = many.count()
+    if not n:
+        return rows.join(lows.select("u", "low"), "u")
+    many = F.broadcast(many) if n <= _FEW else many
+    parts = F.coalesce("parts", F.lit(1))
+    rows = rows.join(many, "u", "left").withColumn("part", F.pmod(F.xxhash64("v"), parts)).drop("parts")
+    each = lows.join(many, "u", "left").select("u", "low", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+    return rows.join(each, ["u", "part"]).drop("part")
+
+
+def groups(edges: DataFrame, hot: int = HOT) -> DataFrame:
     """(node, root) for every node that has a link; root is the least node that it reaches. Rounds grow with the logarithm of the longest chain."""
     sized = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     e = keep(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     was = sized(e)
     while was[0]:
         both = e.union(e.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("low", "u").alias("low"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u != v").distinct()
-        large = keep(large, "large-star")
-        low = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u != v").union(low).distinct()
+        lows = keep(both.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("n")).select("u", F.least("low", "u").alias("low"), "n"), "lows")
+        # a node tells the larger ends of its links
+        large = _with_low(e.select(F.col("v").alias("u"), F.col("u").alias("v")), lows, hot)
+        large = keep(large.select(F.col("v").alias("u"), F.col("low").alias("v")).where("u != v").distinct(), "large-star")
+        lows = keep(large.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("n")), "lows")
+        small = _with_low(large, lows, hot).select(F.col("v").alias("u"), F.col("low").alias("v")).where("u != v").union(lows.select("u", "low")).distinct()
         e = keep(small, "small-star")
         now = sized(e)
         if now == was:

@@ -109,3 +109,17 @@ def test_repeated_and_null_ids_keep_a_row_of_each_group(spark):
     assert got.columns == docs.columns
     rows = [(r.doc_id, r.text) for r in got.collect()]
     assert sorted(rows, key=str) == sorted([(None, far[0]), (None, far[1]), (5, far[2]), (3, far[3])], key=str)
+
+
+def test_groups_of_hubs_and_chains(spark):
+    rng = random.Random(3)
+    links = [(0, i) for i in range(1, 60)] + [(i, 500) for i in range(400, 460)] + [(i, i + 1) for i in range(700, 760)] + [(59, 430), (7, 7)] + [(rng.randrange(800, 900), rng.randrange(800, 900)) for _ in range(60)]
+    root = {x: x for pair in links for x in pair}
+    for _ in root:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    want = {x: r for x, r in root.items() if any(x in pair and pair[0] != pair[1] for pair in links)}
+    for hot in (5, 1000):
+        got = {r.node: r.root for r in S.groups(spark.createDataFrame(links, "a long, b long"), hot).collect()}
+        assert {x: got.get(x, x) for x in want} == want
+    assert S.groups(spark.createDataFrame([], "a long, b long")).count() == 0
