@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,17 +13,29 @@ from . import kernels as K
 
 _EVENT = "struct<start:long,ref:string,alt:string>"
 
+_EVENTS = pa.list_(pa.struct([("start", pa.int64()), ("ref", pa.string()), ("alt", pa.string())]))
+#: Haplotypes of which a task holds the events.
+_KNOWN = 1 << 14
 
 def haplotype_events(regions: DataFrame, haplotypes: DataFrame) -> DataFrame:
     """regions: (region, start, ref); haplotypes as of ``assemble_regions``. Adds ``events``: array<struct<start, ref, alt>> against the reference."""
 
     def run(batches):
-        for pdf in batches:
-            pdf["events"] = [[{"start": p, "ref": a, "alt": b} for p, a, b in K.events(ref, hap, cigar, int(start))] for ref, hap, cigar, start in zip(pdf.ref, pdf.hap, pdf.cigar, pdf.start)]
-            yield pdf[["region", "hap_idx", "score", "hap", "cigar", "events"]]
-
-    whole = haplotypes.join(regions.select("region", "start", "ref"), "region")
-    return whole.mapInPandas(run, f"region long, hap_idx int, score double, hap string, cigar string, events array<{_EVENT}>")
+        known = {}
+        for b in batches:
+            rows = []
+            for ref, hap, cigar, start in zip(*(b.column(n).to_pylist() for n in ("ref", "hap", "cigar", "start"))):
+                if len(known) >= _KNOWN:
+                    known.clear()
+                if (ref, hap, cigar) not in known:
+                    known[ref, hap, cigar] = K.events(ref, hap, cigar, 0)
+                rows.append([{"start": start + p, "ref": x, "alt": y} for p, x, y in known[ref, hap, cigar]])
+            kept = ["region", "hap_idx", "score", "hap", "cigar"]
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in kept), pa.array(rows, _EVENTS)], [*kept, "events"])
+
+    # no broadcast: the size of what Python returns is guessed from the small columns that it reads
+    whole = haplotypes.join(regions.select("region", F.col("start").cast("long").alias("start"), "ref").hint("merge"), "region")
+    return whole.mapInArrow(run, f"region long, hap_idx int, score double, hap string, cigar string, events array<{_EVENT}>")
 
 
 def locus_likelihoods(reads: DataFrame, haplotypes: DataFrame) -> DataFrame:
@@ -30,14 +43,23 @@ def locus_likelihoods(reads: DataFrame, haplotypes: DataFrame) -> DataFrame:
     and log10 likelihoods of the read, the best over the haplotypes without an event there, then over those with each alt.
 
     One row of a read holds its region's haplotypes, of which assembly returns a bounded number. A deletion that spans a start from before counts as no event there."""
-    pairs = reads.select("region", "sample", "read", F.col("seq").alias("read_seq"), "quals").join(haplotypes.select("region", F.col("hap").alias("hap_seq"), "events"), "region")
+    pairs = reads.select(*[F.col(c).cast(t).alias(c) for c, t in (("region", "long"), ("sample", "int"), ("read", "long"))], F.col("seq").alias("read_seq"), "quals").join(haplotypes.select("region", F.col("hap").alias("hap_seq"), "events").hint("merge"), "region")
 
     def run(batches):
-        for pdf in batches:
-            pdf["lk"] = K.pair_hmm_all(list(zip(pdf.hap_seq, pdf.read_seq)), pdf.quals.tolist())
-            yield pdf[["region", "sample", "read", "events", "lk"]]
-
-    scored = pairs.mapInPandas(run, f"region long, sample int, read long, events array<{_EVENT}>, lk double")
+        for b in batches:
+            haps, seqs = (b.column(n).to_pylist() for n in ("hap_seq", "read_seq"))
+            lists = b.column("quals")
+            sizes, flat = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), lists.flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(sizes).tolist()
+            # equal pairs are computed once
+            keys = [(h, r, flat[e - n : e].tobytes()) for h, r, e, n in zip(haps, seqs, ends, sizes.tolist())]
+            once = {k: i for i, k in reversed(list(enumerate(keys)))}
+            got = K.pair_hmm_all([k[:2] for k in once], [flat[ends[i] - sizes[i] : ends[i]] for i in once.values()])
+            lk = dict(zip(once, got.tolist()))
+            kept = ["region", "sample", "read", "events"]
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in kept), pa.array([lk[k] for k in keys], pa.float64())], [*kept, "lk"])
+
+    scored = pairs.mapInArrow(run, f"region long, sample int, read long, events array<{_EVENT}>, lk double")
     by_read = scored.groupBy("region", "sample", "read").agg(F.collect_list(F.struct("events", "lk")).alias("haps"))
     every = by_read.withColumn("all", F.array_sort(F.array_distinct(F.flatten(F.transform("haps", lambda h: h["events"])))))
     at = every.withColumn("start", F.explode(F.array_distinct(F.transform("all", lambda e: e["start"])))).withColumn("here", F.filter("all", lambda e: e["start"] == F.col("start")))
