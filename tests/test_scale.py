@@ -31,3 +31,12 @@ def test_no_region_is_broadcast(spark, short):  # gen20
     haps = CA.haplotype_events(regions, K.assemble_regions(regions, reads.select("region", "seq", "quals"), (9,)))
     plan = CA.locus_likelihoods(reads, haps)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_haplotypes_of_many_pairs_are_aligned_at_once(monkeypatch):  # gen17, str12
+    calls = counted(monkeypatch, K, "align_all")
+    pairs = [(FLANKS[0] + a + FLANKS[1], FLANKS[0] + b + FLANKS[1]) for a in ("A", "ACG", "TTGAC") for b in ("C", "GT", "CAGTT", "")] * 3
+    got = K.cigars(pairs)
+    assert len(calls) == 1 and len(calls[0][0]) == len(set(calls[0][0]))
+    assert got == [K.haplotype_cigar(a, b) for a, b in pairs]
+    assert K.cigars([("ACGT", ""), ("ACGT", "ACGA")]) == ["4D", "4M"]
