@@ -40,3 +40,12 @@ def test_haplotypes_of_many_pairs_are_aligned_at_once(monkeypatch):  # gen17, st
     assert len(calls) == 1 and len(calls[0][0]) == len(set(calls[0][0]))
     assert got == [K.haplotype_cigar(a, b) for a, b in pairs]
     assert K.cigars([("ACGT", ""), ("ACGT", "ACGA")]) == ["4D", "4M"]
+
+
+def test_equal_regions_are_assembled_once(monkeypatch):  # gen16
+    made, aligned = counted(monkeypatch, K, "Graph"), counted(monkeypatch, K, "align_all")
+    a, b, c = FLANKS[0] + "AC" + FLANKS[1], FLANKS[0] + "ACGTT" + FLANKS[1], FLANKS[0] + "T" + FLANKS[1]
+    jobs = [(a, Counter([a, x, x])) for x in (b, c, b, c, b)]
+    got = K.assemble_all(jobs, (9,), 1)
+    assert len(made) == 2 and len(aligned) <= 2
+    assert got[0] == got[2] == got[4] == K.assemble(a, [(x, [30] * len(x)) for x in (b, a, b)], (9,), 1) and {h for _, h, _ in got[1]} == {a, c}
