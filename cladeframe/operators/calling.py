@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import maths as M
+from ..streaming.activity import shared_folder
 from . import genotypes as G
 from . import kernels as K
 
 _EVENT = "struct<start:long,ref:string,alt:string>"
-
 _EVENTS = pa.list_(pa.struct([("start", pa.int64()), ("ref", pa.string()), ("alt", pa.string())]))
 #: Haplotypes of which a task holds the events.
 _KNOWN = 1 << 14
 
+
 def haplotype_events(regions: DataFrame, haplotypes: DataFrame) -> DataFrame:
     """regions: (region, start, ref); haplotypes as of ``assemble_regions``. Adds ``events``: array<struct<start, ref, alt>> against the reference."""
 
@@ -77,6 +78,10 @@ def call_regions(regions: DataFrame, reads: DataFrame, ploidy: int = 2, confiden
     regions: (region, start, ref), reads: (region, sample, read, seq, quals)."""
     haps = haplotype_events(regions, K.assemble_regions(regions, reads.select("region", "seq", "quals"), **how))
     lk = locus_likelihoods(reads, haps).select(F.struct("region", "start", "ref", "alts").alias("site"), "sample", "read", "lks")
+    # read once for each number of alleles: written, or each would assemble anew
+    path = f"{shared_folder(regions.sparkSession)}.lk"
+    lk.write.parquet(path)
+    lk = regions.sparkSession.read.schema(lk.schema).parquet(path)
     gl = None
     for n in range(2, (lk.agg(F.max(F.size("lks"))).first()[0] or 2) + 1):  # sites of n alleles each
         part = G.genotype_likelihoods(lk, n, ploidy, depths=True)

@@ -231,6 +231,8 @@ def call_site(alleles: list[str], pls: list[list[int]], ads: list[list[int]], pl
     }
 
 
+#: Called sites that a task holds.
+_KNOWN = 1 << 12
 _CALL = "alleles array<string>, qual double, polymorphic boolean, emitted boolean, mle_ac array<int>, mle_af array<double>, genotypes array<struct<sample:int,gt:string,pl:array<int>,ad:array<int>,gq:int,dp:int>>"
 
 
@@ -239,13 +241,19 @@ def call_genotypes(sites: DataFrame, ploidy: int = 2, confidence: float = 25.0,
     kind = sites.schema["site"].dataType.simpleString()
 
     def run(batches):
+        known: dict = {}  # sites with equal alleles, PLs and depths are called once
         for pdf in batches:
             rows = []
             for site, alleles, samples in zip(pdf.site, pdf.alleles, pdf.samples):
                 samples = sorted(samples, key=lambda x: x["sample"])
-                got = call_site(list(alleles), [list(x["pl"]) for x in samples], [list(x["ad"]) for x in samples], ploidy, confidence, most)
-                got["genotypes"] = [dict(zip(("sample", "gt", "pl", "ad", "gq", "dp"), (x["sample"], *g))) for x, g in zip(samples, got["genotypes"])]
-                rows.append({"site": site, **got})
+                what = tuple(alleles), tuple(tuple(x["pl"]) for x in samples), tuple(tuple(x["ad"]) for x in samples)
+                if what not in known:
+                    if len(known) >= _KNOWN:
+                        known.clear()
+                    known[what] = call_site(list(alleles), *([list(x) for x in xs] for xs in what[1:]), ploidy, confidence, most)
+                got = known[what]
+                called = [dict(zip(("sample", "gt", "pl", "ad", "gq", "dp"), (x["sample"], *g))) for x, g in zip(samples, got["genotypes"])]
+                rows.append({"site": site, **got, "genotypes": called})
             yield pd.DataFrame(rows, columns=["site", *(f.split()[0] for f in _CALL.split(", "))])
 
     return sites.select("site", "alleles", "samples").mapInPandas(run, f"site {kind}, {_CALL}")

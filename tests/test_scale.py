@@ -4,9 +4,10 @@ from collections import Counter
 
 import pytest
 
+from cladeframe.functions import sequences as S
 from cladeframe.operators import calling as CA
 from cladeframe.operators import kernels as K
-from cladeframe.plans import queries as plans
+from cladeframe.operators import strains as ST
 
 FLANKS = "ACGTTGCAAGGCTTAC", "GGATCCATTGCATTGGC"
 
@@ -33,6 +34,12 @@ def test_no_region_is_broadcast(spark, short):  # gen20
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
 
 
+def test_called_regions_assemble_once(spark, short):  # gen19
+    calls = CA.call_regions(*short, kmer_sizes=(9,))
+    assert "MapInArrow" not in calls._jdf.queryExecution().analyzed().toString()  # likelihoods are read back, for each number of alleles
+    assert calls.count() > 0
+
+
 def test_haplotypes_of_many_pairs_are_aligned_at_once(monkeypatch):  # gen17, str12
     calls = counted(monkeypatch, K, "align_all")
     pairs = [(FLANKS[0] + a + FLANKS[1], FLANKS[0] + b + FLANKS[1]) for a in ("A", "ACG", "TTGAC") for b in ("C", "GT", "CAGTT", "")] * 3
