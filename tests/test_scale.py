@@ -56,3 +56,22 @@ def test_equal_regions_are_assembled_once(monkeypatch):  # gen16
     got = K.assemble_all(jobs, (9,), 1)
     assert len(made) == 2 and len(aligned) <= 2
     assert got[0] == got[2] == got[4] == K.assemble(a, [(x, [30] * len(x)) for x in (b, a, b)], (9,), 1) and {h for _, h, _ in got[1]} == {a, c}
+
+
+def test_kmers_of_a_row_are_counted_where_it_is(spark, monkeypatch):  # gen01
+    monkeypatch.setattr(S, "_CODES", 64)
+    texts = [(1, "ACGT" * 90 + "A" * 40), (2, "ACGTTGCAAG" * 5), (2, "TTTTTACGTTGCAAGGCTTACGGATC"), (3, "ACGT"), (None, "G" * 30), (None, "G" * 27), (4, None)]
+    by = {}
+    for i, t in texts:
+        if t and len(t) >= 26:
+            by.setdefault(i, Counter()).update(t[p : p + 26] for p in range(len(t) - 25))
+    want = {i: (len(c), sum(c.values()), max(c.values())) for i, c in by.items()}
+    rows = spark.createDataFrame(texts, "doc_id long, seq string")
+    got = S.kmer_multiplicities(rows, "doc_id", "seq", 26)
+    assert {r.doc_id: (r.edges, r.threaded, r.most) for r in got.collect()} == want
+    once = S.kmer_multiplicities(rows.where("doc_id = 1"), "doc_id", "seq", 26)
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    assert [r.threaded for r in once.collect()] == [sum(by[1].values())]
+    for k in (1, 2, 7, 31):
+        raw = b"ACGTTGCAAGGCTTACGGATCCATTGCATTGGCAAAC"
+        assert S._coded(raw, k).tolist() == [int("".join(str(b"ACGT".index(x)) for x in raw[p : p + k]), 4) for p in range(len(raw) - k + 1)]
