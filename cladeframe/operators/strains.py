@@ -5,10 +5,12 @@ from __future__ import annotations
 import heapq
 import math
 from collections import defaultdict
+from functools import lru_cache
 from itertools import permutations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -129,6 +131,7 @@ def strain_presence(ref_depth: DataFrame, share: float = 0.97) -> DataFrame:
 _TABLE = {c: (a, n) for c, a, _, n in codon_table(11)}
 
 
+@lru_cache(None)
 def codon_change(before: str, after: str) -> tuple[float, float]:
     """(non-synonymous, synonymous) steps between two codons, averaged over all orders of the changes."""
     places = [i for i in range(3) if before[i] != after[i]]
@@ -186,14 +189,24 @@ def gene_dnds(genes: DataFrame, variants: DataFrame) -> DataFrame:
     j = range_join(g, variants.withColumn("pos_end", F.col("pos")), ("g_tid", "g_start", "g_end"), ("tid", "pos", "pos_end"), 1000)
     back = str.maketrans("ACGT", "TGCA")
 
-    def one(key, pdf):
-        r = pdf.iloc[0]
-        minus = r.strand == "-"
-        seq = r.seq.translate(back)[::-1] if minus else r.seq
-        ch = [(int(r.g_end - p), a.translate(back)) if minus else (int(p - r.g_start), a) for p, a in zip(pdf.pos, pdf.alt)]
-        return pd.DataFrame([(int(key[0]), int(key[1]), len(ch), dnds(seq, ch))], columns=["gene", "sample", "snps", "dnds"])
-
-    return j.groupBy("gene", "sample").applyInPandas(one, "gene long, sample int, snps int, dnds double")
+    # a row for each gene and sample: rows, not groups, go to Python
+    changes = F.collect_list(F.struct("pos", "alt"))
+    first = [F.first(c).alias(c) for c in ("g_start", "g_end", "strand", "seq")]
+    by = j.groupBy("gene", "sample").agg(*first, changes.alias("changes"))
+    by = by.select("gene", "sample", "g_start", "g_end", "strand", "seq", F.transform("changes", lambda c: c["pos"]).alias("places"), F.transform("changes", lambda c: c["alt"]).alias("alts"))
+
+    def run(batches):
+        for b in batches:
+            n, rates = [], []
+            for start, end, strand, seq, places, alts in zip(*(b.column(i).to_pylist() for i in range(2, 8))):
+                minus = strand == "-"
+                seq = seq.translate(back)[::-1] if minus else seq
+                ch = [(int(end - p), a.translate(back)) if minus else (int(p - start), a) for p, a in zip(places, alts)]
+                n.append(len(ch))
+                rates.append(dnds(seq, ch))
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1).cast(pa.int32()), pa.array(n, pa.int32()), pa.array(rates, pa.float64())], ["gene", "sample", "snps", "dnds"])
+
+    return by.mapInArrow(run, "gene long, sample int, snps int, dnds double")
 
 
 def dnds_lines(genes: DataFrame, rates: DataFrame, samples: list[int]) -> DataFrame:

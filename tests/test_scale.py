@@ -75,3 +75,17 @@ def test_kmers_of_a_row_are_counted_where_it_is(spark, monkeypatch):  # gen01
     for k in (1, 2, 7, 31):
         raw = b"ACGTTGCAAGGCTTACGGATCCATTGCATTGGCAAAC"
         assert S._coded(raw, k).tolist() == [int("".join(str(b"ACGT".index(x)) for x in raw[p : p + k]), 4) for p in range(len(raw) - k + 1)]
+
+
+def test_genes_go_to_python_as_rows(spark):  # snk09
+    genes = spark.createDataFrame([(1, 0, 0, 29, "+", "ATGTTTGGGCCCAAATTTGGGCCCAAATAA"), (2, 0, 30, 59, "-", "ATGTTTGGGCCCAAATTTGGGCCCAAATAA")], "gene long, tid int, start long, end long, strand string, seq string")
+    variants = spark.createDataFrame([(0, p, p % 2, "ACGT"[p % 4]) for p in range(3, 58, 5)], "tid int, pos long, sample int, alt string")
+    rates = ST.gene_dnds(genes, variants)
+    assert "FlatMapGroups" not in rates._jdf.queryExecution().analyzed().toString()
+    got = {(r.gene, r.sample): (r.snps, r.dnds) for r in rates.collect()}
+    back = str.maketrans("ACGT", "TGCA")
+    for (gene, sample), (snps, rate) in got.items():
+        at, minus, seq = 30 * (gene - 1), gene == 2, "ATGTTTGGGCCCAAATTTGGGCCCAAATAA"
+        ch = [(at + 29 - p if minus else p - at, "ACGT"[p % 4].translate(back) if minus else "ACGT"[p % 4]) for p in range(3, 58, 5) if at <= p < at + 30 and p % 2 == sample]
+        assert snps == len(ch) and rate == ST.dnds(seq.translate(back)[::-1] if minus else seq, ch)
+    assert len(got) == 4
