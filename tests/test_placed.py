@@ -80,3 +80,17 @@ def test_rows_hold_their_reads(spark):  # gen04
         key = lambda r: (r.region is None, r.region or 0, r.hap_idx)
         assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
     assert K.assemble_rows(nested.limit(0), (9,)).count() == 0
+
+
+def test_profiles_are_counted_in_one_pass(spark):  # gen33
+    rows = [(k, ref, [(s, "?" * len(s)) for s, n in pieces for _ in range(n)]) for k, (ref, pieces) in enumerate(regions(3))]
+    rows += [(100 + k, ref, [(s, "?" * 70) for s, _ in pieces]) for k, (ref, pieces) in enumerate(made(random.Random(k), 240, 219, 70, 15, (0, 60)[k % 2]) for k in range(8))]
+    nested = spark.createDataFrame(rows, "region long, ref string, reads array<struct<seq string, quals string>>")
+    out = K.count_haplotypes(nested, K.PROFILES)
+    assert out._jdf.queryExecution().analyzed().toString().count("MapInArrow") == 1
+    want = {}
+    for name, (prune, sizes) in K.PROFILES.items():
+        jobs = {region: (ref, tuple(sorted(Counter(s for s, _ in reads if not set(s) - set("ACGT")).items()))) for region, ref, reads in rows}
+        got = K._by_graphs(list(dict.fromkeys(jobs.values())), sizes, prune, 128, 6, False, 1)
+        want |= {(region, name): len(got[job]) for region, job in jobs.items()}
+    assert {(r.region, r.profile): r.haplotypes for r in out.collect()} == want and 2 in want.values()
