@@ -94,3 +94,14 @@ def test_profiles_are_counted_in_one_pass(spark):  # gen33
         got = K._by_graphs(list(dict.fromkeys(jobs.values())), sizes, prune, 128, 6, False, 1)
         want |= {(region, name): len(got[job]) for region, job in jobs.items()}
     assert {(r.region, r.profile): r.haplotypes for r in out.collect()} == want and 2 in want.values()
+
+
+def test_pruning_by_odds_of_placed_reads(monkeypatch):  # gen03
+    jobs = regions(4)
+    for sizes, recover in (((9,), None), ((25,), None), ((9, 13), 1)):
+        assert differing(jobs, 1, sizes, True, recover)[0] > 0.3 * len(jobs)
+    monkeypatch.setattr(K, "Graph", lambda *a: 1 / 0)
+    line = "ACGTTGCAACCGTAGGCTAACTTAGGCCATGCATCGGA"
+    ends = [made(random.Random(k), 240, 219, 70, 15) for k in range(20)] + [(line * 6, tuple(sorted(tiled(changed(line * 6, 200), 70, 15).items())))]
+    found = K.assemble_all([(ref, Counter(dict(pieces))) for ref, pieces in ends], (25,), by_odds=True, recover=None)
+    assert [[h for _, h, _ in f] for f in found] == [[ref] for ref, _ in ends]
