@@ -105,3 +105,14 @@ def test_pruning_by_odds_of_placed_reads(monkeypatch):  # gen03
     ends = [made(random.Random(k), 240, 219, 70, 15) for k in range(20)] + [(line * 6, tuple(sorted(tiled(changed(line * 6, 200), 70, 15).items())))]
     found = K.assemble_all([(ref, Counter(dict(pieces))) for ref, pieces in ends], (25,), by_odds=True, recover=None)
     assert [[h for _, h, _ in f] for f in found] == [[ref] for ref, _ in ends]
+
+
+def test_whole_texts_with_repeats(monkeypatch):  # gen10
+    rng = random.Random(6)
+    jobs = []
+    for n, repeat in ((900, 0), (900, 30), (900, 45), (900, 200), (1500, 60)):
+        ref, pieces = made(rng, n, n // 2, 75, 15, repeat)
+        jobs.append((ref, pieces))
+    assert differing(jobs, 2, (25,), False, 1)[0] >= 4
+    monkeypatch.setattr(K, "Graph", lambda *a: 1 / 0)
+    assert [len(f) for f in K.assemble_all([(ref, Counter(dict(pieces))) for ref, pieces in (jobs[0], jobs[3])], (25,), 2)] == [2, 1]
