@@ -107,6 +107,22 @@ def test_pruning_by_odds_of_placed_reads(monkeypatch):  # gen03
     assert [[h for _, h, _ in f] for f in found] == [[ref] for ref, _ in ends]
 
 
+def test_pruning_by_odds_of_repeats():  # gen03
+    rng = random.Random(8)
+    unit = lambda: "".join(rng.choice("ACGT") for _ in range(rng.randrange(2, 12)))
+    refs = [(unit() * 40)[: rng.randrange(30, 120)] + (unit() * 60)[:120] + (unit() * 10)[: rng.randrange(20)] for _ in range(40)]
+    refs += ["".join(rng.choice("ACGT") for _ in range(n)) for n in range(26, 46)]  # shorter than a read, each window with the differing base
+    jobs = [(ref, tuple(sorted(tiled(changed(ref, len(ref) - 21), 70, 15).items()))) for ref in refs]
+    assert differing(jobs, 1, (25,), True, None)[0] > 0.95 * len(jobs)
+    ref = made(rng, 60)[0] + "ACGTTGAC" * 15
+    reached = [(ref, tuple(sorted(tiled("GATTACA" * 4 + ref, size, 7).items()))) for size in (40, 70)]
+    assert differing(reached, 1, (25,), True, None)[0] == 0
+    for size in (2, 5, 9):
+        lie = P.of(jobs, size)
+        for k in (2 * size, 57, 3 * size + 1, 128, size, 25):
+            assert lie.longer(k).tolist() == [len({r[i : i + k] for i in range(len(r) - k + 1)}) < len(r) - k + 1 for r in refs]
+
+
 def test_whole_texts_with_repeats(monkeypatch):  # gen10
     rng = random.Random(6)
     jobs = []
